@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import exact, simhash
+from shelfmark.llm import exact, licenses, secret_scan, simhash, suffix
 
 QUERIES = {
+    "op1_suffix_array_dedup": suffix.op1_suffix_array_dedup,
     "op7_exact_dedup": exact.op7_exact_dedup,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+    "op10_license_scan": licenses.op10_license_scan,
 }
 
 SQL = {
