@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import exact, licenses, secret_scan, simhash, suffix
+from shelfmark.llm import content_store, exact, licenses, packing, secret_scan, simhash, suffix
 
 QUERIES = {
     "op1_suffix_array_dedup": suffix.op1_suffix_array_dedup,
+    "op3_packing": packing.op3_packing,
+    "op6_content_store": content_store.op6_content_store,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
