@@ -4,8 +4,8 @@ A fingerprint is cut into two segments of 32 bits. Of two fingerprints that diff
 differs in at most one, so both fingerprints share one of that segment's 32 one-wildcard variants. Fingerprints are
 indexed under these variants (and under the exact segments), joined by equality, and verified on all 64 bits.
 
-Only distinct fingerprints are linked. A variant with more than ``bucket`` fingerprints is not compared pair by pair:
-its fingerprints are indexed again with wildcards in the other segment too. Equality there leaves two free bits, so
+Only distinct fingerprints are linked, and of the links in a bucket only a spanning forest leaves it. A variant with more
+than ``bucket`` fingerprints is not compared pair by pair: its fingerprints are indexed again with wildcards in the other segment too. Equality there leaves two free bits, so
 such a group has four fingerprints at most, all of them linked. No link is lost, and no group is expanded into pairs.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, shingles are three words, repeats included; a shorter text is
@@ -25,10 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import read, texts, written
+from shelfmark.llm.common import partitions, read, texts, written
 from shelfmark.llm.graph import components
 
-SHINGLE, SEED, BUCKET = 3, 42, 32
+SHINGLE, SEED, BUCKET = 3, 42, 4096
 _AT_ONCE = 200_000
 
 
@@ -99,29 +99,55 @@ def _keyed(fps: DataFrame) -> DataFrame:
     return fps.select("fp", variant).select(key.alias("key"), "fp")
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least index connected with each of ``n`` indices by the pairs ``a, b``."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The links within small buckets, each as an edge from a fingerprint to an earlier one."""
+    """Compares the fingerprints of each small bucket; what is linked comes out as edges of a spanning forest."""
+
+    def edges(flat, left, right):
+        if not left:
+            return
+        label = _forest(np.concatenate(left), np.concatenate(right), len(flat))
+        moved = np.flatnonzero(label != np.arange(len(flat)))
+        pairs = np.unique(np.stack([flat[moved], flat[label[moved]]]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)) for p in np.ascontiguousarray(pairs)], names=["a", "b"])
+
     for batch in batches:
         members = batch.column("members")
         flat = members.flatten().to_numpy().view(np.uint64)
-        ends = np.cumsum(np.asarray(members.value_lengths()), dtype=np.int64)
-        begin = ends - np.asarray(members.value_lengths())
-        left, right = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        longest = int((ends - begin).max(initial=0))
-        place = np.arange(len(flat)) - np.repeat(begin, ends - begin)
-        for gap in range(1, longest):
-            at = np.flatnonzero(place >= gap)
-            a, b = flat[at], flat[at - gap]
-            near = np.bitwise_count(a ^ b) <= 2
-            left.append(a[near])
-            right.append(b[near])
-        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)) for p in np.ascontiguousarray(pairs)], names=["a", "b"])
+        sizes = np.asarray(members.value_lengths(), np.int64)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left, right, held = [], [], 0
+        at = np.arange(len(flat))
+        for gap in range(1, int(sizes.max(initial=0))):
+            at = at[place[at] >= gap]
+            near = at[np.bitwise_count(flat[at] ^ flat[at - gap]) <= 2]
+            if len(near):
+                left.append(near)
+                right.append(near - gap)
+                held += len(near)
+            if held > 1_000_000:
+                yield from edges(flat, left, right)
+                left, right, held = [], [], 0
+        yield from edges(flat, left, right)
 
 
 def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Edges ``a, b`` that connect all distinct ``fp`` that differ in two bits or fewer."""
-    keyed = _keyed(fps)
+    """Edges ``a, b`` whose components are those of all pairs of distinct ``fp`` that differ in two bits or fewer."""
+    # dealt out anew: each row becomes 66
+    keyed = _keyed(fps.repartition(4 * partitions(fps.sparkSession), "fp"))
     counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
     counted = written(counted, "buckets")
     pairs = counted.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2).select("a", "b")
