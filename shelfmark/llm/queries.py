@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import content_store, decontaminate, exact, licenses, packing, secret_scan, simhash, suffix
+from shelfmark.llm import chaining, content_store, decontaminate, exact, licenses, packing, secret_scan, simhash, suffix
 
 QUERIES = {
     "op1_suffix_array_dedup": suffix.op1_suffix_array_dedup,
     "op3_packing": packing.op3_packing,
+    "op4_substring_dedup": chaining.op4_substring_dedup,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_content_store": content_store.op6_content_store,
     "op7_exact_dedup": exact.op7_exact_dedup,
