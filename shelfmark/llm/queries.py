@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chaining, content_store, decontaminate, exact, licenses, packing, secret_scan, simhash, suffix
+from shelfmark.llm import chaining, content_store, decontaminate, exact, licenses, packing, quality, secret_scan, simhash, suffix
 
 QUERIES = {
     "op1_suffix_array_dedup": suffix.op1_suffix_array_dedup,
+    "op2_quality_classifier": quality.op2_quality_classifier,
     "op3_packing": packing.op3_packing,
     "op4_substring_dedup": chaining.op4_substring_dedup,
     "op5_decontamination": decontaminate.op5_decontamination,

@@ -48,8 +48,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def hashed(texts: list[bytes], kind: np.ndarray = ALNUM, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """``(text, hash)`` of every word of the texts in order, after lower-casing A-Z."""
+def hashed(texts: list[bytes], kind: np.ndarray = ALNUM, seed: int = 3, count: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """``(text, hash)`` of every word of the texts in order, after lower-casing A-Z.
+
+    With ``count`` (a choice of bytes) also the number of such bytes in each word, and the word's length.
+    """
     data = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
     inside = np.concatenate([[False], kind[data]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -58,7 +61,11 @@ def hashed(texts: list[bytes], kind: np.ndarray = ALNUM, seed: int = 3) -> tuple
     text = np.searchsorted(np.cumsum(sizes), starts, side="right")
     if seed not in _HASHES:
         _HASHES[seed] = _Hash(seed)
-    return text, _HASHES[seed](data, starts, ends)
+    word = _HASHES[seed](data, starts, ends)
+    if count is None:
+        return text, word
+    sums = np.concatenate([[0], np.cumsum(count[data])])
+    return text, word, sums[ends] - sums[starts], ends - starts
 
 
 def rolling(text: np.ndarray, word: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
