@@ -77,7 +77,7 @@ def _encoded(path: str, end: int, width: str):
     """Ids, chunk ends and chunk digests of each text; rows are numbered within the job."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.Encoder(path)
+        encoder = tokens.encoder(path)
         gear = _gear(encoder.tokenizer.get_vocab_size() + 1)
         last = np.array([end], width).tobytes()
         row = TaskContext.get().partitionId() << 40

@@ -1,13 +1,16 @@
 """Token ids of whole texts by the ``tokenizers`` library, each distinct unit of a task encoded once.
 
-Both vocabularies split a text before merging, and never across the units that are made here, so the ids of a text are
-the ids of its units in a row. A unit that was met before costs a look-up.
+Both vocabularies split a text into words before merging, and never across the units that are made here, so the ids of a
+text are the ids of its units in a row. A unit that was met before costs a look-up; a new one is put together from its
+words; words that are new are encoded by the library, many at once.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import unicodedata
 from collections.abc import Callable, Iterable
 from itertools import chain
@@ -18,10 +21,14 @@ from tokenizers import Tokenizer
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Units remembered in each of two generations; texts encoded together.
 _REMEMBER, _TOGETHER = 250_000, 256
-#: Characters on which Python and the library may disagree about spaces or lower case.
-_ODD = re.compile("[\x1c-\x1fİΣ]")
+#: Characters on which Python and the library may disagree about spaces, composition or lower case.
+_ODD = re.compile("[\x1c-\x1fİ\u0300-\u03ff\u1f00-\u1fff]")
 _TWO_SPACES = re.compile(r"\s\s")
 _UNITS = re.compile(r"\s*\S+|\s+")
+#: Text of which Python's classes and the vocabularies' patterns agree, and those patterns in Python's terms.
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-ʯ]*\\Z")
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+_BYTE_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
 def vocabulary(name: str) -> str:
@@ -49,6 +56,24 @@ def _byte_units(text: str) -> list[str] | None:
     return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
+class _Memory:
+    """What was seen lately, in two generations."""
+
+    def __init__(self):
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that have to be made; the others are in ``known`` then."""
+        if len(self.known) > _REMEMBER:
+            self.known, self.older = {}, self.known
+        new = keys.difference(self.known)
+        older = self.older
+        again = {u: older[u] for u in new if u in older}
+        self.known.update(again)
+        return [u for u in new if u not in again]
+
+
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian bytes of ``dtype``."""
 
@@ -57,32 +82,82 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        lowers = self.tokenizer.normalizer is not None
-        self.units: Callable[[str], list[str] | None] = _word_units if lowers else _byte_units
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        by_words = self.tokenizer.normalizer is not None
+        self.units: Callable[[str], list[str] | None] = _word_units if by_words else _byte_units
+        self.pattern = _WORDS if by_words else _BYTE_WORDS
+        self.by_words, self.seen, self.words = by_words, _Memory(), _Memory()
+        ids = self.tokenizer.get_vocab()
+        self.ends, self.starts = np.zeros(len(ids) + 1, bool), np.zeros(len(ids) + 1, bool)
+        self.ends[[i for s, i in ids.items() if s.endswith("</w>")]] = True
+        self.starts[[i for s, i in ids.items() if s.startswith("Ġ")]] = True
+        self.newline = ids.get("Ċ")
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
+    def _together(self, words: list[str], between: str) -> list[bytes]:
+        """Words that cannot merge are encoded as one text; where they end shows in the ids."""
+        text = between.join(["", *words] if between == "\n" else words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        if between == "\n":
+            cut = np.flatnonzero(ids == self.newline)
+            begin, end = cut + 1, np.append(cut[1:], len(ids))
+        elif self.by_words:
+            end = np.flatnonzero(self.ends[ids]) + 1
+            begin = np.append(0, end[:-1])
+        else:
+            begin = np.flatnonzero(self.starts[ids])
+            end = np.append(begin[1:], len(ids))
+        if len(begin) != len(words):
+            return self._plain(words)
+        raw, size = ids.tobytes(), self.dtype.itemsize
+        return [raw[a:b] for a, b in zip((begin * size).tolist(), (end * size).tolist(), strict=True)]
+
+    def _encode_words(self, new: list[str]) -> None:
+        kinds: dict[str, list[str]] = {"": [], "\n": [], " ": [], "alone": []}
+        if self.by_words:
+            kinds[" "] = new
+        else:
+            for w in new:
+                kinds["alone" if w.isspace() else "" if w[0] == " " else "\n"].append(w)
+        for between, some in kinds.items():
+            if some:
+                made = self._plain(some) if between == "alone" else self._together(some, between)
+                self.words.known.update(zip(some, made, strict=True))
+
+    def _encode_units(self, new: list[str]) -> None:
+        if not new:
+            return
+        plain, odd = new, []
+        if not _PLAIN.match("".join(new)):
+            plain = [u for u in new if _PLAIN.match(u)]
+            odd = list(set(new).difference(plain))
+            self.seen.known.update(zip(odd, self._plain(odd), strict=True))
+        parts = list(map(self.pattern.findall, plain))
+        self._encode_words(self.words.missing(set(chain.from_iterable(parts))))
+        get = self.words.known.__getitem__
+        self.seen.known.update((u, b"".join(map(get, p))) for u, p in zip(plain, parts, strict=True))
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts, out = list(texts), []
         for a in range(0, len(texts), _TOGETHER):
             some = texts[a : a + _TOGETHER]
             units = [self.units(t) for t in some]
-            if len(self.known) > _REMEMBER:
-                self.known, self.older = {}, self.known
-            new = set(chain.from_iterable(u for u in units if u)).difference(self.known)
-            again = new.intersection(self.older)
-            self.known.update((u, self.older[u]) for u in again)
-            new = list(new - again)
-            self.known.update(zip(new, self._plain(new), strict=True))
-            get = self.known.__getitem__
+            self._encode_units(self.seen.missing(set(chain.from_iterable(u for u in units if u))))
+            get = self.seen.known.__getitem__
             out += [b"".join(map(get, u)) if u is not None else self._plain([t])[0] for u, t in zip(units, some, strict=True)]
         return out
 
 
+def encoder(path: str) -> Encoder:
+    """The process's encoder for a vocabulary: a Python worker that runs several tasks remembers units between them."""
+    held = sys.modules.setdefault("_shelfmark_encoders", types.ModuleType("_shelfmark_encoders")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def crc32_of_ids(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     import zlib
