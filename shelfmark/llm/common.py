@@ -52,3 +52,14 @@ def discard(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Ids up to which a list of documents to drop is broadcast (some 100 MB); beyond, the join shuffles.
+SMALL_IDS = 2_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with all its columns, without the rows whose id is in ``gone(doc_id)``; null ids stay."""
+    ids = written(gone.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone_id")).distinct(), "gone")
+    side = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
+    return docs.join(side, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")

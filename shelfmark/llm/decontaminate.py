@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import words
-from shelfmark.llm.common import partitions, read, texts
+from shelfmark.llm.common import partitions, read, texts, without
 
 SEED, THRESHOLD, SMALL = 5, 0.5, 2_000_000
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -219,8 +219,8 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with all its columns, without documents that leak an item."""
-    gone = leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")
+    gone = leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    return without(docs, gone, id_col)
 
 
 def op5_decontamination(spark, sf_dir):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import texts
+from shelfmark.llm.common import texts, without
 
 SALTS = 8
 _KEYS = "doc_id long, text_sha256 string, text_xxh long"
@@ -91,8 +91,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """``docs`` with all its columns, without the rows that an equal text of a larger ``doc_id`` replaces."""
-    gone = exact_duplicates(docs, id_col, text_col, salts).where(~F.col("kept")).select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")
+    gone = exact_duplicates(docs, id_col, text_col, salts).where(~F.col("kept"))
+    return without(docs, gone, id_col)
 
 
 def op7_exact_dedup(spark, sf_dir):

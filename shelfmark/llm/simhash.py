@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import partitions, read, texts, written
+from shelfmark.llm.common import partitions, read, texts, written, without
 from shelfmark.llm.graph import components
 
 SHINGLE, SEED, BUCKET = 3, 42, 4096
@@ -201,9 +201,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gone = (
         near_duplicates(docs, id_col, text_col, bucket)
         .where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("__gone_id"))
     )
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")
+    return without(docs, gone, id_col)
 
 
 def op9_simhash_near_dedup(spark, sf_dir):
