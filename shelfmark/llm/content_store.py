@@ -106,6 +106,7 @@ def _laid_out(size: int):
     """Reads (document, its notes) in ascending order; adds places and roots, drops chunks that others own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         part, start, notes = TaskContext.get().partitionId(), 0, None
         for batch in batches:
             rows = []

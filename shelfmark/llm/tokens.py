@@ -158,6 +158,11 @@ def encoder(path: str) -> Encoder:
     return held[path]
 
 
+def forget() -> None:
+    """Drops what this process remembers: the stages after encoding need the memory."""
+    sys.modules.pop("_shelfmark_encoders", None)
+
+
 def crc32_of_ids(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     import zlib
