@@ -182,6 +182,17 @@ def test_op5_leaks(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 3, 4]
 
 
+def test_op5_null_and_repeated_ids(spark):
+    """Small and large benchmarks give the same rows, also for null and repeated ids."""
+    item, other = "one two three four five six seven eight", "red green blue white black brown pink grey"
+    docs = spark.createDataFrame([(1, item), (None, item), (2, other), (2, f"x {item}"), (2, other), (3, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (7, other), (7, item)], "item_id long, text string")
+    small, large = (sorted(map(repr, decontaminate.leaks(docs, bench, small=n).collect())) for n in (2_000_000, 0))
+    assert small == large and len(small) == 8
+    for n in (2_000_000, 0):
+        assert sorted(r["doc_id"] or 0 for r in decontaminate.drop_leaks(docs, bench, small=n).collect()) == [0, 3]
+
+
 def test_op5_documents(spark):
     words = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())
     bench = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
