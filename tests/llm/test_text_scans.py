@@ -233,6 +233,19 @@ def test_op4_passages(spark):
     assert len(got) <= 2 * len(texts)  # no pairs within the group
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_op4_passage_twice_in_one_text(spark, parts):
+    """Each place of a passage that the other texts have once gets a partner, whichever text comes first."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    passage = draw(60)
+    texts = [[*draw(9), *passage], [*passage, *draw(40), *passage], [*draw(25), *passage]]
+    for order in ([0, 1, 2], [1, 0, 2]):
+        df = spark.createDataFrame([(i, " ".join(texts[n])) for i, n in enumerate(order)], "doc_id long, text string").repartition(parts)
+        got = {(order[r["doc_id"]], r["first_word"]) for r in chaining.repeated_passages(df).collect() if r["n_words"] == 60}
+        assert {(0, 9), (1, 0), (1, 100), (2, 25)} <= got
+
+
 def test_op4_odd_rows(spark):
     got = chaining.repeated_passages(odd(spark)).collect()
     assert {0, 1, 7} <= {r["doc_id"] for r in got} and chaining.repeated_passages(empty(spark)).count() == 0
