@@ -26,9 +26,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset a temporary one, in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="shelfmark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -54,6 +56,23 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows with one key beyond which that key is joined by broadcast, and keys up to which this is done.
+HOT_ROWS, HOT_KEYS = 50_000, 10_000
+
+
+def joined_hot(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Inner join with ``small``, unique by ``key``, whose ``n`` is the number of rows of ``big`` with the key.
+
+    The keys of more than ``HOT_ROWS`` rows are few; they are broadcast, so that no task gets all rows of one.
+    """
+    hot = small.where(F.col("n") > HOT_ROWS)
+    found = hot.limit(HOT_KEYS + 1).count()
+    if not 0 < found <= HOT_KEYS:
+        return big.join(small, key)
+    rest = small.where(F.col("n") <= HOT_ROWS)
+    return big.join(F.broadcast(hot), key).unionByName(big.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
+
+
 #: Ids up to which a list of documents to drop is broadcast (some 100 MB); beyond, the join shuffles.
 SMALL_IDS = 2_000_000
 

@@ -1,34 +1,37 @@
-"""Token ids of whole texts by the ``tokenizers`` library, each distinct unit of a task encoded once.
+"""Token ids of many texts at once by the ``tokenizers`` library, each distinct word of a task encoded once.
 
-Both vocabularies split a text into words before merging, and never across the units that are made here, so the ids of a
-text are the ids of its units in a row. A unit that was met before costs a look-up; a new one is put together from its
-words; words that are new are encoded by the library, many at once.
+Both vocabularies split a text into words before merging, so the ids of a text are the ids of its words in a row. Words are
+cut as the vocabularies' patterns cut them, on bytes and with numpy, and known by a 64-bit hash; a word that was met before
+is a look-up in a table of hashes, and new words are encoded by the library, many at once. Texts with characters whose kind
+(letter, digit, space, other) cannot be told from a byte or two are encoded by the library as they are.
 """
 
 from __future__ import annotations
 
 import os
-import re
-import sys
-import types
-import unicodedata
-from collections.abc import Callable, Iterable
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
-from tokenizers import Tokenizer
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, pre_tokenizers
+
+from shelfmark.llm import words
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Units remembered in each of two generations; texts encoded together.
-_REMEMBER, _TOGETHER = 250_000, 256
-#: Characters on which Python and the library may disagree about spaces, composition or lower case.
-_ODD = re.compile("[\x1c-\x1fİ\u0300-\u03ff\u1f00-\u1fff]")
-_TWO_SPACES = re.compile(r"\s\s")
-_UNITS = re.compile(r"\s*\S+|\s+")
-#: Text of which Python's classes and the vocabularies' patterns agree, and those patterns in Python's terms.
-_PLAIN = re.compile("[\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-ʯ]*\\Z")
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_BYTE_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Words remembered (24 bytes each, and their ids); encoded by the library at once; bytes of text handled together.
+_REMEMBER, _AT_ONCE, _TOGETHER = 1 << 19, 20_000, 1 << 20
+
+_SPACE, _LETTER, _DIGIT, _OTHER, _END = range(5)
+_B = np.arange(256)
+#: The kind of each byte of a plain text: bytes of 128 and more are letters (dashes and quotes are told apart below).
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[(_B >= 9) & (_B <= 13) | (_B == 32)] = _SPACE
+_KIND[(_B >= 65) & (_B <= 90) | (_B >= 97) & (_B <= 122) | (_B >= 128)] = _LETTER
+_KIND[(_B >= 48) & (_B <= 57)] = _DIGIT
+_KIND[0] = _END
+#: Bytes that no plain text has: controls, and all beyond U+02AF and U+0080 to U+00BF, but for E2 (dashes, quotes).
+_STRANGE = (_B > 0) & (_B < 9) | (_B >= 14) & (_B < 32) | (_B == 127) | (_B == 0xC2) | (_B > 0xCA) & (_B != 0xE2)
 
 
 def vocabulary(name: str) -> str:
@@ -38,129 +41,232 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _word_units(text: str) -> list[str] | None:
-    """Runs of non-space, normalised; None if the library has to split the text by itself."""
-    if _ODD.search(text):
-        return None
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-    return text.lower().split()
+def _strange(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Places of characters that make a text odd; the bytes of dashes and quotes (U+2010 to U+2027) become ``_OTHER``."""
+    found = [np.flatnonzero(_STRANGE[data])]
+    # the multiplication and division signs, the dotted capital I, modifiers from U+02B0 on
+    for lead, low, high in ((0xC3, 0x97, 0x97), (0xC3, 0xB7, 0xB7), (0xC4, 0xB0, 0xB0), (0xCA, 0xB0, 0xBF)):
+        at = np.flatnonzero(data[:-1] == lead)
+        found.append(at[(data[at + 1] >= low) & (data[at + 1] <= high)])
+    at = np.flatnonzero(data[:-2] == 0xE2)
+    if len(at):
+        dash = (data[at + 1] == 0x80) & (data[at + 2] >= 0x90) & (data[at + 2] <= 0xA7)
+        found.append(at[~dash])
+        for j in range(3):
+            kind[at[dash] + j] = _OTHER
+        # their last bytes are no strange ones
+    return np.concatenate(found)
+
 
+def _contractions(data: np.ndarray, kind: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``'s 't 're 've 'm 'll 'd`` stand as words, and their lengths."""
+    at = np.flatnonzero(data == 39)
+    at = at[(at > 0) & (at < len(data) - 3)]
+    at = at[kind[at - 1] != _OTHER]
+    if spaced:  # a space before it goes with the quote
+        at = at[data[at - 1] != 32]
+    one, two = data[at + 1], data[at + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = (one == ord("r")) & (two == ord("e")) | (one == ord("v")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    size = np.where(short, 2, np.where(long, 3, 0))
+    return at[size > 0], size[size > 0]
 
-def _byte_units(text: str) -> list[str] | None:
-    """Runs of non-space with the spaces before them."""
-    if _ODD.search(text):
-        return None
-    if "\0" in text or _TWO_SPACES.search(text):
-        return _UNITS.findall(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
+def _cut_words(data: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of words: letters, single digits, other symbols, contractions; each text's end is a word."""
+    before = np.concatenate([[_END], kind[:-1]])
+    start = ((kind != before) | (kind == _DIGIT) | (kind == _END)) & (kind != _SPACE)
+    at, size = _contractions(data, kind, False)
+    start[at + 1] = False
+    after = at + size
+    start[after] |= kind[after] == _LETTER
+    edge = np.flatnonzero(start | (kind == _SPACE) & (before != _SPACE))
+    ends = np.append(edge[1:], len(data))
+    word = kind[edge] != _SPACE
+    return edge[word], ends[word]
 
-class _Memory:
-    """What was seen lately, in two generations."""
 
-    def __init__(self):
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+def _cut_bytes(data: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of words that take one blank before them along; other spaces are words of their own."""
+    before, after = np.concatenate([[_END], kind[:-1]]), np.append(kind[1:], _END)
+    blank = np.concatenate([[False], data[:-1] == 32])
+    black = kind != _SPACE
+    start = black & ((kind != before) & ~blank | (kind == _END))
+    start |= ~black & ((before != _SPACE) | ((after != _SPACE) & (after != _END)))
+    at, size = _contractions(data, kind, True)
+    stop = at + size
+    start[stop] |= kind[stop] == _LETTER
+    # a letter after a quote starts a word unless they are a contraction
+    start[at + 1] = False
+    edge = np.flatnonzero(start)
+    return edge, np.append(edge[1:], len(data))
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys that have to be made; the others are in ``known`` then."""
-        if len(self.known) > _REMEMBER:
-            self.known, self.older = {}, self.known
-        new = keys.difference(self.known)
-        older = self.older
-        again = {u: older[u] for u in new if u in older}
-        self.known.update(again)
-        return [u for u in new if u not in again]
+
+class _Table:
+    """Numbers of 64-bit hashes, by open addressing."""
+
+    def __init__(self, bits: int):
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 where unknown."""
+        slot = (keys >> self.shift).astype(np.int64)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.numbers[slot], -1)
+        open_ = np.flatnonzero((held != keys) & (held != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            held = self.keys[slot[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.numbers[slot[open_[hit]]]
+            open_ = open_[~hit & (held != 0)]
+        return out
+
+    def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """New, distinct keys."""
+        slot = (keys >> self.shift).astype(np.int64)
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]
+            placed = self.keys[slot] == keys
+            self.numbers[slot[placed]] = numbers[placed]
+            keys, numbers, slot = keys[~placed], numbers[~placed], (slot[~placed] + 1) & self.mask
 
 
 class Encoder:
-    """``encode(texts)`` gives each text's ids as little-endian bytes of ``dtype``."""
+    """``encode(texts)`` gives the ids of all texts in a row, and where each text's ids end; ``end`` follows each text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int, remember: int = _REMEMBER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        by_words = self.tokenizer.normalizer is not None
-        self.units: Callable[[str], list[str] | None] = _word_units if by_words else _byte_units
-        self.pattern = _WORDS if by_words else _BYTE_WORDS
-        self.by_words, self.seen, self.words = by_words, _Memory(), _Memory()
-        ids = self.tokenizer.get_vocab()
-        self.ends, self.starts = np.zeros(len(ids) + 1, bool), np.zeros(len(ids) + 1, bool)
-        self.ends[[i for s, i in ids.items() if s.endswith("</w>")]] = True
-        self.starts[[i for s, i in ids.items() if s.startswith("Ġ")]] = True
-        self.newline = ids.get("Ċ")
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
-
-    def _together(self, words: list[str], between: str) -> list[bytes]:
-        """Words that cannot merge are encoded as one text; where they end shows in the ids."""
-        text = between.join(["", *words] if between == "\n" else words)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-        if between == "\n":
-            cut = np.flatnonzero(ids == self.newline)
-            begin, end = cut + 1, np.append(cut[1:], len(ids))
-        elif self.by_words:
-            end = np.flatnonzero(self.ends[ids]) + 1
-            begin = np.append(0, end[:-1])
-        else:
-            begin = np.flatnonzero(self.starts[ids])
-            end = np.append(begin[1:], len(ids))
-        if len(begin) != len(words):
-            return self._plain(words)
-        raw, size = ids.tobytes(), self.dtype.itemsize
-        return [raw[a:b] for a, b in zip((begin * size).tolist(), (end * size).tolist(), strict=True)]
-
-    def _encode_words(self, new: list[str]) -> None:
-        kinds: dict[str, list[str]] = {"": [], "\n": [], " ": [], "alone": []}
-        if self.by_words:
-            kinds[" "] = new
-        else:
-            for w in new:
-                kinds["alone" if w.isspace() else "" if w[0] == " " else "\n"].append(w)
-        for between, some in kinds.items():
-            if some:
-                made = self._plain(some) if between == "alone" else self._together(some, between)
-                self.words.known.update(zip(some, made, strict=True))
-
-    def _encode_units(self, new: list[str]) -> None:
-        if not new:
-            return
-        plain, odd = new, []
-        if not _PLAIN.match("".join(new)):
-            plain = [u for u in new if _PLAIN.match(u)]
-            odd = list(set(new).difference(plain))
-            self.seen.known.update(zip(odd, self._plain(odd), strict=True))
-        parts = list(map(self.pattern.findall, plain))
-        self._encode_words(self.words.missing(set(chain.from_iterable(parts))))
-        get = self.words.known.__getitem__
-        self.seen.known.update((u, b"".join(map(get, p))) for u, p in zip(plain, parts, strict=True))
-
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        texts, out = list(texts), []
-        for a in range(0, len(texts), _TOGETHER):
-            some = texts[a : a + _TOGETHER]
-            units = [self.units(t) for t in some]
-            self._encode_units(self.seen.missing(set(chain.from_iterable(u for u in units if u))))
-            get = self.seen.known.__getitem__
-            out += [b"".join(map(get, u)) if u is not None else self._plain([t])[0] for u, t in zip(units, some, strict=True)]
-        return out
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.end, self.size = end, max(self.whole.get_vocab_size(), end + 1)
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.lower = self.whole.normalizer is not None
+        self.cut = _cut_words if self.lower else _cut_bytes
+        #: For words that are cut and lower-cased already.
+        self.parts = Tokenizer(self.whole.model)
+        self.parts.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit("\0"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.width = np.zeros(self.size, np.int64)  # bytes of text that each id stands for
+        for s, i in self.whole.get_vocab().items():
+            self.width[i] = len(s.removesuffix("</w>"))
+        self.remember = remember
+        self.hash = words.ByteHash(13)
+        self._forget(remember)
+
+    def _forget(self, room: int) -> None:
+        self.table = _Table((2 * room).bit_length())
+        self.begin, self.length = np.zeros(room, np.int64), np.zeros(room, np.int32)
+        self.ids, self.held, self.known = np.zeros(4 * room, self.dtype), 0, 0
+        self._learn(self.hash(np.zeros(1, np.uint8), np.zeros(1, np.int64), np.ones(1, np.int64)), np.array([self.end], self.dtype), np.ones(1, np.int64))
+
+    def _learn(self, hashes: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        while self.held + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), self.dtype)])
+        self.ids[self.held : self.held + len(flat)] = flat
+        new = slice(self.known, self.known + len(sizes))
+        self.begin[new], self.length[new] = self.held + np.cumsum(sizes) - sizes, sizes
+        self.table.add(hashes, np.arange(new.start, new.stop, dtype=np.int32))
+        self.held, self.known = self.held + len(flat), new.stop
+
+    def _encode_words(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids in a row, and each one's number; where words end shows in the bytes that the ids stand for."""
+        ids, sizes = [], []
+        for a in range(0, len(new), _AT_ONCE):
+            some = new[a : a + _AT_ONCE]
+            flat = np.array(self.parts.encode_batch_fast([b"\0".join(some).decode()], add_special_tokens=False)[0].ids, self.dtype)
+            reached, wanted = np.cumsum(self.width[flat]), np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            cut = np.searchsorted(reached, wanted)
+            if reached[-1] == wanted[-1] and (reached[cut] == wanted).all():
+                ids.append(flat)
+                sizes.append(np.diff(cut, prepend=-1))
+            else:
+                own = [np.array(x.ids, self.dtype) for x in self.parts.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
+                ids += own
+                sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encode_plain(self, data: np.ndarray, kind: np.ndarray, text_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends = self.cut(data, kind)
+        hashes = self.hash(data, starts, ends)
+        number = self.table.find(hashes)
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            new, first = np.unique(hashes[unknown], return_index=True)
+            if self.known + len(new) > len(self.begin):
+                # what this group needs is learnt again
+                self._forget(max(self.remember, len(number) + 1))
+                number = self.table.find(hashes)
+                unknown = np.flatnonzero(number < 0)
+                new, first = np.unique(hashes[unknown], return_index=True)
+            raw, at = data.tobytes(), unknown[first]
+            self._learn(new, *self._encode_words([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]))
+            number[unknown] = self.table.find(hashes[unknown])
+        sizes = self.length[number].astype(np.int64)
+        reached = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.begin[number] - (reached - sizes), sizes) + np.arange(reached[-1])]
+        return ids, reached[np.searchsorted(starts, text_ends, side="right") - 1]
+
+    def _encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A group of texts, each shown with a zero byte at its end."""
+        raw = texts.cast(pa.binary()).to_pylist()
+        data = np.frombuffer(b"\0".join([*raw, b""]), np.uint8)
+        text_ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1) - 1
+        kind = _KIND[data]
+        marks = np.concatenate([_strange(data, kind), np.setdiff1d(np.flatnonzero(data == 0), text_ends)])
+        if self.lower and len(raw):
+            small = pc.utf8_lower(texts).cast(pa.binary())
+            lowered = np.frombuffer(b"\0".join([*small.to_pylist(), b""]), np.uint8)
+            if len(lowered) == len(data):
+                data = lowered
+            else:  # a letter whose small form has another length
+                marks = np.arange(len(data))
+        odd = np.unique(np.searchsorted(text_ends, marks))
+        if not len(odd):
+            return self._encode_plain(data, kind, text_ends)
+        text_starts = np.append(0, text_ends[:-1] + 1)
+        plain = np.setdiff1d(np.arange(len(raw)), odd)
+        parts: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(raw)
+        if len(plain):
+            keep = np.zeros(len(data) + 1, np.int8)
+            keep[text_starts[plain]] += 1
+            keep[text_ends[plain] + 1] -= 1
+            keep = np.cumsum(keep)[:-1].astype(bool)
+            ids, reached = self._encode_plain(data[keep], kind[keep], np.cumsum((text_ends - text_starts + 1)[plain]) - 1)
+            for i, own in zip(plain.tolist(), np.split(ids, reached[:-1]), strict=True):
+                parts[i] = own
+        for i, x in zip(odd.tolist(), self.whole.encode_batch_fast([raw[i].decode() for i in odd], add_special_tokens=False), strict=True):
+            parts[i] = np.array([*x.ids, self.end], self.dtype)
+        return np.concatenate(parts), np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``(first text, texts, ids, ends)`` of slices of ``texts`` (strings without nulls) of about a megabyte."""
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        reached, first = np.cumsum(sizes), 0
+        while first < len(texts):
+            held = reached[first - 1] if first else 0
+            stop = max(first + 1, int(np.searchsorted(reached, held + _TOGETHER, side="right")))
+            yield first, stop - first, *self._encode_group(texts.slice(first, stop - first))
+            first = stop
+
+
+_HELD: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The process's encoder for a vocabulary: a Python worker that runs several tasks remembers units between them."""
-    held = sys.modules.setdefault("_shelfmark_encoders", types.ModuleType("_shelfmark_encoders")).__dict__
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+def encoder(path: str, end: int) -> Encoder:
+    """The task's encoder for a vocabulary."""
+    if (path, end) not in _HELD:
+        _HELD[path, end] = Encoder(path, end)
+    return _HELD[path, end]
 
 
-def forget() -> None:
-    """Drops what this process remembers: the stages after encoding need the memory."""
-    sys.modules.pop("_shelfmark_encoders", None)
+def as_binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """An array of binary values, the bytes of each text's ids, without copying."""
+    offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))])
 
 
 def crc32_of_ids(ids: np.ndarray) -> int:

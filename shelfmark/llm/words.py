@@ -16,7 +16,7 @@ ALNUM = (_BYTES >= 128) | ((_BYTES >= 48) & (_BYTES <= 57)) | ((_LOWER >= 97) &
 BLACK = ~((_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13)))
 
 
-class _Hash:
+class ByteHash:
     """A polynomial hash of byte strings modulo 2**64, by prefix sums."""
 
     def __init__(self, seed: int):
@@ -39,7 +39,7 @@ class _Hash:
         return mixed((sums[ends] - sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
 
 
-_HASHES: dict[int, _Hash] = {}
+_HASHES: dict[int, ByteHash] = {}
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -60,7 +60,7 @@ def hashed(texts: list[bytes], kind: np.ndarray = ALNUM, seed: int = 3, count: n
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     text = np.searchsorted(np.cumsum(sizes), starts, side="right")
     if seed not in _HASHES:
-        _HASHES[seed] = _Hash(seed)
+        _HASHES[seed] = ByteHash(seed)
     word = _HASHES[seed](data, starts, ends)
     if count is None:
         return text, word
