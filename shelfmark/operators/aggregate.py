@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.plans.specs import DerivedSpec, Feature
+from shelfmark.operators.rules import run_rules
+from shelfmark.operators.tables import write_table
+from shelfmark.plans.specs import DerivedSpec, Feature, QualityError, Rule
 
 GRAINS = ("date", "fiscal_year_week", "fiscal_year_month", "fiscal_year_quarter", "fiscal_year")
 PER_BUCKET = 200
@@ -85,6 +87,31 @@ def run_derived(spark: SparkSession, specs: list[DerivedSpec], historic: bool) -
     return out
 
 
+def publish_derived(
+    spark: SparkSession, specs: list[DerivedSpec], historic: bool, rules: dict[str, list[Rule]] | None = None, kpis: dict | None = None, due: set[str] | None = None,
+) -> DataFrame:
+    """Derived tables as tables: each is staged, checked by its rules, and published (E31); ``due`` picks the ones whose
+    turn it is (E32). The result is the checks' summary.
+
+    A periodic run of a table that does not replace appends; all others replace. A failed PAUSE stops before that table is
+    published and leaves the staged one for inspection.
+    """
+    summaries = []
+    for spec in sorted((s for s in specs if due is None or s.name in due), key=lambda s: (s.order, s.name)):
+        text = spec.historic if historic or spec.periodic is None else spec.periodic
+        staging = f"{spec.name}__staged"
+        write_table(spark.sql(text) if isinstance(text, str) else text(spark), staging, "TRUNCATE")
+        outcome = run_rules({spec.name: spark.table(staging)}, spec.name, (rules or {}).get(spec.name, []), kpis or {})
+        summaries.append(outcome.summary)
+        if outcome.paused:
+            raise QualityError(f"{spec.name} is paused: see {staging}")
+        write_table(outcome.clean, spec.name, "TRUNCATE" if historic or spec.replace else "APPEND")
+        spark.sql(f"DROP TABLE {staging}")
+    if not summaries:
+        raise ValueError("no derived table is due")
+    return reduce(DataFrame.unionByName, summaries)
+
+
 def job_cost_summary(log: DataFrame, jobs: DataFrame, rate: float = 0.06) -> DataFrame:
     """Per job: seconds, slot time, bytes, and cost as text (E33). ``log``: ``job_id, start, end, slot_ms, bytes``."""
     used = log.groupBy("job_id").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,10 +22,24 @@ def vectors(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
+#: Algorithms of candidates: Spark's distributed ones.
+ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans, "mixture": GaussianMixture}
+
+
+def candidate_grid(vec: DataFrame, ks: list[int], algorithms: tuple[str, ...] = ("kmeans",), seed: int = 1) -> dict[tuple[str, int], DataFrame]:
+    """``vec`` (with ``features``) with a column ``labels``, for each algorithm and k (M9); as ``score_clusters`` and
+    ``select_outputs`` take them."""
+    vec = vec.persist()
+    try:
+        models = {(a, k): ALGORITHMS[a](k=k, seed=seed, featuresCol="features", predictionCol="labels").fit(vec) for a in algorithms for k in ks}
+        return {c: m.transform(vec).drop("probability") for c, m in models.items()}
+    finally:
+        vec.unpersist()
+
+
 def kmeans_grid(vec: DataFrame, ks: list[int], seed: int = 1) -> dict[int, DataFrame]:
-    """``vec`` (with ``features``) with a column ``labels``, for each k (M9)."""
-    vec = vec.cache()
-    return {k: KMeans(k=k, seed=seed, featuresCol="features", predictionCol="labels").fit(vec).transform(vec) for k in ks}
+    """The k-means candidates by k."""
+    return {k: df for (_, k), df in candidate_grid(vec, ks, seed=seed).items()}
 
 
 def score_clusters(vec: DataFrame, labels: str = "labels") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions.scratch import staged
+
 
 def attach_clusters(master: DataFrame, clusters: DataFrame, level: list[str]) -> DataFrame:
     """Each store's cluster and the number of stores in it."""
@@ -16,14 +18,13 @@ def attach_clusters(master: DataFrame, clusters: DataFrame, level: list[str]) ->
 def stock_signals(df: DataFrame, level: list[str], qty: str = "qty", inv: str = "inventory") -> DataFrame:
     """Out-of-stock flag, and the ratios of active stores and of sell-through by cluster, product and week.
 
-    Distinct stores are counted by aggregation and joined back: no window holds sets of stores.
+    The week's figures come from one aggregate by store and day, rolled up; no window holds sets of stores.
     """
     week = [*level, "cluster_name", "product_code", "fiscal_year_week"]
-    daily = df.groupBy(*week, "date").agg(F.sum(inv).alias("d"))
-    weekly = (
-        df.groupBy(*week).agg(F.countDistinct(F.when(F.col(qty) != 0, F.col("store_code"))).alias("active_stores"), F.sum(qty).alias("weekly_qty"))
-        .join(daily.groupBy(*week).agg(F.max("d").alias("max_daily_inventory")), week)
-    )
+    daily = df.groupBy(*week, "date").agg(F.sum(inv).alias("d"), F.sum(qty).alias("q"), F.collect_set(F.when(F.col(qty) != 0, F.col("store_code"))).alias("s"))
+    weekly = daily.groupBy(*week).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("s")))).cast("long").alias("active_stores"), F.sum("q").alias("weekly_qty"), F.max("d").alias("max_daily_inventory")
+    )
     weekly = weekly.select([F.col(c).alias(f"__{c}") for c in week] + [F.col(c) for c in ("active_stores", "weekly_qty", "max_daily_inventory")])
     on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in week]
     out = df.join(weekly, on, "left").drop(*[f"__{c}" for c in week])
@@ -35,9 +36,11 @@ def stock_signals(df: DataFrame, level: list[str], qty: str = "qty", inv: str =
 
 
 def impute_price_means(df: DataFrame, level: list[str], qty: str, cols: list[str], price: bool = True) -> DataFrame:
-    """``<col>_first_imputed``: means by cluster, product and day, else by week, else by product and week.
+    """``<col>_imputed``: the value, or where it is NULL its first estimate, rounded to 2: the mean by cluster, product and
+    day, else by week, else by product and week. ``<col>_first_imputed`` is that estimate (E10).
 
-    Prices leave out rows that sold nothing; other columns take all rows.
+    Prices leave out rows that sold nothing; other columns take all rows. Means are rounded to 9 digits first, so that the
+    order of summing does not decide a half.
     """
     day = Window.partitionBy(*level, "cluster_name", "product_code", "date")
     week = Window.partitionBy(*level, "cluster_name", "product_code", "fiscal_year_week")
@@ -45,7 +48,7 @@ def impute_price_means(df: DataFrame, level: list[str], qty: str, cols: list[str
     for c in cols:
         value = F.when(F.col(qty) != 0, F.col(c)) if price else F.col(c)
         df = df.withColumn(f"{c}_first_imputed", F.coalesce(*[F.avg(value).over(w) for w in (day, week, wide)]))
-    return df
+    return df.withColumns({f"{c}_imputed": F.coalesce(c, F.round(F.round(f"{c}_first_imputed", 9), 2)) for c in cols})
 
 
 def impute_quantity(df: DataFrame, level: list[str], qty: str, inv: str, cutoffs: DataFrame) -> DataFrame:
@@ -68,13 +71,19 @@ def impute_quantity(df: DataFrame, level: list[str], qty: str, inv: str, cutoffs
 
 
 def impute_discounts(df: DataFrame, hierarchies: list[str], level: list[str], cols: list[str], inv: str) -> DataFrame:
-    """``<col>_imputed`` where NULL: inventory-weighted means by level, deepest first, by day and then by week."""
+    """``<col>_imputed`` where NULL: inventory-weighted means by level, deepest first, by day and then by week.
+
+    All means are sums over (levels, day), rolled up: ``df`` is aggregated once and joined with small tables. It is read
+    for the aggregate and for the joins, so stage it where it is costly.
+    """
+    weights = {f"__{c}": F.sum(F.col(f"{c}_imputed") * F.col(inv)) for c in cols}
+    fine = df.groupBy(*hierarchies, *level, "date", "fiscal_year_week").agg(F.sum(inv).alias("__inv"), *[w.alias(n) for n, w in weights.items()])
     out = df
     tries: dict[str, list[str]] = {c: [] for c in cols}
     for h in hierarchies:
         for grain, name in (("date", "day"), ("fiscal_year_week", "week")):
             on = [h, *level, grain]
-            means = df.groupBy(*on).agg(*[F.try_divide(F.sum(F.col(f"{c}_imputed") * F.col(inv)), F.sum(inv)).alias(f"__{c}_{h}_{name}") for c in cols])
+            means = fine.groupBy(*on).agg(*[F.try_divide(F.sum(f"__{c}"), F.sum("__inv")).alias(f"__{c}_{h}_{name}") for c in cols])
             out = out.join(means, on, "left")
             for c in cols:
                 tries[c].append(f"__{c}_{h}_{name}")
@@ -103,3 +112,19 @@ def finalise_lost_sales(df: DataFrame, qty: str = "qty", inv: str = "inventory")
         .withColumn("lost_sales", F.col(f"{qty}_imputed") - F.col(qty))
         .withColumn("max_week_inventory", F.max(inv).over(week))
     )
+
+
+def impute_lost_sales(
+    master: DataFrame, clusters: DataFrame, cutoffs: DataFrame, products: DataFrame, level: list[str], hierarchies: list[str], prices: dict[str, str], discounts: list[str],
+    qty: str = "qty", inv: str = "inventory",
+) -> DataFrame:
+    """The whole step, E7 to E14: clusters, signals, quantities, first estimates, discounts, prices, lost sales.
+
+    ``prices``: each price column and the product's formula for it. The estimates are staged once in the shared folder,
+    since the discounts' means and the rows themselves both need them.
+    """
+    rows = stock_signals(attach_clusters(master, clusters, level), level, qty, inv)
+    rows = impute_quantity(impute_price_means(impute_price_means(rows, level, qty, list(prices)), level, qty, discounts, price=False), level, qty, inv, cutoffs)
+    rows = staged(rows.drop(*[f"{c}_first_imputed" for c in (*prices, *discounts)]), "imputed")
+    rows = impute_discounts(rows, hierarchies, level, discounts, inv)
+    return finalise_lost_sales(fill_prices(rows, products, prices, level), qty, inv)

@@ -6,7 +6,7 @@ from itertools import accumulate
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,11 +66,17 @@ def lump_rare(df: DataFrame, by: str | None, cols: list[str], threshold: float =
     return df
 
 
+#: Categories beyond which a column is not encoded.
+MAX_CATEGORIES = 1000
+
+
 def encode(df: DataFrame, plan: dict[str, str]) -> DataFrame:
     """``onehot``: one 0/1 column per category; ``ordinal``: the category's number in sorted order (M5). NULL: all 0, NULL."""
     for c, how in plan.items():
-        # categories are the columns of the result, so they are few
-        values = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+        # categories are the columns of the result, so they have to be few
+        values = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect())
+        if len(values) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories")
         if how == "onehot":
             df = df.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)) for v in values}).drop(c)
         elif how == "ordinal":
@@ -138,8 +144,3 @@ def pca(df: DataFrame, cols: list[str], variance: float = 0.95, digits: int = 4)
     arr = model.transform(vec).withColumn("__a", vector_to_array("__p"))
     rest = [c for c in df.columns if c not in cols]
     return arr.select(*rest, *[F.round(F.col("__a")[i], digits).alias(f"pc_{i + 1}") for i in range(kept)])
-
-
-def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

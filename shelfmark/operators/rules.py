@@ -73,56 +73,66 @@ def empty_check(df: DataFrame, entity: str, now: datetime) -> dict | None:
     return rule_summary_row(entity, Rule("data_check", "", "REPORT", "data_check"), 0, 1, now) if df.isEmpty() else None
 
 
-def _bad_rows(tables: dict[str, DataFrame], now_df: DataFrame, rule: Rule, kpis: dict) -> tuple[DataFrame, DataFrame]:
-    """``(rows that meet the rule's condition, rows that do not)``; across tables by a join on distinct keys."""
+def _flagged(tables: dict[str, DataFrame], rows: DataFrame, rule: Rule, kpis: dict) -> DataFrame:
+    """The rows with ``__hit``: whether they meet the rule's condition; across tables by a join on distinct keys."""
     cond = expand_kpis(rule.outer, kpis)
     if rule.inner:
         cond = f"({expand_kpis(rule.inner, kpis)}) AND ({cond})"
     if not rule.other_table:
-        hit = F.coalesce(F.expr(cond), F.lit(False))
-        return now_df.where(hit), now_df.where(~hit)
+        return rows.withColumn("__hit", F.coalesce(F.expr(cond), F.lit(False)))
     keys = list(rule.on)
     other = tables[rule.other_table]
-    joined = now_df.alias("a").join(other.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left")
-    bad = joined.where(F.expr(cond)).select(*[F.col(f"a.{k}").alias(f"__k_{k}") for k in keys]).distinct()
+    joined = rows.alias("a").join(other.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left")
+    bad = joined.where(F.expr(cond)).select(*[F.col(f"a.{k}").alias(f"__k_{k}") for k in keys], F.lit(True).alias("__bad")).distinct()
     on = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    return now_df.join(bad, on, "left_semi"), now_df.join(bad, on, "left_anti")
+    return rows.join(bad, on, "left").withColumn("__hit", F.coalesce("__bad", F.lit(False))).drop("__bad", *[f"__k_{k}" for k in keys])
 
 
-def run_rules(tables: dict[str, DataFrame], entity: str, rules: list[Rule], kpis: dict, stage: str | None = None, now: datetime | None = None) -> RuleOutcome:
+def without_pauses(summary: DataFrame, entity: str) -> DataFrame:
+    """A stored summary without the rows that earlier PAUSE rules left for the table."""
+    return summary.where(~((F.col("table") == entity) & (F.col("action") == "PAUSE")))
+
+
+def run_rules(
+    tables: dict[str, DataFrame], entity: str, rules: list[Rule], kpis: dict, stage: str | None = None, now: datetime | None = None, earlier: DataFrame | None = None,
+) -> RuleOutcome:
     """Runs an entity's rules in order (D2-D7): each sees what the ones before it left.
 
     A rule below its threshold only reports. A failed PAUSE outside module ``validation`` pauses the table. Rules run one
-    after the other, so each needs its counts: one aggregate per rule, no rows to the driver.
+    after the other: one aggregate per rule counts its rows and its hits, no rows go to the driver, and the plan reads the
+    table once however many rules replace values. ``earlier`` summaries come first in the summary, without the table's
+    PAUSE rows if one of the rules is a PAUSE.
     """
     now = now or datetime.now()
     clean = tables[entity]
     spark = clean.sparkSession
     anomalies, rows, paused, aggregates = [], [], False, {}
+    chosen = [r for r in rules if stage is None or r.module == stage]
     if row := empty_check(clean, entity, now):
         rows.append(row)
-    for rule in [r for r in rules if stage is None or r.module == stage]:
-        original = clean.count()
+    for rule in chosen:
         if rule.group_by:
             found = aggregate_rule(clean, kpis, rule.inner, list(rule.group_by), list(rule.agg), rule.outer)
             aggregates[rule.name] = found
-            rows.append(rule_summary_row(entity, rule, original, found.count(), now, "REPORT_AGG"))
+            rows.append(rule_summary_row(entity, rule, clean.count(), found.count(), now, "REPORT_AGG"))
             continue
-        bad, good = _bad_rows(tables, clean, rule, kpis)
-        affected = bad.count()
+        flagged = _flagged(tables, clean, rule, kpis)
+        original, affected = flagged.agg(F.count("*"), F.count_if("__hit")).first()
         acts = threshold_met(affected / original if original else 0.0, rule.threshold)
         action = rule.action if acts else "REPORT"
+        bad = flagged.where("__hit").drop("__hit")
         anomalies.append(bad.withColumns({"QC": F.lit(rule.name), "action": F.lit(action), "insertion_date": F.lit(now)}))
         rows.append(rule_summary_row(entity, rule, original, affected, now, action))
         if action == "DELETE":
-            clean = good
+            clean = flagged.where("NOT __hit").drop("__hit")
         elif action == "REPLACE":
-            dtype = clean.schema[rule.column].dataType
-            value = F.expr(expand_kpis(rule.value, kpis)).cast(dtype)
-            clean = good.unionByName(bad.withColumn(rule.column, value))
+            value = F.expr(expand_kpis(rule.value, kpis)).cast(clean.schema[rule.column].dataType)
+            clean = flagged.withColumn(rule.column, F.when(F.col("__hit"), value).otherwise(F.col(rule.column))).drop("__hit")
         elif action == "PAUSE" and affected and rule.module != "validation":
             paused = True
     summary = spark.createDataFrame([tuple(r[c.split()[0]] for c in SUMMARY.split(", ")) for r in rows], SUMMARY)
+    if earlier is not None:
+        summary = (without_pauses(earlier, entity) if any(r.action == "PAUSE" for r in chosen) else earlier).unionByName(summary)
     if anomalies:
         anomaly = reduce(DataFrame.unionByName, anomalies)
     else:
@@ -142,10 +152,7 @@ def run_custom_check(spark: SparkSession, sql: str, qc_type: str) -> tuple[DataF
 
 def run_checks_parallel(tasks: list[Callable[[], object]], pool: str = "qc", workers: int = 8) -> list:
     """Independent checks as Spark jobs of one pool, results in order."""
-    from pyspark import InheritableThread  # noqa: F401  (its local properties follow the thread)
-    from pyspark.sql import SparkSession as S
-
-    sc = S.getActiveSession().sparkContext
+    sc = SparkSession.getActiveSession().sparkContext
 
     def one(task):
         sc.setLocalProperty("spark.scheduler.pool", pool)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.calendar import week_rank
-from shelfmark.operators.hierarchy import hierarchy_code, levels_of
+from shelfmark.operators.hierarchy import levels_of, levels_up_to
 
 ZERO_SHARE, TOLERANCE = 0.05, 1e-6
 
@@ -23,21 +23,41 @@ def split_base(stores: DataFrame, products: DataFrame, mapping: DataFrame) -> Da
     )
 
 
-def recent_sales(transactions: DataFrame, days: int = 56) -> DataFrame:
-    """Sales of product and store over the last ``days`` days that have data."""
-    last = transactions.agg(F.max("date").alias("__last"))
+def last_sale(transactions: DataFrame, stores: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """One row: the last day, and with a calendar the last week, on which a known store sold something."""
+    sold = transactions.where("qty > 0").join(stores.select("store_code").distinct(), "store_code", "left_semi")
+    last = sold.agg(F.max("date").alias("__last"))
+    if calendar is None:
+        return last
+    # a calendar is small, and so is this
+    numbered = calendar.select("date", "fiscal_year_week").join(week_rank(calendar), "fiscal_year_week")
+    days = sold.select("date").distinct().join(F.broadcast(numbered), "date")
+    return days.agg(F.max("date").alias("__last"), F.max("week_no").alias("__last_week"))
+
+
+def recent_sales(transactions: DataFrame, stores: DataFrame, days: int = 56) -> DataFrame:
+    """Sales of product and store over the last ``days`` days, counted from the last sale of a known store."""
+    last = F.broadcast(last_sale(transactions, stores))
     return (
-        transactions.where("qty > 0").crossJoin(F.broadcast(last)).where(F.col("date") >= F.date_sub("__last", days - 1))
+        transactions.where("qty > 0").crossJoin(last).where(F.col("date").between(F.date_sub("__last", days - 1), F.col("__last")))
         .groupBy("product_code", "store_code").agg(F.sum("qty").alias("sales_art"))
     )
 
 
-def recent_inventory(inventory: DataFrame, calendar: DataFrame, weeks: int = 8) -> DataFrame:
-    """The greatest stock of product and store over the last weeks that have data, ``weeks`` before the last one."""
+def recent_inventory(inventory: DataFrame, transactions: DataFrame, stores: DataFrame, calendar: DataFrame, weeks: int = 8) -> DataFrame:
+    """The greatest stock of product and store from ``weeks`` before the last week with sales up to that week."""
     numbered = calendar.select("date", "fiscal_year_week").join(F.broadcast(week_rank(calendar)), "fiscal_year_week")
-    rows = inventory.where("oh > 0").join(F.broadcast(numbered), "date")
-    last = rows.agg(F.max("week_no").alias("__last"))
-    return rows.crossJoin(F.broadcast(last)).where(F.col("week_no") >= F.col("__last") - weeks).groupBy("product_code", "store_code").agg(F.max("oh").alias("oh"))
+    rows = inventory.where("oh > 0").join(F.broadcast(numbered), "date").crossJoin(F.broadcast(last_sale(transactions, stores, calendar)))
+    within = F.col("week_no").between(F.col("__last_week") - weeks, F.col("__last_week"))
+    return rows.where(within).groupBy("product_code", "store_code").agg(F.max("oh").alias("oh"))
+
+
+def _with_totals(df: DataFrame, by: list[str], aggs: list[Column]) -> DataFrame:
+    """``df`` with aggregates of its groups, computed with partial aggregation and joined back: unlike a window, a group of
+    very many rows is no single task's (small tables of groups are broadcast by the planner)."""
+    groups = df.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(*aggs)
+    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    return df.join(groups, on, "left").drop(*[f"__{c}" for c in by])
 
 
 def prefix_sales(base: DataFrame, levels: list[str]) -> DataFrame:
@@ -54,12 +74,10 @@ def fill_zero_sales(df: DataFrame, levels: list[str]) -> DataFrame:
     for n in range(len(levels) + 1, 0, -1):
         by = [*levels, "product_code"] if n > len(levels) else levels[:n]
         c = "sales_art_store" if n > len(levels) else f"r_h{n}_store"
-        mean = F.avg(F.nullif(F.col(c), F.lit(0.0))).over(Window.partitionBy("channel", *by, "cluster_name"))
-        out = out.withColumn(c, F.when(F.col(c) == 0, mean).otherwise(F.col(c)))
-    product = Window.partitionBy("channel", "product_code")
-    for n in range(1, len(levels) + 1):
-        out = out.withColumn(f"r_h{n}", F.sum(f"r_h{n}_store").over(product))
-    return out.withColumn("sales_art", F.sum("sales_art_store").over(product))
+        out = _with_totals(out, ["channel", *by, "cluster_name"], [F.avg(F.nullif(F.col(c), F.lit(0.0))).alias("__mean")])
+        out = out.withColumn(c, F.when(F.col(c) == 0, F.col("__mean")).otherwise(F.col(c))).drop("__mean")
+    totals = [F.sum(f"r_h{n}_store").alias(f"r_h{n}") for n in range(1, len(levels) + 1)]
+    return _with_totals(out, ["channel", "product_code"], [*totals, F.sum("sales_art_store").alias("sales_art")])
 
 
 def proportions(df: DataFrame, levels: list[str]) -> DataFrame:
@@ -72,22 +90,22 @@ def proportions(df: DataFrame, levels: list[str]) -> DataFrame:
 
 def choose_level(df: DataFrame, levels: list[str], level: str) -> DataFrame:
     """``overall_proportion``: the deepest level of which at most 5 % are zero within the split's group, else the top."""
-    group = [*levels, "product_code"] if level == "product_code" else levels[: levels.index(level) + 1]
-    w = Window.partitionBy(*group, "channel")
-
-    def dense(c: str) -> Column:
-        return F.sum(F.when(F.coalesce(F.col(c), F.lit(0.0)) == 0, 1).otherwise(0)).over(w) / F.count("*").over(w) <= ZERO_SHARE
-
-    chosen = None
-    for c in [*(["store_split"] if level == "product_code" else []), *[f"r_store_split_h{n}" for n in range(min(len(group), len(levels)), 1, -1)]]:
-        chosen = F.when(dense(c), F.col(c)) if chosen is None else chosen.when(dense(c), F.col(c))
+    group = levels_up_to([*levels, "product_code"], level)
+    candidates = [*(["store_split"] if level == "product_code" else []), *[f"r_store_split_h{n}" for n in range(min(len(group), len(levels)), 1, -1)]]
     top = F.col("r_store_split_h1")
-    return df.withColumn("overall_proportion", F.coalesce(chosen.otherwise(top) if chosen is not None else top, F.lit(0.0)))
+    if not candidates:
+        return df.withColumn("overall_proportion", F.coalesce(top, F.lit(0.0)))
+    shares = [(F.count_if(F.coalesce(F.col(c), F.lit(0.0)) == 0) / F.count("*")).alias(f"__zero_{c}") for c in candidates]
+    out = _with_totals(df, [*group, "channel"], shares)
+    chosen = top
+    for c in reversed(candidates):
+        chosen = F.when(F.col(f"__zero_{c}") <= ZERO_SHARE, F.col(c)).otherwise(chosen)
+    return out.withColumn("overall_proportion", F.coalesce(chosen, F.lit(0.0))).drop(*[f"__zero_{c}" for c in candidates])
 
 
 def final_store_split(df: DataFrame, hierarchies: DataFrame, levels: list[str], level: str) -> DataFrame:
     """Contributions that sum to 1 by hierarchy and channel; a group that does not is split evenly."""
-    group = [*levels, "product_code"] if level == "product_code" else levels[: levels.index(level) + 1]
+    group = levels_up_to([*levels, "product_code"], level)
     by = Window.partitionBy(*group, "channel")
     sums = df.groupBy(*group, "store_code", "channel").agg(F.sum("overall_proportion").alias("contribution"))
     codes = hierarchies.where(F.col("level") == len(group)).select(*group, "hierarchy_code").distinct()
@@ -99,15 +117,13 @@ def final_store_split(df: DataFrame, hierarchies: DataFrame, levels: list[str],
 
 
 def store_split(
-    stores: DataFrame, products: DataFrame, mapping: DataFrame, transactions: DataFrame, inventory: DataFrame, clusters: DataFrame, calendar: DataFrame,
-    hierarchies: DataFrame, level: str,
-) -> DataFrame:
-    """Each store's share of a hierarchy's sales by channel."""
+    stores: DataFrame, products: DataFrame, mapping: DataFrame, transactions: DataFrame, clusters: DataFrame, hierarchies: DataFrame, level: str,
+) -> DataFrame:
+    """Each store's share of a hierarchy's sales by channel (E15-E22); recent stock (E17) has no part in it."""
     levels = levels_of(products.columns)
     base = (
         split_base(stores, products, mapping)
-        .join(recent_sales(transactions), ["product_code", "store_code"], "left")
-        .join(recent_inventory(inventory, calendar), ["product_code", "store_code"], "left")
+        .join(recent_sales(transactions, stores), ["product_code", "store_code"], "left")
         .withColumn("sales_art_store", F.coalesce("sales_art", F.lit(0.0)))
         .drop("sales_art")
         .join(clusters.select("store_code", "channel", "cluster_name").distinct(), ["store_code", "channel"], "left")
@@ -124,7 +140,7 @@ def day_split(
     Channels, hierarchies and seven days are completed; missing shares are the channel's; shares sum to 1.
     """
     levels = levels_of(products.columns)
-    group = [*levels, "product_code"] if level == "product_code" else levels[: levels.index(level) + 1]
+    group = levels_up_to([*levels, "product_code"], level)
     plain = master.where((F.col(qty) > 0) & F.col("date").between(F.lit(since), F.lit(until)))
     for e in events:
         plain = plain.where(F.coalesce(F.col(e), F.lit(0)) == 0)
@@ -142,10 +158,3 @@ def day_split(
     full = full.withColumn("day_split", F.try_divide("ratio", F.sum("ratio").over(total)))
     codes = hierarchies.where(F.col("level") == len(group)).select(*group, "hierarchy_code").distinct()
     return full.join(codes, group).select("channel", *group, "hierarchy_code", "dayofweek", "day_split")
-
-
-def last_year(until: date) -> date:
-    return until - timedelta(days=364)
-
-
-__all__ = ["choose_level", "day_split", "fill_zero_sales", "final_store_split", "hierarchy_code", "last_year", "prefix_sales", "proportions", "recent_inventory", "recent_sales", "split_base", "store_split"]

@@ -106,18 +106,15 @@ def replace_from_week(target: DataFrame, staged: DataFrame, week_col: str = "fis
 
 
 def compute_delta(validated: DataFrame, master: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """``__record_type`` 1: new or changed rows; 0: keys that are gone, with NULL in the other columns."""
+    """``__record_type`` 1: new or changed rows; 0: the master's rows whose keys are gone, with their values."""
     wanted = [*keys, *[c for c in cols if c not in keys]]
     changed = validated.select(*wanted).subtract(master.select(*wanted)).withColumn("__record_type", F.lit(1))
     v = validated.select(*[F.col(k).alias(f"__k_{k}") for k in keys]).distinct()
-    m = master.select(*keys).distinct()
     on = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
         on = c if on is None else on & c
-    gone = m.join(v, on, "left_anti")
-    types = {f.name: f.dataType for f in validated.schema.fields}
-    gone = gone.select(*keys, *[F.lit(None).cast(types[c]).alias(c) for c in wanted if c not in keys], F.lit(0).alias("__record_type"))
+    gone = master.select(*wanted).join(v, on, "left_anti").withColumn("__record_type", F.lit(0))
     return changed.unionByName(gone)
 
 
@@ -182,9 +179,16 @@ def anomaly_rows(df: DataFrame, bookkeeping: tuple[str, ...] = ("QC", "action",
     return _flat(df.drop(*bookkeeping), " | ")
 
 
-def export_anomalies(df: DataFrame, path: str, sep: str = "|") -> None:
-    """Writes ``anomaly_rows`` with a header over what is there."""
+def anomaly_path(root: str, entity: str, on: date) -> str:
+    """The dated folder of an entity's rejected rows."""
+    return f"{root.rstrip('/')}/{on:%Y-%m-%d}/{entity}"
+
+
+def export_anomalies(df: DataFrame, root: str, entity: str, on: date, sep: str = "|") -> str:
+    """Writes ``anomaly_rows`` with a header to the day's folder, over what is there; gives the folder."""
+    path = anomaly_path(root, entity, on)
     anomaly_rows(df).write.mode("overwrite").csv(path, sep=sep, header=True)
+    return path
 
 
 def backup_table(spark: SparkSession, name: str, on: date) -> str:

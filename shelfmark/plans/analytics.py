@@ -6,10 +6,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions.scratch import scratch_path
+from shelfmark.functions.scratch import scratch_path, staged
 from shelfmark.operators import aggregate, calendar, clustering, hierarchy, imputation, master, prep, splits
 from shelfmark.plans import views
-from shelfmark.plans.specs import ColumnMapping, DerivedSpec, EntitySpec, Feature
+from shelfmark.plans.specs import ColumnMapping, DerivedSpec, EntitySpec, Feature, Rule
 from shelfmark.plans.views import table, with_entities
 from shelfmark.streaming import landing
 
@@ -44,13 +44,22 @@ def e2(spark, d):
     return weeks.groupBy("fiscal_year_week").agg(F.count("*").alias("n")).join(calendar.week_bounds(c), "fiscal_year_week")
 
 
-@query("e3_due_channels", with_entities(["calendar", "transaction_master"], "SELECT date FROM (SELECT max(date) AS date FROM transaction_master GROUP BY store_code) JOIN calendar USING (date) WHERE fiscal_day % 2 = 0 GROUP BY 1"))
+@query("e3_due_stores", with_entities(["calendar", "transaction_master", "store_master"], "SELECT channel, date, coalesce(fiscal_day % 2 = 0, FALSE) AS due FROM (SELECT channel, max(date) AS date FROM transaction_master JOIN store_master USING (store_code) GROUP BY 1) LEFT JOIN calendar USING (date)"))
 def e3(spark, d):
-    last = views.transaction_master(spark, d).groupBy("store_code").agg(F.max("date").alias("date")).select("date").distinct()
-    return last.join(views.calendar(spark, d), "date").where("fiscal_day % 2 = 0").select("date")
+    c = views.calendar(spark, d)
+    last = views.transaction_master(spark, d).join(views.store_master(spark, d).select("store_code", "channel"), "store_code").groupBy("channel").agg(F.max("date").alias("date"))
+    # a row per channel
+    rows = [(r["channel"], r["date"], calendar.is_due(c, r["date"], "fiscal_day % 2 = 0")) for r in last.collect()]
+    return spark.createDataFrame(rows, "channel string, date date, due boolean")
 
 
-_PREFIX = "md5('')"
+@query("e4_levels", with_entities(["product_master"], "SELECT 'l1_name' AS up_to, 'l0_name,l1_name' AS levels, count(*) AS n FROM (SELECT DISTINCT l0_name, l1_name FROM product_master) UNION ALL SELECT 'product_code', 'l0_name,l1_name,l2_name,product_code', count(*) FROM (SELECT DISTINCT l0_name, l1_name, l2_name, product_code FROM product_master)"))
+def e4(spark, d):
+    products, out = views.product_master(spark, d), []
+    for level in ("l1_name", "product_code"):
+        cols = hierarchy.levels_up_to(products.columns, level)
+        out.append(products.select(*cols).distinct().agg(F.lit(level).alias("up_to"), F.lit(",".join(cols)).alias("levels"), F.count("*").alias("n")))
+    return out[0].unionByName(out[1])
 
 
 @query("h1_hierarchies", with_entities(["product_master"], """SELECT substr(sha256(concat_ws('|', l0_name, l1_name, l2_name, product_code)), 1, 16) AS hierarchy_code, level, active, l0_name, l1_name, l2_name, product_code FROM (
@@ -138,23 +147,36 @@ def e78(spark, d):
     return _signals(spark, d).select(*_KEY4, "cluster_name", "total_stores_cluster", "oos_flag", "active_stores", "weekly_qty", "active_stores_ratio", "sell_through_ratio")
 
 
-_PRICED = """priced AS (SELECT *, coalesce(avg(CASE WHEN qty <> 0 THEN price END) OVER (PARTITION BY channel, cluster_name, product_code, date), avg(CASE WHEN qty <> 0 THEN price END) OVER (PARTITION BY channel, cluster_name, product_code, fiscal_year_week),
-  avg(CASE WHEN qty <> 0 THEN price END) OVER (PARTITION BY channel, product_code, fiscal_year_week)) AS price_first_imputed FROM signals)"""
+def _first(c: str, when: str) -> str:
+    v = f"CASE WHEN {when} THEN {c} END"
+    return (f"coalesce(avg({v}) OVER (PARTITION BY channel, cluster_name, product_code, date), avg({v}) OVER (PARTITION BY channel, cluster_name, product_code, fiscal_year_week), "
+            f"avg({v}) OVER (PARTITION BY channel, product_code, fiscal_year_week))")
+
+
+_PRICED = f"""priced AS (SELECT *, {_first('price', 'qty <> 0')} AS price_first, {_first('discount', 'TRUE')} AS discount_first FROM signals)"""
+
 
+def _estimated(spark, d):
+    rows = imputation.impute_price_means(_signals(spark, d), ["channel"], "qty", ["price"])
+    return imputation.impute_price_means(rows, ["channel"], "qty", ["discount"], price=False)
 
-@query("e10_price_means", _with("SELECT channel, product_code, store_code, date, round(price_first_imputed + 1e-7, 4) AS price_first_imputed FROM priced", _PRICED))
+
+@query("e10_first_estimates", _with("""SELECT channel, product_code, store_code, date, round(price_first + 1e-7, 4) AS price_first_imputed, coalesce(price, round(price_first + 1e-7, 2)) AS price_imputed,
+  coalesce(discount, round(discount_first + 1e-7, 2)) AS discount_imputed FROM priced""", _PRICED))
 def e10(spark, d):
-    return imputation.impute_price_means(_signals(spark, d), ["channel"], "qty", ["price"]).select(*_KEY4, F.round(F.col("price_first_imputed") + 1e-7, 4).alias("price_first_imputed"))
+    return _estimated(spark, d).select(*_KEY4, F.round(F.col("price_first_imputed") + 1e-7, 4).alias("price_first_imputed"), "price_imputed", "discount_imputed")
+
+
+def _cutoffs(spark):
+    return spark.createDataFrame([(k, *v) for k, v in _CUT.items()], "channel string, active_stores_cutoff double, sell_through_cutoff double")
 
 
 def _quantities(spark, d):
-    cut = spark.createDataFrame([(k, *v) for k, v in _CUT.items()], "channel string, active_stores_cutoff double, sell_through_cutoff double")
-    rows = imputation.impute_quantity(_signals(spark, d), ["channel"], "qty", "inventory", cut)
-    return rows.withColumns({"price_imputed": F.col("price"), "discount_imputed": F.col("discount")})
+    return imputation.impute_quantity(_estimated(spark, d), ["channel"], "qty", "inventory", _cutoffs(spark))
 
 
-_QUANTITIES = _CUT_SQL + """, est AS (SELECT *, avg(CASE WHEN inventory > 0 THEN qty END) OVER (PARTITION BY channel, cluster_name, product_code, date) AS first FROM signals),
-  quantities AS (SELECT *, CASE WHEN imp = qty THEN 0 ELSE 1 END AS imputation_flag FROM (SELECT e.*, price AS price_imputed, discount AS discount_imputed,
+_QUANTITIES = _CUT_SQL + ", " + _PRICED + """, est AS (SELECT *, avg(CASE WHEN inventory > 0 THEN qty END) OVER (PARTITION BY channel, cluster_name, product_code, date) AS first FROM priced),
+  quantities AS (SELECT *, CASE WHEN imp = qty THEN 0 ELSE 1 END AS imputation_flag FROM (SELECT e.*, coalesce(price, round(price_first + 1e-7, 2)) AS price_imputed, coalesce(discount, round(discount_first + 1e-7, 2)) AS discount_imputed,
     CASE WHEN oos_flag = 1 AND active_stores_ratio >= a_cut AND sell_through_ratio >= s_cut AND qty > first THEN round(qty) WHEN oos_flag = 1 AND active_stores_ratio >= a_cut AND sell_through_ratio >= s_cut AND qty < first THEN round(first) ELSE qty END AS imp
     FROM est e LEFT JOIN cutoffs USING (channel)))"""
 
@@ -172,7 +194,7 @@ def _mean_sql(h: str, g: str, name: str) -> str:
   LEFT JOIN m_a USING (product_code, channel, date) LEFT JOIN m_b USING (product_code, channel, fiscal_year_week) LEFT JOIN m_c USING (l0_name, channel, date) LEFT JOIN m_d USING (l0_name, channel, fiscal_year_week)""",
   _QUANTITIES, _mean_sql("product_code", "date", "a"), _mean_sql("product_code", "fiscal_year_week", "b"), _mean_sql("l0_name", "date", "c"), _mean_sql("l0_name", "fiscal_year_week", "d")))
 def e12(spark, d):
-    rows = imputation.impute_discounts(_quantities(spark, d), ["product_code", "l0_name"], ["channel"], ["discount"], "inventory")
+    rows = imputation.impute_discounts(staged(_quantities(spark, d), "quantities"), ["product_code", "l0_name"], ["channel"], ["discount"], "inventory")
     return rows.select(*_KEY4, F.round(F.col("discount_imputed") + 1e-9, 6).alias("discount_imputed"))
 
 
@@ -196,19 +218,29 @@ def e13(spark, d):
     return _filled(spark, d).select(*_KEY4, "price_imputed")
 
 
-@query("e14_lost_sales", _with("""SELECT channel, product_code, store_code, date, inventory, lost_sales, max(inventory) OVER (PARTITION BY product_code, store_code, fiscal_year_week) AS max_week_inventory FROM (
-  SELECT channel, product_code, store_code, date, fiscal_year_week, CASE WHEN inventory <= imp THEN imp ELSE inventory END AS inventory, imp - qty AS lost_sales FROM quantities)""", _QUANTITIES))
+_MEANS = [_mean_sql("product_code", "date", "a"), _mean_sql("product_code", "fiscal_year_week", "b"), _mean_sql("l0_name", "date", "c"), _mean_sql("l0_name", "fiscal_year_week", "d")]
+
+
+@query("e14_lost_sales", _with("""SELECT channel, product_code, store_code, date, inventory, lost_sales, max(inventory) OVER (PARTITION BY product_code, store_code, fiscal_year_week) AS max_week_inventory, price_imputed, discount_imputed FROM (
+  SELECT f.channel, f.product_code, f.store_code, f.date, f.fiscal_year_week, CASE WHEN inventory <= imp THEN imp ELSE inventory END AS inventory, imp - qty AS lost_sales, p2 AS price_imputed,
+    round(coalesce(discount_imputed, v_a, v_b, v_c, v_d) + 1e-9, 6) AS discount_imputed FROM filled f LEFT JOIN m_a ON f.product_code = m_a.product_code AND f.channel = m_a.channel AND f.date = m_a.date
+    LEFT JOIN m_b ON f.product_code = m_b.product_code AND f.channel = m_b.channel AND f.fiscal_year_week = m_b.fiscal_year_week LEFT JOIN m_c ON f.l0_name = m_c.l0_name AND f.channel = m_c.channel AND f.date = m_c.date
+    LEFT JOIN m_d ON f.l0_name = m_d.l0_name AND f.channel = m_d.channel AND f.fiscal_year_week = m_d.fiscal_year_week)""", _FILLED, *_MEANS))
 def e14(spark, d):
-    return imputation.finalise_lost_sales(_quantities(spark, d)).select(*_KEY4, "inventory", "lost_sales", "max_week_inventory")
+    rows = imputation.impute_lost_sales(
+        views.folded(spark, d), views.store_clustering(spark, d), _cutoffs(spark), _fold_products(spark, d), ["channel"], ["product_code", "l0_name"],
+        {"price": "if(size > 2, null, round(top, 2))"}, ["discount"],
+    )
+    return rows.select(*_KEY4, "inventory", "lost_sales", "max_week_inventory", "price_imputed", F.round(F.col("discount_imputed") + 1e-9, 6).alias("discount_imputed"))
 
 
 # --- splits
 
 _SPLIT = """base AS (SELECT m.product_code, m.store_code, channel, l0_name, l1_name, l2_name FROM product_store_mapping m JOIN store_master USING (store_code) JOIN product_master USING (product_code) WHERE is_active),
-  sold AS (SELECT product_code, store_code, sum(qty) AS sales_art FROM transaction_master, (SELECT max(date) AS last FROM transaction_master) WHERE qty > 0 AND date >= last - 55 GROUP BY 1, 2),
-  weeks AS (SELECT fiscal_year_week, row_number() OVER (ORDER BY fiscal_year_week) AS week_no FROM (SELECT DISTINCT fiscal_year_week FROM calendar)),
-  stocked AS (SELECT product_code, store_code, oh, week_no FROM inventory_master JOIN calendar USING (date) JOIN weeks USING (fiscal_year_week) WHERE oh > 0),
-  held AS (SELECT product_code, store_code, max(oh) AS oh FROM stocked WHERE week_no >= (SELECT max(week_no) FROM stocked) - 8 GROUP BY 1, 2),
+  weeks AS (SELECT date, dense_rank() OVER (ORDER BY fiscal_year_week) AS week_no FROM calendar),
+  final_sale AS (SELECT max(date) AS last, max(week_no) AS last_week FROM late JOIN store_master USING (store_code) LEFT JOIN weeks USING (date) WHERE qty > 0),
+  sold AS (SELECT product_code, store_code, sum(qty) AS sales_art FROM late, final_sale WHERE qty > 0 AND date BETWEEN last - 55 AND last GROUP BY 1, 2),
+  held AS (SELECT product_code, store_code, max(oh) AS oh FROM late_stock JOIN weeks USING (date), final_sale WHERE oh > 0 AND week_no BETWEEN last_week - 8 AND last_week GROUP BY 1, 2),
   s0 AS (SELECT base.*, coalesce(sales_art, 0.0) AS a, cluster_name FROM base LEFT JOIN sold USING (product_code, store_code) LEFT JOIN (SELECT store_code, channel, cluster_name FROM store_clustering) USING (store_code, channel)),
   s1 AS (SELECT *, sum(a) OVER (PARTITION BY channel, store_code, l0_name) AS h1, sum(a) OVER (PARTITION BY channel, store_code, l0_name, l1_name) AS h2, sum(a) OVER (PARTITION BY channel, store_code, l0_name, l1_name, l2_name) AS h3 FROM s0),
   s2 AS (SELECT * REPLACE (CASE WHEN a = 0 THEN avg(nullif(a, 0)) OVER (PARTITION BY channel, l0_name, l1_name, l2_name, product_code, cluster_name) ELSE a END AS a,
@@ -216,7 +248,7 @@ _SPLIT = """base AS (SELECT m.product_code, m.store_code, channel, l0_name, l1_n
     CASE WHEN h3 = 0 THEN avg(nullif(h3, 0)) OVER (PARTITION BY channel, l0_name, l1_name, l2_name, cluster_name) ELSE h3 END AS h3) FROM s1),
   s3 AS (SELECT product_code, store_code, channel, l0_name, l1_name, l2_name, coalesce(a / nullif(sum(a) OVER w, 0), 0.0) AS store_split, coalesce(h1 / nullif(sum(h1) OVER w, 0), 0.0) AS r1, coalesce(h2 / nullif(sum(h2) OVER w, 0), 0.0) AS r2,
     coalesce(h3 / nullif(sum(h3) OVER w, 0), 0.0) AS r3 FROM s2 WINDOW w AS (PARTITION BY channel, product_code))"""
-_SPLIT_ENTITIES = ["product_store_mapping", "store_master", "product_master", "transaction_master", "inventory_master", "calendar", "store_clustering"]
+_SPLIT_ENTITIES = ["product_store_mapping", "store_master", "product_master", "late", "late_stock", "calendar", "store_clustering"]
 
 
 def _split_sql(body: str, *more: str) -> str:
@@ -225,7 +257,7 @@ def _split_sql(body: str, *more: str) -> str:
 
 def _base(spark, d):
     base = splits.split_base(views.store_master(spark, d), views.product_master(spark, d), views.product_store_mapping(spark, d))
-    sold = splits.recent_sales(views.transaction_master(spark, d))
+    sold = splits.recent_sales(views.late(spark, d), views.store_master(spark, d))
     named = views.store_clustering(spark, d).select("store_code", "channel", "cluster_name")
     base = base.join(sold, ["product_code", "store_code"], "left").withColumn("sales_art_store", F.coalesce("sales_art", F.lit(0.0))).drop("sales_art")
     return splits.prefix_sales(base.join(named, ["store_code", "channel"], "left"), LEVELS)
@@ -238,12 +270,12 @@ def e15(spark, d):
 
 @query("e16_recent_sales", _split_sql("SELECT product_code, store_code, sales_art FROM sold"))
 def e16(spark, d):
-    return splits.recent_sales(views.transaction_master(spark, d))
+    return splits.recent_sales(views.late(spark, d), views.store_master(spark, d))
 
 
 @query("e17_recent_inventory", _split_sql("SELECT * FROM held"))
 def e17(spark, d):
-    return splits.recent_inventory(views.inventory_master(spark, d), views.calendar(spark, d))
+    return splits.recent_inventory(views.late_stock(spark, d), views.late(spark, d), views.store_master(spark, d), views.calendar(spark, d))
 
 
 @query("e18_prefix_sales", _split_sql("SELECT product_code, store_code, a AS sales_art_store, h1 AS r_h1_store, h2 AS r_h2_store, h3 AS r_h3_store FROM s1"))
@@ -273,8 +305,8 @@ def e21(spark, d):
 def e22(spark, d):
     products = views.product_master(spark, d)
     out = splits.store_split(
-        views.store_master(spark, d), products, views.product_store_mapping(spark, d), views.transaction_master(spark, d), views.inventory_master(spark, d),
-        views.store_clustering(spark, d), views.calendar(spark, d), hierarchy.flatten_hierarchies(products, LEVELS), "l2_name",
+        views.store_master(spark, d), products, views.product_store_mapping(spark, d), views.late(spark, d), views.store_clustering(spark, d),
+        hierarchy.flatten_hierarchies(products, LEVELS), "l2_name",
     )
     return out.withColumn("store_split", F.round(F.col("store_split") + 1e-9, 6))
 
@@ -357,6 +389,22 @@ def e31(spark, d):
     return aggregate.run_derived(spark, specs, historic=False)["e31_b"]
 
 
+@query("e32_published_tables", """WITH a AS (SELECT l_suppkey, sum(l_quantity) AS total FROM lineitem GROUP BY 1), p AS (SELECT l_suppkey, sum(l_quantity) AS total FROM lineitem WHERE l_quantity > 5 GROUP BY 1)
+  SELECT 'replaced' AS name, l_suppkey, round(total, 2) AS total FROM p WHERE total <= 900 UNION ALL SELECT 'appended', l_suppkey, round(total, 2) FROM a UNION ALL SELECT 'appended', l_suppkey, round(total, 2) FROM p""")
+def e32(spark, d):
+    mark = scratch_path(spark, "x").rsplit("-", 1)[-1]
+    table(spark, d, "lineitem").createOrReplaceTempView(f"e32_lines_{mark}")
+    full = f"SELECT l_suppkey, sum(l_quantity) AS total FROM e32_lines_{mark} GROUP BY 1"
+    part = f"SELECT l_suppkey, sum(l_quantity) AS total FROM e32_lines_{mark} WHERE l_quantity > 5 GROUP BY 1"
+    new, more, idle = f"e32_new_{mark}", f"e32_more_{mark}", f"e32_idle_{mark}"
+    specs = [DerivedSpec(new, 1, full, part), DerivedSpec(more, 2, full, part, replace=False), DerivedSpec(idle, 3, "SELECT raise_error('not due')")]
+    checks = {new: [Rule("large", "total > 900", "DELETE", "derived")]}
+    for historic in (True, False):
+        aggregate.publish_derived(spark, specs, historic, checks, due={new, more})
+    both = spark.table(new).select(F.lit("replaced").alias("name"), "*").unionByName(spark.table(more).select(F.lit("appended").alias("name"), "*"))
+    return both.withColumn("total", F.round("total", 2))
+
+
 @query("e33_job_costs", """SELECT user_id AS job_id, event_type AS task, round(epoch(max(ts)) - epoch(min(ts)), 3) AS seconds, CAST(sum(event_id * 1000) AS BIGINT) AS slot_ms, CAST(count(*) AS BIGINT) AS bytes,
   '$' || format('{:,.4f}', sum(event_id * 1000) * 0.06 / 3600000) AS cost FROM events GROUP BY 1, 2""")
 def e33(spark, d):
@@ -424,10 +472,14 @@ def _supplier_features(spark, d):
     )
 
 
-@query("m8_components")
+@query("m8_components", """WITH f AS (SELECT l_suppkey, sum(l_quantity) AS q, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY 1),
+  z AS (SELECT l_suppkey, (q - avg(q) OVER ()) / stddev_pop(q) OVER () AS a, (n - avg(n) OVER ()) / stddev_pop(n) OVER () AS b FROM f), r AS (SELECT avg(a * b) AS r FROM z)
+  SELECT l_suppkey, round(abs(a + CASE WHEN r >= 0 THEN b ELSE -b END) / sqrt(2), 3) AS pc_1 FROM z, r""")
 def m8(spark, d):
-    scaled = prep.transform(_supplier_features(spark, d), dict.fromkeys(("qty", "price", "discount", "n"), "standard"))
-    return prep.pca(scaled, ["qty", "price", "discount", "n"], 0.9)
+    # of two standardised columns the first component is their sum or difference over the root of 2; signs are free
+    rows = _supplier_features(spark, d).select("l_suppkey", "qty", "n")
+    scaled = prep.transform(rows, dict.fromkeys(("qty", "n"), "standard"))
+    return prep.pca(scaled, ["qty", "n"], 0.6, digits=6).select("l_suppkey", F.round(F.abs("pc_1"), 3).alias("pc_1"))
 
 
 _SCORED = """f AS (SELECT l_suppkey, sum(l_quantity) AS a, CAST(count(*) AS DOUBLE) AS b, l_suppkey % 3 AS l FROM lineitem GROUP BY 1), c AS (SELECT l, count(*) AS n, avg(a) AS ca, avg(b) AS cb FROM f GROUP BY 1),
@@ -448,10 +500,43 @@ def m12(spark, d):
     return clustering.relabel(rows, by="qty", letters=True).select("l_suppkey", "labels")
 
 
-@query("m9_m13_store_clusters")
-def m13(spark, d):
+#: Stores in three groups far apart, by their keys; the sales only move them a little.
+_PLANTED = "CAST(store_code AS BIGINT) % 3"
+
+
+def _planted(spark, d):
     sold = views.transaction_master(spark, d).join(views.store_master(spark, d).select("store_code", "channel"), "store_code")
-    return clustering.store_clusters(sold, ["channel"], [Feature("qty", "sum(qty)"), Feature("price", "avg(price)")], [2, 3])
+    sums = sold.groupBy("channel", "store_code").agg(F.sum("qty").alias("q"))
+    shift = F.expr(_PLANTED) * 1000.0
+    return sums.select("channel", "store_code", (shift + F.col("q") / 1e6).alias("x"), (-2.0 * shift + F.length("store_code")).alias("y"))
+
+
+@query("m9_candidates", with_entities(["transaction_master", "store_master"], f"SELECT k, a AS algorithm, min_same, n FROM (SELECT count(*) AS n FROM (SELECT DISTINCT store_code FROM transaction_master JOIN store_master USING (store_code))), (VALUES (2, FALSE), (3, TRUE)) v(k, min_same), (VALUES ('bisecting'), ('kmeans'), ('mixture')) w(a)"))
+def m9(spark, d):
+    grid = clustering.candidate_grid(clustering.vectors(_planted(spark, d), ["x", "y"]), [2, 3], ("bisecting", "kmeans", "mixture"))
+    out = None
+    for (algorithm, k), df in grid.items():
+        # whether the labels are the planted groups
+        pairs = df.groupBy(F.expr(_PLANTED).alias("p"), "labels").agg(F.count("*").alias("n"))
+        one = pairs.agg(F.lit(k).alias("k"), F.lit(algorithm).alias("algorithm"), ((F.countDistinct("p") == F.count("*")) & (F.countDistinct("labels") == F.count("*"))).alias("min_same"), F.sum("n").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("m11_selected", with_entities(["transaction_master", "store_master"], f"SELECT '3' AS k, {_PLANTED} AS planted, count(DISTINCT store_code) AS n FROM transaction_master JOIN store_master USING (store_code) GROUP BY 1, 2"))
+def m11(spark, d):
+    grid = clustering.candidate_grid(clustering.vectors(_planted(spark, d), ["x", "y"]), [2, 3], ("bisecting", "kmeans"))
+    scores = {c: clustering.score_clusters(df).first().asDict() for c, df in grid.items()}
+    chosen = clustering.select_outputs(grid, scores, "overall")
+    (k, df), = chosen.items()
+    # one row per label: a label that mixes groups would show as two rows or a wrong count
+    return df.groupBy("labels", F.expr(_PLANTED).alias("planted")).agg(F.count("*").alias("n")).select(F.lit(k).alias("k"), "planted", "n")
+
+
+@query("m13_store_clusters", with_entities(["transaction_master", "store_master"], f"""SELECT channel, store_code, CAST(CASE WHEN n <= 11 THEN 0 ELSE dense_rank() OVER (PARTITION BY channel ORDER BY p DESC) - 1 END AS INTEGER) AS labels FROM (
+  SELECT channel, store_code, {_PLANTED} AS p, count(*) OVER (PARTITION BY channel) AS n FROM (SELECT DISTINCT channel, store_code FROM transaction_master JOIN store_master USING (store_code)))"""))
+def m13(spark, d):
+    return clustering.store_clusters(_planted(spark, d), ["channel"], [Feature("x", "max(x)"), Feature("y", "max(y)")], [2, 3]).select("channel", "store_code", F.col("labels").cast("int").alias("labels"))
 
 
 @query("m14_cluster_summary", with_entities(["transaction_master", "store_clustering", "store_master"], """SELECT channel, cluster_name, count(*) AS n, round(avg(qty), 4) AS qty, (SELECT store_type FROM j i WHERE i.cluster_name = j.cluster_name GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS store_type FROM j GROUP BY 1, 2""",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import text
 from shelfmark.functions.scratch import scratch_path
+from shelfmark.functions.types import map_type
 from shelfmark.operators import control, mapping, rules, tables, validate
 from shelfmark.plans.specs import ColumnMapping, EntitySpec, Kpi, Rule
 from shelfmark.plans.views import inventory_master, product_master, store_master, table, transaction_master, with_entities
@@ -68,6 +69,71 @@ def a4(spark, d):
     return files.read_delimited(spark, path, "|", header=False, mode="strip_quotes", columns=["c_custkey", "c_name", "segment"])
 
 
+@query("a5_zipped", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, 'part-' || CAST(c_custkey % 3 AS VARCHAR) || '.csv' AS member FROM customer")
+def a5(spark, d):
+    import io
+    import zipfile
+
+    path = scratch_path(spark, "zip")
+
+    def zipped(rows):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
+            z.writestr(f"part-{rows['m'].iloc[0]}.csv", rows[["c_custkey", "c_mktsegment"]].to_csv(index=False))
+            z.writestr("readme.pdf", "no data")
+        rows = rows.iloc[:1].assign(content=held.getvalue().hex())
+        return rows[["m", "content"]]
+
+    members = table(spark, d, "customer").select("c_custkey", "c_mktsegment", (F.col("c_custkey") % 3).cast("int").alias("m"))
+    archives = members.groupBy("m").applyInPandas(zipped, "m int, content string")
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for r in archives.collect():  # three archives, written as another system would
+        target = fs_path(f"{path}/a{r['m']}.zip")
+        out = target.getFileSystem(conf).create(target)
+        out.write(bytearray.fromhex(r["content"]))
+        out.close()
+    got = files.read_zipped_delimited(spark, path)
+    return got.select("c_custkey", "c_mktsegment", F.element_at(F.split("file", "!"), -1).alias("member"))
+
+
+@query("a11_b13_jdbc", "SELECT 'table' AS how, count(*) AS n, sum(s_suppkey) AS total, TRUE AS parted FROM supplier UNION ALL SELECT 'keys', count(*), sum(s_suppkey), TRUE FROM supplier UNION ALL SELECT 'queries', count(*), sum(s_suppkey), TRUE FROM supplier WHERE s_suppkey <= 3 OR s_suppkey > 5")
+def a11(spark, d):
+    import tempfile
+
+    # an embedded database lives in the driver's process, so this query runs in local mode
+    url, props = f"jdbc:derby:{tempfile.mkdtemp(prefix='derby-')}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("S_SUPPKEY"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("NATION"))
+    tables.write_jdbc(rows, url, "SUPPLIERS", "overwrite", props=props, column_types="NATION VARCHAR(10)")
+    tables.write_jdbc(rows.limit(0), url, "SUPPLIERS", "append", props=props)
+    whole = databases.read_jdbc_partitioned(spark, url, "SUPPLIERS", '"S_SUPPKEY"', "numeric", props, threshold=5, size=3)
+    keys = databases.read_jdbc_partitioned(spark, url, "SUPPLIERS", '"NATION"', "string", props, threshold=5, size=4)
+    some = databases.read_jdbc(spark, url, queries='SELECT * FROM SUPPLIERS WHERE "S_SUPPKEY" <= 3; SELECT * FROM SUPPLIERS WHERE "S_SUPPKEY" > 5;', props=props)
+    out = []
+    for how, df in (("table", whole), ("keys", keys), ("queries", some)):
+        out.append(df.agg(F.lit(how).alias("how"), F.count("*").alias("n"), F.sum("S_SUPPKEY").alias("total"), F.lit(df.rdd.getNumPartitions() > 1).alias("parted")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("a16_chunks", "SELECT count(*) AS n, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS chunks, TRUE AS even, 0 AS lost FROM orders")
+def a16(spark, d):
+    # a skewed key: most values are small
+    orders = table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderkey") * F.col("o_orderkey")).alias("k"))
+    predicates = databases.chunk_predicates(orders, "k", 1000)
+    found = orders.agg(F.count("*").alias("n"), *[F.count_if(F.expr(p)).alias(f"c{i}") for i, p in enumerate(predicates)])
+    each = [F.col(f"c{i}") for i in range(len(predicates))]
+    # the first chunk has the NULLs, a fiftieth of the rows, besides
+    even = F.greatest(*each[1:], F.lit(0)) <= 1100 if len(each) > 1 else F.lit(True)
+    return found.select("n", F.lit(len(predicates)).cast("long").alias("chunks"), even.alias("even"), (F.col("n") - sum(each)).cast("int").alias("lost"))
+
+
+@query("a20_required_rows", "SELECT 'all' AS name, '' AS error, CAST(count(*) AS VARCHAR) AS message FROM events UNION ALL SELECT 'optional', '', 'None' UNION ALL SELECT 'mandatory', 'EmptyPull', 'events'")
+def a20(spark, d):
+    e = table(spark, d, "events")
+    rows = [("all", "", str(databases.require_rows(e, "events", True).count())), ("optional", "", str(databases.require_rows(e.where("user_id < 0"), "events", False)))]
+    return spark.createDataFrame([*rows, _failure(spark, "mandatory", lambda: databases.require_rows(e.where("user_id < 0"), "events", True))], _FAILURE)
+
+
 @query("a7_normalised_names", "SELECT p_partkey AS partkey, p_name AS p_name, p_size AS size_cm FROM part")
 def a7(spark, d):
     rows = table(spark, d, "part").select(F.col("p_partkey").alias("part-key"), "p_name", F.col("p_size").alias("size (_cm)"))
@@ -210,12 +276,95 @@ def b8(spark, d):
 
 
 @query("b9_delta", f"""WITH {_OLD} SELECT *, 1 AS __record_type FROM (SELECT c_custkey, c_acctbal, c_mktsegment FROM new EXCEPT SELECT c_custkey, c_acctbal, c_mktsegment FROM old)
-  UNION ALL SELECT c_custkey, NULL, NULL, 0 FROM old WHERE c_custkey NOT IN (SELECT c_custkey FROM new)""")
+  UNION ALL SELECT c_custkey, c_acctbal, c_mktsegment, 0 FROM old WHERE c_custkey NOT IN (SELECT c_custkey FROM new)""")
 def b9(spark, d):
     old, new = _customers(spark, d)
     return tables.compute_delta(new, old, ["c_custkey"], ["c_acctbal", "c_mktsegment"])
 
 
+def _failure(spark, name: str, action) -> tuple[str, str, str]:
+    """What a check raises, as a row."""
+    try:
+        action()
+    except Exception as e:  # noqa: BLE001
+        return name, type(e).__name__, str(e)
+    return name, "", ""
+
+
+_FAILURE = "name string, error string, message string"
+
+
+@query("b10_schema_drift", """SELECT 'same' AS name, '' AS error, '' AS message UNION ALL SELECT 'fewer', '', '' UNION ALL SELECT 'more', 'SchemaDrift', string_agg(column_name, ', ' ORDER BY column_name)
+  FROM (DESCRIBE SELECT c_custkey AS a_key, c_name AS z_name FROM customer)""")
+def b10(spark, d):
+    old = table(spark, d, "customer")
+    new = old.select("*", F.col("c_name").alias("z_name"), F.col("c_custkey").alias("a_key"))
+    cases = {"same": old, "fewer": old.drop("c_name"), "more": new}
+    return spark.createDataFrame([_failure(spark, n, lambda x=x: tables.check_schema_drift(x.columns, old.columns)) for n, x in cases.items()], _FAILURE)
+
+
+def _table_name(spark, name: str) -> str:
+    return f"{name}_{scratch_path(spark, 'x').rsplit('-', 1)[-1]}"
+
+
+@query("b1_write_append", "SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey < 20 UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey >= 15")
+def b1(spark, d):
+    rows, name = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), _table_name(spark, "b1")
+    tables.write_table(rows.where("s_nationkey < 3"), name, "TRUNCATE")
+    tables.write_table(rows.where("s_nationkey < 20"), name, "TRUNCATE", "never")
+    tables.write_table(rows.where("s_nationkey >= 15").select("s_nationkey", "s_name", "s_suppkey"), name, "APPEND")
+    return spark.table(name)
+
+
+@query("b2_partitioned", "SELECT CAST(ts AS DATE) AS ts_day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY 1, 2")
+def b2(spark, d):
+    name = _table_name(spark, "b2")
+    tables.write_partitioned(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), name, "ts", ("event_type", "user_id"))
+    days = spark.table(name).where("ts_day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'")
+    return days.groupBy("ts_day", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("b14_copied_tables", "SELECT 'n' AS src, CAST(n_nationkey AS VARCHAR) AS k, n_name AS v FROM nation UNION ALL SELECT 'r', CAST(r_regionkey AS VARCHAR), r_name FROM region")
+def b14(spark, d):
+    n, r = _table_name(spark, "b14n"), _table_name(spark, "b14r")
+    table(spark, d, "nation").createOrReplaceTempView(f"v_{n}")
+    table(spark, d, "region").createOrReplaceTempView(f"v_{r}")
+    tables.copy_tables(spark, f"v_{n}:{n}, v_{r}:{r}", lambda df, target: tables.write_table(df, target, "TRUNCATE"))
+    return spark.table(n).selectExpr("'n' AS src", "cast(n_nationkey as string) AS k", "n_name AS v").unionByName(spark.table(r).selectExpr("'r' AS src", "cast(r_regionkey as string) AS k", "r_name AS v"))
+
+
+@query("b17_backup", "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+def b17(spark, d):
+    name = _table_name(spark, "b17")
+    tables.write_table(table(spark, d, "orders"), name, "TRUNCATE")
+    copy = tables.backup_table(spark, name, date(2024, 1, 5))
+    tables.write_table(table(spark, d, "orders").where("o_orderkey < 0"), name, "TRUNCATE")
+    return spark.table(copy).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("b19_passthrough", "SELECT p_partkey, p_brand, p_size FROM part")
+def b19(spark, d):
+    src, dst = _table_name(spark, "b19"), _table_name(spark, "b19p")
+    tables.write_table(table(spark, d, "part").select("p_partkey", "p_brand", "p_size"), src, "TRUNCATE")
+    tables.publish_passthrough(spark, src, dst)
+    return spark.table(dst)
+
+
+@query("b20_types", """SELECT name, kind FROM (VALUES ('customer.c_acctbal', 'double'), ('customer.c_custkey', 'bigint'), ('customer.c_mktsegment', 'string'), ('customer.c_name', 'string'), ('customer.c_nationkey', 'bigint')) t(name, kind)
+  WHERE (SELECT count(*) FROM customer) > 0""")
+def b20(spark, d):
+    customer = table(spark, d, "customer")
+    declared = {"c_custkey": "int8", "c_name": "varchar(25)", "c_nationkey": "INT4", "c_acctbal": "double precision", "c_mktsegment": "text"}
+    cast = customer.select(*[F.col(c).cast(map_type(t, "postgresql")).alias(c) for c, t in declared.items()])
+    return spark.createDataFrame([(f"customer.{c}", t) for c, t in cast.dtypes if not cast.isEmpty()], "name string, kind string")
+
+
+@query("b21_appended_summary", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT 'ALL', (SELECT count(*) FROM customer) UNION ALL SELECT NULL, 0")
+def b21(spark, d):
+    by = table(spark, d, "customer").groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+    return tables.append_summary(by, [{"c_mktsegment": "ALL", "n": table(spark, d, "customer").count()}, {"n": 0}])
+
+
 @query("b11_attributes_long", """SELECT p_partkey, 'p_brand' AS attribute_name, p_brand AS attribute_value FROM part UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part
   UNION ALL SELECT p_partkey, 'tags', '["' || p_type || '","' || p_brand || '"]' FROM part""")
 def b11(spark, d):
@@ -238,10 +387,13 @@ def b15(spark, d):
     return files.read_delimited(spark, path, "|")
 
 
-@query("b16_anomaly_rows", "SELECT s_suppkey, s_name || ' | ' || CAST(s_nationkey AS VARCHAR) AS names FROM supplier WHERE s_nationkey > 10")
+@query("b16_anomaly_export", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name || ' | ' || CAST(s_nationkey AS VARCHAR) AS names, '2024-01-01/supplier' AS folder FROM supplier WHERE s_nationkey > 10")
 def b16(spark, d):
     bad = table(spark, d, "supplier").where("s_nationkey > 10").select("s_suppkey", F.array("s_name", F.col("s_nationkey").cast("string")).alias("names"))
-    return tables.anomaly_rows(bad.withColumns({"QC": F.lit("null_check"), "action": F.lit("DELETE"), "insertion_date": F.lit(NOW)}))
+    bad = bad.withColumns({"QC": F.lit("null_check"), "action": F.lit("DELETE"), "insertion_date": F.lit(NOW)})
+    path = tables.export_anomalies(bad, scratch_path(spark, "anomalies"), "supplier", NOW.date(), sep=";")
+    folder = F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -3, 2), "/")
+    return spark.read.csv(path, sep=";", header=True).select("s_suppkey", "names", folder.alias("folder"))
 
 
 @query("b18_ensure_column", "SELECT p_partkey, '1' AS mp_bucket_code FROM part")
@@ -343,6 +495,13 @@ def c10(spark, d):
     return validate.missing_references(o, c, "o_custkey", "no customer").select("o_orderkey", "o_custkey", "reason")
 
 
+@query("c11_generic_check", "SELECT 'clean' AS name, '' AS error, '' AS message WHERE (SELECT count(*) = count(DISTINCT o_orderkey) FROM orders) UNION ALL SELECT 'nulls', 'QualityError', 'NULL in status' WHERE (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) > 0 UNION ALL SELECT 'keys', 'QualityError', 'repeated o_orderstatus'")
+def c11(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("status"))
+    cases = {"clean": (["o_orderkey"], ["o_orderkey"]), "nulls": (["status"], ["o_orderkey"]), "keys": (["o_orderkey"], ["o_orderstatus"])}
+    return spark.createDataFrame([_failure(spark, n, lambda x=x, y=y: validate.generic_qc(o, x, y)) for n, (x, y) in cases.items()], _FAILURE)
+
+
 @query("c12_select_except", "SELECT c_custkey, c_mktsegment FROM customer")
 def c12(spark, d):
     return mapping.select_except(table(spark, d, "customer"), ["c_name", "c_nationkey", "c_acctbal"])
@@ -428,6 +587,27 @@ def d3(spark, d):
     return _outcome(spark, d).anomaly.groupBy("QC", "action").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
 
 
+@query("d7_paused", """WITH a AS (SELECT *, l_quantity > 49 AS bad FROM lineitem) SELECT 'p1' AS rule, 'PAUSE' AS action, count(*) AS no_original_rows, count(*) FILTER (bad) AS affected_rows, 'Fail' AS status, TRUE AS paused FROM a
+  UNION ALL SELECT 'p2', 'PAUSE', count(*), 0, 'Pass', TRUE FROM a UNION ALL SELECT 'old', 'DELETE', 7, 7, 'Fail', TRUE UNION ALL SELECT 'other', 'PAUSE', 7, 7, 'Fail', TRUE""")
+def d7(spark, d):
+    stop = [Rule("p1", "l_quantity > 49", "PAUSE", "cleaning"), Rule("p2", "l_quantity < 0", "PAUSE", "cleaning")]
+    past = [
+        {**rules.rule_summary_row(e, Rule(n, "", a, "cleaning"), 7, 7, NOW)}
+        for e, n, a in (("lines", "p1", "PAUSE"), ("lines", "gone", "PAUSE"), ("lines", "old", "DELETE"), ("others", "other", "PAUSE"))
+    ]
+    earlier = spark.createDataFrame([tuple(r[c.split()[0]] for c in rules.SUMMARY.split(", ")) for r in past], rules.SUMMARY)
+    out = rules.run_rules({"lines": _lines(spark, d)}, "lines", stop, KPIS, "cleaning", NOW, earlier)
+    return out.summary.select("rule", "action", "no_original_rows", "affected_rows", "status", F.lit(out.paused).alias("paused"))
+
+
+@query("d11_empty_table", "SELECT 'data_check' AS rule, 'REPORT' AS action, 0 AS no_original_rows, 1 AS affected_rows, 'Fail' AS status UNION ALL SELECT 'r', 'DELETE', 0, 0, 'Pass' UNION ALL SELECT 'full', 'DELETE', count(*), count(*) FILTER (l_quantity > 49), 'Fail' FROM lineitem")
+def d11(spark, d):
+    lines = _lines(spark, d)
+    none = rules.run_rules({"t": lines.where("l_quantity < 0")}, "t", [Rule("r", "l_quantity > 49", "DELETE", "cleaning")], KPIS, now=NOW).summary
+    full = rules.run_rules({"t": lines}, "t", [Rule("full", "l_quantity > 49", "DELETE", "cleaning")], KPIS, now=NOW).summary
+    return none.unionByName(full).select("rule", "action", "no_original_rows", "affected_rows", "status")
+
+
 @query("d9_aggregate_rule", "SELECT l_suppkey, sum(l_quantity) AS total, round(avg(l_extendedprice / l_quantity), 4) AS price FROM lineitem WHERE l_extendedprice / l_quantity * (1 - l_discount) > 1500 GROUP BY 1 HAVING sum(l_quantity) > 50 ORDER BY 1 LIMIT 100")
 def d9(spark, d):
     return rules.aggregate_rule(_lines(spark, d), KPIS, "KPI_10 > 1500", ["l_suppkey"], ["KPI_2 AS total", "round(avg(KPI_1), 4) AS price"], "total > 50")
@@ -446,11 +626,21 @@ def d12(spark, d):
     return rows.groupBy(F.lit(status).alias("status"), "l_returnflag").agg(F.count("*").alias("n"))
 
 
-@query("d13_parallel_checks", "SELECT 'customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'part', count(*) FROM part")
+@query("d13_parallel_checks", """SELECT 'negative balance' AS name, count(*) FILTER (c_acctbal < 0) AS bad, count(*) AS n FROM customer UNION ALL SELECT 'no customer', count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer)), count(*) FROM orders
+  UNION ALL SELECT 'large part', count(*) FILTER (p_size > 40), count(*) FROM part""")
 def d13(spark, d):
-    names = ["customer", "orders", "part"]
-    counts = rules.run_checks_parallel([lambda n=n: table(spark, d, n).count() for n in names])
-    return spark.createDataFrame(list(zip(names, counts, strict=True)), "name string, n long")
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+
+    def counted(df, cond):
+        return tuple(df.agg(F.count_if(F.expr(cond)), F.count("*")).first())
+
+    known = o.join(c.select(F.col("c_custkey").alias("o_custkey"), F.lit(True).alias("known")), "o_custkey", "left")
+    checks = {
+        "negative balance": lambda: counted(c, "c_acctbal < 0"), "no customer": lambda: counted(known, "known IS NULL"),
+        "large part": lambda: counted(table(spark, d, "part"), "p_size > 40"),
+    }
+    found = rules.run_checks_parallel(list(checks.values()))
+    return spark.createDataFrame([(n, *r) for n, r in zip(checks, found, strict=True)], "name string, bad long, n long")
 
 
 @query("d14_rollup", f"""WITH {_SUMMED}, t AS (SELECT *, max(o) OVER () AS m FROM s)

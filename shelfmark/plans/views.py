@@ -56,6 +56,21 @@ def product_store_mapping(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def late(spark: SparkSession, d: str) -> DataFrame:
+    """Sales, with returns after the last sale and sales of a store that nobody knows after that."""
+    rows = transaction_master(spark, d)
+    end = rows.where("date > DATE '2001-06-01' AND cast(product_code as bigint) % 20 = 0")
+    back = end.withColumn("date", F.date_add("date", 170)).withColumn("qty", -F.col("qty"))
+    unknown = end.withColumn("date", F.date_add("date", 260)).withColumn("store_code", F.lit("closed"))
+    return rows.unionByName(back).unionByName(unknown)
+
+
+def late_stock(spark: SparkSession, d: str) -> DataFrame:
+    """Stock, some of it counted long after the last sale."""
+    rows = inventory_master(spark, d)
+    return rows.unionByName(rows.where("date > DATE '2001-06-01' AND cast(product_code as bigint) % 10 = 0").withColumn("date", F.date_add("date", 150)))
+
+
 def store_clustering(spark: SparkSession, d: str) -> DataFrame:
     label = F.col("store_code").cast("long") % 3
     return store_master(spark, d).select("store_code", "channel", label.cast("string").alias("labels"), F.concat_ws("-", "channel", label.cast("string")).alias("cluster_name"))
@@ -94,6 +109,9 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "inventory_master": ((), """SELECT date, CAST(p AS VARCHAR) AS product_code, CAST(s AS VARCHAR) AS store_code, max(oh) AS oh FROM (
         SELECT CAST(l_shipdate AS DATE) AS date, l_partkey AS p, l_suppkey AS s, CAST((l_partkey + 7 * l_suppkey + day(l_shipdate)) % 60 AS DOUBLE) AS oh FROM lineitem WHERE (l_partkey + l_suppkey) % 5 <> 0
         UNION ALL SELECT CAST(l_shipdate AS DATE) + 1, l_partkey, l_suppkey, CAST((l_partkey + 7 * l_suppkey + day(l_shipdate)) % 60 AS DOUBLE) FROM lineitem WHERE (l_partkey + l_suppkey) % 7 = 0) GROUP BY 1, 2, 3"""),
+    "late": (("transaction_master",), """SELECT * FROM transaction_master UNION ALL SELECT * REPLACE (date + 170 AS date, -qty AS qty) FROM transaction_master WHERE date > DATE '2001-06-01' AND CAST(product_code AS BIGINT) % 20 = 0
+        UNION ALL SELECT * REPLACE (date + 260 AS date, 'closed' AS store_code) FROM transaction_master WHERE date > DATE '2001-06-01' AND CAST(product_code AS BIGINT) % 20 = 0"""),
+    "late_stock": (("inventory_master",), """SELECT * FROM inventory_master UNION ALL SELECT * REPLACE (date + 150 AS date) FROM inventory_master WHERE date > DATE '2001-06-01' AND CAST(product_code AS BIGINT) % 10 = 0"""),
     "product_store_mapping": ((), """SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS product_code, CAST(l_suppkey AS VARCHAR) AS store_code, (l_partkey + l_suppkey) % 10 <> 0 AS is_active FROM lineitem"""),
     "store_clustering": (("store_master",), """SELECT store_code, channel, CAST(CAST(store_code AS BIGINT) % 3 AS VARCHAR) AS labels, channel || '-' || (CAST(store_code AS BIGINT) % 3) AS cluster_name FROM store_master"""),
     "cal_fields": ((), f"""SELECT CAST(c + INTERVAL 31 DAY AS DATE) AS date, CAST(year(c) AS INTEGER) AS fiscal_year, CAST(quarter(c) AS INTEGER) AS fiscal_quarter, CAST(month(c) AS INTEGER) AS m,

@@ -87,6 +87,7 @@ def read_zipped_delimited(spark: SparkSession, paths: str | list[str], sep: str
     def lines(batches: Iterator) -> Iterator:
         import io
         import zipfile
+        from itertools import islice
 
         import pandas as pd
 
@@ -97,8 +98,8 @@ def read_zipped_delimited(spark: SparkSession, paths: str | list[str], sep: str
                         if name.lower().endswith((".csv", ".txt", ".dat")):
                             with io.TextIOWrapper(z.open(name), "utf-8") as f:
                                 first = f.readline().rstrip("\r\n") if header else None
-                                rows = [x.rstrip("\r\n") for x in f]
-                                yield pd.DataFrame({"file": f"{path}!{name}", "head": first, "value": rows}, dtype=object)
+                                while rows := [x.rstrip("\r\n") for x in islice(f, 50_000)]:
+                                    yield pd.DataFrame({"file": f"{path}!{name}", "head": first, "value": rows}, dtype=object)
 
     raw = spark.read.format("binaryFile").load(paths if isinstance(paths, list) else [paths]).select("path", "content")
     found = raw.mapInPandas(lines, "file string, head string, value string")
@@ -119,7 +120,7 @@ def read_parquet_dirs(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-#: Date forms in paths, in order of trial.
+# Date forms in paths, in order of trial.
 _PATH_DATES = ((r"\d{14}", "yyyyMMddHHmmss"), (r"\d{12}", "yyyyMMddHHmm"), (r"\d{8}", "yyyyMMdd"), (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"))
 
 

@@ -23,9 +23,9 @@ def stream_landing(spark: SparkSession, path: str, schema: T.StructType | str, f
 def stream_validate_merge(stream: DataFrame, spec: EntitySpec, target: str, checkpoint: str) -> StreamingQuery:
     """Validates each micro-batch, quarantines bad rows and upserts the rest into a table.
 
-    Snapshots are written beside each other, ``<target>__v<batch>``, each with the batch that made it; a view
-    ``target`` shows the newest, and rejected rows and deltas are kept by batch. A batch that is run again after a loss
-    writes the same tables again, so it counts once.
+    Snapshots are written beside each other, ``<target>__v<batch>``, each with the batch that made it; a view ``target``
+    shows the newest, and rejected rows and deltas are kept by batch. A batch that is run again after a loss writes the same
+    tables again, so it counts once; snapshots older than the one before are dropped.
     """
     keys, required = spec.keys, spec.required
 
@@ -48,6 +48,8 @@ def stream_validate_merge(stream: DataFrame, spec: EntitySpec, target: str, chec
         delta.write.mode("overwrite").saveAsTable(f"{target}__delta{batch_id}")
         anomaly.write.mode("overwrite").saveAsTable(f"{target}__anomaly{batch_id}")
         spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {target}__v{batch_id}")
+        if batch_id >= 2:
+            spark.sql(f"DROP TABLE IF EXISTS {target}__v{batch_id - 2}")
         flagged.unpersist()
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

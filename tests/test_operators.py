@@ -208,8 +208,8 @@ def test_splits_sum_to_one(spark):
     products = views.product_master(spark, SF)
     h = hierarchy.flatten_hierarchies(products, ["l0_name", "l1_name", "l2_name"])
     s = splits.store_split(
-        views.store_master(spark, SF), products, views.product_store_mapping(spark, SF), views.transaction_master(spark, SF), views.inventory_master(spark, SF),
-        views.store_clustering(spark, SF), views.calendar(spark, SF), h, "product_code",
+        views.store_master(spark, SF), products, views.product_store_mapping(spark, SF), views.transaction_master(spark, SF), views.store_clustering(spark, SF), h,
+        "product_code",
     )
     sums = s.groupBy("hierarchy_code", "channel").agg(F.sum("store_split").alias("t")).where(F.abs(F.col("t") - 1) > 1e-6)
     assert sums.count() == 0 and s.count() > 0
