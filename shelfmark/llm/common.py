@@ -60,7 +60,7 @@ def discard(df: DataFrame) -> None:
 HOT_ROWS, HOT_KEYS = 50_000, 10_000
 
 
-def joined_hot(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+def joined_hot(big: DataFrame, small: DataFrame, key: str | list[str]) -> DataFrame:
     """Inner join with ``small``, unique by ``key``, whose ``n`` is the number of rows of ``big`` with the key.
 
     The keys of more than ``HOT_ROWS`` rows are few; they are broadcast, so that no task gets all rows of one.
@@ -70,15 +70,24 @@ def joined_hot(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
     if not 0 < found <= HOT_KEYS:
         return big.join(small, key)
     rest = small.where(F.col("n") <= HOT_ROWS)
-    return big.join(F.broadcast(hot), key).unionByName(big.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
+    return big.join(F.broadcast(hot), key).unionByName(big.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(rest, key))
 
 
-#: Ids up to which a list of documents to drop is broadcast (some 100 MB); beyond, the join shuffles.
-SMALL_IDS = 2_000_000
+#: Ids up to which a list of documents to drop is broadcast (some 200 MB); beyond, the join shuffles.
+SMALL_IDS = 1_000_000
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with all its columns, without the rows whose id is in ``gone(doc_id)``; null ids stay."""
-    ids = written(gone.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone_id")).distinct(), "gone")
+def text_key(text_col: str = "text"):
+    """A hash of a row's text (null: empty); with its id it tells which row is meant."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, without the rows whose id and text are those of ``gone(doc_id, key)``.
+
+    Null ids are compared too; rows that share id and text share the decision.
+    """
+    ids = written(gone.select(F.col("doc_id").alias("__gone_id"), F.col("key").alias("__gone_key")).distinct(), "gone")
     side = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
-    return docs.join(side, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id")) & (text_key(text_col) == F.col("__gone_key"))
+    return docs.join(side, same, "left_anti")

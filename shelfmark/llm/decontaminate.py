@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import words
-from shelfmark.llm.common import partitions, read, texts, without, written
+from shelfmark.llm.common import partitions, read, text_key, texts, without, written
 
 SEED, THRESHOLD, SMALL = 5, 0.5, 2_000_000
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -120,11 +120,11 @@ def coverage(item: np.ndarray, doc: np.ndarray, seed: int = SEED) -> tuple[int,
     return sum(n for *_, n in found), len(found)
 
 
-_LEAKS = "doc_id long, item_id long, covered_words long, item_words long, n_tiles long, coverage double"
+_LEAKS = "doc_id long, key long, item_id long, covered_words long, item_words long, n_tiles long, coverage double"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64()] * 5 + [pa.float64()]
+    types = [pa.int64()] * 6 + [pa.float64()]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=[x.split()[0] for x in _LEAKS.split(", ")])
 
 
@@ -133,7 +133,7 @@ def _tiled(items: dict, seed: int, threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, raw, out = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), []
+            ids, raw, out = list(zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), strict=True)), batch.column("text").to_pylist(), []
             for first, some in words.groups(raw):
                 text, word = words.hashed(some)
                 bounds = np.searchsorted(text, np.arange(len(some) + 1))
@@ -149,7 +149,7 @@ def _tiled(items: dict, seed: int, threshold: float):
                     item_id, item = items["items"][i]
                     covered, n = coverage(item, word[bounds[t] : bounds[t + 1]], seed)
                     if covered >= threshold * len(item):
-                        out.append((ids[first + t], item_id, covered, len(item), n, covered / len(item)))
+                        out.append((*ids[first + t], item_id, covered, len(item), n, covered / len(item)))
             yield _batch(out)
 
     return run
@@ -179,7 +179,7 @@ def _tiled_pairs(seed: int, threshold: float):
                 item, doc = words.hashed([r["item"]])[1], words.hashed([r["text"]])[1]
                 covered, n = coverage(item, doc, seed)
                 if len(item) and covered >= threshold * len(item):
-                    out.append((r["doc_id"], r["item_id"], covered, len(item), n, covered / len(item)))
+                    out.append((r["doc_id"], r["key"], r["item_id"], covered, len(item), n, covered / len(item)))
             yield _batch(out)
 
     return run
@@ -189,8 +189,8 @@ def leaks(
     docs: DataFrame, benchmark: DataFrame, seed: int = SEED, threshold: float = THRESHOLD, small: int = SMALL,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per leaked pair: ``doc_id, item_id, covered_words, item_words, n_tiles, coverage``."""
-    rows = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
+    """One row per leaked pair: ``doc_id, key`` (a hash of the text), ``item_id, covered_words, item_words, n_tiles, coverage``."""
+    rows = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), F.col("text").cast("binary").alias("text"))
     tests = texts(benchmark, item_col, item_text_col).select(F.col("doc_id").alias("item_id"), F.col("text").cast("binary").alias("item"))
     # a word has a byte at least, and a space or an end after it
     if (tests.agg(F.sum(F.length("item") + 1)).first()[0] or 0) <= 2 * small:
@@ -218,14 +218,14 @@ def leaks(
     of_rows = rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(_seeded(seed, sizes), schema).withColumnRenamed("doc_id", "row")
     pairs = of_rows.join(of_tests, ["gram", "k"]).select("row", "number").distinct()
     full = pairs.join(tests, "number").join(rows, "row").repartition(partitions(docs.sparkSession))
-    return full.select("doc_id", "text", "item_id", "item").mapInArrow(_tiled_pairs(seed, threshold), _LEAKS)
+    return full.select("doc_id", "key", "text", "item_id", "item").mapInArrow(_tiled_pairs(seed, threshold), _LEAKS)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with all its columns, without documents that leak an item."""
     gone = leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    return without(docs, gone, id_col)
+    return without(docs, gone, id_col, text_col)
 
 
 def op5_decontamination(spark, sf_dir):
-    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("key")

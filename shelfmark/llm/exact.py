@@ -7,8 +7,12 @@ Copies are folded three times, and each time whole texts are compared, not only
 3. over the salt winners, of which a text has at most ``salts``.
 
 Equal texts are those that are identical after lower-casing A-Z. The row with the largest ``doc_id`` stays.
-A null text counts as empty; a null ``doc_id`` ranks below every other, and rows that share a ``doc_id``
-and a text share one decision. An empty table gives an empty result. Other columns are ignored.
+Rows are then told their winner by digest (SHA-256 and a second hash of 64 bits); only texts of several rows are joined,
+and those of very many by broadcast.
+
+A null text counts as empty; a null ``doc_id`` ranks below every other. Rows that share the winning ``doc_id`` and an equal
+text are all ``kept`` in the report, which goes by ids; the filter keeps one of them. An empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import texts, without
+from shelfmark.llm.common import joined_hot, text_key, texts, without, written
 
 SALTS = 8
-_KEYS = "doc_id long, text_sha256 string, text_xxh long"
+_KEYS = "doc_id long, key long, text_sha256 string, text_xxh long"
 
 
 def normalised(text: bytes) -> bytes:
@@ -39,8 +43,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = [_keys(normalised(t)) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64())],
-            names=["doc_id", "text_sha256", "text_xxh"],
+            [batch.column("doc_id"), batch.column("key"), pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64())],
+            names=["doc_id", "key", "text_sha256", "text_xxh"],
         )
 
 
@@ -80,19 +84,39 @@ def winners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sal
     )
 
 
+def _judged(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFrame:
+    """``doc_id, key, keep_id, group_size, text_sha256, text_xxh`` of every row."""
+    rows = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), F.col("text").cast("binary").alias("text"))
+    best = winners(docs, id_col, text_col, salts)
+    keys = rows.mapInArrow(_digests, _KEYS)
+    # texts of several rows are joined with their winners; of the others nothing has to be looked up
+    several = written(best.where("group_size > 1").withColumn("n", F.col("group_size")), "winners")
+    found = joined_hot(keys, several, ["text_sha256", "text_xxh"]).drop("n")
+    alone = keys.join(several, ["text_sha256", "text_xxh"], "left_anti").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long")})
+    return found.unionByName(alone)
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """One row per document, dropped ones too: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    rows = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    keys = rows.mapInArrow(_digests, _KEYS)
-    return keys.join(winners(docs, id_col, text_col, salts), ["text_sha256", "text_xxh"]).select(
+    return _judged(docs, id_col, text_col, salts).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """``docs`` with all its columns, without the rows that an equal text of a larger ``doc_id`` replaces."""
-    gone = exact_duplicates(docs, id_col, text_col, salts).where(~F.col("kept"))
-    return without(docs, gone, id_col)
+    """``docs`` with all its columns, without the rows that an equal text of a larger ``doc_id`` replaces; of rows that
+    share the winning id and an equal text, any one stays."""
+    judged = written(_judged(docs, id_col, text_col, salts).where("group_size > 1").select("doc_id", "key", "keep_id", "text_sha256", "text_xxh"), "copies")
+    left = without(docs, judged.where("NOT (doc_id <=> keep_id)"), id_col, text_col)
+    twice = judged.where("doc_id <=> keep_id").groupBy("doc_id", "text_sha256", "text_xxh").agg(F.count("*").alias("n"), F.collect_set("key").alias("keys")).where("n > 1")
+    twice = written(twice.select("doc_id", "text_sha256", F.explode("keys").alias("key")), "twice")
+    if twice.isEmpty():
+        return left
+    # rows that share id and text: few, and only they are grouped
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(text_col) == F.col("__key"))
+    marks = twice.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("text_sha256").alias("__sha"))
+    again = left.join(marks, same).drop("__key").dropDuplicates(["__id", "__sha"]).drop("__id", "__sha")
+    return left.join(marks, same, "left_anti").unionByName(again)
 
 
 def op7_exact_dedup(spark, sf_dir):

@@ -3,12 +3,12 @@
 All rolling word 3-gram hashes of all texts are joined to the places of these 3-grams in the templates (a fixed list,
 so broadcast). A hit at word ``p`` of a document and word ``q`` of a template votes for the diagonal ``p - q``; votes are
 aggregated per document, template and diagonal, neighbouring diagonals (words put in or left out) are merged, and a
-merged span is verified: each hit's words must equal the template's, and the hits must cover enough of the template.
+merged span is verified: all words of each hit must equal the template's, and the hits must cover enough of the template.
+Templates are whole license texts where these are short, and the notices by which others are applied.
 
 Fixed base phrases (``cc by``, ``general public license``, ``all rights reserved``) are located word by word besides.
-A null text counts as empty: no words, no labels, score 0. Repeated rows each come back; rows that share a ``doc_id``
-share the method's labels. A null ``doc_id`` gets base labels only. An empty table gives an empty result. Other columns
-are ignored.
+A null text counts as empty: no words, no labels, score 0. Rows, with repeated or null ids too, are labelled by their own
+text: spans are joined back by id and text. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import read, texts
+from shelfmark.llm.common import read, text_key, texts
 
 # Words are what these separate; base phrases and their labels.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -27,22 +27,32 @@ K, SLACK, LEAST_SHARE, PHRASE_SCORE = 3, 2, 0.5, 0.5
 # Wording of public licenses and their usual notices.
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("apache-2.0", "distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl-3", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
-    ("gpl-2", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("agpl-3", "under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0 if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2.0"),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
     ("cc-by-nc", "shared under cc by nc 4.0"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4.0 international license"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4.0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
 ]
 
 
@@ -51,47 +61,51 @@ def _words(text):
     return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
 
 
+def _gram(words, i):
+    """The hash of the words from place ``i`` on, and the words."""
+    own = [F.get(words, i + j) for j in range(K)]
+    return F.xxhash64(*own), F.concat_ws(" ", *own)
+
+
 def template_places(spark: SparkSession, templates=None) -> DataFrame:
-    """``gram, label, template, place, word, grams`` of every 3-gram of the templates; they are few and fixed."""
+    """``gram, label, template, place, wording, grams`` of every 3-gram of the templates; they are few and fixed."""
     rows = [(i, label, text) for i, (label, text) in enumerate(TEMPLATES if templates is None else templates)]
     words = spark.createDataFrame(rows, "template int, label string, text string").withColumn("words", _words(F.col("text")))
     grams = words.where(F.size("words") >= K).withColumn("grams", F.size("words") - (K - 1))
-    return grams.select("template", "label", "grams", "words", F.explode(F.sequence(F.lit(0), F.col("grams") - 1)).alias("place")).select(
-        "template", "label", "grams", "place", F.get("words", F.col("place")).alias("word"),
-        F.xxhash64(*[F.get("words", F.col("place") + i) for i in range(K)]).alias("gram"),
-    )
+    places = grams.select("template", "label", "grams", "words", F.explode(F.sequence(F.lit(0), F.col("grams") - 1)).alias("place"))
+    gram, wording = _gram(F.col("words"), F.col("place"))
+    return places.select("template", "label", "grams", "place", gram.alias("gram"), wording.alias("wording"))
 
 
 def _rolling(words):
-    """An array of ``(gram, word)`` for each place of a 3-gram."""
+    """An array of ``(gram, wording)`` for each place of a 3-gram."""
     last = F.size(words) - K
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i: F.struct(F.xxhash64(*[F.get(words, i + j) for j in range(K)]).alias("gram"), F.get(words, i).alias("word")),
-        ),
-    )
+
+    def at(i):
+        gram, wording = _gram(words, i)
+        return F.struct(gram.alias("gram"), wording.alias("wording"))
+
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), at))
 
 
 def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=None, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Verified spans: ``doc_id, label, template, first_word, last_word, share`` (of the template's 3-grams)."""
+    """Verified spans: ``doc_id, key`` (a hash of the text), ``label, template, first_word, last_word, share`` (of the
+    template's 3-grams)."""
     spark = docs.sparkSession
-    rolled = texts(docs, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("words"))
-    grams = rolled.select("doc_id", F.posexplode(_rolling(F.col("words"))).alias("at", "g"))
-    hits = grams.select("doc_id", "at", "g.gram", F.col("g.word").alias("doc_word")).join(
-        F.broadcast(template_places(spark, templates)), "gram"
-    )
-    hits = hits.where("doc_word = word").withColumn("diagonal", F.col("at") - F.col("place"))
-    votes = hits.groupBy("doc_id", "template", "label", "grams", "diagonal").agg(
+    row = ["doc_id", "key"]
+    rolled = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), _words(F.col("text")).alias("words"))
+    grams = rolled.select(*row, F.posexplode(_rolling(F.col("words"))).alias("at", "g"))
+    hits = grams.select(*row, "at", "g.gram", F.col("g.wording").alias("written")).join(F.broadcast(template_places(spark, templates)), "gram")
+    hits = hits.where("written = wording").withColumn("diagonal", F.col("at") - F.col("place"))
+    votes = hits.groupBy(*row, "template", "label", "grams", "diagonal").agg(
         F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last")
     )
-    by_diagonal = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    by_diagonal = Window.partitionBy(*row, "template").orderBy("diagonal")
     merged = votes.withColumn("apart", (F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > SLACK).cast("int")).withColumn(
         "span", F.sum(F.coalesce("apart", F.lit(0))).over(by_diagonal)
     )
     return (
-        merged.groupBy("doc_id", "template", "label", "grams", "span")
+        merged.groupBy(*row, "template", "label", "grams", "span")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"),
             F.min("first").cast("long").alias("first_word"),
@@ -99,7 +113,7 @@ def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
         .withColumn("share", F.col("covered") / F.col("grams"))
         .where(F.col("share") >= least_share)
-        .select("doc_id", "label", "template", "first_word", "last_word", "share")
+        .select(*row, "label", "template", "first_word", "last_word", "share")
     )
 
 
@@ -126,18 +140,18 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The score is the best share of a template that a span covers; a base phrase alone scores ``PHRASE_SCORE``.
     """
-    rows = texts(docs, id_col, text_col).select("doc_id", _words(F.col("text")).alias("words"))
-    based = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), *[_places(F.col("words"), p).alias(f"p{i}") for i, p in enumerate(PHRASES)])
+    rows = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), _words(F.col("text")).alias("words"))
+    based = rows.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), *[_places(F.col("words"), p).alias(f"p{i}") for i, p in enumerate(PHRASES)])
     every = F.concat(*[F.col(f"p{i}") for i in range(len(PHRASES))])
     labels = F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())]))
     based = based.select(
-        "doc_id", "n_words", F.size(every).cast("long").alias("n_base"),
+        "doc_id", "key", "n_words", F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
         F.sort_array(labels).alias("base"),
     )
     spans = license_spans(docs, id_col, text_col, templates, least_share)
-    found = spans.groupBy("doc_id").agg(F.collect_set("label").alias("more"), F.max("share").alias("score"))
-    return based.join(found, "doc_id", "left").select(
+    found = spans.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_set("label").alias("more"), F.max("share").alias("score"))
+    return based.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.sort_array(F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))), ",").alias("labels"),
         F.greatest(F.coalesce("score", F.lit(0.0)), F.when(F.col("n_base") > 0, PHRASE_SCORE).otherwise(0.0)).alias("score"),

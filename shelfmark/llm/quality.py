@@ -1,21 +1,28 @@
-"""Quality by the perplexity under an interpolated modified Kneser-Ney bigram model of trusted text.
-
-Trusted texts are those labelled good and not toxic, all of them. Words (runs of other bytes than the six ASCII spaces,
-after lower-casing A-Z) that are frequent in a language's trusted texts form its vocabulary: the ``vocabulary`` most
-frequent at most, all words of a count or none. Other words fall into four classes by the symbols they hold. Bigrams
-are counted per task, combined and sharded by Spark; discounts, context totals and continuation counts are aggregated
-from the sharded counts.
-
-A document's perplexity needs the counts of its bigrams. Up to ``small`` counts travel to the documents; beyond that,
-the documents' bigrams are joined to the sharded counts by a shuffle, with the same result. What a trusted document
-itself added to the counts is taken off before it is scored, so that its score compares with that of other texts.
-
-The mean log probability of a text is compared with its language's, in units of the deviation that a text of its length
-has; thresholds are quantiles of that score over the language's trusted texts, on both sides: text that is too hard to
-foresee is no prose of the language, text that is too easy repeats itself.
-
-A null or empty text has no perplexity and is not kept. A text of a language (or a null language) without trusted
-texts cannot be judged and is kept. Null or repeated ``doc_id``: each row is judged by itself. Empty tables: nothing is
+"""Quality by the perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
+
+Trusted texts are those labelled good and not toxic. By a hash of the text, three quarters train the model and the rest is
+held out to set thresholds (copies of a text are on one side). Words (runs of other bytes than the six ASCII spaces, after
+lower-casing A-Z) that trusted texts have twice or more are the vocabulary, each language's its own; if they are more than
+``vocabulary`` (a million), the rarest counts are left out. Other words fall into four classes by the symbols they hold.
+
+1. *Counts.* Trigrams ``u v w`` of the training texts are counted per task, dealt into shards by their middle word, and
+   merged there. With all of ``v`` in one shard, the counts of ``u v w``, the totals of contexts ``u v``, the number of
+   ``u`` before each ``v w``, and the totals of contexts ``v`` are all at hand in it. Counts of counts give the discounts of
+   each language and order; the number of ``v`` before each ``w`` is summed over the shards.
+2. *Join.* Each document's distinct trigrams are shuffled to the same shards (a group of documents at a time: each trigram
+   once, with the documents that have it and how often), looked up, and scored. What goes back is one sum per document
+   and shard.
+3. *Threshold.* The mean log probability of a text is compared with its language's, in units of the deviation that a text of
+   its length has. The threshold is the ``quantile`` of that score over the language's held-out trusted texts: text below it
+   is too hard to foresee to be prose of the language. Low perplexity is no reason to reject: training texts and copies of
+   them have it too.
+
+Only the vocabulary with its unigram probabilities (12 bytes a word, at most ``vocabulary`` words) is broadcast; trigram
+counts and the documents' trigrams are only shuffled. A word that is very frequent as ``v`` is one shard's, but only its
+distinct trigrams are, once for each group of documents; they are read as a stream against that shard's counts.
+
+A null or empty text has no perplexity and is not kept. A text of a language (or a null language) without trusted texts on
+both sides cannot be judged and is kept. Null or repeated ``doc_id``: each row is judged by itself. Empty tables: nothing is
 trusted, so nothing is judged. Other columns are ignored.
 """
 
@@ -25,20 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import words
-from shelfmark.llm.common import read, written, without
+from shelfmark.llm.common import discard, partitions, read, text_key, without, written
 
-VOCABULARY, SMALL, QUANTILE, SLACK = 1 << 10, 1 << 24, 0.002, 0.25
-#: A score within so many deviations is never out, however few trusted texts a language has.
-LEAST_DEVIATION = 3.0
+VOCABULARY, QUANTILE, HELD_OUT = 1 << 20, 0.005, 4
 #: Bytes that are neither letters nor digits nor spaces.
 _SYMBOLS = words.BLACK & ~words.ALNUM
 _CLASSES = 4
-#: Trusted ids up to which they are broadcast.
-_SMALL_IDS = 4_000_000
+#: Bits of a word's number, trigrams that a task counts at once, trusted ids up to which they are broadcast.
+_BITS, _AT_ONCE, _SMALL_IDS = 21, 4_000_000, 4_000_000
+_WORD = (1 << _BITS) - 1
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -48,31 +55,36 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``doc_id, key, lang, text, side``: 1 trains the model, 2 is held out, 0 is not trusted."""
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
+        F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("key"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
     ids = trusted.select(F.col("doc_id").alias("__trusted"))
     if ids.count() <= _SMALL_IDS:
         ids = F.broadcast(ids)
-    return rows.join(ids, rows.doc_id == F.col("__trusted"), "left").select("doc_id", "lang", "text", F.col("__trusted").isNotNull().alias("trusted"))
+    side = F.when(F.col("__trusted").isNull(), 0).when(F.pmod("key", F.lit(HELD_OUT)) == 0, 2).otherwise(1)
+    return rows.join(ids, rows.doc_id == F.col("__trusted"), "left").select("doc_id", "key", "lang", "text", side.alias("side"))
 
 
+# --- vocabulary
+
 def _shape(symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The class of an unknown word: without symbols; with one or two besides letters; with more, or of symbols alone."""
     return np.where(symbols == length, 3, np.minimum(symbols, 3))
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple]:
+def _grouped(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """First row, languages and words of groups of a batch's texts."""
     raw, langs = batch.column("text").to_pylist(), np.array(batch.column("lang").to_pylist(), object)
     for first, some in words.groups(raw):
-        yield first, len(some), langs[first : first + len(some)], words.hashed(some, words.BLACK, count=_SYMBOLS)
+        yield first, langs[first : first + len(some)], words.hashed(some, words.BLACK, count=_SYMBOLS)
 
 
 def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``lang, word, n`` of a task's trusted texts."""
+    """``lang, word, n`` of a task's texts."""
     for batch in batches:
-        for _, _, langs, (text, word, _, _) in _pieces(batch):
+        for _, langs, (text, word, _, _) in _grouped(batch):
             for lang in set(langs):
                 own, n = np.unique(word[langs[text] == lang], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.view(np.int64)), pa.array(n)], names=["lang", "word", "n"])
@@ -88,267 +100,437 @@ class Vocabulary:
             self.base[lang] = at
             at += len(w) + _CLASSES + 1
         self.size = at
-
-    def language(self, lang: str) -> tuple[int, int]:
-        """First number and number of predictable words."""
-        return self.base[lang], len(self.words[lang]) + _CLASSES
-
-    def bigrams(self, langs: np.ndarray, hashed: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-        """``(text, key)`` of the bigrams of texts in known languages; a key is context << 32 | word."""
+        if at > _WORD:
+            raise ValueError(f"{at} words are more than {_WORD}")
+        #: By language, in order: first number, and the start's number, which is the last.
+        self.bases = np.array([self.base[lang] for lang in self.words], np.int64)
+        self.starts = np.array([self.base[lang] + len(w) + _CLASSES for lang, w in self.words.items()], np.int64)
+
+    def trigrams(self, langs: np.ndarray, hashed: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """``(text, key)`` of the trigrams of texts in known languages; a key is ``v, u, w`` of 21 bits each."""
         text, word, symbols, length = hashed
-        number = np.full(len(word), -1, np.int64)
-        lang_of = langs[text]
-        for lang in set(langs) & set(self.words):
-            mine = np.flatnonzero(lang_of == lang)
-            known, w = self.words[lang], word[mine]
+        number, start = np.full(len(word), -1, np.int64), np.zeros(len(langs), np.int64)
+        for i, (lang, known) in enumerate(self.words.items()):
+            start[langs == lang] = self.starts[i]
+            mine = np.flatnonzero((langs == lang)[text])
+            w = word[mine]
             at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
             hit = known[at] == w if len(known) else np.zeros(len(w), bool)
             number[mine] = self.base[lang] + np.where(hit, at, len(known) + _shape(symbols[mine], length[mine]))
         keep = number >= 0
-        text, number, lang_of = text[keep], number[keep], lang_of[keep]
-        starts = {lang: self.base[lang] + len(w) + _CLASSES for lang, w in self.words.items()}
+        text, w = text[keep], number[keep]
         first = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.zeros(0, bool)
-        context = np.concatenate([[0], number[:-1]]) if len(text) else number
-        context[first] = [starts[x] for x in lang_of[first]]
-        return text, context << 32 | number
+        v = np.where(first, start[text], np.concatenate([[0], w[:-1]])) if len(text) else w
+        u = np.where(first, start[text], np.concatenate([[0], v[:-1]])) if len(text) else w
+        return text, v << 2 * _BITS | u << _BITS | w
+
+    def language(self, number: np.ndarray) -> np.ndarray:
+        """Which language a number belongs to."""
+        return np.searchsorted(self.bases, number, side="right") - 1
+
+
+def known_words(good: DataFrame, vocabulary: int) -> Vocabulary:
+    """The vocabulary of the training rows: words of count 2 and more, by falling count as far as all of a count fit."""
+    counts = written(good.mapInArrow(_unigrams, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "unigrams")
+    langs = [r["lang"] for r in counts.select("lang").distinct().collect()]
+    # words of each count: as many rows as there are different counts below the threshold that matters
+    by_count = counts.where("n > 1").groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
+    room, least = vocabulary - len(langs) * (_CLASSES + 1), 1 << 62
+    for r in by_count:
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["n"]
+    # no more rows than `vocabulary`
+    kept = counts.where(F.least("n", F.lit(100_000)) >= least).select("lang", "word").toArrow()
+    discard(counts)
+    lang, word = kept.column("lang").to_numpy(zero_copy_only=False), kept.column("word").to_numpy()
+    return Vocabulary({x: word[lang == x] for x in langs})
+
+
+# --- sorted keys as bytes
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    return np.int64(len(values)).tobytes() + pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+
 
+def unpacked(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw[:8], np.int64)[0])
+    planes = np.frombuffer(pa.Codec("zstd").decompress(raw[8:], 8 * n, asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<i8")[:, 0]
+
+
+def _deltas(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=0)
+
+
+def _shards(keys: np.ndarray, n: int) -> np.ndarray:
+    """The shard of each key, by its middle word."""
+    return (words.mixed((keys >> 2 * _BITS).astype(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+
+def _by_shard(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shards and the places of their keys; sorted keys stay sorted within a shard."""
+    shard = _shards(keys, n)
+    order = np.argsort(shard, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield int(shard[order[a]]), order[a:b]
+
+
+# --- counts
+
+_COUNTS, _ASKED, _KNOWN = 0, 1, 2
+_BLOCK = "shard int, kind int, keys binary, counts binary"
+_BLOCK_NAMES = ["shard", "kind", "keys", "counts"]
+
+
+def _blocks(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=_BLOCK_NAMES)
+
+
+def _counted(vocabulary, n: int):
+    """Trigrams of a task's texts with their counts, a block per shard."""
+
+    def blocks(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        return _blocks([(shard, _COUNTS, packed(_deltas(keys[at])), packed(counts[at])) for shard, at in _by_shard(keys, n)])
 
-def _bigram_counts(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        known, held, size = Vocabulary(vocabulary.value), [], 0
         for batch in batches:
-            for _, _, langs, hashed in _pieces(batch):
-                held.append(vocabulary.bigrams(langs, hashed)[1])
-                n += len(held[-1])
-                if n >= 4_000_000:
-                    yield _counted(held)
-                    held, n = [], 0
-        if held:
-            yield _counted(held)
+            for _, langs, hashed in _grouped(batch):
+                held.append(known.trigrams(langs, hashed)[1])
+                size += len(held[-1])
+                if size >= _AT_ONCE:
+                    yield blocks(held)
+                    held, size = [], 0
+        if size:
+            yield blocks(held)
+
+    return run
+
+
+def _merge(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all blocks in order, with the sum of their counts."""
+    keys, counts = (np.concatenate(x) for x in zip(*blocks, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[new], np.add.reduceat(counts, new)
+
+
+def _each_shard(batches: Iterator[pa.RecordBatch], kind: int) -> Iterator[tuple[int, list, Iterator]]:
+    """Rows sorted by shard and kind: each shard, its rows of the first kinds up to ``kind``, and those after them as a stream."""
+    rows = (r for b in batches for r in zip(*(b.column(c) for c in b.schema.names), strict=True))
+    row = next(rows, None)
+    while row is not None:
+        shard, head = row[0].as_py(), []
+        while row is not None and row[0].as_py() == shard and row[1].as_py() <= kind:
+            head.append(row)
+            row = next(rows, None)
+
+        def rest():
+            nonlocal row
+            while row is not None and row[0].as_py() == shard:  # noqa: B023
+                yield row
+                row = next(rows, None)
+
+        tail = rest()
+        yield shard, head, tail
+        for _ in tail:
+            pass
+
+
+def _totals(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of values of sorted keys."""
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[new], np.add.reduceat(values, new) if len(new) else values[:0]
+
+
+class Counts:
+    """A shard's counts: trigrams, contexts ``v u``, continuations ``v w`` and contexts ``v``, each sorted."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, starts: np.ndarray):
+        self.keys, self.counts = keys, counts
+        pair = (keys >> 2 * _BITS) << _BITS | keys & _WORD
+        order = np.argsort(pair, kind="stable")
+        self.after, self.before = _totals(pair[order], np.ones(len(pair), np.int64))
+        # nothing stands before the start: what follows it is counted as it is
+        first = np.isin(self.after >> _BITS, starts)
+        if first.any():
+            self.before = np.where(first, _totals(pair[order], counts[order])[1], self.before)
+
+
+def _merged(starts: np.ndarray):
+    """Each shard's counts in one block; the counts of counts by language and order, and the number of ``v`` before ``w``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, head, _ in _each_shard(batches, _COUNTS):
+            keys, counts = _merge([(np.cumsum(unpacked(r[2].as_py())), unpacked(r[3].as_py())) for r in head])
+            yield _blocks([(shard, _COUNTS, packed(_deltas(keys)), packed(counts))])
+            own = Counts(keys, counts, starts)
+            word, n = np.unique(own.after & _WORD, return_counts=True)
+            yield _blocks([(shard, _ASKED, packed(_deltas(word)), packed(n))])
+            some = []
+            for order, (k, c) in ((3, (keys >> 2 * _BITS, counts)), (2, (own.after >> _BITS, own.before))):
+                lang = np.searchsorted(starts, k)
+                low = c <= 4
+                some.append(np.stack([np.full(low.sum(), order), lang[low], c[low]], axis=1))
+            kinds, n = np.unique(np.concatenate(some), axis=0, return_counts=True)
+            yield _blocks([(shard, _KNOWN, packed(kinds.ravel()), packed(n))])
 
     return run
 
 
-def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
-    key, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, n``: the number of ``v`` before each ``w``, summed within a task."""
+    parts = [(np.cumsum(unpacked(k.as_py())), unpacked(c.as_py())) for b in batches for k, c in zip(b.column("keys"), b.column("counts"), strict=True)]
+    if parts:
+        word, n = _merge(parts)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], names=["word", "n"])
 
 
-def _discounts(of: dict[int, int]) -> tuple[float, float, float]:
-    """D1, D2, D3+ from counts of counts."""
+def discounts(of: dict[int, int]) -> list[float]:
+    """The discounts of counts 0, 1, 2, 3+ from the counts of counts; fixed ones where no count is 1."""
     n1, n2, n3, n4 = (of.get(i, 0) for i in (1, 2, 3, 4))
     if not n1:
-        return 0.0, 0.0, 0.0
+        return [0.0, 0.5, 1.0, 1.5]
     y = n1 / (n1 + 2 * n2)
     d = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5
-    return tuple(min(max(x, 0.0), i + 1.0) for i, x in enumerate(d))
+    return [0.0, *(min(max(x, 0.0), i + 1.0) for i, x in enumerate(d))]
+
+
+def _discounted(counts: np.ndarray, lang: np.ndarray, by_lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts less their discounts, and the discounts."""
+    d = by_lang[lang, np.minimum(counts, 3)]
+    return np.maximum(counts - d, 0.0), d
 
 
 class Model:
-    """The vocabulary, and the model's arrays that are as long as the vocabulary."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        n = vocabulary.size
-        self.vocabulary = vocabulary
-        self.total, self.gamma, self.lower = np.zeros(n), np.ones(n), np.zeros(n)
-        self.discount = np.zeros((n, 4))  # by context: of counts 0, 1, 2, 3+
-
-    def plain(self) -> tuple:
-        """What a broadcast can carry where this package is not installed."""
-        return self.vocabulary.words, self.total, self.gamma, self.lower, self.discount
-
-    @classmethod
-    def of(cls, plain: tuple) -> Model:
-        model = cls(Vocabulary({lang: w.view(np.int64) for lang, w in plain[0].items()}))
-        model.total, model.gamma, model.lower, model.discount = plain[1:]
-        return model
-
-    def probability(self, key: np.ndarray, count: np.ndarray, own: np.ndarray, own_context: np.ndarray) -> np.ndarray:
-        """P(word | context) from the bigrams' counts, less what the text itself added."""
-        context, word = key >> 32, key & 0xFFFFFFFF
-        c, t = count - own, self.total[context] - own_context
-        d = self.discount[context, np.minimum(np.maximum(c, 0), 3).astype(np.int64)]
-        seen = t > 0
-        return np.where(seen, np.maximum(c - d, 0) / np.where(seen, t, 1), 0) + np.where(seen, self.gamma[context], 1.0) * self.lower[word]
-
-
-def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame]:
-    """The model of the trusted ``rows``, and the sharded bigram counts ``key, n``."""
-    spark = rows.sparkSession
-    good = rows.where("trusted").select("lang", "text")
-    counts = written(good.mapInArrow(_unigrams, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "unigrams")
-    # the least count whose words still fit: from the number of words of each count
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"))
-    fits = counts.groupBy("lang", "n").agg(F.count("*").alias("m")).withColumn("all", F.sum("m").over(by_count)).where(F.col("all") <= vocabulary)
-    least = fits.groupBy("lang").agg(F.min("n").alias("least"))
-    # bounded: at most `vocabulary` words a language
-    kept = counts.join(F.broadcast(least), "lang").where("n >= least AND n > 1").select("lang", "word").toArrow()
-    langs = [r["lang"] for r in counts.select("lang").distinct().collect()]
-    lang, word = np.array(kept.column("lang").to_pylist(), object), kept.column("word").to_numpy()
-    known = Vocabulary({x: word[lang == x] for x in langs})
-    model = Model(known)
-    bigrams = written(good.mapInArrow(_bigram_counts(known), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "bigrams")
-    wide = bigrams.select(F.shiftright("key", 32).alias("context"), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word"), "n")
-    kind = F.least("n", F.lit(3))
-    by_context = wide.groupBy("context").agg(F.sum("n").alias("total"), *[F.count_if(kind == i).alias(f"n{i}") for i in (1, 2, 3)]).toArrow()
-    by_word = wide.groupBy("word").agg(F.count("*").alias("n")).toArrow()
-    bases = [(lang, *known.language(lang)) for lang in known.words]
-    edges = np.array([b for _, b, _ in bases])
-    of_lang = F.lit(0)
-    for i, b in enumerate(edges[1:], 1):
-        of_lang = F.when(F.col("context") >= int(b), i).otherwise(of_lang)
-    counts_of = wide.where("n <= 4").groupBy(of_lang.alias("i"), "n").count().collect()
-    context, total = by_context.column("context").to_numpy(), by_context.column("total").to_numpy()
-    model.total[context] = total
-    word, contexts = by_word.column("word").to_numpy(), by_word.column("n").to_numpy()
-    continued = np.zeros(known.size)
-    continued[word] = contexts
-    for i, (_, base, n) in enumerate(bases):
-        d = _discounts({r["n"]: r["count"] for r in counts_of if r["i"] == i})
-        model.discount[base : base + n + 1] = (0.0, *d)
-        mine = (context >= base) & (context < base + n + 1)
-        parts = [by_context.column(f"n{k}").to_numpy()[mine] for k in (1, 2, 3)]
-        model.gamma[context[mine]] = sum(x * y for x, y in zip(d, parts, strict=True)) / total[mine]
-        c = continued[base : base + n]
-        e = np.array([0.0, *_discounts({k: int((c == k).sum()) for k in (1, 2, 3, 4)})])[np.minimum(c, 3).astype(int)]
-        e = np.minimum(e, c)
-        model.lower[base : base + n] = (c - e) / c.sum() + e.sum() / c.sum() / n if c.sum() else 1 / n
-    return model, bigrams
-
-
-_SCORES = "doc_id long, lang string, trusted boolean, n_words long, total double, squares double"
-
-
-def _looked_up(model: Model, keys: np.ndarray, counts: np.ndarray):
-    """Scores against counts that are at hand, sorted by key."""
+    """What all shards need: the words' unigram probabilities, the starts of languages, and discounts by language."""
+
+    def __init__(self, starts: np.ndarray, unigram: np.ndarray, bigrams: np.ndarray, trigrams: np.ndarray):
+        self.starts, self.unigram, self.bigrams, self.trigrams = starts, unigram, bigrams, trigrams
+
+    def fitted(self, counts: Counts) -> None:
+        """Adds to a shard's counts the probabilities' parts that they give."""
+        lang = np.searchsorted(self.starts, counts.keys >> 2 * _BITS)
+        kept, d = _discounted(counts.counts, lang, self.trigrams)
+        counts.context, total = _totals(counts.keys >> _BITS, counts.counts)
+        at = np.searchsorted(counts.context, counts.keys >> _BITS)
+        counts.high = kept / total[at]
+        counts.high_rest = np.bincount(at, d, len(total)) / total
+        lang = np.searchsorted(self.starts, counts.after >> _BITS)
+        kept, d = _discounted(counts.before, lang, self.bigrams)
+        counts.middle, total = _totals(counts.after >> _BITS, counts.before)
+        at = np.searchsorted(counts.middle, counts.after >> _BITS)
+        counts.low = kept / total[at]
+        counts.low_rest = np.bincount(at, d, len(total)) / total
+
+    def logs(self, counts: Counts, keys: np.ndarray) -> np.ndarray:
+        """Natural logarithms of P(w | u v)."""
+
+        def found(known: np.ndarray, wanted: np.ndarray, values: np.ndarray, other: float) -> np.ndarray:
+            if not len(known):
+                return np.full(len(wanted), other)
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            return np.where(known[at] == wanted, values[at], other)
+
+        v, w = keys >> 2 * _BITS, keys & _WORD
+        low = found(counts.after, v << _BITS | w, counts.low, 0.0) + found(counts.middle, v, counts.low_rest, 1.0) * self.unigram[w]
+        high = found(counts.keys, keys, counts.high, 0.0) + found(counts.context, keys >> _BITS, counts.high_rest, 1.0) * low
+        return np.log(high)
+
+
+def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Vocabulary, Model, DataFrame]:
+    """The vocabulary and model of the rows of side 1, and the written table of sharded counts."""
+    spark, n = rows.sparkSession, partitions(rows.sparkSession)
+    good = rows.where("side = 1").select("lang", "text")
+    known = known_words(good, vocabulary)
+    sent = spark.sparkContext.broadcast(known.words)
+    dealt = good.mapInArrow(_counted(sent, n), _BLOCK).repartition(n, "shard").sortWithinPartitions("shard", "kind")
+    tables = written(dealt.mapInArrow(_merged(known.starts), _BLOCK), "trigrams")
+    sent.destroy()
+    before = tables.where(F.col("kind") == _ASKED).select("keys", "counts").mapInArrow(_exploded, "word long, n long")
+    # no more rows than the vocabulary has words
+    before = before.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    of: dict[tuple[int, int], dict[int, int]] = {}
+    for r in tables.where(F.col("kind") == _KNOWN).select("keys", "counts").collect():  # a few rows of numbers per shard
+        for (order, lang, c), m in zip(unpacked(r["keys"]).reshape(-1, 3).tolist(), unpacked(r["counts"]).tolist(), strict=True):
+            own = of.setdefault((order, lang), {})
+            own[c] = own.get(c, 0) + m
+    langs = range(len(known.words))
+    bigrams, trigrams = (np.array([discounts(of.get((order, i), {})) for i in langs]).reshape(-1, 4) for order in (2, 3))
+    count, unigram = np.zeros(known.size, np.int64), np.zeros(known.size)
+    count[before.column("word").to_numpy()] = before.column("n").to_numpy()
+    for base, start in zip(known.bases.tolist(), known.starts.tolist(), strict=True):
+        own = count[base:start]
+        d = np.array(discounts({i: int((own == i).sum()) for i in (1, 2, 3, 4)}))[np.minimum(own, 3)]
+        unigram[base:start] = (np.maximum(own - d, 0) + d.sum() / len(own)) / own.sum() if own.sum() else 1 / len(own)
+    return known, Model(known.starts, unigram, bigrams, trigrams), tables
+
+
+# --- scores
+
+_ASK = _BLOCK + ", chunk long, docs binary, meta binary"
+_ASK_NAMES = [*_BLOCK_NAMES, "chunk", "docs", "meta"]
+
+
+def _asked(vocabulary, n: int):
+    """For each group of texts: a block per shard of the distinct trigrams, which texts have them and how often; and one
+    block that says whose texts they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, chunk = Vocabulary(vocabulary.value), TaskContext.get().partitionId() << 36
         for batch in batches:
-            trusted = np.asarray(batch.column("trusted").to_pylist(), bool)
-            n, total, squares = (np.zeros(batch.num_rows) for _ in range(3))
-            for first, size, langs, hashed in _pieces(batch):
-                text, key = model.vocabulary.bigrams(langs, hashed)
-                at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-                count = np.where(keys[at] == key, counts[at], 0) if len(keys) else np.zeros(len(key), np.int64)
-                own, own_context = _own(text, key, trusted[first : first + size])
-                logs = np.log(model.probability(key, count, own, own_context))
-                n[first : first + size] = np.bincount(text, minlength=size)
-                total[first : first + size] = np.bincount(text, logs, size)
-                squares[first : first + size] = np.bincount(text, logs * logs, size)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "lang", "trusted")), pa.array(n.astype(np.int64)), pa.array(total), pa.array(squares)],
-                names=[x.split()[0] for x in _SCORES.split(", ")],
-            )
+            for first, langs, hashed in _grouped(batch):
+                text, key = known.trigrams(langs, hashed)
+                order = np.lexsort((text, key))
+                text, key = text[order], key[order]
+                new = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+                times = np.diff(np.append(new, len(key)))
+                text, key = text[new], key[new]
+                rows = []
+                for shard, at in _by_shard(key, n):
+                    own = key[at]
+                    cut = np.flatnonzero(np.diff(own, prepend=-1))
+                    of = np.diff(np.append(cut, len(own)))
+                    rows.append((shard, _ASKED, packed(_deltas(own[cut])), packed(of), chunk, packed(text[at]), packed(times[at])))
+                whose = pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(first, len(langs)) for c in ("doc_id", "key", "lang", "side")),
+                        pa.array(np.bincount(hashed[0], minlength=len(langs))), pa.array(np.bincount(text, times, len(langs)) > 0),
+                    ],
+                    names=["doc_id", "key", "lang", "side", "n_words", "known"],
+                )
+                rows.append((chunk % n, _KNOWN, None, None, chunk, None, _ipc(whose)))
+                types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=_ASK_NAMES)
+                chunk += 1
 
     return run
 
 
-def _own(text: np.ndarray, key: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often a trusted text itself has each of its bigrams, and each of their contexts."""
-    out = []
-    for value in (key, key >> 32):
-        own = np.zeros(len(key), np.int64)
-        at = np.flatnonzero(trusted[text])
-        if len(at):
-            order = at[np.lexsort((value[at], text[at]))]
-            new = np.concatenate([[True], (value[order][1:] != value[order][:-1]) | (text[order][1:] != text[order][:-1])])
-            group = np.cumsum(new) - 1
-            own[order] = np.bincount(group)[group]
-        out.append(own)
-    return out[0], out[1]
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
 
+_SUMS = "chunk long, sums binary, meta binary, squares binary"
 
-def _spelled(model: Model):
-    """A row per document and distinct bigram, for the join with the sharded counts; documents are numbered."""
+
+def _answered(model):
+    """Sums of log probabilities of each group's texts in this shard; sums of squares by the trigrams' language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("row").to_numpy()
-            trusted = np.asarray(batch.column("trusted").to_pylist(), bool)
-            for first, size, langs, hashed in _pieces(batch):
-                text, key = model.vocabulary.bigrams(langs, hashed)
-                own, own_context = _own(text, key, trusted[first : first + size])
-                order = np.lexsort((key, text))
-                text, key, own, own_context = text[order], key[order], own[order], own_context[order]
-                new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])])) if len(key) else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(key)))
-                columns = (ids[first + text[new]], key[new], times, own[new], own_context[new])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "key", "times", "own", "own_context"])
+        own = Model(*model.value)
+        for _, head, rest in _each_shard(batches, _COUNTS):
+            blocks = [(np.cumsum(unpacked(r[2].as_py())), unpacked(r[3].as_py())) for r in head]
+            counts = Counts(*(_merge(blocks) if blocks else (np.zeros(0, np.int64),) * 2), own.starts)
+            own.fitted(counts)
+            out: list[tuple] = []
+            for _, kind, keys, of, chunk, docs, meta in rest:
+                if kind.as_py() == _KNOWN:
+                    out.append((chunk.as_py(), None, meta.as_py(), None))
+                else:
+                    keys, docs = np.cumsum(unpacked(keys.as_py())), unpacked(docs.as_py())
+                    logs, times = np.repeat(own.logs(counts, keys), unpacked(of.as_py())), unpacked(meta.as_py())
+                    # texts that have no trigram here are left out of the sums
+                    some, at = np.unique(docs, return_inverse=True)
+                    out.append((chunk.as_py(), packed(_deltas(some)), np.bincount(at, times * logs).tobytes(), np.bincount(at, times * logs * logs).astype("<f4").tobytes()))
+                if len(out) >= 256:
+                    yield _sums(out)
+                    out = []
+            if out:
+                yield _sums(out)
 
     return run
 
 
-def _joined(rows: DataFrame, model: Model, bigrams: DataFrame) -> DataFrame:
-    """The same scores by joining the documents' bigrams with the sharded counts."""
-    numbered = written(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
-    spelled = numbered.mapInArrow(_spelled(model), "row long, key long, times long, own long, own_context long")
+def _sums(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["chunk", "sums", "meta", "squares"])
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, times, own, own_context, count = (batch.column(c).to_numpy() for c in ("key", "times", "own", "own_context", "count"))
-            logs = np.log(model.probability(key, count, own, own_context))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("times"), pa.array(times * logs), pa.array(times * logs * logs)], names=["row", "times", "total", "squares"])
-
-    found = spelled.join(bigrams, "key", "left").select("row", "key", "times", "own", "own_context", F.coalesce("n", F.lit(0)).alias("count"))
-    sums = found.mapInArrow(scored, "row long, times long, total double, squares double").groupBy("row")
-    sums = sums.agg(F.sum("times").alias("n_words"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
-    return numbered.drop("text").join(sums, "row", "left").select(
-        "doc_id", "lang", "trusted", *[F.coalesce(c, F.lit(0)).cast(t).alias(c) for c, t in (("n_words", "long"), ("total", "double"), ("squares", "double"))]
-    )
-
-
-def perplexities(rows: DataFrame, vocabulary: int = VOCABULARY, small: int = SMALL) -> DataFrame:
-    """``doc_id, lang, trusted, n_words, total, squares``: the sum of log probabilities and of their squares."""
-    model, bigrams = train(rows, vocabulary)
-    if bigrams.count() > small:
-        return _joined(rows, model, bigrams)
-    table = bigrams.toArrow()
-    keys, counts = table.column("key").to_numpy(), table.column("n").to_numpy()
-    order = np.argsort(keys)
-    sent = rows.sparkSession.sparkContext.broadcast((model.plain(), keys[order], counts[order].astype(np.int32)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, known, n = sent.value
-        return _looked_up(Model.of(plain), known, n)(batches)
+_SCORES = "doc_id long, key long, lang string, side int, n_words long, known boolean, total double, squares double"
+
 
-    return rows.mapInArrow(run, _SCORES)
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads (whose texts, sums of each shard) group by group."""
+
+    def done():
+        return pa.RecordBatch.from_arrays([*whose.columns, pa.array(total), pa.array(squares)], names=[x.split()[0] for x in _SCORES.split(", ")])
+
+    whose = None
+    for batch in batches:
+        for sums, meta, square in zip(*(batch.column(c) for c in ("sums", "meta", "squares")), strict=True):
+            if not sums.is_valid:
+                if whose is not None:
+                    yield done()
+                whose = pa.ipc.open_stream(meta.as_buffer()).read_next_batch()
+                total, squares = np.zeros(len(whose)), np.zeros(len(whose))
+            else:
+                at = np.cumsum(unpacked(sums.as_py()))
+                total[at] += np.frombuffer(meta.as_buffer(), np.float64)
+                squares[at] += np.frombuffer(square.as_buffer(), "<f4")
+    if whose is not None:
+        yield done()
+
+
+def perplexities(rows: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+    """``doc_id, key, lang, side, n_words, known, total, squares``: the sums of log probabilities and of their squares."""
+    spark, n = rows.sparkSession, partitions(rows.sparkSession)
+    known, model, tables = train(rows, vocabulary)
+    names = spark.sparkContext.broadcast(known.words)
+    parts = spark.sparkContext.broadcast((model.starts, model.unigram, model.bigrams, model.trigrams))
+    counts = tables.where(F.col("kind") == _COUNTS)
+    asked = rows.mapInArrow(_asked(names, n), _ASK)
+    dealt = counts.unionByName(asked, allowMissingColumns=True).repartition(n, "shard").sortWithinPartitions("shard", "kind")
+    answers = dealt.mapInArrow(_answered(parts), _SUMS).repartition(n, "chunk").sortWithinPartitions("chunk", F.col("sums").isNotNull())
+    scores = written(answers.mapInArrow(_scored, _SCORES), "scores")
+    for sent in (names, parts):
+        sent.destroy()
+    discard(tables)
+    return scores
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, small: int = SMALL, quantile: float = QUANTILE, slack: float = SLACK,
+    docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, quantile: float = QUANTILE,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
-    """One row per document: ``doc_id, lang, n_words, perplexity, score, low, high, kept``.
+    """One row per document: ``doc_id, key, lang, n_words, perplexity, score, low, kept``.
 
-    ``low`` and ``high`` are the language's ``quantile`` and ``1 - quantile`` of trusted texts' scores, moved apart by the share ``slack`` and
-    at least ``LEAST_DEVIATION`` from 0.
+    ``low`` is the ``quantile`` of the scores of the language's held-out trusted texts.
     """
-    rows = _rows(docs, trusted_ids(labels), id_col, text_col, lang_col)
-    scored = written(perplexities(rows, vocabulary, small), "scores")
-    good = scored.where("trusted AND n_words > 0")
+    scored = perplexities(_rows(docs, trusted_ids(labels), id_col, text_col, lang_col), vocabulary)
+    good = scored.where("side = 2 AND known")
     means = good.groupBy("lang").agg((F.sum("total") / F.sum("n_words")).alias("mean"), (F.sum("squares") / F.sum("n_words")).alias("square"))
     means = means.select("lang", "mean", (F.col("square") - F.col("mean") ** 2).alias("within"))
     off = F.col("total") / F.col("n_words") - F.col("mean")
     between = good.join(F.broadcast(means), "lang").groupBy("lang").agg(F.greatest(F.avg(off**2 - F.col("within") / F.col("n_words")), F.lit(0.0)).alias("between"))
-    shape = means.join(between, "lang")
     score = F.try_divide(off, F.sqrt(F.col("within") / F.col("n_words") + F.col("between")))
-    every = scored.join(F.broadcast(shape), "lang", "left").withColumn("score", F.when(F.col("n_words") > 0, score))
-    ends = every.where("trusted").groupBy("lang").agg(F.percentile_approx("score", [quantile, 1 - quantile], 100_000).alias("q"))
-    ends = ends.select("lang", F.least(F.col("q")[0] * (1 + slack), F.lit(-LEAST_DEVIATION)).alias("low"), F.greatest(F.col("q")[1] * (1 + slack), F.lit(LEAST_DEVIATION)).alias("high"))
+    every = scored.join(F.broadcast(means.join(between, "lang")), "lang", "left").withColumn("score", F.when(F.col("known"), score))
+    ends = every.where("side = 2").groupBy("lang").agg(F.percentile_approx("score", quantile, 100_000).alias("low"))
     judged = every.join(F.broadcast(ends), "lang", "left")
-    inside = F.coalesce((F.col("score") >= F.col("low")) & (F.col("score") <= F.col("high")), F.lit(True))
     unjudged = F.col("mean").isNull()
+    enough = F.coalesce(F.col("score") >= F.col("low"), F.lit(True))
     return judged.select(
-        "doc_id", "lang", "n_words", F.when((F.col("n_words") > 0) & ~unjudged, F.exp(-F.col("total") / F.col("n_words"))).alias("perplexity"),
-        "score", "low", "high", (unjudged | ((F.col("n_words") > 0) & inside)).alias("kept"),
+        "doc_id", "key", "lang", "n_words", F.when(F.col("known"), F.exp(-F.col("total") / F.col("n_words"))).alias("perplexity"),
+        "score", "low", ((F.col("n_words") > 0) & (unjudged | enough)).alias("kept"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """``docs`` with all its columns, without the documents that are judged bad."""
+    """``docs`` with all its columns, without the rows that are judged bad."""
     gone = judge(docs, labels, id_col=id_col, text_col=text_col, lang_col=lang_col, **options).where(~F.col("kept"))
-    return without(docs, gone, id_col)
+    return without(docs, gone, id_col, text_col)
 
 
 def op2_quality_classifier(spark, sf_dir):
-    return judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("key")

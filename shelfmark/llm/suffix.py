@@ -18,10 +18,9 @@ the order of all suffixes to a depth of 100 bytes only, so the sort is induced t
 Since only 100 bytes of order are asked for, one level of sampling ends the recursion. Names with very many contexts
 (``hot``) are salted: each salt is sorted by itself, and the windows that remain are combined by a 128-bit digest.
 
-Matches never cross documents. A null or empty text, or one shorter than ``depth``, has nothing to remove. Rows that
-share a ``doc_id`` are the same document: places are compared by ``(doc_id, start)``, and what is found in one of them
-applies to each of them (clipped to its length). A null ``doc_id`` ranks before all others. An empty table gives an
-empty result. Other columns are ignored.
+Matches never cross documents. A null or empty text, or one shorter than ``depth``, has nothing to remove. Every row is a
+document of its own: a null ``doc_id`` ranks before all others, and rows that share one rank in the order of the table
+(such tables are numbered by rank first). An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,8 +41,6 @@ DEPTH, NAME = 100, 32
 _PIECE = 1 << 20
 #: Samples that a task folds at once, contexts sorted at once, and contexts of a name beyond which it is salted.
 _FOLD, _SORT, HOT = 1_000_000, 30_000, 4096
-_NO_ID = -(1 << 63)
-
 
 _HELD: dict[int, tuple[np.ndarray, ...]] = {}
 
@@ -394,18 +391,33 @@ def _removed(depth: int):
     return run
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """The rows with ``rank``, a number that grows with ``(doc_id, place in the table)``."""
+    n = partitions(rows.sparkSession)
+    numbered = written(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    order = numbered.select("doc_id", "row").repartitionByRange(n, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    ranks = written(order.select("row", F.monotonically_increasing_id().alias("rank")), "ranks")
+    return numbered.join(ranks, "row").drop("row")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, hot: int = HOT) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the remaining bytes ``kept``."""
     n = partitions(docs.sparkSession)
+    rows = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
+    own = rows.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty()
+    if not own:
+        ranked = written(_ranked(rows), "ranked")
+        rows = ranked.select(F.col("rank").alias("doc_id"), "text")
     # the same exchange serves the fetch of contexts and the last join
-    rows = texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"))
     dealt = rows.repartition(n, "doc_id")
     runs = repeated_windows(rows, dealt, depth, hot).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    return (
-        dealt.join(runs, "doc_id", "left")
-        .mapInArrow(_removed(depth), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-        .withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
+    left = dealt.join(runs, "doc_id", "left").mapInArrow(
+        _removed(depth), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
+    if own:
+        return left
+    ids = ranked.select("rank", F.col("doc_id").alias("id"))
+    return left.join(ids, F.col("doc_id") == F.col("rank")).select(F.col("id").alias("doc_id"), *left.columns[1:])
 
 
 def op1_suffix_array_dedup(spark, sf_dir):

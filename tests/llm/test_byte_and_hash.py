@@ -57,6 +57,27 @@ def test_op1_odd_rows(spark):
     assert suffix.remove_repeats(empty(spark)).count() == 0
 
 
+def test_op1_repeated_and_null_ids(spark):
+    """Each row is a document: what one row repeats is cut out of it alone."""
+    rng = np.random.default_rng(8)
+    draw = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    shared, other = draw(150), draw(400)
+    rows = [(1, shared), (2, draw(100) + shared), (2, other), (None, shared + "!"), (None, draw(300)), (3, other + draw(50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in suffix.remove_repeats(df).collect())
+    want = [(False, 0, 151, 0), (False, 0, 300, 0), (True, 1, 150, 150), (True, 2, 250, 150), (True, 2, 400, 0), (True, 3, 450, 400)]
+    assert got == want
+
+
+def test_op1_long_texts(spark):
+    """Texts over the size of a piece, and repeats across its border."""
+    rng = np.random.default_rng(9)
+    long = bytes(rng.integers(97, 123, 2_500_000, np.uint8)).decode()
+    rows = [(1, long), (2, "short " + long[1_048_000:1_049_500]), (3, long[2_400_000:] + "tail"), (4, long[:200])]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1500, 3: 100_000, 4: 200}
+
+
 def test_op7_sql(spark):
     cols, rows = rows_of(exact.op7_exact_dedup(spark, SF))
     assert (cols, rows) == oracle(exact.OP7_SQL, SF)
@@ -69,6 +90,9 @@ def test_op7_odd_rows(spark):
     assert {r["group_size"] for r in got if r["doc_id"] == 12} == {3}
     left = exact.drop_exact_duplicates(odd(spark))
     assert left.columns == odd(spark).columns and {0, 1, 2, 12}.isdisjoint(r["doc_id"] for r in left.select("doc_id").collect())
+    rows = [(5, "X same"), (9, "x same"), (5, "a unique text"), (None, "x same"), (None, "junk"), (None, "junk"), (6, "twice"), (6, "Twice")]
+    left = exact.drop_exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in left) == [(0, "junk"), (5, "a unique text"), (6, "twice"), (9, "x same")]
     assert exact.exact_duplicates(empty(spark)).count() == 0
 
 
