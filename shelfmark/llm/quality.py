@@ -32,17 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import words
+from shelfmark.llm.blocks import deltas, packed, unpacked
 from shelfmark.llm.common import discard, partitions, read, text_key, without, written
 
 VOCABULARY, QUANTILE, HELD_OUT = 1 << 20, 0.005, 4
 #: Bytes that are neither letters nor digits nor spaces.
 _SYMBOLS = words.BLACK & ~words.ALNUM
 _CLASSES = 4
+#: Bytes of texts whose trigrams are asked for together: a trigram of several of them is sent once.
+_ASKED_TOGETHER = 8 << 20
 #: Bits of a word's number, trigrams that a task counts at once, trusted ids up to which they are broadcast.
 _BITS, _AT_ONCE, _SMALL_IDS = 21, 4_000_000, 4_000_000
 _WORD = (1 << _BITS) - 1
@@ -74,49 +77,96 @@ def _shape(symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.where(symbols == length, 3, np.minimum(symbols, 3))
 
 
-def _grouped(batch: pa.RecordBatch) -> Iterator[tuple]:
+def _grouped(batch: pa.RecordBatch, size: int = words.TOGETHER) -> Iterator[tuple]:
     """First row, languages and words of groups of a batch's texts."""
     raw, langs = batch.column("text").to_pylist(), np.array(batch.column("lang").to_pylist(), object)
-    for first, some in words.groups(raw):
+    for first, some in words.groups(raw, size):
         yield first, langs[first : first + len(some)], words.hashed(some, words.BLACK, count=_SYMBOLS)
 
 
-def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``lang, word, n`` of a task's texts."""
+_WORDS = "shard int, lang string, words binary, counts binary"
+
+
+def _unigrams(n: int):
+    """A task's words with their counts, a block per language and shard."""
+
+    def blocks(held: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+        rows = []
+        for lang, parts in held.items():
+            word, count = np.unique(np.concatenate(parts), return_counts=True)
+            shard = (words.mixed(word) % np.uint64(n)).astype(np.int64)
+            for own in np.unique(shard).tolist():
+                at = shard == own
+                rows.append((own, lang, packed(deltas(word[at].astype(np.int64))), packed(count[at])))
+        types = (pa.int32(), pa.string(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=[x.split()[0] for x in _WORDS.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+        for batch in batches:
+            for _, langs, (text, word, _, _) in _grouped(batch):
+                for lang in set(langs):
+                    held.setdefault(lang, []).append(word[langs[text] == lang] >> np.uint64(1))
+                size += len(word)
+                if size >= _AT_ONCE:
+                    yield blocks(held)
+                    held, size = {}, 0
+        if held:
+            yield blocks(held)
+
+    return run
+
+
+def _summed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``lang, word, n`` of the words of count 2 and more, and a row without a word for each language; reads blocks by shard
+    and language."""
+
+    def done() -> pa.RecordBatch:
+        word, n = _merge(parts)
+        word, n = word[n > 1], n[n > 1]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * (len(word) + 1), pa.string()), pa.array([*word.tolist(), None], pa.int64()), pa.array(np.append(n, 0))], names=["lang", "word", "n"]
+        )
+
+    shard, lang, parts = None, None, []
     for batch in batches:
-        for _, langs, (text, word, _, _) in _grouped(batch):
-            for lang in set(langs):
-                own, n = np.unique(word[langs[text] == lang], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.view(np.int64)), pa.array(n)], names=["lang", "word", "n"])
+        for here, own, word, n in zip(*(batch.column(c) for c in batch.schema.names), strict=True):
+            if parts and (here.as_py(), own.as_py()) != (shard, lang):
+                yield done()
+                parts = []
+            shard, lang = here.as_py(), own.as_py()
+            parts.append((np.cumsum(unpacked(word.as_py())), unpacked(n.as_py())))
+    if parts:
+        yield done()
 
 
 class Vocabulary:
-    """Word numbers: each language has its words, the classes of unknown words, and the start of a text."""
+    """Word numbers: each language has the classes of unknown words, the start of a text, and its words, frequent ones first."""
 
     def __init__(self, words_of: dict[str, np.ndarray]):
-        self.words = {lang: np.sort(w.view(np.uint64)) for lang, w in sorted(words_of.items())}
-        self.base, at = {}, 0
-        for lang, w in self.words.items():
-            self.base[lang] = at
-            at += len(w) + _CLASSES + 1
-        self.size = at
-        if at > _WORD:
-            raise ValueError(f"{at} words are more than {_WORD}")
-        #: By language, in order: first number, and the start's number, which is the last.
-        self.bases = np.array([self.base[lang] for lang in self.words], np.int64)
-        self.starts = np.array([self.base[lang] + len(w) + _CLASSES for lang, w in self.words.items()], np.int64)
+        self.words = {lang: w.view(np.uint64) for lang, w in sorted(words_of.items())}
+        sizes = np.array([len(w) + _CLASSES + 1 for w in self.words.values()], np.int64)
+        #: By language, in order: the first number.
+        self.bases, self.size = np.cumsum(sizes) - sizes, int(sizes.sum())
+        if self.size > _WORD:
+            raise ValueError(f"{self.size} words are more than {_WORD}")
+        self.ranks = {lang: np.argsort(w) for lang, w in self.words.items()}
+        self.known = {lang: w[self.ranks[lang]] for lang, w in self.words.items()}
 
     def trigrams(self, langs: np.ndarray, hashed: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
         """``(text, key)`` of the trigrams of texts in known languages; a key is ``v, u, w`` of 21 bits each."""
         text, word, symbols, length = hashed
         number, start = np.full(len(word), -1, np.int64), np.zeros(len(langs), np.int64)
-        for i, (lang, known) in enumerate(self.words.items()):
-            start[langs == lang] = self.starts[i]
+        for base, (lang, known) in zip(self.bases.tolist(), self.known.items(), strict=True):
+            start[langs == lang] = base + _CLASSES
             mine = np.flatnonzero((langs == lang)[text])
-            w = word[mine]
-            at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
-            hit = known[at] == w if len(known) else np.zeros(len(w), bool)
-            number[mine] = self.base[lang] + np.where(hit, at, len(known) + _shape(symbols[mine], length[mine]))
+            w = word[mine] >> np.uint64(1)
+            own = _shape(symbols[mine], length[mine])
+            if len(known):
+                at = np.minimum(np.searchsorted(known, w), len(known) - 1)
+                own = np.where(known[at] == w, self.ranks[lang][at] + _CLASSES + 1, own)
+            number[mine] = base + own
         keep = number >= 0
         text, w = text[keep], number[keep]
         first = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.zeros(0, bool)
@@ -124,14 +174,17 @@ class Vocabulary:
         u = np.where(first, start[text], np.concatenate([[0], v[:-1]])) if len(text) else w
         return text, v << 2 * _BITS | u << _BITS | w
 
-    def language(self, number: np.ndarray) -> np.ndarray:
-        """Which language a number belongs to."""
-        return np.searchsorted(self.bases, number, side="right") - 1
+
+def _language(bases: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Which language a word's number belongs to."""
+    return np.searchsorted(bases, number, side="right") - 1
 
 
 def known_words(good: DataFrame, vocabulary: int) -> Vocabulary:
     """The vocabulary of the training rows: words of count 2 and more, by falling count as far as all of a count fit."""
-    counts = written(good.mapInArrow(_unigrams, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "unigrams")
+    n = partitions(good.sparkSession)
+    dealt = good.mapInArrow(_unigrams(n), _WORDS).repartition(n, "shard").sortWithinPartitions("shard", "lang")
+    counts = written(dealt.mapInArrow(_summed_words, "lang string, word long, n long"), "words")
     langs = [r["lang"] for r in counts.select("lang").distinct().collect()]
     # words of each count: as many rows as there are different counts below the threshold that matters
     by_count = counts.where("n > 1").groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
@@ -142,28 +195,34 @@ def known_words(good: DataFrame, vocabulary: int) -> Vocabulary:
             break
         least = r["n"]
     # no more rows than `vocabulary`
-    kept = counts.where(F.least("n", F.lit(100_000)) >= least).select("lang", "word").toArrow()
+    kept = counts.where(F.least("n", F.lit(100_000)) >= max(least, 2)).select("lang", "word", "n").toArrow()
     discard(counts)
-    lang, word = kept.column("lang").to_numpy(zero_copy_only=False), kept.column("word").to_numpy()
+    lang, word, n = (kept.column(c).to_numpy() for c in ("lang", "word", "n"))
+    order = np.lexsort((word, -n))
+    lang, word = lang[order], word[order]
     return Vocabulary({x: word[lang == x] for x in langs})
 
 
-# --- sorted keys as bytes
-
-def packed(values: np.ndarray) -> bytes:
-    """Whole numbers, compressed byte plane by byte plane."""
-    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T)
-    return np.int64(len(values)).tobytes() + pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
-
+# --- shards
 
-def unpacked(raw: bytes) -> np.ndarray:
-    n = int(np.frombuffer(raw[:8], np.int64)[0])
-    planes = np.frombuffer(pa.Codec("zstd").decompress(raw[8:], 8 * n, asbytes=True), np.uint8).reshape(8, n)
-    return np.ascontiguousarray(planes.T).view("<i8")[:, 0]
+def _keys_packed(keys: np.ndarray, bases: np.ndarray) -> bytes:
+    """Sorted trigrams: ``v`` as differences, ``u`` as differences within a ``v``, ``w`` as it is, both within their language."""
+    v, base = keys >> 2 * _BITS, bases[_language(bases, keys >> 2 * _BITS)]
+    step, u = deltas(v), (keys >> _BITS & _WORD) - base
+    parts = packed(step), packed(np.where(step != 0, u, deltas(u))), packed((keys & _WORD) - base)
+    return np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts)
 
 
-def _deltas(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=0)
+def _keys_unpacked(raw: bytes, bases: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(np.frombuffer(raw[:24], np.int64)) + 24
+    step, u, w = (unpacked(raw[a:b]) for a, b in zip([24, *ends[:-1]], ends, strict=True))
+    v = np.cumsum(step)
+    base = bases[_language(bases, v)]
+    # a running sum that starts anew with each v
+    total = np.cumsum(u)
+    new = np.flatnonzero(np.append(True, step[1:] != 0)) if len(u) else np.zeros(0, np.int64)
+    u = total - np.repeat(total[new] - u[new], np.diff(np.append(new, len(u))))
+    return v << 2 * _BITS | (u + base) << _BITS | (w + base)
 
 
 def _shards(keys: np.ndarray, n: int) -> np.ndarray:
@@ -195,9 +254,9 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
 def _counted(vocabulary, n: int):
     """Trigrams of a task's texts with their counts, a block per shard."""
 
-    def blocks(held: list[np.ndarray]) -> pa.RecordBatch:
+    def blocks(held: list[np.ndarray], known: Vocabulary) -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return _blocks([(shard, _COUNTS, packed(_deltas(keys[at])), packed(counts[at])) for shard, at in _by_shard(keys, n)])
+        return _blocks([(shard, _COUNTS, _keys_packed(keys[at], known.bases), packed(counts[at])) for shard, at in _by_shard(keys, n)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, size = Vocabulary(vocabulary.value), [], 0
@@ -206,10 +265,10 @@ def _counted(vocabulary, n: int):
                 held.append(known.trigrams(langs, hashed)[1])
                 size += len(held[-1])
                 if size >= _AT_ONCE:
-                    yield blocks(held)
+                    yield blocks(held, known)
                     held, size = [], 0
         if size:
-            yield blocks(held)
+            yield blocks(held, known)
 
     return run
 
@@ -254,30 +313,29 @@ def _totals(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class Counts:
     """A shard's counts: trigrams, contexts ``v u``, continuations ``v w`` and contexts ``v``, each sorted."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, starts: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, bases: np.ndarray):
         self.keys, self.counts = keys, counts
         pair = (keys >> 2 * _BITS) << _BITS | keys & _WORD
         order = np.argsort(pair, kind="stable")
         self.after, self.before = _totals(pair[order], np.ones(len(pair), np.int64))
         # nothing stands before the start: what follows it is counted as it is
-        first = np.isin(self.after >> _BITS, starts)
+        first = np.isin(self.after >> _BITS, bases + _CLASSES)
         if first.any():
             self.before = np.where(first, _totals(pair[order], counts[order])[1], self.before)
 
 
-def _merged(starts: np.ndarray):
-    """Each shard's counts in one block; the counts of counts by language and order, and the number of ``v`` before ``w``."""
+def _merged(bases: np.ndarray):
+    """Of each shard: the number of ``v`` before each ``w``, and the counts of counts by language and order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, head, _ in _each_shard(batches, _COUNTS):
-            keys, counts = _merge([(np.cumsum(unpacked(r[2].as_py())), unpacked(r[3].as_py())) for r in head])
-            yield _blocks([(shard, _COUNTS, packed(_deltas(keys)), packed(counts))])
-            own = Counts(keys, counts, starts)
+            keys, counts = _merge([(_keys_unpacked(r[2].as_py(), bases), unpacked(r[3].as_py())) for r in head])
+            own = Counts(keys, counts, bases)
             word, n = np.unique(own.after & _WORD, return_counts=True)
-            yield _blocks([(shard, _ASKED, packed(_deltas(word)), packed(n))])
+            yield _blocks([(shard, _ASKED, packed(deltas(word)), packed(n))])
             some = []
             for order, (k, c) in ((3, (keys >> 2 * _BITS, counts)), (2, (own.after >> _BITS, own.before))):
-                lang = np.searchsorted(starts, k)
+                lang = _language(bases, k)
                 low = c <= 4
                 some.append(np.stack([np.full(low.sum(), order), lang[low], c[low]], axis=1))
             kinds, n = np.unique(np.concatenate(some), axis=0, return_counts=True)
@@ -311,20 +369,20 @@ def _discounted(counts: np.ndarray, lang: np.ndarray, by_lang: np.ndarray) -> tu
 
 
 class Model:
-    """What all shards need: the words' unigram probabilities, the starts of languages, and discounts by language."""
+    """What all shards need: where languages begin, the words' unigram probabilities, and discounts by language."""
 
-    def __init__(self, starts: np.ndarray, unigram: np.ndarray, bigrams: np.ndarray, trigrams: np.ndarray):
-        self.starts, self.unigram, self.bigrams, self.trigrams = starts, unigram, bigrams, trigrams
+    def __init__(self, bases: np.ndarray, unigram: np.ndarray, bigrams: np.ndarray, trigrams: np.ndarray):
+        self.bases, self.unigram, self.bigrams, self.trigrams = bases, unigram, bigrams, trigrams
 
     def fitted(self, counts: Counts) -> None:
         """Adds to a shard's counts the probabilities' parts that they give."""
-        lang = np.searchsorted(self.starts, counts.keys >> 2 * _BITS)
+        lang = _language(self.bases, counts.keys >> 2 * _BITS)
         kept, d = _discounted(counts.counts, lang, self.trigrams)
         counts.context, total = _totals(counts.keys >> _BITS, counts.counts)
         at = np.searchsorted(counts.context, counts.keys >> _BITS)
         counts.high = kept / total[at]
         counts.high_rest = np.bincount(at, d, len(total)) / total
-        lang = np.searchsorted(self.starts, counts.after >> _BITS)
+        lang = _language(self.bases, counts.after >> _BITS)
         kept, d = _discounted(counts.before, lang, self.bigrams)
         counts.middle, total = _totals(counts.after >> _BITS, counts.before)
         at = np.searchsorted(counts.middle, counts.after >> _BITS)
@@ -346,15 +404,16 @@ class Model:
         return np.log(high)
 
 
-def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Vocabulary, Model, DataFrame]:
-    """The vocabulary and model of the rows of side 1, and the written table of sharded counts."""
-    spark, n = rows.sparkSession, partitions(rows.sparkSession)
+def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Vocabulary, Model, DataFrame, Broadcast]:
+    """The vocabulary and model of the rows of side 1, and their trigrams in blocks, which are to be merged by shard: to
+    count again takes less than to write the merged counts and shuffle them once more."""
+    spark, n = rows.sparkSession, shards(rows.sparkSession)
     good = rows.where("side = 1").select("lang", "text")
     known = known_words(good, vocabulary)
     sent = spark.sparkContext.broadcast(known.words)
-    dealt = good.mapInArrow(_counted(sent, n), _BLOCK).repartition(n, "shard").sortWithinPartitions("shard", "kind")
-    tables = written(dealt.mapInArrow(_merged(known.starts), _BLOCK), "trigrams")
-    sent.destroy()
+    counted = good.mapInArrow(_counted(sent, n), _BLOCK)
+    dealt = counted.repartition(n, "shard").sortWithinPartitions("shard", "kind")
+    tables = written(dealt.mapInArrow(_merged(known.bases), _BLOCK), "trigrams")
     before = tables.where(F.col("kind") == _ASKED).select("keys", "counts").mapInArrow(_exploded, "word long, n long")
     # no more rows than the vocabulary has words
     before = before.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
@@ -367,15 +426,22 @@ def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Vocabulary, Mo
     bigrams, trigrams = (np.array([discounts(of.get((order, i), {})) for i in langs]).reshape(-1, 4) for order in (2, 3))
     count, unigram = np.zeros(known.size, np.int64), np.zeros(known.size)
     count[before.column("word").to_numpy()] = before.column("n").to_numpy()
-    for base, start in zip(known.bases.tolist(), known.starts.tolist(), strict=True):
-        own = count[base:start]
+    for base, end in zip(known.bases.tolist(), np.append(known.bases, known.size)[1:].tolist(), strict=True):
+        predicted = np.delete(np.arange(base, end), _CLASSES)  # all but the start
+        own = count[predicted]
         d = np.array(discounts({i: int((own == i).sum()) for i in (1, 2, 3, 4)}))[np.minimum(own, 3)]
-        unigram[base:start] = (np.maximum(own - d, 0) + d.sum() / len(own)) / own.sum() if own.sum() else 1 / len(own)
-    return known, Model(known.starts, unigram, bigrams, trigrams), tables
+        unigram[predicted] = (np.maximum(own - d, 0) + d.sum() / len(own)) / own.sum() if own.sum() else 1 / len(own)
+    discard(tables)
+    return known, Model(known.bases, unigram, bigrams, trigrams), counted, sent
 
 
 # --- scores
 
+def shards(spark) -> int:
+    """A third of the shuffle's partitions: each sends one sum per document back."""
+    return max(1, partitions(spark) // 3)
+
+
 _ASK = _BLOCK + ", chunk long, docs binary, meta binary"
 _ASK_NAMES = [*_BLOCK_NAMES, "chunk", "docs", "meta"]
 
@@ -387,19 +453,21 @@ def _asked(vocabulary, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chunk = Vocabulary(vocabulary.value), TaskContext.get().partitionId() << 36
         for batch in batches:
-            for first, langs, hashed in _grouped(batch):
+            for first, langs, hashed in _grouped(batch, _ASKED_TOGETHER):
                 text, key = known.trigrams(langs, hashed)
                 order = np.lexsort((text, key))
                 text, key = text[order], key[order]
                 new = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
                 times = np.diff(np.append(new, len(key)))
                 text, key = text[new], key[new]
+                held = np.asarray(batch.column("side").slice(first, len(langs))) == 2
                 rows = []
                 for shard, at in _by_shard(key, n):
                     own = key[at]
                     cut = np.flatnonzero(np.diff(own, prepend=-1))
                     of = np.diff(np.append(cut, len(own)))
-                    rows.append((shard, _ASKED, packed(_deltas(own[cut])), packed(of), chunk, packed(text[at]), packed(times[at])))
+                    # of held-out texts the squares are wanted too
+                    rows.append((shard, _ASKED, _keys_packed(own[cut], known.bases), packed(of), chunk, packed(text[at] << 1 | held[text[at]]), packed(times[at])))
                 whose = pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(first, len(langs)) for c in ("doc_id", "key", "lang", "side")),
@@ -431,19 +499,20 @@ def _answered(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*model.value)
         for _, head, rest in _each_shard(batches, _COUNTS):
-            blocks = [(np.cumsum(unpacked(r[2].as_py())), unpacked(r[3].as_py())) for r in head]
-            counts = Counts(*(_merge(blocks) if blocks else (np.zeros(0, np.int64),) * 2), own.starts)
+            blocks = [(_keys_unpacked(r[2].as_py(), own.bases), unpacked(r[3].as_py())) for r in head]
+            counts = Counts(*(_merge(blocks) if blocks else (np.zeros(0, np.int64),) * 2), own.bases)
             own.fitted(counts)
             out: list[tuple] = []
             for _, kind, keys, of, chunk, docs, meta in rest:
                 if kind.as_py() == _KNOWN:
                     out.append((chunk.as_py(), None, meta.as_py(), None))
                 else:
-                    keys, docs = np.cumsum(unpacked(keys.as_py())), unpacked(docs.as_py())
+                    keys, docs = _keys_unpacked(keys.as_py(), own.bases), unpacked(docs.as_py())
                     logs, times = np.repeat(own.logs(counts, keys), unpacked(of.as_py())), unpacked(meta.as_py())
                     # texts that have no trigram here are left out of the sums
                     some, at = np.unique(docs, return_inverse=True)
-                    out.append((chunk.as_py(), packed(_deltas(some)), np.bincount(at, times * logs).tobytes(), np.bincount(at, times * logs * logs).astype("<f4").tobytes()))
+                    squares = np.bincount(at, times * logs * logs)[some & 1 == 1]
+                    out.append((chunk.as_py(), packed(deltas(some)), np.bincount(at, times * logs).tobytes(), squares.tobytes()))
                 if len(out) >= 256:
                     yield _sums(out)
                     out = []
@@ -477,26 +546,24 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total, squares = np.zeros(len(whose)), np.zeros(len(whose))
             else:
                 at = np.cumsum(unpacked(sums.as_py()))
-                total[at] += np.frombuffer(meta.as_buffer(), np.float64)
-                squares[at] += np.frombuffer(square.as_buffer(), "<f4")
+                total[at >> 1] += np.frombuffer(meta.as_buffer(), np.float64)
+                squares[at[at & 1 == 1] >> 1] += np.frombuffer(square.as_buffer(), np.float64)
     if whose is not None:
         yield done()
 
 
 def perplexities(rows: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
-    """``doc_id, key, lang, side, n_words, known, total, squares``: the sums of log probabilities and of their squares."""
-    spark, n = rows.sparkSession, partitions(rows.sparkSession)
-    known, model, tables = train(rows, vocabulary)
-    names = spark.sparkContext.broadcast(known.words)
-    parts = spark.sparkContext.broadcast((model.starts, model.unigram, model.bigrams, model.trigrams))
-    counts = tables.where(F.col("kind") == _COUNTS)
+    """``doc_id, key, lang, side, n_words, known, total, squares``: the sums of log probabilities, and of held-out texts also
+    those of their squares."""
+    spark, n = rows.sparkSession, shards(rows.sparkSession)
+    _, model, counts, names = train(rows, vocabulary)
+    parts = spark.sparkContext.broadcast((model.bases, model.unigram, model.bigrams, model.trigrams))
     asked = rows.mapInArrow(_asked(names, n), _ASK)
     dealt = counts.unionByName(asked, allowMissingColumns=True).repartition(n, "shard").sortWithinPartitions("shard", "kind")
-    answers = dealt.mapInArrow(_answered(parts), _SUMS).repartition(n, "chunk").sortWithinPartitions("chunk", F.col("sums").isNotNull())
+    answers = dealt.mapInArrow(_answered(parts), _SUMS).repartition(partitions(spark), "chunk").sortWithinPartitions("chunk", F.col("sums").isNotNull())
     scores = written(answers.mapInArrow(_scored, _SCORES), "scores")
     for sent in (names, parts):
         sent.destroy()
-    discard(tables)
     return scores
 
 

@@ -78,12 +78,12 @@ def rolling(text: np.ndarray, word: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return at, mixed(gram[at])
 
 
-def groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Slices of a list of texts of about ``TOGETHER`` bytes: the first's index, and the texts."""
+def groups(texts: list[bytes], size: int = TOGETHER) -> Iterator[tuple[int, list[bytes]]]:
+    """Slices of a list of texts of about ``size`` bytes: the first's index, and the texts."""
     first = held = 0
     for i, t in enumerate(texts):
         held += len(t)
-        if held >= TOGETHER:
+        if held >= size:
             yield first, texts[first : i + 1]
             first, held = i + 1, 0
     if first < len(texts):

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chaining, decontaminate, licenses, quality, secret_scan
+from shelfmark.llm import blocks, chaining, decontaminate, licenses, quality, secret_scan
 from shelfmark.llm.common import read
 from tests.conftest import SF
 from tests.llm.frames import ODD, empty, odd
@@ -216,7 +216,7 @@ def test_op5_odd_rows(spark):
 
 def test_op4_chains():
     place = np.array([0, 4, 9, 20, 100, 104]), np.array([50, 54, 59, 71, 3, 7])
-    found = chaining.chains(*place, k=6, window=8)
+    found = chaining.chains(*place, k=6, window=8, gap=0.25, least=15)
     assert [(c[0][0], c[-1][0]) for c in found] == [(0, 20)]
     assert chaining._common(np.array([1, 2, 3, 4]), np.array([2, 4, 5])) == 2
 
@@ -235,7 +235,7 @@ def test_op4_passages(spark):
     assert set(by_doc) == {0, 1, 2, *range(5, 35)}
     assert any(r["first_word"] == 5 and r["n_words"] == 70 and r["other_id"] == 0 and r["other_first_word"] == 30 and r["identity"] == 1 for r in by_doc[1])
     assert any(r["first_word"] == 80 and r["n_words"] == 69 and r["equal_words"] == 68 for r in by_doc[2])
-    assert len(got) <= 2 * len(texts)  # no pairs within the group
+    assert len(got) <= 6 * len(texts)  # three partners at most in a large group, each pair told from both sides
 
 
 @pytest.mark.parametrize("parts", [1, 4])
@@ -251,6 +251,63 @@ def test_op4_passage_twice_in_one_text(spark, parts):
         assert {(0, 9), (1, 0), (1, 100), (2, 25)} <= got
 
 
+def edited(rng, passage, share):
+    """The passage with that share of its words replaced, left out or followed by a new one."""
+    out, at = [], set(rng.choice(len(passage), round(share * len(passage)), replace=False).tolist())
+    for i, w in enumerate(passage):
+        kind = rng.integers(4) if i in at else None
+        out += [w] if kind is None else [f"n{rng.integers(10**9)}"] if kind < 2 else [] if kind == 2 else [w, f"n{rng.integers(10**9)}"]
+    return out
+
+
+@pytest.mark.parametrize(("words_", "share", "recall"), [(50, 0.0, 1.0), (60, 0.1, 0.93), (100, 0.1, 0.97), (100, 0.15, 0.9), (150, 0.17, 0.9)])
+def test_op4_recall(spark, words_, share, recall):
+    """Passages that an alignment of all pairs would find, by their share of edited words."""
+    rng = np.random.default_rng(7)
+    draw = lambda n: [f"w{x}" for x in rng.zipf(1.3, n) % 50_000]
+    texts, pairs = [], 100
+    for _ in range(pairs):
+        passage = draw(words_)
+        texts += [[*draw(60), *passage, *draw(60)], [*draw(90), *edited(rng, passage, share), *draw(30)]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    found = {(r["doc_id"], r["other_id"]) for r in chaining.repeated_passages(df).collect()}
+    assert sum((2 * i, 2 * i + 1) in found and (2 * i + 1, 2 * i) in found for i in range(pairs)) >= recall * pairs
+    # nothing but the pairs, and common words alike by chance are none
+    assert sum(a // 2 != b // 2 for a, b in found) <= 2
+
+
+def test_op4_pieces_elsewhere(spark):
+    """A passage is found though earlier and later documents have overlapping pieces of it that are too short to count."""
+    rng = np.random.default_rng(11)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    passage = draw(100)
+    pieces = [[*draw(40), *passage[a : a + 34], *draw(40)] for a in (0, 22, 44, 66)]
+    whole = [[*draw(30), *passage, *draw(30)] for _ in range(80)]
+    texts = [*pieces, *whole, *[[*draw(5), *p[40:74]] for p in pieces]]
+    for parts in (1, 5):
+        df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(parts)
+        found = {r["doc_id"] for r in chaining.repeated_passages(df).collect() if r["n_words"] >= 100}
+        assert found == set(range(4, 84))
+
+
+def test_op4_links_against_brute_force():
+    """Few documents of a seed are all linked, many each with one that stays the same and with one that goes on alike."""
+    rng = np.random.default_rng(12)
+    seed, doc = rng.integers(0, 40, 600).astype(np.uint64), rng.integers(0, 60, 600)
+    place, then = rng.integers(0, 1000, 600), rng.integers(0, 3, 600)
+    members = chaining.Members(seed, doc, place, then)
+    left, right = members.pairs(6)
+    got = {(int(members.seed[members.begin[a]]), int(members.doc[members.begin[a]]), int(members.doc[members.begin[b]])) for a, b in zip(left, right, strict=True)}
+    for s in range(40):
+        docs = sorted(set(doc[seed == s].tolist()))
+        every = {(s, a, b) for a in docs for b in docs if a > b}
+        mine = {x for x in got if x[0] == s}
+        assert mine <= every and (mine == every if len(docs) <= 6 else {(s, d, docs[0]) for d in docs[1:]} | {(s, docs[-1], d) for d in docs[:-1]} <= mine and len(mine) <= 3 * len(docs))
+    where = {(int(d), int(p)) for d, p in zip(doc, place, strict=True)}
+    for d, o, p, q in zip(*members.links(left, right), strict=True):
+        assert d > o and (int(d), int(p)) in where and (int(o), int(q)) in where
+
+
 def test_op4_odd_rows(spark):
     got = chaining.repeated_passages(odd(spark)).collect()
     assert {0, 1, 7} <= {r["doc_id"] for r in got} and chaining.repeated_passages(empty(spark)).count() == 0
@@ -354,7 +411,7 @@ def test_op2_keeps_clean(spark):
 
 def test_packed_numbers():
     for values in ([], [5], [0, -3, 1 << 62, 7]):
-        assert quality.unpacked(quality.packed(np.array(values, np.int64))).tolist() == values
+        assert blocks.unpacked(blocks.packed(np.array(values, np.int64))).tolist() == values
 
 
 def test_op2_held_out_junk(spark):
