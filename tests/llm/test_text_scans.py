@@ -99,6 +99,45 @@ def test_op8_pairs():
     assert not found('password = "changeme"\ncolour = "q8Zt4LmX92bV77"\ntime: 12:30\nurl = "https://example.org/a"')
 
 
+V = "q8Zt4LmX92bV"
+#: Texts and the literals that they leak, by syntax.
+LABELLED = [
+    (f'base = "{V}"\nauth_token = base\n', {f'"{V}"', "base"}), ('SECRET = """abc9Xk2-\nQq81zzT"""\n', {'"""abc9Xk2-\nQq81zzT"""'}), (f"<password>{V}</password>", {V}),
+    (f'<add key="ApiToken" value="{V}"/>', {f'"{V}"'}), (f'<db password="{V}" port="1"/>', {f'"{V}"'}), (f"def f():\n    api_token = T\nT = '{V}'\n", {f"'{V}'", "T"}),
+    ("secret: |\n  q8Zt4LmX\n  92bVkk1\nother: 1", {"  q8Zt4LmX\n  92bVkk1\n"}), (f"auth_token: Bearer {V}", {V}), (f"curl --password {V} x", {V}), (f"db = postgres://me:{V}@host/db", {V}),
+    (f'a = "{V}"\ntoken = f"{{a}}-tail"\n', {f'"{V}"', 'f"{a}-tail"'}), (f'a = "{V}"\ntoken="${{a}}"\n', {f'"{V}"', '"${a}"'}), (f"export DB_PASSWORD={V} # c", {V}), (f'x["api_key"] = "{V}"', {f'"{V}"'}),
+    (f'def g(password="{V}"):', {f'"{V}"'}), (f'let c = {{password: "{V}"}};', {f'"{V}"'}), (f"[db]\npasswd={V}\n", {V}), (f"client_secret := `{V}`", {f"`{V}`"}), (f'secret_key => "{V}",', {f'"{V}"'}),
+    ('password = "q8Zt4" \\\n    "LmX92bV"\n', {'"q8Zt4" \\\n    "LmX92bV"'}), (r'password = "a\"b9Xk2-Qq81"', {r'"a\"b9Xk2-Qq81"'}), (f"one = '{V}'\ntwo = one\nthree_token = two", {f"'{V}'", "two"}),
+    (f"token = SecretStr('{V}')", {f"SecretStr('{V}')"}), (f"if a:\n    k = '{V}'\n    my_password = k\n", {f"'{V}'", "k"}),
+    ("password = get_secret('x9Yz81kk')\n", set()), ("primary_key: Ab39xkQ91z\n", set()), ("monkey_token_count = 81723981\n", set()), ('password = "changeme"', set()), (f'colour = "{V}77"', set()),
+    ("password: the user must remember this", set()), (f'if token == "{V}": pass', set()), ('password = "${DB_PASS}"', set()), ('token = "<your token here>"', set()), ("api_key_name = 'X-Request-Key-9'", set()),
+    (f"if a:\n    k = '{V}'\nmy_password = k\n", set()), (f"# k = '{V}'\nmy_password = k\n", set()), ('keyboard = "QWERTZ-105-de_DE"', set()), ("password_reset = 'https://a.b/r/9Xk2'", set()),
+    ("secret = os.environ['DB_SECRET']", set()), ("token = tokens[i9Xk2]", set()), ('passwordLabel: "Kennwort2-Eingabe"', set()),
+]
+
+
+def test_op8_labelled():
+    """Precision and recall of the method's spans over configuration and source in many syntaxes."""
+    right = wrong = missed = 0
+    for text, want in LABELLED:
+        got = {text[a:b] for _, a, b in secret_scan.pairs(text)}
+        right, wrong, missed = right + len(got & want), wrong + len(got - want), missed + len(want - got)
+    assert right / (right + missed) >= 0.95 and right / (right + wrong) >= 0.95
+
+
+@pytest.mark.parametrize("text", ["word ", "word: ", "a=b ", '"', "<a", "token = 'a' + ", "token `\\\\", "--token ", "token key name="])
+def test_op8_long_lines(text):
+    """Time grows with the text, however long its lines are."""
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        secret_scan.scan("secret " + text * n)
+        return time.perf_counter() - began
+
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.01)
+
+
 def test_op8_odd_rows(spark):
     assert secret_scan.find_secrets(odd(spark)).count() == len(ODD) and secret_scan.find_secrets(empty(spark)).count() == 0
     red = secret_scan.redact_secrets(spark.createDataFrame([(1, "a password=abcdefgh b")], "doc_id long, text string")).first()
