@@ -255,7 +255,7 @@ def test_op5_odd_rows(spark):
 
 def test_op4_chains():
     place = np.array([0, 4, 9, 20, 100, 104]), np.array([50, 54, 59, 71, 3, 7])
-    found = chaining.chains(*place, k=6, window=8, gap=0.25, least=15)
+    found = chaining.chains(*place, k=6, window=8, gap=0.25, least=15, span=15)
     assert [(c[0][0], c[-1][0]) for c in found] == [(0, 20)]
     assert chaining._common(np.array([1, 2, 3, 4]), np.array([2, 4, 5])) == 2
 
