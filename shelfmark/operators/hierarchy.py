@@ -27,21 +27,15 @@ def hierarchy_code(cols: list[str]) -> Column:
 def flatten_hierarchies(products: DataFrame, levels: list[str]) -> DataFrame:
     """One row per distinct prefix, product level included: ``hierarchy_code, level, active`` and the names (H1).
 
-    A prefix is active if one of its products is.
+    A prefix is active if one of its products is. All levels come from one pass of grouping sets.
     """
     every = [*levels, "product_code"]
-    active = F.max(F.coalesce("active", F.lit(True))) if "active" in products.columns else F.lit(True)
-    parts = []
-    for n in range(1, len(every) + 1):
-        cols = every[:n]
-        rows = products.groupBy(*cols).agg(active.alias("active"))
-        parts.append(
-            rows.select(
-                hierarchy_code(cols).alias("hierarchy_code"), F.lit(n).alias("level"), "active",
-                *[F.col(c) if c in cols else F.lit(None).cast("string").alias(c) for c in every],
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    active = F.max(F.coalesce("active", F.lit(True))) if "active" in products.columns else F.max(F.lit(True))
+    named = reduce(lambda a, b: a + b, [1 - F.grouping(c) for c in every])
+    sets = [[F.col(c) for c in every[:n]] for n in range(1, len(every) + 1)]
+    rows = products.groupingSets(sets, *[F.col(c) for c in every]).agg(named.cast("int").alias("level"), active.alias("active"))
+    # names below a prefix are NULL, and a code leaves NULLs out
+    return rows.select(hierarchy_code(every).alias("hierarchy_code"), "level", "active", *every)
 
 
 def deepest_level(hierarchies: DataFrame) -> DataFrame:
