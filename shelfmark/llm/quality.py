@@ -44,10 +44,10 @@ VOCABULARY, QUANTILE, HELD_OUT = 1 << 20, 0.005, 4
 #: Bytes that are neither letters nor digits nor spaces.
 _SYMBOLS = words.BLACK & ~words.ALNUM
 _CLASSES = 4
-#: Bytes of texts whose trigrams are asked for together: a trigram of several of them is sent once.
-_ASKED_TOGETHER = 8 << 20
+#: Words of texts whose trigrams are asked for together: a trigram of several of them is sent once.
+_ASKED_TOGETHER = 1_300_000
 #: Bits of a word's number, trigrams that a task counts at once, trusted ids up to which they are broadcast.
-_BITS, _AT_ONCE, _SMALL_IDS = 21, 4_000_000, 4_000_000
+_BITS, _AT_ONCE, _SMALL_IDS = 21, 3_000_000, 4_000_000
 _WORD = (1 << _BITS) - 1
 
 
@@ -77,10 +77,10 @@ def _shape(symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.where(symbols == length, 3, np.minimum(symbols, 3))
 
 
-def _grouped(batch: pa.RecordBatch, size: int = words.TOGETHER) -> Iterator[tuple]:
+def _grouped(batch: pa.RecordBatch) -> Iterator[tuple]:
     """First row, languages and words of groups of a batch's texts."""
     raw, langs = batch.column("text").to_pylist(), np.array(batch.column("lang").to_pylist(), object)
-    for first, some in words.groups(raw, size):
+    for first, some in words.groups(raw):
         yield first, langs[first : first + len(some)], words.hashed(some, words.BLACK, count=_SYMBOLS)
 
 
@@ -450,35 +450,38 @@ def _asked(vocabulary, n: int):
     """For each group of texts: a block per shard of the distinct trigrams, which texts have them and how often; and one
     block that says whose texts they are."""
 
+    def asked(known: Vocabulary, whose: pa.RecordBatch, text: np.ndarray, key: np.ndarray, n_words: np.ndarray, chunk: int) -> pa.RecordBatch:
+        order = np.lexsort((text, key))
+        text, key = text[order], key[order]
+        new = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+        times = np.diff(np.append(new, len(key)))
+        text, key = text[new], key[new]
+        held = np.asarray(whose.column("side")) == 2
+        rows = []
+        for shard, at in _by_shard(key, n):
+            own = key[at]
+            cut = np.flatnonzero(np.diff(own, prepend=-1))
+            of = np.diff(np.append(cut, len(own)))
+            # of held-out texts the squares are wanted too
+            rows.append((shard, _ASKED, _keys_packed(own[cut], known.bases), packed(of), chunk, packed(text[at] << 1 | held[text[at]]), packed(times[at])))
+        columns = [*whose.columns, pa.array(n_words), pa.array(np.bincount(text, minlength=len(n_words)) > 0)]
+        about = pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "lang", "side", "n_words", "known"])
+        rows.append((chunk % n, _KNOWN, None, None, chunk, None, _ipc(about)))
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=_ASK_NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chunk = Vocabulary(vocabulary.value), TaskContext.get().partitionId() << 36
         for batch in batches:
-            for first, langs, hashed in _grouped(batch, _ASKED_TOGETHER):
+            begin, parts = 0, []
+            for first, langs, hashed in _grouped(batch):
                 text, key = known.trigrams(langs, hashed)
-                order = np.lexsort((text, key))
-                text, key = text[order], key[order]
-                new = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
-                times = np.diff(np.append(new, len(key)))
-                text, key = text[new], key[new]
-                held = np.asarray(batch.column("side").slice(first, len(langs))) == 2
-                rows = []
-                for shard, at in _by_shard(key, n):
-                    own = key[at]
-                    cut = np.flatnonzero(np.diff(own, prepend=-1))
-                    of = np.diff(np.append(cut, len(own)))
-                    # of held-out texts the squares are wanted too
-                    rows.append((shard, _ASKED, _keys_packed(own[cut], known.bases), packed(of), chunk, packed(text[at] << 1 | held[text[at]]), packed(times[at])))
-                whose = pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(c).slice(first, len(langs)) for c in ("doc_id", "key", "lang", "side")),
-                        pa.array(np.bincount(hashed[0], minlength=len(langs))), pa.array(np.bincount(text, times, len(langs)) > 0),
-                    ],
-                    names=["doc_id", "key", "lang", "side", "n_words", "known"],
-                )
-                rows.append((chunk % n, _KNOWN, None, None, chunk, None, _ipc(whose)))
-                types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=_ASK_NAMES)
-                chunk += 1
+                parts.append((text + (first - begin), key, np.bincount(hashed[0], minlength=len(langs))))
+                end = first + len(langs)
+                if sum(len(p[1]) for p in parts) >= _ASKED_TOGETHER or end == batch.num_rows:
+                    whose = batch.select(["doc_id", "key", "lang", "side"]).slice(begin, end - begin)
+                    yield asked(known, whose, *(np.concatenate(x) for x in zip(*parts, strict=True)), chunk)
+                    begin, parts, chunk = end, [], chunk + 1
 
     return run
 

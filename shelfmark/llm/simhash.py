@@ -152,7 +152,7 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
     counted = written(counted, "buckets")
     pairs = counted.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2).select("a", "b")
-    shared = keyed.join(counted.where("n > 2").select("key", "n"), "key")
+    shared = joined_hot(keyed, counted.where("n > 2").select("key", "n"), "key")
     small = (
         shared.where(F.col("n") <= bucket)
         .groupBy("key")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import partitions, read, texts, written
+from shelfmark.llm.common import HOT_KEYS, partitions, read, texts, written
 
 DEPTH, NAME = 100, 32
 #: Bytes that are sampled at once; longer texts are cut with overlap.
@@ -318,9 +318,11 @@ def repeated_windows(docs: DataFrame, dealt: DataFrame, depth: int = DEPTH, hot:
     found = written(_settled(docs.mapInArrow(_sampled(depth), _SAMPLE), n), "samples")
     whole = found.where("gone").select("doc_id", "first", "last")
     open_ = found.where("NOT gone")
-    salts = (
-        open_.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("name", F.ceil(F.col("n") / hot).alias("salts"))
-    )
+    # names of very many contexts: at most one for each ``hot`` rows
+    salts = open_.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("name", F.ceil(F.col("n") / hot).alias("salts"))
+    salts = written(salts, "salts")
+    if salts.limit(HOT_KEYS + 1).count() <= HOT_KEYS:
+        salts = F.broadcast(salts)
     per_doc = (
         open_.join(salts, "name", "left")
         .withColumn("salts", F.coalesce("salts", F.lit(1)))
