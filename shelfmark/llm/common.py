@@ -56,6 +56,37 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: a Python worker lives on beside later stages, which need it."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run):
+    """``run`` (for ``mapInArrow``) that frees what the worker's task before left behind, and its own memory at its end.
+
+    Functions that travel by value hold their module's names in a cycle, so that only a collection frees their tables.
+    """
+
+    def tidied(batches):
+        import gc
+
+        gc.collect()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidied
+
+
 #: Rows with one key beyond which that key is joined by broadcast, and keys up to which this is done.
 HOT_ROWS, HOT_KEYS = 50_000, 10_000
 

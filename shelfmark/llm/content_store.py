@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import tokens
-from shelfmark.llm.common import discard, joined_hot, new_path, partitions, read, texts, written
+from shelfmark.llm.common import discard, joined_hot, new_path, partitions, read, texts, tidy, written
 
 END, WINDOW, LEAST, MOST, MASK = 0, 16, 64, 8192, (1 << 9) - 1
 
@@ -103,7 +103,7 @@ def _encoded(path: str, end: int):
     """Ids, chunk ends and chunk digests of each text; rows are numbered within the job."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(path, end)
+        encoder = tokens.Encoder(path, end)
         gear = _gear(encoder.size)
         size, row = encoder.dtype.itemsize, TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -197,7 +197,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end:
     size = tokens.Encoder(vocabulary, end, 1 << 10).dtype.itemsize
     encoded = written(
         texts(docs, id_col, text_col).mapInArrow(
-            _encoded(vocabulary, end), "doc_id long, row long, ids binary, ends array<int>, recipe array<binary>"
+            tidy(_encoded(vocabulary, end)), "doc_id long, row long, ids binary, ends array<int>, recipe array<binary>"
         ),
         "ids",
     )
@@ -214,7 +214,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end:
     (
         rows.repartitionByRange(partitions(spark), "doc_id", "row")
         .sortWithinPartitions("doc_id", "row", F.col("ids").isNotNull())
-        .mapInArrow(_laid_out(size), _DOCUMENTS)
+        .mapInArrow(tidy(_laid_out(size)), _DOCUMENTS)
         .write.option("compression", "zstd")
         .parquet(f"{path}/documents")
     )
@@ -272,7 +272,7 @@ def _read_back(width: str, keep_ids: bool):
 def _check_parts(spark: SparkSession, path: str) -> DataFrame:
     """``part, before`` (ids of all parts before it), after checking each part's Merkle root."""
     stored = spark.read.schema(_DOCUMENTS).parquet(f"{path}/documents").select("part", "start", "n_ids", "root")
-    again = stored.repartition("part").sortWithinPartitions("part", "start").mapInArrow(_part_roots, "part int, n_ids long, root binary")
+    again = stored.repartition("part").sortWithinPartitions("part", "start").mapInArrow(tidy(_part_roots), "part int, n_ids long, root binary")
     parts = spark.read.parquet(f"{path}/parts")
     wrong = parts.join(again.select("part", F.col("n_ids").alias("n2"), F.col("root").alias("r2")), "part", "full").where("NOT (n_ids <=> n2 AND root <=> r2)")
     if found := wrong.select("part").head(1):
@@ -301,7 +301,7 @@ def read_store(spark: SparkSession, path: str, vocabulary: str | None = None, ke
     whole = stored.where(~open_).withColumn("fetched", F.lit(None).cast("array<struct<i:int,chunk:binary>>"))
     mended = stored.where(open_).join(fetched, "row", "left").select(*whole.columns)
     rebuilt = whole.unionByName(mended).mapInArrow(
-        _read_back(width, keep_ids), "doc_id long, part int, start long, n_tokens long, ids_crc32 long, n_chunks long, merkle_root string, ids binary"
+        tidy(_read_back(width, keep_ids)), "doc_id long, part int, start long, n_tokens long, ids_crc32 long, n_chunks long, merkle_root string, ids binary"
     )
     return rebuilt.join(F.broadcast(_check_parts(spark, path)), "part").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "n_chunks", "merkle_root", "ids"

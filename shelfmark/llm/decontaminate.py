@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import words
-from shelfmark.llm.common import partitions, read, text_key, texts, without, written
+from shelfmark.llm.common import partitions, read, text_key, texts, tidy, without, written
 
 SEED, THRESHOLD, SMALL = 5, 0.5, 2_000_000
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -205,20 +205,20 @@ def leaks(
             every, owner = np.concatenate([g for g, _ in parts]), np.repeat([n for _, n in parts], [len(g) for g, _ in parts])
             order = np.argsort(every, kind="stable")
             seeds[k] = (every[order], owner[order])
-        return rows.mapInArrow(_tiled({"seeds": seeds, "items": known}, seed, threshold), _LEAKS)
+        return rows.mapInArrow(tidy(_tiled({"seeds": seeds, "items": known}, seed, threshold)), _LEAKS)
     # the larger benchmark: seeds meet by a shuffle, then the texts of candidate pairs; rows and items meet by number,
     # since ids may be null or repeated
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     tests = written(tests.withColumn("number", F.monotonically_increasing_id()), "items")
     sizes = list(range(1, seed + 1))
     schema = "doc_id long, gram long, k long"
-    of_tests = tests.select(F.col("number").alias("doc_id"), F.col("item").alias("text")).mapInArrow(_seeded(seed, sizes), schema)
+    of_tests = tests.select(F.col("number").alias("doc_id"), F.col("item").alias("text")).mapInArrow(tidy(_seeded(seed, sizes)), schema)
     longest = of_tests.groupBy("doc_id").agg(F.max("k").alias("k"))
     of_tests = of_tests.join(longest, ["doc_id", "k"]).select(F.col("doc_id").alias("number"), "gram", "k")
-    of_rows = rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(_seeded(seed, sizes), schema).withColumnRenamed("doc_id", "row")
+    of_rows = rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(tidy(_seeded(seed, sizes)), schema).withColumnRenamed("doc_id", "row")
     pairs = of_rows.join(of_tests, ["gram", "k"]).select("row", "number").distinct()
     full = pairs.join(tests, "number").join(rows, "row").repartition(partitions(docs.sparkSession))
-    return full.select("doc_id", "key", "text", "item_id", "item").mapInArrow(_tiled_pairs(seed, threshold), _LEAKS)
+    return full.select("doc_id", "key", "text", "item_id", "item").mapInArrow(tidy(_tiled_pairs(seed, threshold)), _LEAKS)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

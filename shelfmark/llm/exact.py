@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import joined_hot, text_key, texts, without, written
+from shelfmark.llm.common import joined_hot, text_key, texts, tidy, without, written
 
 SALTS = 8
 _KEYS = "doc_id long, key long, text_sha256 string, text_xxh long"
@@ -71,7 +71,7 @@ def _local_winners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def winners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """One row per distinct text: ``text_sha256, text_xxh, keep_id, group_size``."""
     rows = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    local = rows.mapInArrow(_local_winners, "text_sha256 string, text_xxh long, content binary, keep_id long, n long")
+    local = rows.mapInArrow(tidy(_local_winners), "text_sha256 string, text_xxh long, content binary, keep_id long, n long")
     salted = (
         local.withColumn("salt", F.pmod(F.xxhash64("keep_id"), F.lit(salts)))
         .groupBy("text_sha256", "text_xxh", "salt", "content")
@@ -88,7 +88,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFram
     """``doc_id, key, keep_id, group_size, text_sha256, text_xxh`` of every row."""
     rows = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), F.col("text").cast("binary").alias("text"))
     best = winners(docs, id_col, text_col, salts)
-    keys = rows.mapInArrow(_digests, _KEYS)
+    keys = rows.mapInArrow(tidy(_digests), _KEYS)
     # texts of several rows are joined with their winners; of the others nothing has to be looked up
     several = written(best.where("group_size > 1").withColumn("n", F.col("group_size")), "winners")
     found = joined_hot(keys, several, ["text_sha256", "text_xxh"]).drop("n")

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import words
 from shelfmark.llm.blocks import deltas, packed, unpacked
-from shelfmark.llm.common import discard, partitions, read, text_key, without, written
+from shelfmark.llm.common import discard, partitions, read, text_key, tidy, without, written
 
 VOCABULARY, QUANTILE, HELD_OUT = 1 << 20, 0.005, 4
 #: Bytes that are neither letters nor digits nor spaces.
@@ -183,8 +183,8 @@ def _language(bases: np.ndarray, number: np.ndarray) -> np.ndarray:
 def known_words(good: DataFrame, vocabulary: int) -> Vocabulary:
     """The vocabulary of the training rows: words of count 2 and more, by falling count as far as all of a count fit."""
     n = partitions(good.sparkSession)
-    dealt = good.mapInArrow(_unigrams(n), _WORDS).repartition(n, "shard").sortWithinPartitions("shard", "lang")
-    counts = written(dealt.mapInArrow(_summed_words, "lang string, word long, n long"), "words")
+    dealt = good.mapInArrow(tidy(_unigrams(n)), _WORDS).repartition(n, "shard").sortWithinPartitions("shard", "lang")
+    counts = written(dealt.mapInArrow(tidy(_summed_words), "lang string, word long, n long"), "words")
     langs = [r["lang"] for r in counts.select("lang").distinct().collect()]
     # words of each count: as many rows as there are different counts below the threshold that matters
     by_count = counts.where("n > 1").groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
@@ -411,10 +411,10 @@ def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Vocabulary, Mo
     good = rows.where("side = 1").select("lang", "text")
     known = known_words(good, vocabulary)
     sent = spark.sparkContext.broadcast(known.words)
-    counted = good.mapInArrow(_counted(sent, n), _BLOCK)
+    counted = good.mapInArrow(tidy(_counted(sent, n)), _BLOCK)
     dealt = counted.repartition(n, "shard").sortWithinPartitions("shard", "kind")
-    tables = written(dealt.mapInArrow(_merged(known.bases), _BLOCK), "trigrams")
-    before = tables.where(F.col("kind") == _ASKED).select("keys", "counts").mapInArrow(_exploded, "word long, n long")
+    tables = written(dealt.mapInArrow(tidy(_merged(known.bases)), _BLOCK), "trigrams")
+    before = tables.where(F.col("kind") == _ASKED).select("keys", "counts").mapInArrow(tidy(_exploded), "word long, n long")
     # no more rows than the vocabulary has words
     before = before.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     of: dict[tuple[int, int], dict[int, int]] = {}
@@ -561,10 +561,10 @@ def perplexities(rows: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
     spark, n = rows.sparkSession, shards(rows.sparkSession)
     _, model, counts, names = train(rows, vocabulary)
     parts = spark.sparkContext.broadcast((model.bases, model.unigram, model.bigrams, model.trigrams))
-    asked = rows.mapInArrow(_asked(names, n), _ASK)
+    asked = rows.mapInArrow(tidy(_asked(names, n)), _ASK)
     dealt = counts.unionByName(asked, allowMissingColumns=True).repartition(n, "shard").sortWithinPartitions("shard", "kind")
-    answers = dealt.mapInArrow(_answered(parts), _SUMS).repartition(partitions(spark), "chunk").sortWithinPartitions("chunk", F.col("sums").isNotNull())
-    scores = written(answers.mapInArrow(_scored, _SCORES), "scores")
+    answers = dealt.mapInArrow(tidy(_answered(parts)), _SUMS).repartition(partitions(spark), "chunk").sortWithinPartitions("chunk", F.col("sums").isNotNull())
+    scores = written(answers.mapInArrow(tidy(_scored), _SCORES), "scores")
     for sent in (names, parts):
         sent.destroy()
     return scores

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import joined_hot, partitions, read, texts, written
+from shelfmark.llm.common import joined_hot, partitions, read, texts, tidy, written
 from shelfmark.llm.graph import components
 from shelfmark.llm.near_copies import drop_near_copies
 
@@ -76,7 +76,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp`` (the 64 bits as a long) of each row."""
     rows = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    return rows.mapInArrow(tidy(_fingerprints), "doc_id long, fp long")
 
 
 def _low(column):
@@ -158,7 +158,7 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
         .groupBy("key")
         .agg(F.collect_list("fp").alias("members"))
         .select("members")
-        .mapInArrow(_verified, "a long, b long")
+        .mapInArrow(tidy(_verified), "a long, b long")
     )
     hot = shared.where(F.col("n") > bucket).select(
         "key", "fp", F.shiftrightunsigned("key", 32).alias("variant")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import HOT_KEYS, partitions, read, texts, written
+from shelfmark.llm.common import HOT_KEYS, partitions, read, texts, tidy, written
 
 DEPTH, NAME = 100, 32
 #: Bytes that are sampled at once; longer texts are cut with overlap.
@@ -315,7 +315,7 @@ def repeated_windows(docs: DataFrame, dealt: DataFrame, depth: int = DEPTH, hot:
     ``docs`` has ``doc_id`` and ``text`` (binary); ``dealt`` are the same rows, dealt out by ``doc_id``.
     """
     n = partitions(docs.sparkSession)
-    found = written(_settled(docs.mapInArrow(_sampled(depth), _SAMPLE), n), "samples")
+    found = written(_settled(docs.mapInArrow(tidy(_sampled(depth)), _SAMPLE), n), "samples")
     whole = found.where("gone").select("doc_id", "first", "last")
     open_ = found.where("NOT gone")
     # names of very many contexts: at most one for each ``hot`` rows
@@ -351,7 +351,7 @@ def repeated_windows(docs: DataFrame, dealt: DataFrame, depth: int = DEPTH, hot:
     runs = (
         fetched.repartition(n, "name", "salt")
         .sortWithinPartitions("name", "salt")
-        .mapInArrow(_sorted(depth), "doc_id long, first long, last long, digest binary")
+        .mapInArrow(tidy(_sorted(depth)), "doc_id long, first long, last long, digest binary")
     )
     spare = runs.where("digest IS NOT NULL")
     earliest = spare.groupBy("digest").agg(F.min(F.struct("doc_id", "first")).alias("e"), F.count("*").alias("n")).where("n > 1")
@@ -414,7 +414,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = rows.repartition(n, "doc_id")
     runs = repeated_windows(rows, dealt, depth, hot).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     left = dealt.join(runs, "doc_id", "left").mapInArrow(
-        _removed(depth), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        tidy(_removed(depth)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     if own:
         return left

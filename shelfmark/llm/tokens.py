@@ -20,7 +20,7 @@ from shelfmark.llm import words
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Words remembered (24 bytes each, and their ids); encoded by the library at once; bytes of text handled together.
-_REMEMBER, _AT_ONCE, _TOGETHER = 1 << 19, 20_000, 1 << 20
+_REMEMBER, _AT_ONCE, _TOGETHER = 3 << 17, 20_000, 1 << 20
 
 _SPACE, _LETTER, _DIGIT, _OTHER, _END = range(5)
 _B = np.arange(256)
@@ -253,16 +253,6 @@ class Encoder:
             first = stop
 
 
-_HELD: dict[tuple[str, int], Encoder] = {}
-
-
-def encoder(path: str, end: int) -> Encoder:
-    """The task's encoder for a vocabulary."""
-    if (path, end) not in _HELD:
-        _HELD[path, end] = Encoder(path, end)
-    return _HELD[path, end]
-
-
 def as_binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     """An array of binary values, the bytes of each text's ids, without copying."""
     offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
