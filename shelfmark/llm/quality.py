@@ -79,9 +79,11 @@ def _shape(symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 def _grouped(batch: pa.RecordBatch) -> Iterator[tuple]:
     """First row, languages and words of groups of a batch's texts."""
-    raw, langs = batch.column("text").to_pylist(), np.array(batch.column("lang").to_pylist(), object)
-    for first, some in words.groups(raw):
-        yield first, langs[first : first + len(some)], words.hashed(some, words.BLACK, count=_SYMBOLS)
+    for start in range(0, batch.num_rows, 1000):  # few texts at a time are Python objects
+        some = batch.slice(start, 1000)
+        langs = np.array(some.column("lang").to_pylist(), object)
+        for first, texts in words.groups(some.column("text").to_pylist()):
+            yield start + first, langs[first : first + len(texts)], words.hashed(texts, words.BLACK, count=_SYMBOLS)
 
 
 _WORDS = "shard int, lang string, words binary, counts binary"

@@ -27,7 +27,7 @@ class ByteHash:
 
     def reserve(self, n: int) -> None:
         if len(self.power) <= n:
-            n = max(n, 2 * TOGETHER)
+            n = max(n, TOGETHER + (TOGETHER >> 3))
             power, back = np.full(n + 1, self.base % (1 << 64), np.uint64), np.full(n + 1, pow(self.base, -1, 1 << 64), np.uint64)
             power[0] = back[0] = 1
             self.power, self.back = np.multiply.accumulate(power), np.multiply.accumulate(back)
