@@ -361,7 +361,8 @@ def discounts(of: dict[int, int]) -> list[float]:
         return [0.0, 0.5, 1.0, 1.5]
     y = n1 / (n1 + 2 * n2)
     d = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5
-    return [0.0, *(min(max(x, 0.0), i + 1.0) for i, x in enumerate(d))]
+    # never 0: what was not seen keeps a probability
+    return [0.0, *(min(max(x, 0.1), i + 1.0) for i, x in enumerate(d))]
 
 
 def _discounted(counts: np.ndarray, lang: np.ndarray, by_lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

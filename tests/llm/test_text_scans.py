@@ -368,7 +368,7 @@ def discounts_by_hand(counts):
         return {1: 0.5, 2: 1.0, 3: 1.5}
     y = n1 / (n1 + 2 * n2)
     d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5)
-    return {i + 1: min(max(x, 0.0), i + 1.0) for i, x in enumerate(d)}
+    return {i + 1: min(max(x, 0.1), i + 1.0) for i, x in enumerate(d)}
 
 
 class ModelByHand:
