@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions.joins import joined_null_safe
 from shelfmark.functions.scratch import staged
 
+#: Stores up to which their numbers are broadcast.
+FEW_STORES = 1_000_000
+_WORD = 64
+
 
 def attach_clusters(master: DataFrame, clusters: DataFrame, level: list[str]) -> DataFrame:
     """Each store's cluster and the number of stores in it."""
@@ -15,93 +20,192 @@ def attach_clusters(master: DataFrame, clusters: DataFrame, level: list[str]) ->
     return master.join(named, [*level, "store_code"], "left")
 
 
-def stock_signals(df: DataFrame, level: list[str], qty: str = "qty", inv: str = "inventory") -> DataFrame:
-    """Out-of-stock flag, and the ratios of active stores and of sell-through by cluster, product and week.
+def _with_store_numbers(df: DataFrame, level: list[str]) -> DataFrame:
+    """``__no``: a store's number within its cluster, from 0, so that a cluster's stores fill few 64-bit words."""
+    by = [*level, "cluster_name"]
+    stores = df.select(*by, "store_code").distinct()
+    # as many rows in a group as a cluster has stores
+    stores = staged(stores.withColumn("__no", F.row_number().over(Window.partitionBy(*by).orderBy("store_code")) - 1), "store-numbers")
+    return joined_null_safe(df, F.broadcast(stores) if stores.count() <= FEW_STORES else stores, [*by, "store_code"])
+
+
+def _daily(df: DataFrame, level: list[str], aggs: list[Column], more: list[str]) -> DataFrame:
+    """One aggregate of ``df`` by cluster, product, week and day (and ``more``), staged; all coarser figures are its sums."""
+    return staged(df.groupBy(*level, "cluster_name", "product_code", "fiscal_year_week", "date", *more).agg(*aggs), "daily-figures")
+
+
+def _week_signals(daily: DataFrame, level: list[str]) -> DataFrame:
+    """By cluster, product and week: the number of stores that sold something, exactly, sales, and the greatest day's stock.
 
-    The week's figures come from one aggregate by store and day, rolled up; no window holds sets of stores.
+    Stores are bits of words. Words are joined (bitwise or) over the days of a week, and stock is summed over the words of
+    a day: two grouping sets of one pass.
     """
     week = [*level, "cluster_name", "product_code", "fiscal_year_week"]
-    daily = df.groupBy(*week, "date").agg(F.sum(inv).alias("d"), F.sum(qty).alias("q"), F.collect_set(F.when(F.col(qty) != 0, F.col("store_code"))).alias("s"))
-    weekly = daily.groupBy(*week).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("s")))).cast("long").alias("active_stores"), F.sum("q").alias("weekly_qty"), F.max("d").alias("max_daily_inventory")
+    sets = [[F.col(c) for c in [*week, last]] for last in ("date", "__word")]
+    parts = daily.groupingSets(sets, *[F.col(c) for c in [*week, "date", "__word"]]).agg(
+        F.grouping("__word").alias("of_day"), F.sum("__inv").alias("inv"), F.sum("__qty").alias("qty"), F.bit_or("__bits").alias("bits")
     )
-    weekly = weekly.select([F.col(c).alias(f"__{c}") for c in week] + [F.col(c) for c in ("active_stores", "weekly_qty", "max_daily_inventory")])
-    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in week]
-    out = df.join(weekly, on, "left").drop(*[f"__{c}" for c in week])
+    day, word = F.col("of_day") == 1, F.col("of_day") == 0
+    return parts.groupBy(*week).agg(
+        F.sum(F.when(word, F.bit_count(F.coalesce("bits", F.lit(0).cast("long"))).cast("long"))).alias("active_stores"),
+        F.sum(F.when(day, F.col("qty"))).alias("weekly_qty"), F.max(F.when(day, F.col("inv"))).alias("max_daily_inventory"),
+    )
+
+
+def _means(daily: DataFrame, level: list[str], names: dict[str, bool]) -> DataFrame:
+    """By cluster, product, week and day: ``<name>_first_imputed``, the mean by day, else (unless the flag says that the
+    day is all) by week, else by product and week. Sums and counts are folded from each grain to the next."""
+    week = [*level, "cluster_name", "product_code", "fiscal_year_week"]
+    sums = [F.sum(f"__{p}_{c}").alias(f"__{p}_{c}") for c in names for p in ("sum", "count")]
+    day = daily.groupBy(*week, "date").agg(*sums)
+    coarser = [c for c, only_day in names.items() if not only_day]
+    value = lambda c, grain="": F.try_divide(f"__sum_{c}", f"__count_{c}").alias(f"__{c}{grain}")
+    out = day.select(*week, "date", *[value(c) for c in names])
+    if coarser:
+        weekly = daily.groupBy(*week).agg(*sums)
+        wide_by = [*level, "product_code", "fiscal_year_week"]
+        wide = weekly.groupBy(*wide_by).agg(*sums)
+        out = joined_null_safe(out, weekly.select(*week, *[value(c, "_week") for c in coarser]), week)
+        out = joined_null_safe(out, wide.select(*wide_by, *[value(c, "_wide") for c in coarser]), wide_by)
+    tries = {c: [f"__{c}", *([f"__{c}_week", f"__{c}_wide"] if c in coarser else [])] for c in names}
+    return out.select(*week, "date", *[F.coalesce(*t).alias(f"{c}_first_imputed") for c, t in tries.items()])
+
+
+def attach_figures(df: DataFrame, level: list[str], qty: str, inv: str, prices: list[str], discounts: list[str], signals: bool = True, quantity: bool = True) -> DataFrame:
+    """``df`` with the figures that imputation starts from, joined once.
+
+    Signals (``active_stores, weekly_qty, max_daily_inventory``) and first estimates of prices, discounts and the quantity
+    all come from one staged aggregate of ``df`` by cluster, product and day; ``df`` itself is exchanged for that join only.
+    Prices leave out rows that sold nothing, quantities rows without stock.
+    """
+    values = {c: F.when(F.col(qty) != 0, F.col(c)) for c in prices} | {c: F.col(c) for c in discounts}
+    values |= {qty: F.when(F.col(inv) > 0, F.col(qty))} if quantity else {}
+    aggs = [f(v).alias(f"__{p}_{c}") for c, v in values.items() for p, f in (("sum", F.sum), ("count", F.count))]
+    if signals:
+        bit = F.when(F.col(qty) != 0, F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("__no") % _WORD).cast("int")))
+        aggs += [F.sum(inv).alias("__inv"), F.sum(qty).alias("__qty"), F.bit_or(bit).alias("__bits")]
+        daily = _daily(_with_store_numbers(df, level).withColumn("__word", F.floor(F.col("__no") / _WORD)), level, aggs, ["__word"])
+    else:
+        daily = _daily(df, level, aggs, [])
+    week = [*level, "cluster_name", "product_code", "fiscal_year_week"]
+    names = {c: c == qty for c in values}
+    if not names:
+        return joined_null_safe(df, _week_signals(daily, level), week)
+    figures = _means(daily, level, names)
+    if signals:
+        figures = joined_null_safe(figures, _week_signals(daily, level), week)
+    return joined_null_safe(df, figures, [*week, "date"])
+
+
+def _signal_columns(df: DataFrame, inv: str) -> DataFrame:
     return (
-        out.withColumn("oos_flag", F.when(F.col(inv) == 0, 1).otherwise(0))
+        df.withColumn("oos_flag", F.when(F.col(inv) == 0, 1).otherwise(0))
         .withColumn("active_stores_ratio", F.coalesce(F.round(F.try_divide("active_stores", "total_stores_cluster"), 2), F.lit(0.0)))
         .withColumn("sell_through_ratio", F.coalesce(F.round(F.try_divide("weekly_qty", "max_daily_inventory"), 2), F.lit(0.0)))
     )
 
 
+def _mean_columns(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({f"{c}_imputed": F.coalesce(c, F.round(F.round(f"{c}_first_imputed", 9), 2)) for c in cols})
+
+
+def stock_signals(df: DataFrame, level: list[str], qty: str = "qty", inv: str = "inventory") -> DataFrame:
+    """Out-of-stock flag, and the ratios of active stores and of sell-through by cluster, product and week.
+
+    Distinct stores are counted exactly by bitmaps of 64-bit words; no set of stores is gathered. ``df`` is read for the
+    aggregate and for the join, so stage it where it is costly.
+    """
+    return _signal_columns(attach_figures(df, level, qty, inv, [], [], quantity=False), inv)
+
+
 def impute_price_means(df: DataFrame, level: list[str], qty: str, cols: list[str], price: bool = True) -> DataFrame:
     """``<col>_imputed``: the value, or where it is NULL its first estimate, rounded to 2: the mean by cluster, product and
     day, else by week, else by product and week. ``<col>_first_imputed`` is that estimate (E10).
 
     Prices leave out rows that sold nothing; other columns take all rows. Means are rounded to 9 digits first, so that the
-    order of summing does not decide a half.
+    order of summing does not decide a half. A date lies in one fiscal week.
     """
-    day = Window.partitionBy(*level, "cluster_name", "product_code", "date")
-    week = Window.partitionBy(*level, "cluster_name", "product_code", "fiscal_year_week")
-    wide = Window.partitionBy(*level, "product_code", "fiscal_year_week")
-    for c in cols:
-        value = F.when(F.col(qty) != 0, F.col(c)) if price else F.col(c)
-        df = df.withColumn(f"{c}_first_imputed", F.coalesce(*[F.avg(value).over(w) for w in (day, week, wide)]))
-    return df.withColumns({f"{c}_imputed": F.coalesce(c, F.round(F.round(f"{c}_first_imputed", 9), 2)) for c in cols})
+    return _mean_columns(attach_figures(df, level, qty, qty, cols if price else [], [] if price else cols, signals=False, quantity=False), cols)
+
+
+def first_estimates(df: DataFrame, level: list[str], prices: list[str], discounts: list[str], qty: str = "qty", inv: str = "inventory") -> DataFrame:
+    """Stock signals and the first estimates of prices, discounts and the quantity, from one aggregate and one join."""
+    return _mean_columns(_signal_columns(attach_figures(df, level, qty, inv, prices, discounts), inv), [*prices, *discounts])
 
 
 def impute_quantity(df: DataFrame, level: list[str], qty: str, inv: str, cutoffs: DataFrame) -> DataFrame:
     """Quantities of out-of-stock rows where a channel's cut-offs are met.
 
     ``cutoffs``: ``level..., active_stores_cutoff, sell_through_cutoff``, one row per channel. Without a row for its
-    channel nothing is imputed.
+    channel nothing is imputed. The estimate (the mean of rows with stock by cluster, product and day) is taken from
+    ``<qty>_first_imputed`` where ``first_estimates`` has made it.
     """
-    day = Window.partitionBy(*level, "cluster_name", "product_code", "date")
-    estimate = F.avg(F.when(F.col(inv) > 0, F.col(qty))).over(day)
-    out = df.withColumn(f"{qty}_first_imputed", estimate).join(F.broadcast(cutoffs), level, "left")
+    first = f"{qty}_first_imputed"
+    out = df if first in df.columns else attach_figures(df, level, qty, inv, [], [], signals=False)
+    out = out.join(F.broadcast(cutoffs), level, "left")
     acts = (F.col("oos_flag") == 1) & (F.col("active_stores_ratio") >= F.col("active_stores_cutoff")) & (F.col("sell_through_ratio") >= F.col("sell_through_cutoff"))
-    sold, first = F.col(qty), F.col(f"{qty}_first_imputed")
-    imputed = F.when(acts & (sold > first), F.round(sold)).when(acts & (sold < first), F.round(first)).otherwise(sold)
+    sold, estimate = F.col(qty), F.col(first)
+    imputed = F.when(acts & (sold > estimate), F.round(sold)).when(acts & (sold < estimate), F.round(estimate)).otherwise(sold)
     return (
         out.withColumn(f"{qty}_imputed", imputed)
         .withColumn("imputation_flag", F.when(F.col(f"{qty}_imputed") == sold, 0).otherwise(1))
-        .drop(f"{qty}_first_imputed", "active_stores_cutoff", "sell_through_cutoff")
+        .drop(first, "active_stores_cutoff", "sell_through_cutoff")
     )
 
 
 def impute_discounts(df: DataFrame, hierarchies: list[str], level: list[str], cols: list[str], inv: str) -> DataFrame:
     """``<col>_imputed`` where NULL: inventory-weighted means by level, deepest first, by day and then by week.
 
-    All means are sums over (levels, day), rolled up: ``df`` is aggregated once and joined with small tables. It is read
-    for the aggregate and for the joins, so stage it where it is costly.
+    All means are sums over (levels, day), rolled up and put beside each other in one table by (levels, day), so the rows
+    are joined once. ``df`` is read for the aggregate and for the join, so stage it where it is costly.
     """
-    weights = {f"__{c}": F.sum(F.col(f"{c}_imputed") * F.col(inv)) for c in cols}
-    fine = df.groupBy(*hierarchies, *level, "date", "fiscal_year_week").agg(F.sum(inv).alias("__inv"), *[w.alias(n) for n, w in weights.items()])
-    out = df
+    by = [*hierarchies, *level, "date", "fiscal_year_week"]
+    weights = [F.sum(F.col(f"{c}_imputed") * F.col(inv)).alias(f"__{c}") for c in cols]
+    fine = staged(df.groupBy(*by).agg(F.sum(inv).alias("__inv"), *weights), "discount-sums")
+    means = fine.select(*by)
     tries: dict[str, list[str]] = {c: [] for c in cols}
     for h in hierarchies:
         for grain, name in (("date", "day"), ("fiscal_year_week", "week")):
             on = [h, *level, grain]
-            means = fine.groupBy(*on).agg(*[F.try_divide(F.sum(f"__{c}"), F.sum("__inv")).alias(f"__{c}_{h}_{name}") for c in cols])
-            out = out.join(means, on, "left")
+            mean = fine.groupBy(*on).agg(*[F.try_divide(F.sum(f"__{c}"), F.sum("__inv")).alias(f"__{c}_{h}_{name}") for c in cols])
+            means = means.join(mean, on, "left")
             for c in cols:
                 tries[c].append(f"__{c}_{h}_{name}")
-    values = {f"{c}_imputed": F.coalesce(f"{c}_imputed", *tries[c]) for c in cols}
-    return out.withColumns(values).drop(*[x for names in tries.values() for x in names])
+    means = means.select(*by, *[F.coalesce(*tries[c]).alias(f"__{c}") for c in cols])
+    out = joined_null_safe(df, means, by)
+    return out.withColumns({f"{c}_imputed": F.coalesce(f"{c}_imputed", f"__{c}") for c in cols}).drop(*[f"__{c}" for c in cols])
 
 
 def fill_prices(df: DataFrame, products: DataFrame, formulas: dict[str, str], level: list[str], order: str = "date") -> DataFrame:
-    """``<price>_imputed``: the product's formula where NULL, then the last value before, then the first one after."""
+    """``<price>_imputed``: the product's formula where NULL, then the last value before, then the first one after.
+
+    Rows are filled in segments, a product's rows of one ``order`` value, so that a product with very many rows is spread
+    over as many tasks as it has days. A segment's first and last values are folded into carries, by windows over one row
+    for each segment, and joined back. ``df`` is read for the segments' values and for the rows: stage it where it is costly.
+    """
     master = products.select("product_code", *[F.expr(x).alias(f"__{c}") for c, x in formulas.items()])
     out = df.join(master, "product_code", "left")
-    rows = Window.partitionBy("product_code", *level).orderBy(order, "store_code")
-    before, after = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow), rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    for c in formulas:
-        out = out.withColumn(f"{c}_imputed", F.coalesce(f"{c}_imputed", f"__{c}"))
-        value = F.col(f"{c}_imputed")
-        out = out.withColumn(f"{c}_imputed", F.coalesce(value, F.last(value, ignorenulls=True).over(before), F.first(value, ignorenulls=True).over(after)))
-    return out.drop(*[f"__{c}" for c in formulas])
+    out = out.withColumns({f"{c}_imputed": F.coalesce(f"{c}_imputed", f"__{c}") for c in formulas}).drop(*[f"__{c}" for c in formulas])
+    by = ["product_code", *level]
+    ends = [
+        f(F.col(f"{c}_imputed"), F.when(F.col(f"{c}_imputed").isNotNull(), F.struct("store_code"))).alias(f"__{n}_{c}") for c in formulas for n, f in (("first", F.min_by), ("last", F.max_by))
+    ]
+    segments = out.groupBy(*by, order).agg(*ends)
+    days = Window.partitionBy(*by).orderBy(order)
+    before, after = days.rowsBetween(Window.unboundedPreceding, -1), days.rowsBetween(1, Window.unboundedFollowing)
+    carries = segments.select(
+        *by, order,
+        *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__before_{c}") for c in formulas],
+        *[F.first(f"__first_{c}", ignorenulls=True).over(after).alias(f"__after_{c}") for c in formulas],
+    )
+    out = joined_null_safe(out, carries, [*by, order])
+    rows = Window.partitionBy(*by, order).orderBy("store_code")
+    earlier, later = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow), rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    value = lambda c: F.col(f"{c}_imputed")
+    filled = {
+        f"{c}_imputed": F.coalesce(F.last(value(c), ignorenulls=True).over(earlier), F.col(f"__before_{c}"), F.first(value(c), ignorenulls=True).over(later), F.col(f"__after_{c}")) for c in formulas
+    }
+    return out.withColumns(filled).drop(*[f"__{n}_{c}" for c in formulas for n in ("before", "after")])
 
 
 def finalise_lost_sales(df: DataFrame, qty: str = "qty", inv: str = "inventory") -> DataFrame:
@@ -121,10 +225,10 @@ def impute_lost_sales(
     """The whole step, E7 to E14: clusters, signals, quantities, first estimates, discounts, prices, lost sales.
 
     ``prices``: each price column and the product's formula for it. The estimates are staged once in the shared folder,
-    since the discounts' means and the rows themselves both need them.
+    since the discounts' means, the prices' segments and the rows themselves need them.
     """
-    rows = stock_signals(attach_clusters(master, clusters, level), level, qty, inv)
-    rows = impute_quantity(impute_price_means(impute_price_means(rows, level, qty, list(prices)), level, qty, discounts, price=False), level, qty, inv, cutoffs)
+    rows = first_estimates(attach_clusters(master, clusters, level), level, list(prices), discounts, qty, inv)
+    rows = impute_quantity(rows, level, qty, inv, cutoffs)
     rows = staged(rows.drop(*[f"{c}_first_imputed" for c in (*prices, *discounts)]), "imputed")
-    rows = impute_discounts(rows, hierarchies, level, discounts, inv)
-    return finalise_lost_sales(fill_prices(rows, products, prices, level), qty, inv)
+    rows = impute_discounts(fill_prices(rows, products, prices, level), hierarchies, level, discounts, inv)
+    return finalise_lost_sales(rows, qty, inv)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions.joins import joined_null_safe
+from shelfmark.functions.scratch import scratch_path, staged
 from shelfmark.operators.calendar import week_rank
 from shelfmark.operators.hierarchy import levels_of, levels_up_to
 
@@ -54,28 +57,83 @@ def recent_inventory(inventory: DataFrame, transactions: DataFrame, stores: Data
 
 def _with_totals(df: DataFrame, by: list[str], aggs: list[Column]) -> DataFrame:
     """``df`` with aggregates of its groups, computed with partial aggregation and joined back: unlike a window, a group of
-    very many rows is no single task's (small tables of groups are broadcast by the planner)."""
-    groups = df.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(*aggs)
-    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
-    return df.join(groups, on, "left").drop(*[f"__{c}" for c in by])
+    very many rows is no single task's (small tables of groups are broadcast by the planner). ``df`` should be staged."""
+    return joined_null_safe(df, df.groupBy(*by).agg(*aggs), by)
 
 
-def prefix_sales(base: DataFrame, levels: list[str]) -> DataFrame:
-    """``r_h1_store`` ...: a store's sales of each hierarchy prefix, by one window per prefix."""
-    out = base
+def sales_lattice(base: DataFrame, levels: list[str]) -> DataFrame:
+    """The sums that all levels follow from, by one pass of grouping sets over ``base``: ``node``, keys, ``sales, rows, zeros``.
+
+    Node 1 is (channel, store, cluster, all levels): sales of shorter prefixes are sums over it. Node 0 is (channel, cluster,
+    all levels, product). A mean of the values other than 0 is ``sales / (rows - zeros)``. The table is staged by node.
+    """
+    keys = ["channel", "store_code", "cluster_name", *levels, "product_code"]
+    sets = [["channel", "store_code", "cluster_name", *levels], ["channel", "cluster_name", *levels, "product_code"]]
+    nodes = base.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys]).agg(
+        F.grouping("product_code").cast("int").alias("node"), F.sum("sales_art_store").alias("sales"), F.count("*").alias("rows"), F.count_if(F.col("sales_art_store") == 0).alias("zeros")
+    )
+    path = scratch_path(base.sparkSession, "lattice")
+    nodes.write.partitionBy("node").parquet(path)
+    return base.sparkSession.read.schema(nodes.schema).parquet(path)
+
+
+def _store_prefixes(lattice: DataFrame, levels: list[str]) -> DataFrame:
+    """One row per channel, store, cluster and whole prefix: ``rows``, and the store's sales of each of its prefixes.
+
+    All windows share one exchange by store and one sort, and a store has no more rows than there are prefixes.
+    """
+    out = lattice.where("node = 1").select("channel", "store_code", "cluster_name", *levels, "sales", "rows").repartition("channel", "store_code")
+    for n in range(len(levels), 0, -1):
+        out = out.withColumn(f"r_h{n}_store", F.sum("sales").over(Window.partitionBy("channel", "store_code", *levels[:n])))
+    return out.drop("sales")
+
+
+def _filled_prefixes(lattice: DataFrame, levels: list[str]) -> DataFrame:
+    """``_store_prefixes`` with the cluster's mean of the others where sales are 0; a store counts once for each product.
+
+    The means of all prefixes are one pass of grouping sets, and as small as the hierarchy.
+    """
+    rows = staged(_store_prefixes(lattice, levels), "store-prefixes")
+    sets = [[F.col(c) for c in ["channel", "cluster_name", *levels[:n]]] for n in range(1, len(levels) + 1)]
+    sold = {n: F.col(f"r_h{n}_store") != 0 for n in range(1, len(levels) + 1)}
+    sums = [F.try_divide(F.sum(F.when(c, F.col(f"r_h{n}_store") * F.col("rows"))), F.sum(F.when(c, F.col("rows")))).alias(f"__mean{n}") for n, c in sold.items()]
+    depth = reduce(lambda a, b: a + b, [1 - F.grouping(c) for c in levels])
+    means = staged(rows.groupingSets(sets, *[F.col(c) for c in ["channel", "cluster_name", *levels]]).agg(depth.cast("int").alias("depth"), *sums), "prefix-means")
     for n in range(1, len(levels) + 1):
-        out = out.withColumn(f"r_h{n}_store", F.sum("sales_art_store").over(Window.partitionBy("channel", "store_code", *levels[:n])))
-    return out
+        by = ["channel", "cluster_name", *levels[:n]]
+        rows = joined_null_safe(rows, means.where(F.col("depth") == n).select(*by, f"__mean{n}"), by)
+        rows = rows.withColumn(f"r_h{n}_store", F.when(F.col(f"r_h{n}_store") == 0, F.col(f"__mean{n}")).otherwise(F.col(f"r_h{n}_store"))).drop(f"__mean{n}")
+    return rows.drop("rows")
+
 
+def _without_prefix_sales(df: DataFrame, levels: list[str]) -> DataFrame:
+    return df.drop(*[f"r_h{n}_store" for n in range(1, len(levels) + 1)])
+
+
+def prefix_sales(base: DataFrame, levels: list[str]) -> DataFrame:
+    """``r_h1_store`` ...: a store's sales of each hierarchy prefix.
 
-def fill_zero_sales(df: DataFrame, levels: list[str]) -> DataFrame:
-    """Zero sales become the cluster's mean of the others; then totals over a product's stores."""
-    out = df
-    for n in range(len(levels) + 1, 0, -1):
-        by = [*levels, "product_code"] if n > len(levels) else levels[:n]
-        c = "sales_art_store" if n > len(levels) else f"r_h{n}_store"
-        out = _with_totals(out, ["channel", *by, "cluster_name"], [F.avg(F.nullif(F.col(c), F.lit(0.0))).alias("__mean")])
-        out = out.withColumn(c, F.when(F.col(c) == 0, F.col("__mean")).otherwise(F.col(c))).drop("__mean")
+    ``base`` is staged, and all prefixes come from one lattice of it.
+    """
+    rows = staged(_without_prefix_sales(base, levels), "split-base")
+    return joined_null_safe(rows, _store_prefixes(sales_lattice(rows, levels), levels).drop("rows"), ["channel", "store_code", "cluster_name", *levels])
+
+
+def fill_zero_sales(base: DataFrame, levels: list[str]) -> DataFrame:
+    """``r_h1_store`` ... and the product's sales, where 0 the cluster's mean of the others; then totals over a product's
+    stores (E18, E19).
+
+    ``base`` (or what ``prefix_sales`` made of it) is staged, read once for the lattice and once to join what follows from
+    that; the filled rows are staged again, since the totals and the rows themselves need them.
+    """
+    rows = staged(_without_prefix_sales(base, levels), "split-base")
+    lattice = sales_lattice(rows, levels)
+    products = lattice.where("node = 0").groupBy("channel", "cluster_name", *levels, "product_code")
+    mean = products.agg(F.try_divide(F.sum("sales"), F.sum(F.col("rows") - F.col("zeros"))).alias("__mean"))
+    out = joined_null_safe(rows, _filled_prefixes(lattice, levels), ["channel", "store_code", "cluster_name", *levels])
+    out = joined_null_safe(out, mean, ["channel", "cluster_name", *levels, "product_code"])
+    sales = F.col("sales_art_store")
+    out = staged(out.withColumn("sales_art_store", F.when(sales == 0, F.col("__mean")).otherwise(sales)).drop("__mean"), "split-filled")
     totals = [F.sum(f"r_h{n}_store").alias(f"r_h{n}") for n in range(1, len(levels) + 1)]
     return _with_totals(out, ["channel", "product_code"], [*totals, F.sum("sales_art_store").alias("sales_art")])
 
@@ -128,7 +186,7 @@ def store_split(
         .drop("sales_art")
         .join(clusters.select("store_code", "channel", "cluster_name").distinct(), ["store_code", "channel"], "left")
     )
-    shares = proportions(fill_zero_sales(prefix_sales(base, levels), levels), levels)
+    shares = proportions(fill_zero_sales(base, levels), levels)
     return final_store_split(choose_level(shares, levels, level), hierarchies, levels, level)
 
 

@@ -123,8 +123,13 @@ _CUT = {"AFRICA": (0.2, 0.1), "AMERICA": (0.1, 0.5), "ASIA": (0.3, 0.2)}
 _CUT_SQL = "cutoffs AS (SELECT * FROM (VALUES ('AFRICA', 0.2, 0.1), ('AMERICA', 0.1, 0.5), ('ASIA', 0.3, 0.2)) v(channel, a_cut, s_cut))"
 
 
+def _attached(spark, d):
+    # the master table is a stored one
+    return imputation.attach_clusters(staged(views.folded(spark, d), "master"), views.store_clustering(spark, d), ["channel"])
+
+
 def _signals(spark, d):
-    return imputation.stock_signals(imputation.attach_clusters(views.folded(spark, d), views.store_clustering(spark, d), ["channel"]), ["channel"])
+    return imputation.stock_signals(_attached(spark, d), ["channel"])
 
 
 _SIGNALS = """sized AS (SELECT channel, cluster_name, count(DISTINCT store_code) AS total_stores_cluster FROM store_clustering GROUP BY 1, 2),
@@ -157,8 +162,7 @@ _PRICED = f"""priced AS (SELECT *, {_first('price', 'qty <> 0')} AS price_first,
 
 
 def _estimated(spark, d):
-    rows = imputation.impute_price_means(_signals(spark, d), ["channel"], "qty", ["price"])
-    return imputation.impute_price_means(rows, ["channel"], "qty", ["discount"], price=False)
+    return imputation.first_estimates(_attached(spark, d), ["channel"], ["price"], ["discount"])
 
 
 @query("e10_first_estimates", _with("""SELECT channel, product_code, store_code, date, round(price_first + 1e-7, 4) AS price_first_imputed, coalesce(price, round(price_first + 1e-7, 2)) AS price_imputed,
@@ -210,7 +214,7 @@ _FILLED = _QUANTITIES + """, products AS (SELECT p_brand || '.' || p_type AS pro
 
 
 def _filled(spark, d):
-    return imputation.fill_prices(_quantities(spark, d), _fold_products(spark, d), {"price": "if(size > 2, null, round(top, 2))"}, ["channel"])
+    return imputation.fill_prices(staged(_quantities(spark, d), "quantities"), _fold_products(spark, d), {"price": "if(size > 2, null, round(top, 2))"}, ["channel"])
 
 
 @query("e13_prices", _with("SELECT channel, product_code, store_code, date, p2 AS price_imputed FROM filled", _FILLED))
@@ -228,7 +232,7 @@ _MEANS = [_mean_sql("product_code", "date", "a"), _mean_sql("product_code", "fis
     LEFT JOIN m_d ON f.l0_name = m_d.l0_name AND f.channel = m_d.channel AND f.fiscal_year_week = m_d.fiscal_year_week)""", _FILLED, *_MEANS))
 def e14(spark, d):
     rows = imputation.impute_lost_sales(
-        views.folded(spark, d), views.store_clustering(spark, d), _cutoffs(spark), _fold_products(spark, d), ["channel"], ["product_code", "l0_name"],
+        staged(views.folded(spark, d), "master"), views.store_clustering(spark, d), _cutoffs(spark), _fold_products(spark, d), ["channel"], ["product_code", "l0_name"],
         {"price": "if(size > 2, null, round(top, 2))"}, ["discount"],
     )
     return rows.select(*_KEY4, "inventory", "lost_sales", "max_week_inventory", "price_imputed", F.round(F.col("discount_imputed") + 1e-9, 6).alias("discount_imputed"))
@@ -260,7 +264,7 @@ def _base(spark, d):
     sold = splits.recent_sales(views.late(spark, d), views.store_master(spark, d))
     named = views.store_clustering(spark, d).select("store_code", "channel", "cluster_name")
     base = base.join(sold, ["product_code", "store_code"], "left").withColumn("sales_art_store", F.coalesce("sales_art", F.lit(0.0))).drop("sales_art")
-    return splits.prefix_sales(base.join(named, ["store_code", "channel"], "left"), LEVELS)
+    return base.join(named, ["store_code", "channel"], "left")
 
 
 @query("e15_split_base", _split_sql("SELECT * FROM base"))
@@ -280,7 +284,7 @@ def e17(spark, d):
 
 @query("e18_prefix_sales", _split_sql("SELECT product_code, store_code, a AS sales_art_store, h1 AS r_h1_store, h2 AS r_h2_store, h3 AS r_h3_store FROM s1"))
 def e18(spark, d):
-    return _base(spark, d).select("product_code", "store_code", "sales_art_store", "r_h1_store", "r_h2_store", "r_h3_store")
+    return splits.prefix_sales(_base(spark, d), LEVELS).select("product_code", "store_code", "sales_art_store", "r_h1_store", "r_h2_store", "r_h3_store")
 
 
 @query("e19_e20_proportions", _split_sql("SELECT product_code, store_code, round(store_split, 6) AS store_split, round(r1, 6) AS r_store_split_h1, round(r2, 6) AS r_store_split_h2, round(r3, 6) AS r_store_split_h3 FROM s3"))
