@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import read, tidy, written
 
 #: Keys of a shard; bytes of shards broadcast at once; slots that a task counts at once; sources compared at once; bytes
-#: of text handled at once; rows of groups and languages up to which they are broadcast.
-SHARD, WAVE_BYTES, DENSE_SLOTS, TILE, TOGETHER, SMALL = 4096, 64 << 20, 1 << 22, 128, 1 << 21, 100_000
+#: of text handled at once; rows of groups and languages up to which they are broadcast; pairs of language and term that a
+#: task gathers.
+SHARD, WAVE_BYTES, DENSE_SLOTS, TILE, TOGETHER, SMALL, GATHERED = 4096, 64 << 20, 1 << 23, 128, 1 << 21, 100_000, 200_000
 SCALE, LEAST_DOCS, TERM_RANKS = 1_000_000_000, 3, 200
 #: Keys of a bucket on average; displacements tried; the displacement that tells buckets apart.
 _BUCKET, _TRIES, _BUCKETS = 4, 1 << 16, 1 << 40
@@ -63,7 +64,7 @@ def terms_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, lis
         bounds = np.stack([starts, ends], 1).ravel()
         values = pa.Array.from_buffers(pa.large_binary(), max(0, len(bounds) - 1), [None, pa.py_buffer(bounds), pa.py_buffer(data)]) if len(bounds) else pa.array([], pa.large_binary())
         coded = values.take(pa.array(np.arange(0, len(values), 2))).dictionary_encode()
-        text = np.searchsorted(begins, starts, "right") - 1
+        text = np.repeat(np.arange(stop - first), np.diff(np.append(np.searchsorted(starts, begins), len(starts))))
         yield first, text, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
         first = stop
 
@@ -73,20 +74,35 @@ def _coded(values: pa.Array) -> tuple[np.ndarray, list[str]]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many documents of a language have each term, by slice of texts."""
-    for batch in batches:
-        lang_of, langs = _coded(batch.column("lang"))
-        for first, text, number, distinct in terms_of(batch.column("text")):
-            if not len(number):
-                continue
-            once = np.unique(text * len(distinct) + number)  # of one document
-            lang, term = lang_of[first + once // len(distinct)], once % len(distinct)
-            keys, n = np.unique(lang * len(distinct) + term, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([langs[i] for i in keys // len(distinct)], pa.string()), pa.array(distinct, pa.binary()).take(pa.array(keys % len(distinct))).cast(pa.string()), pa.array(n)],
-                names=["lang", "term", "n_docs"],
-            )
+def _document_counts(gathered: int):
+    """How many documents of a language have each term; a task gathers ``gathered`` pairs before it gives them out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[bytes, int]] = {}
+
+        def given() -> Iterator[pa.RecordBatch]:
+            for lang, counts in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "term", "n_docs"]
+                )
+            held.clear()
+
+        for batch in batches:
+            lang_of, langs = _coded(batch.column("lang"))
+            for first, text, number, distinct in terms_of(batch.column("text")):
+                if not len(number):
+                    continue
+                once = np.unique(text * len(distinct) + number)  # of one document
+                counts = np.bincount(lang_of[first + once // len(distinct)] * len(distinct) + once % len(distinct))
+                for key, n in zip(np.flatnonzero(counts).tolist(), counts[counts > 0].tolist(), strict=True):
+                    own = held.setdefault(langs[key // len(distinct)], {})
+                    term = distinct[key % len(distinct)]
+                    own[term] = own.get(term, 0) + n
+                if sum(map(len, held.values())) > gathered:
+                    yield from given()
+        yield from given()
+
+    return run
 
 
 def _mixed(h: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -158,7 +174,7 @@ def _built(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "shard": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([len(slots)], pa.int64()), "displacement": pa.array([displacement.astype("<i4").tobytes()], pa.binary()),
-            "sizes": pa.array([sizes.tobytes()], pa.binary()), "keys": pa.array([b"".join(keys.to_pylist())], pa.binary()),
+            "sizes": pa.array([sizes.tobytes()], pa.binary()), "keys": pa.array([b"".join(keys.to_pylist())], pa.binary()), "langs": pa.array([[langs[i] for i in order]], pa.list_(pa.string())),
         }
     )
 
@@ -179,6 +195,13 @@ class Shards:
         self.total = int(self.n.sum())
         self.shard_of_place = np.repeat(self.known, self.n)
         self.slot_of_place = np.arange(self.total) - np.repeat(self.start, self.n)
+        # a language's places are numbered by themselves, so that a group's array has those of its language only
+        lang, self.langs = _coded(pa.array([x for r in rows for x in r[5]], pa.string()))
+        sizes = np.bincount(lang, minlength=len(self.langs))
+        self.size, self.places = dict(zip(self.langs, sizes.tolist(), strict=True)), dict(zip(self.langs, np.split(np.argsort(lang, kind="stable"), np.cumsum(sizes)[:-1]), strict=True))
+        self.within = np.zeros(self.total, np.int64)
+        for places in self.places.values():
+            self.within[places] = np.arange(len(places))
 
     def place(self, hashes: np.ndarray, keys: list[bytes]) -> np.ndarray:
         """Each key's place among all slots of these shards, or -1."""
@@ -198,13 +221,16 @@ def _recounted(shared, n_shards: int, dense_slots: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(shared.value, n_shards)
+        seeds: dict[str, int] = {}
         held: dict[tuple[str, str], np.ndarray] = {}
+        room = dense_slots
 
         def given() -> Iterator[pa.RecordBatch]:
             for (lang, source), counts in held.items():
                 at = np.flatnonzero(counts)
+                place = shards.places[lang][at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x] * len(at), pa.string()) for x in (lang, source)] + [pa.array(shards.shard_of_place[at]), pa.array(shards.slot_of_place[at].astype(np.int32)), pa.array(counts[at])],
+                    [pa.array([x] * len(at), pa.string()) for x in (lang, source)] + [pa.array(shards.shard_of_place[place]), pa.array(shards.slot_of_place[place].astype(np.int32)), pa.array(counts[at].astype(np.int64))],
                     names=["lang", "source", "shard", "slot", "count"],
                 )
             held.clear()
@@ -212,27 +238,41 @@ def _recounted(shared, n_shards: int, dense_slots: int):
         for batch in batches:
             lang_of, langs = _coded(batch.column("lang"))
             source_of, sources = _coded(batch.column("source"))
-            for first, text, number, distinct in terms_of(batch.column("text")):
+            for lang in langs:
+                seeds.setdefault(lang, xxhash.xxh64_intdigest(lang.encode(), 42))
+            # one group after the other
+            group = lang_of * len(sources) + source_of
+            order = np.argsort(group, kind="stable")
+            group = group[order]
+            for first, text, number, distinct in terms_of(batch.column("text").take(pa.array(order))):
                 if not len(number):
                     continue
                 # each distinct (language, term) is looked up once
-                keys, own = np.unique(lang_of[first + text] * len(distinct) + number, return_inverse=True)
+                own = group[first + text]
+                key = own // len(sources) * len(distinct) + number
+                there = np.zeros(len(langs) * len(distinct), bool)
+                there[key] = True
+                keys = np.flatnonzero(there)
                 pairs = [(langs[k // len(distinct)], distinct[k % len(distinct)]) for k in keys.tolist()]
-                place = shards.place(np.array([key_hash(a, b) for a, b in pairs], np.uint64), [a.encode() + b"\0" + b for a, b in pairs])[own]
-                found = place >= 0
-                group = (lang_of[first + text] * len(sources) + source_of[first + text])[found]
-                place = place[found]
-                order = np.argsort(group, kind="stable")
-                group, place = group[order], place[order]
-                for g in np.unique(group).tolist():
-                    name = (langs[g // len(sources)], sources[g % len(sources)])
+                hashes = np.fromiter((xxhash.xxh64_intdigest(b, seeds[a]) for a, b in pairs), np.uint64, len(pairs))
+                found = shards.place(hashes, [a.encode() + b"\0" + b for a, b in pairs])
+                within = np.full(len(there), -1, np.int64)
+                within[keys] = np.where(found >= 0, shards.within[found], -1)
+                at = within[key]
+                edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                for low, high in zip(edges.tolist(), [*edges[1:].tolist(), len(own)], strict=True):
+                    name = (langs[own[low] // len(sources)], sources[own[low] % len(sources)])
+                    some = at[low:high]
+                    some = some[some >= 0]
+                    if not len(some):
+                        continue
                     if name not in held:
-                        if (len(held) + 1) * shards.total > dense_slots:
+                        if held and room < shards.size[name[0]]:
                             yield from given()
-                        held[name] = np.zeros(shards.total, np.int64)
-                    low, high = np.searchsorted(group, [g, g + 1])
-                    at, n = np.unique(place[low:high], return_counts=True)
-                    held[name][at] += n
+                            room = dense_slots
+                        held[name] = np.zeros(shards.size[name[0]], np.int64)
+                        room -= shards.size[name[0]]
+                    np.add.at(held[name], some, 1)
         yield from given()
 
     return run
@@ -240,7 +280,7 @@ def _recounted(shared, n_shards: int, dense_slots: int):
 
 def kept_terms(rows: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """``lang, term`` of the terms that at least ``least_docs`` documents of their language have."""
-    counted = rows.select("lang", "text").mapInArrow(tidy(_document_counts), "lang string, term string, n_docs long")
+    counted = rows.select("lang", "text").mapInArrow(tidy(_document_counts(GATHERED)), "lang string, term string, n_docs long")
     return counted.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= least_docs)
 
 
@@ -277,7 +317,7 @@ def recount(docs: DataFrame, least_docs: int = LEAST_DOCS, wave_bytes: int = WAV
     terms = written(kept_terms(rows, least_docs), "terms")
     n_shards = max(1, -(-terms.count() // shard_keys))
     sharded = terms.select("lang", "term", F.pmod(F.xxhash64("lang", "term"), F.lit(n_shards)).alias("shard"))
-    shards = written(sharded.groupBy("shard").applyInArrow(_built, "shard long, n long, displacement binary, sizes binary, keys binary"), "shards")
+    shards = written(sharded.groupBy("shard").applyInArrow(_built, "shard long, n long, displacement binary, sizes binary, keys binary, langs array<string>"), "shards")
     slots = shards.mapInArrow(_listed, "lang string, term string, shard long, slot int")
     counts = None
     for some in _waves(shards, wave_bytes):
@@ -376,8 +416,10 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, term_ranks: int =
     pairs = cell.groupBy("lang", "shard", "i", "j").applyInArrow(_compared, "lang string, source string, item string, value long")
     pairs = pairs.groupBy("lang", "source", "item").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("long").alias("value")).withColumn("part", F.lit("pair"))
 
-    exact = lambda count, n: (F.lit(SCALE).cast("decimal(10,0)") * (F.col(count) + 1).cast("decimal(20,0)"))
-    p = lambda count, n: F.call_function("div", exact(count, n), (F.col(n) + F.col("n_terms")).cast("decimal(20,0)")) + 1
+    # decimals where a product passes a long
+    p = lambda count, n: F.expr(
+        f"1 + if({count} < {(1 << 62) // SCALE}, ({SCALE}L * ({count} + 1)) div ({n} + n_terms), (cast({SCALE} as decimal(10,0)) * cast({count} + 1 as decimal(20,0))) div cast({n} + n_terms as decimal(20,0)))"
+    )
     of_lang = counts.groupBy("lang", "shard", "slot").agg(F.sum("count").alias("in_lang"))
     shares = counts.join(of_lang, ["lang", "shard", "slot"]).join(_small(heads), ["lang", "source"]).withColumns({"p": p("count", "n"), "q": p("in_lang", "n_lang")}).where("p > q")
     terms = shares.join(kept, ["lang", "shard", "slot"]).select("lang", "source", F.col("term").alias("item"), F.expr("((p - q) * (p - q)) div q").alias("value"), F.lit("term").alias("part"))
