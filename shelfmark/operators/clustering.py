@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from shelfmark.plans.specs import Feature
 
 FEW = 11
+#: Starts of each candidate.
+STARTS = 5
 
 
 def vectors(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -26,12 +28,23 @@ def vectors(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans, "mixture": GaussianMixture}
 
 
-def candidate_grid(vec: DataFrame, ks: list[int], algorithms: tuple[str, ...] = ("kmeans",), seed: int = 1) -> dict[tuple[str, int], DataFrame]:
+def _best_model(algorithm: str, k: int, vec: DataFrame, seed: int, starts: int):
+    """The best of several starts: the greatest likelihood of a mixture, the least sum of squares of the others."""
+    best, worth = None, -math.inf
+    for s in range(seed, seed + max(1, starts)):
+        model = ALGORITHMS[algorithm](k=k, seed=s, featuresCol="features", predictionCol="labels").fit(vec)
+        own = model.summary.logLikelihood if algorithm == "mixture" else -model.summary.trainingCost
+        if best is None or own > worth:
+            best, worth = model, own
+    return best
+
+
+def candidate_grid(vec: DataFrame, ks: list[int], algorithms: tuple[str, ...] = ("kmeans",), seed: int = 1, starts: int = STARTS) -> dict[tuple[str, int], DataFrame]:
     """``vec`` (with ``features``) with a column ``labels``, for each algorithm and k (M9); as ``score_clusters`` and
-    ``select_outputs`` take them."""
+    ``select_outputs`` take them. A start may end in a local optimum, so the best of ``starts`` is taken."""
     vec = vec.persist()
     try:
-        models = {(a, k): ALGORITHMS[a](k=k, seed=seed, featuresCol="features", predictionCol="labels").fit(vec) for a in algorithms for k in ks}
+        models = {(a, k): _best_model(a, k, vec, seed, starts) for a in algorithms for k in ks}
         return {c: m.transform(vec).drop("probability") for c, m in models.items()}
     finally:
         vec.unpersist()

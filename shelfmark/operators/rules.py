@@ -8,9 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions.scratch import staged
 from shelfmark.plans.specs import Kpi, Rule, RuleOutcome
 
 SUMMARY = (
@@ -73,14 +74,21 @@ def empty_check(df: DataFrame, entity: str, now: datetime) -> dict | None:
     return rule_summary_row(entity, Rule("data_check", "", "REPORT", "data_check"), 0, 1, now) if df.isEmpty() else None
 
 
+def _condition(rule: Rule, kpis: dict) -> str:
+    cond = expand_kpis(rule.outer, kpis)
+    return f"({expand_kpis(rule.inner, kpis)}) AND ({cond})" if rule.inner else cond
+
+
+def _row_condition(rule: Rule, kpis: dict) -> Column:
+    """Whether a row meets a rule's condition; NULL is no."""
+    return F.coalesce(F.expr(_condition(rule, kpis)), F.lit(False))
+
+
 def _flagged(tables: dict[str, DataFrame], rows: DataFrame, rule: Rule, kpis: dict) -> DataFrame:
     """The rows with ``__hit``: whether they meet the rule's condition; across tables by a join on distinct keys."""
-    cond = expand_kpis(rule.outer, kpis)
-    if rule.inner:
-        cond = f"({expand_kpis(rule.inner, kpis)}) AND ({cond})"
     if not rule.other_table:
-        return rows.withColumn("__hit", F.coalesce(F.expr(cond), F.lit(False)))
-    keys = list(rule.on)
+        return rows.withColumn("__hit", _row_condition(rule, kpis))
+    keys, cond = list(rule.on), _condition(rule, kpis)
     other = tables[rule.other_table]
     joined = rows.alias("a").join(other.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left")
     bad = joined.where(F.expr(cond)).select(*[F.col(f"a.{k}").alias(f"__k_{k}") for k in keys], F.lit(True).alias("__bad")).distinct()
@@ -93,15 +101,46 @@ def without_pauses(summary: DataFrame, entity: str) -> DataFrame:
     return summary.where(~((F.col("table") == entity) & (F.col("action") == "PAUSE")))
 
 
+def _batches(rules: list[Rule]) -> list[list[Rule]]:
+    """Rules in order, cut where one has to know what became of another.
+
+    Within a batch all see the same rows but for those that earlier deletes without a threshold, which always act, took
+    away. A rule that may or may not act on rows (with a threshold), or changes them, ends its batch; one that looks at
+    another table is a batch of its own.
+    """
+    out: list[list[Rule]] = [[]]
+    for rule in rules:
+        if rule.other_table:
+            out += [[rule], []]
+            continue
+        out[-1].append(rule)
+        if not rule.group_by and (rule.action == "REPLACE" or rule.action == "DELETE" and rule.threshold):
+            out.append([])
+    return [b for b in out if b]
+
+
+def _counted(clean: DataFrame, batch: list[Rule], kpis: dict) -> tuple[list[Column], list[Column], list[tuple[int, int]]]:
+    """``(alive, hit, (rows, hits))`` of each rule of a batch, all counted by one aggregate."""
+    alive, hits, left = [], [], F.lit(True)
+    for rule in batch:
+        alive.append(left)
+        hits.append(F.lit(False) if rule.group_by else left & _row_condition(rule, kpis))
+        if rule.action == "DELETE" and not rule.group_by:
+            left = left & ~_row_condition(rule, kpis)
+    counts = clean.agg(*[F.count_if(c).alias(f"{n}{i}") for i in range(len(batch)) for n, c in (("n", alive[i]), ("h", hits[i]))]).first()
+    return alive, hits, [(counts[f"n{i}"], counts[f"h{i}"]) for i in range(len(batch))]
+
+
 def run_rules(
     tables: dict[str, DataFrame], entity: str, rules: list[Rule], kpis: dict, stage: str | None = None, now: datetime | None = None, earlier: DataFrame | None = None,
 ) -> RuleOutcome:
     """Runs an entity's rules in order (D2-D7): each sees what the ones before it left.
 
-    A rule below its threshold only reports. A failed PAUSE outside module ``validation`` pauses the table. Rules run one
-    after the other: one aggregate per rule counts its rows and its hits, no rows go to the driver, and the plan reads the
-    table once however many rules replace values. ``earlier`` summaries come first in the summary, without the table's
-    PAUSE rows if one of the rules is a PAUSE.
+    A rule below its threshold only reports. A failed PAUSE outside module ``validation`` pauses the table. Rules that need
+    not know what became of each other are counted together: a batch is one aggregate with two conditions a rule, however
+    many rules it has, and its rejected rows come from one pass. What a batch leaves is staged where another batch follows.
+    No rows go to the driver. ``earlier`` summaries come first in the summary, without the table's PAUSE rows if one of the
+    rules is a PAUSE.
     """
     now = now or datetime.now()
     clean = tables[entity]
@@ -110,26 +149,46 @@ def run_rules(
     chosen = [r for r in rules if stage is None or r.module == stage]
     if row := empty_check(clean, entity, now):
         rows.append(row)
-    for rule in chosen:
-        if rule.group_by:
-            found = aggregate_rule(clean, kpis, rule.inner, list(rule.group_by), list(rule.agg), rule.outer)
-            aggregates[rule.name] = found
-            rows.append(rule_summary_row(entity, rule, clean.count(), found.count(), now, "REPORT_AGG"))
-            continue
-        flagged = _flagged(tables, clean, rule, kpis)
-        original, affected = flagged.agg(F.count("*"), F.count_if("__hit")).first()
-        acts = threshold_met(affected / original if original else 0.0, rule.threshold)
-        action = rule.action if acts else "REPORT"
-        bad = flagged.where("__hit").drop("__hit")
-        anomalies.append(bad.withColumns({"QC": F.lit(rule.name), "action": F.lit(action), "insertion_date": F.lit(now)}))
-        rows.append(rule_summary_row(entity, rule, original, affected, now, action))
-        if action == "DELETE":
-            clean = flagged.where("NOT __hit").drop("__hit")
-        elif action == "REPLACE":
+    batches = _batches(chosen)
+    for number, batch in enumerate(batches):
+        if batch[0].other_table:
+            rule = batch[0]
+            flagged = _flagged(tables, clean, rule, kpis)
+            source, alive, hits = flagged, [F.lit(True)], [F.col("__hit")]
+            counts = [tuple(flagged.agg(F.count("*"), F.count_if("__hit")).first())]
+        else:
+            source = clean
+            alive, hits, counts = _counted(clean, batch, kpis)
+        found, left, replaced = [], F.lit(True), None
+        for rule, here, hit, (original, affected) in zip(batch, alive, hits, counts, strict=True):
+            if rule.group_by:
+                groups = aggregate_rule(source.where(here), kpis, rule.inner, list(rule.group_by), list(rule.agg), rule.outer)
+                aggregates[rule.name] = groups
+                rows.append(rule_summary_row(entity, rule, original, groups.count(), now, "REPORT_AGG"))
+                continue
+            acts = threshold_met(affected / original if original else 0.0, rule.threshold)
+            action = rule.action if acts else "REPORT"
+            found.append(F.when(hit, F.struct(F.lit(rule.name).alias("QC"), F.lit(action).alias("action"))))
+            rows.append(rule_summary_row(entity, rule, original, affected, now, action))
+            if action == "DELETE":
+                left = left & ~hit
+            elif action == "REPLACE":
+                replaced = rule, hit
+            elif action == "PAUSE" and affected and rule.module != "validation":
+                paused = True
+        if found:
+            # a row is rejected once for each rule that it meets
+            bad = source.withColumn("__found", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())))
+            bad = bad.withColumns({"QC": F.col("__found.QC"), "action": F.col("__found.action"), "insertion_date": F.lit(now)})
+            anomalies.append(bad.drop("__found", "__hit"))
+        clean = source.where(left)
+        if replaced:
+            rule, hit = replaced
             value = F.expr(expand_kpis(rule.value, kpis)).cast(clean.schema[rule.column].dataType)
-            clean = flagged.withColumn(rule.column, F.when(F.col("__hit"), value).otherwise(F.col(rule.column))).drop("__hit")
-        elif action == "PAUSE" and affected and rule.module != "validation":
-            paused = True
+            clean = clean.withColumn(rule.column, F.when(hit, value).otherwise(F.col(rule.column)))
+        clean = clean.drop("__hit")
+        if number + 1 < len(batches):
+            clean = staged(clean, "rules")
     summary = spark.createDataFrame([tuple(r[c.split()[0]] for c in SUMMARY.split(", ")) for r in rows], SUMMARY)
     if earlier is not None:
         summary = (without_pauses(earlier, entity) if any(r.action == "PAUSE" for r in chosen) else earlier).unionByName(summary)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.joins import joined_null_safe
+from shelfmark.functions.scratch import staged
 from shelfmark.plans.specs import QualityError
 
 
@@ -21,10 +23,16 @@ def flag_nulls(df: DataFrame, non_nullable: list[str]) -> DataFrame:
 
 
 def flag_duplicates(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """``primary_key_check``: not the first row of its key, in the order of all columns (C4)."""
-    order = order_by or df.columns
-    first = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("primary_key_check", F.row_number().over(first) > 1)
+    """``primary_key_check``: not the first row of its key, in the order of all columns (C4).
+
+    The first row of each key is found by partial aggregation, where a number tells equal rows apart, and only keys of
+    several rows are joined back: a key with very many rows is no single task's. ``df`` is staged, so that its rows keep
+    their numbers.
+    """
+    rows = staged(df.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*(order_by or df.columns), "__row"))["__row"].alias("__first"), F.count("*").alias("__rows"))
+    out = joined_null_safe(rows, first.where("__rows > 1").drop("__rows"), keys)
+    return out.withColumn("primary_key_check", F.coalesce(F.col("__row") != F.col("__first"), F.lit(False))).drop("__row", "__first")
 
 
 def quarantine(df: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:

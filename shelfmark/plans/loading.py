@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text
 from shelfmark.functions.scratch import scratch_path
 from shelfmark.functions.types import map_type
-from shelfmark.operators import control, mapping, rules, tables, validate
+from shelfmark.operators import control, deltalog, mapping, rules, tables, validate
 from shelfmark.plans.specs import ColumnMapping, EntitySpec, Kpi, Rule
 from shelfmark.plans.views import inventory_master, product_master, store_master, table, transaction_master, with_entities
 from shelfmark.sources import databases, files
@@ -282,6 +282,50 @@ def b9(spark, d):
     return tables.compute_delta(new, old, ["c_custkey"], ["c_acctbal", "c_mktsegment"])
 
 
+def _log(spark, old):
+    return deltalog.create_log(old, scratch_path(spark, "log"), ["c_custkey"], _COLS)
+
+
+@query("b3_delta_log", f"WITH {_OLD} SELECT {_MERGED}, o.active FROM old o FULL JOIN new n ON o.c_custkey = n.c_custkey")
+def b3l(spark, d):
+    # three batches, of which one brings older values first and one is run twice, and a compaction between them
+    old, new = _customers(spark, d)
+    log, third = _log(spark, old), F.col("c_custkey") % 3
+    deltalog.append_batch(log, new.where(third > 0).withColumn("c_acctbal", F.lit(0.0)), 0)
+    deltalog.append_batch(log, new.where(third == 1), 1)
+    deltalog.compact(spark, log)
+    for _ in range(2):
+        deltalog.append_batch(log, new.where(third != 1), 2)
+    deltalog.append_batch(log, new.where(third == 1).withColumn("c_acctbal", F.lit(1.0)), 1)
+    return deltalog.current(spark, log)
+
+
+@query("b4_delta_log_delete", f"WITH {_OLD} SELECT {_MERGED}, o.active FROM old o RIGHT JOIN new n ON o.c_custkey = n.c_custkey")
+def b4l(spark, d):
+    old, new = _customers(spark, d)
+    log = _log(spark, old)
+    deltalog.append_batch(log, new, 0, "delete")
+    return deltalog.current(spark, log)
+
+
+@query("b5_delta_log_deactivate", f"WITH {_OLD} SELECT {_MERGED}, n.c_custkey IS NOT NULL AS active FROM old o FULL JOIN new n ON o.c_custkey = n.c_custkey")
+def b5l(spark, d):
+    old, new = _customers(spark, d)
+    log = _log(spark, old)
+    deltalog.append_batch(log, new, 0, "deactivate")
+    deltalog.compact(spark, log)
+    return deltalog.current(spark, log)
+
+
+@query("b9_fingerprint_delta", SQL["b9_delta"])
+def b9f(spark, d):
+    old, new = _customers(spark, d)
+    cols, paths = ["c_acctbal", "c_mktsegment"], [scratch_path(spark, n) for n in ("new", "old")]
+    for df, path in ((new, paths[0]), (old, paths[1])):
+        deltalog.write_fingerprinted(df, path, ["c_custkey"], cols)
+    return deltalog.fingerprint_delta(spark, *paths, new.select("c_custkey", *cols).schema, ["c_custkey"], cols)
+
+
 def _failure(spark, name: str, action) -> tuple[str, str, str]:
     """What a check raises, as a row."""
     try:
@@ -587,6 +631,12 @@ def d3(spark, d):
     return _outcome(spark, d).anomaly.groupBy("QC", "action").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
 
 
+@query("d2_many_rules", """SELECT 'q' || i AS rule, count(*) AS no_original_rows, count(*) FILTER (l_quantity > i / 2.0) AS affected_rows FROM lineitem, (SELECT unnest(range(100)) AS i) GROUP BY i""")
+def d2m(spark, d):
+    many = [Rule(f"q{i}", f"l_quantity > {i / 2}", "REPORT", "cleaning") for i in range(100)]
+    return rules.run_rules({"lines": _lines(spark, d)}, "lines", many, KPIS, "cleaning", NOW).summary.select("rule", "no_original_rows", "affected_rows")
+
+
 @query("d7_paused", """WITH a AS (SELECT *, l_quantity > 49 AS bad FROM lineitem) SELECT 'p1' AS rule, 'PAUSE' AS action, count(*) AS no_original_rows, count(*) FILTER (bad) AS affected_rows, 'Fail' AS status, TRUE AS paused FROM a
   UNION ALL SELECT 'p2', 'PAUSE', count(*), 0, 'Pass', TRUE FROM a UNION ALL SELECT 'old', 'DELETE', 7, 7, 'Fail', TRUE UNION ALL SELECT 'other', 'PAUSE', 7, 7, 'Fail', TRUE""")
 def d7(spark, d):

@@ -5,11 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.operators import mapping, tables, validate
+from shelfmark.operators import deltalog, mapping, validate
 from shelfmark.plans.specs import EntitySpec
 from shelfmark.sources.files import with_audit_column
 
@@ -20,36 +19,28 @@ def stream_landing(spark: SparkSession, path: str, schema: T.StructType | str, f
     return with_audit_column(reader.option("recursiveFileLookup", "true").load(path), audit)
 
 
-def stream_validate_merge(stream: DataFrame, spec: EntitySpec, target: str, checkpoint: str) -> StreamingQuery:
+def stream_validate_merge(stream: DataFrame, spec: EntitySpec, target: str, checkpoint: str, log_path: str | None = None, compact_every: int = 16) -> StreamingQuery:
     """Validates each micro-batch, quarantines bad rows and upserts the rest into a table.
 
-    Snapshots are written beside each other, ``<target>__v<batch>``, each with the batch that made it; a view ``target``
-    shows the newest, and rejected rows and deltas are kept by batch. A batch that is run again after a loss writes the same
-    tables again, so it counts once; snapshots older than the one before are dropped.
+    The table is a delta log (below the checkpoint unless given): a batch writes its own rows and no others, a batch that is
+    run again after a loss writes the same folder again, so it counts once, and every ``compact_every`` batches the buckets
+    that were touched are folded. A temporary view ``target`` shows the newest rows; ``deltalog.open_log`` and ``current``
+    read the table from elsewhere. Rejected rows are kept by batch, ``<target>__anomaly<batch>``.
     """
-    keys, required = spec.keys, spec.required
+    path, spark = log_path or f"{checkpoint}-table", stream.sparkSession
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         mapped = mapping.apply_mapping(batch, spec.mapping)
-        flagged = validate.flag_duplicates(validate.flag_nulls(mapped, required), keys)
+        flagged = validate.flag_duplicates(validate.flag_nulls(mapped, spec.required), spec.keys)
         flagged = flagged.persist()
         clean, anomaly = validate.quarantine(flagged, datetime(1970, 1, 1))
-        names = [m.generic for m in spec.mapping]
-        clean = clean.select(*names)
-        before = f"{target}__v{batch_id - 1}"
-        if batch_id and spark.catalog.tableExists(before):
-            old = spark.table(before)
-            new = tables.merge_upsert(old, clean, keys, [c for c in names if c not in keys])
-            delta = tables.compute_delta(clean, old, keys, names).where("__record_type = 1")
-        else:
-            new, delta = clean, clean.withColumn("__record_type", F.lit(1))
-        new.write.mode("overwrite").saveAsTable(f"{target}__v{batch_id}")
-        delta.write.mode("overwrite").saveAsTable(f"{target}__delta{batch_id}")
+        clean = clean.select(*[m.generic for m in spec.mapping])
+        log = deltalog.open_log(spark, path) or deltalog.create_log(spark.createDataFrame([], clean.schema), path, spec.keys)
+        deltalog.append_batch(log, clean, batch_id)
         anomaly.write.mode("overwrite").saveAsTable(f"{target}__anomaly{batch_id}")
-        spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {target}__v{batch_id}")
-        if batch_id >= 2:
-            spark.sql(f"DROP TABLE IF EXISTS {target}__v{batch_id - 2}")
         flagged.unpersist()
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            deltalog.compact(spark, log)
+        deltalog.current(spark, log).createOrReplaceTempView(target)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
