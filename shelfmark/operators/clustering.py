@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from types import SimpleNamespace
 
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+import numpy as np
+import pandas as pd
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -17,35 +20,77 @@ from shelfmark.plans.specs import Feature
 
 FEW = 11
 #: Starts of each candidate.
-STARTS = 5
+STARTS = 3
 
 
 def vectors(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
-#: Algorithms of candidates: Spark's distributed ones.
-ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans, "mixture": GaussianMixture}
+#: Algorithms of candidates, Spark's distributed ones; ``mixture`` besides.
+ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 
 
 def _best_model(algorithm: str, k: int, vec: DataFrame, seed: int, starts: int):
-    """The best of several starts: the greatest likelihood of a mixture, the least sum of squares of the others."""
-    best, worth = None, -math.inf
+    """Of several starts the one with the least sum of squares."""
+    best = None
     for s in range(seed, seed + max(1, starts)):
         model = ALGORITHMS[algorithm](k=k, seed=s, featuresCol="features", predictionCol="labels").fit(vec)
-        own = model.summary.logLikelihood if algorithm == "mixture" else -model.summary.trainingCost
-        if best is None or own > worth:
-            best, worth = model, own
+        if best is None or model.summary.trainingCost < best.summary.trainingCost:
+            best = model
     return best
 
 
+def _mixture(k: int, vec: DataFrame, seed: int, starts: int) -> DataFrame:
+    """``vec`` with ``labels`` of a Gaussian mixture whose weights, means and covariances start from the best k-means.
+
+    A mixture that starts from random rows often ends in a local optimum. The driver gets a row for each cluster.
+    """
+    from pyspark.mllib.clustering import GaussianMixture
+    from pyspark.mllib.linalg import DenseMatrix, DenseVector
+    from pyspark.mllib.stat.distribution import MultivariateGaussian
+
+    labelled = _best_model("kmeans", k, vec, seed, starts).transform(vec).withColumn("__a", vector_to_array("features"))
+    n = len(labelled.select("__a").first()[0])
+    dim = [F.col("__a")[i] for i in range(n)]
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    rows = labelled.groupBy("labels").agg(
+        F.count("*").alias("n"), *[F.avg(d).alias(f"m{i}") for i, d in enumerate(dim)], *[F.covar_pop(dim[i], dim[j]).alias(f"c{i}_{j}") for i, j in pairs]
+    ).orderBy("labels").collect()
+    total = sum(r["n"] for r in rows)
+    # a little spread in every direction, so that equal points make no singular start
+    ridge = 1e-9 * max([r[f"m{i}"] ** 2 + r[f"c{i}_{i}"] for r in rows for i in range(n)]) + 1e-12
+    gaussians = []
+    for r in rows:
+        cov = [r[f"c{min(i, j)}_{max(i, j)}"] + (ridge if i == j else 0.0) for j in range(n) for i in range(n)]
+        gaussians.append(MultivariateGaussian(DenseVector([r[f"m{i}"] for i in range(n)]), DenseMatrix(n, n, cov)))
+    start = SimpleNamespace(k=len(rows), weights=[r["n"] / total for r in rows], gaussians=gaussians)
+    points = labelled.select("__a").rdd.map(lambda r: r[0])  # what a start can be given to takes an RDD
+    model = GaussianMixture.train(points, len(rows), seed=seed, initialModel=start)
+    parts = [(w, g.mu.toArray(), g.sigma.toArray()) for w, g in zip(model.weights, model.gaussians, strict=True)]
+
+    @F.pandas_udf("int")
+    def label(values: pd.Series) -> pd.Series:
+        x = np.stack(values.to_numpy())
+        scores = []
+        for weight, mean, cov in parts:
+            values_, axes = np.linalg.eigh(cov)
+            values_ = np.maximum(values_, max(values_.max(), 1e-300) * 1e-12)
+            scores.append(np.log(max(weight, 1e-300)) - 0.5 * (np.log(values_).sum() + (((x - mean) @ axes) ** 2 / values_).sum(1)))
+        return pd.Series(np.argmax(scores, 0), dtype="int32")
+
+    return labelled.withColumn("labels", label("__a")).drop("__a")
+
+
 def candidate_grid(vec: DataFrame, ks: list[int], algorithms: tuple[str, ...] = ("kmeans",), seed: int = 1, starts: int = STARTS) -> dict[tuple[str, int], DataFrame]:
     """``vec`` (with ``features``) with a column ``labels``, for each algorithm and k (M9); as ``score_clusters`` and
-    ``select_outputs`` take them. A start may end in a local optimum, so the best of ``starts`` is taken."""
+    ``select_outputs`` take them. A start may end in a local optimum, so the best of ``starts`` is taken, and a mixture
+    starts from the best k-means."""
+    if unknown := set(algorithms) - {*ALGORITHMS, "mixture"}:
+        raise ValueError(f"unknown algorithms {sorted(unknown)}")
     vec = vec.persist()
     try:
-        models = {(a, k): _best_model(a, k, vec, seed, starts) for a in algorithms for k in ks}
-        return {c: m.transform(vec).drop("probability") for c, m in models.items()}
+        return {(a, k): _mixture(k, vec, seed, starts) if a == "mixture" else _best_model(a, k, vec, seed, starts).transform(vec) for a in algorithms for k in ks}
     finally:
         vec.unpersist()
 
