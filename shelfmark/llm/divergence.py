@@ -32,7 +32,7 @@ from shelfmark.llm.common import read, tidy, written
 #: Keys of a shard; bytes of shards broadcast at once; slots that a task counts at once; sources compared at once; bytes
 #: of text handled at once; rows of groups and languages up to which they are broadcast; pairs of language and term that a
 #: task gathers.
-SHARD, WAVE_BYTES, DENSE_SLOTS, TILE, TOGETHER, SMALL, GATHERED = 4096, 64 << 20, 1 << 23, 128, 1 << 21, 100_000, 200_000
+SHARD, WAVE_BYTES, DENSE_SLOTS, TILE, TOGETHER, SMALL, GATHERED = 4096, 64 << 20, 1 << 23, 128, 1 << 22, 100_000, 200_000
 SCALE, LEAST_DOCS, TERM_RANKS = 1_000_000_000, 3, 200
 #: Keys of a bucket on average; displacements tried; the displacement that tells buckets apart.
 _BUCKET, _TRIES, _BUCKETS = 4, 1 << 16, 1 << 40
@@ -92,7 +92,8 @@ def _document_counts(gathered: int):
             for first, text, number, distinct in terms_of(batch.column("text")):
                 if not len(number):
                     continue
-                once = np.unique(text * len(distinct) + number)  # of one document
+                pairs = np.sort(text * len(distinct) + number)
+                once = pairs[np.append(True, pairs[1:] != pairs[:-1])]  # of one document
                 counts = np.bincount(lang_of[first + once // len(distinct)] * len(distinct) + once % len(distinct))
                 for key, n in zip(np.flatnonzero(counts).tolist(), counts[counts > 0].tolist(), strict=True):
                     own = held.setdefault(langs[key // len(distinct)], {})
@@ -171,10 +172,11 @@ def _built(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     order = np.argsort(slots)
     keys = pa.array([f"{langs[i]}\0{terms[i]}".encode() for i in order], pa.binary())
     sizes = np.diff(np.frombuffer(keys.buffers()[1], np.int32)[: len(keys) + 1]).astype("<i4")
+    codes, names = _coded(pa.array([langs[i] for i in order], pa.string()))
     return pa.table(
         {
             "shard": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([len(slots)], pa.int64()), "displacement": pa.array([displacement.astype("<i4").tobytes()], pa.binary()),
-            "sizes": pa.array([sizes.tobytes()], pa.binary()), "keys": pa.array([b"".join(keys.to_pylist())], pa.binary()), "langs": pa.array([[langs[i] for i in order]], pa.list_(pa.string())),
+            "sizes": pa.array([sizes.tobytes()], pa.binary()), "keys": pa.array([b"".join(keys.to_pylist())], pa.binary()), "langs": pa.array([names], pa.list_(pa.string())), "lang_of": pa.array([codes.astype("<i4").tobytes()], pa.binary()),
         }
     )
 
@@ -196,7 +198,9 @@ class Shards:
         self.shard_of_place = np.repeat(self.known, self.n)
         self.slot_of_place = np.arange(self.total) - np.repeat(self.start, self.n)
         # a language's places are numbered by themselves, so that a group's array has those of its language only
-        lang, self.langs = _coded(pa.array([x for r in rows for x in r[5]], pa.string()))
+        self.langs = sorted({x for r in rows for x in r[5]})
+        number = {x: i for i, x in enumerate(self.langs)}
+        lang = np.concatenate([np.array([number[x] for x in r[5]], np.int64)[np.frombuffer(r[6], "<i4")] for r in rows])
         sizes = np.bincount(lang, minlength=len(self.langs))
         self.size, self.places = dict(zip(self.langs, sizes.tolist(), strict=True)), dict(zip(self.langs, np.split(np.argsort(lang, kind="stable"), np.cumsum(sizes)[:-1]), strict=True))
         self.within = np.zeros(self.total, np.int64)
@@ -253,9 +257,13 @@ def _recounted(shared, n_shards: int, dense_slots: int):
                 there = np.zeros(len(langs) * len(distinct), bool)
                 there[key] = True
                 keys = np.flatnonzero(there)
-                pairs = [(langs[k // len(distinct)], distinct[k % len(distinct)]) for k in keys.tolist()]
-                hashes = np.fromiter((xxhash.xxh64_intdigest(b, seeds[a]) for a, b in pairs), np.uint64, len(pairs))
-                found = shards.place(hashes, [a.encode() + b"\0" + b for a, b in pairs])
+                hashes, stored = np.zeros(len(keys), np.uint64), []
+                edges = np.searchsorted(keys, np.arange(len(langs) + 1) * len(distinct)).tolist()
+                for i, (low, high) in enumerate(zip(edges, edges[1:])):  # noqa: B905
+                    some, seed, name = [distinct[k] for k in (keys[low:high] - i * len(distinct)).tolist()], seeds[langs[i]], langs[i].encode() + b"\0"
+                    hashes[low:high] = np.fromiter((xxhash.xxh64_intdigest(b, seed) for b in some), np.uint64, len(some))
+                    stored += [name + b for b in some]
+                found = shards.place(hashes, stored)
                 within = np.full(len(there), -1, np.int64)
                 within[keys] = np.where(found >= 0, shards.within[found], -1)
                 at = within[key]
@@ -317,7 +325,7 @@ def recount(docs: DataFrame, least_docs: int = LEAST_DOCS, wave_bytes: int = WAV
     terms = written(kept_terms(rows, least_docs), "terms")
     n_shards = max(1, -(-terms.count() // shard_keys))
     sharded = terms.select("lang", "term", F.pmod(F.xxhash64("lang", "term"), F.lit(n_shards)).alias("shard"))
-    shards = written(sharded.groupBy("shard").applyInArrow(_built, "shard long, n long, displacement binary, sizes binary, keys binary, langs array<string>"), "shards")
+    shards = written(sharded.groupBy("shard").applyInArrow(_built, "shard long, n long, displacement binary, sizes binary, keys binary, langs array<string>, lang_of binary"), "shards")
     slots = shards.mapInArrow(_listed, "lang string, term string, shard long, slot int")
     counts = None
     for some in _waves(shards, wave_bytes):
