@@ -171,6 +171,17 @@ def a12(spark, d):
     return orders.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
 
 
+@query("a12_histogram_ranges", "SELECT count(*) AS n, TRUE AS even, 0 AS lost FROM orders")
+def a12h(spark, d):
+    # cubes lie far apart at the top; a thirtieth of the keys is missing
+    orders = table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 30 != 0, F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("k"))
+    low, high = orders.agg(F.min("k"), F.max("k")).first()
+    predicates = databases.histogram_predicates(lambda cs: list(orders.agg(*[F.count_if(F.expr(c)) for c in cs]).first()), "k", low, high, 7)
+    found = orders.agg(F.count("*").alias("n"), *[F.count_if(F.expr(p) & F.col("k").isNotNull()).alias(f"c{i}") for i, p in enumerate(predicates)], F.count_if(F.expr(" OR ".join(predicates))).alias("all"))
+    even = F.greatest(*[F.col(f"c{i}") for i in range(len(predicates))], F.lit(0)) <= 2 * F.col("n") / 7
+    return found.select("n", even.alias("even"), (F.col("n") - F.col("all")).cast("int").alias("lost"))
+
+
 @query("a12b_packed_keys", """SELECT k, n, CASE WHEN k IS NULL THEN 0 ELSE CAST(floor((sum(n) OVER (ORDER BY n, k NULLS FIRST ROWS UNBOUNDED PRECEDING) - 1) / 400) AS BIGINT) % 5 END AS grp
   FROM (SELECT CASE WHEN c_nationkey = 3 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS k, count(*) AS n FROM customer GROUP BY 1)""")
 def a12b(spark, d):

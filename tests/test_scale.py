@@ -12,6 +12,7 @@ from shelfmark.functions.scratch import scratch_path
 from shelfmark.operators import deltalog, imputation, rules, tables, validate
 from shelfmark.plans import analytics, loading
 from shelfmark.plans.specs import Rule
+from shelfmark.sources import databases
 from tests.oracle import oracle, rows_of
 
 NOW = datetime(2024, 1, 1)
@@ -184,6 +185,29 @@ def test_a_hundred_reports_are_one_job(spark):
     assert len(jobs) <= 6  # is it empty, and one aggregate, whose stages adaptive planning may run as jobs of their own
 
 
+@pytest.mark.parametrize("dtype", ["numeric", "fraction", "date", "datetime"])
+def test_histogram_ranges_of_skewed_keys(spark, dtype):
+    """Every row in one range, none with over twice the mean, few queries to the source."""
+    rng = random.Random(6)
+    draw = {
+        "numeric": lambda: int(rng.random() ** 8 * 10**9), "fraction": lambda: rng.expovariate(1) ** 4, "date": lambda: date(2000, 1, 1) + timedelta(days=int(rng.random() ** 5 * 9000)),
+        "datetime": lambda: datetime(2000, 1, 1) + timedelta(seconds=int(rng.random() ** 6 * 9e8)),
+    }[dtype]
+    keys = [draw() for _ in range(2000)]
+    df = spark.createDataFrame([(k,) for k in [*keys, None, None]], {"numeric": "k long", "fraction": "k double", "date": "k date", "datetime": "k timestamp"}[dtype]).coalesce(2).persist()
+    asked = []
+
+    def count(conditions):
+        asked.append(len(conditions))
+        return list(df.agg(*[F.count_if(F.expr(c)) for c in conditions]).first())
+
+    predicates = databases.histogram_predicates(count, "k", min(keys), max(keys), 8, "numeric" if dtype == "fraction" else dtype)
+    held = [df.where(p).where("k IS NOT NULL").count() for p in predicates]
+    assert sum(held) == 2000 and max(held) <= 2 * 2000 / 8 and len(predicates) <= 8
+    assert df.where(" OR ".join(predicates)).count() == 2002 and len(asked) <= 1 + databases.ROUNDS
+    assert databases.histogram_predicates(count, "k", None, None, 8) == ["1 = 1"]
+
+
 @pytest.mark.parametrize("name", ["m9_candidates", "e22_store_split", "e14_lost_sales", "b3_delta_log"])
 def test_larger_tables(spark, name):
     """Queries that depend on the data, on more of it."""
