@@ -108,6 +108,11 @@ def joined_hot(big: DataFrame, small: DataFrame, key: str | list[str]) -> DataFr
 SMALL_IDS = 1_000_000
 
 
+def unused(name: str) -> str:
+    """A column name that no table has."""
+    return f"__{name}_{uuid.uuid4().hex}"
+
+
 def text_key(text_col: str = "text"):
     """A hash of a row's text (null: empty); with its id it tells which row is meant."""
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
@@ -118,7 +123,8 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col:
 
     Null ids are compared too; rows that share id and text share the decision.
     """
-    ids = written(gone.select(F.col("doc_id").alias("__gone_id"), F.col("key").alias("__gone_key")).distinct(), "gone")
+    gone_id, gone_key = unused("gone_id"), unused("gone_key")
+    ids = written(gone.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key)).distinct(), "gone")
     side = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id")) & (text_key(text_col) == F.col("__gone_key"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(gone_id)) & (text_key(text_col) == F.col(gone_key))
     return docs.join(side, same, "left_anti")

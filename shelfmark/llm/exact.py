@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import joined_hot, text_key, texts, tidy, without, written
+from shelfmark.llm.common import joined_hot, text_key, texts, tidy, unused, without, written
 
 SALTS = 8
 _KEYS = "doc_id long, key long, text_sha256 string, text_xxh long"
@@ -113,9 +113,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if twice.isEmpty():
         return left
     # rows that share id and text: few, and only they are grouped
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(text_col) == F.col("__key"))
-    marks = twice.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("text_sha256").alias("__sha"))
-    again = left.join(marks, same).drop("__key").dropDuplicates(["__id", "__sha"]).drop("__id", "__sha")
+    own_id, own_key, own_sha = unused("id"), unused("key"), unused("sha")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (text_key(text_col) == F.col(own_key))
+    marks = twice.select(F.col("doc_id").alias(own_id), F.col("key").alias(own_key), F.col("text_sha256").alias(own_sha))
+    again = left.join(marks, same).drop(own_key).dropDuplicates([own_id, own_sha]).drop(own_id, own_sha)
     return left.join(marks, same, "left_anti").unionByName(again)
 
 

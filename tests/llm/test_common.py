@@ -2,7 +2,7 @@
 
 import pytest
 
-from shelfmark.llm import common
+from shelfmark.llm import common, exact
 
 
 @pytest.mark.parametrize("hot", [2, 100])
@@ -22,6 +22,16 @@ def test_without_tells_rows_by_id_and_text(spark):
     assert left == {(1, "y"), (None, "x"), (2, None), (2, "")}
 
 
+def test_clashing_columns_pass_the_filters(spark):
+    """Columns of the names that the filters' own once had."""
+    names = ["__gone_id", "__gone_key", "__id", "__key", "__sha"]
+    rows = spark.createDataFrame([(1, "x"), (2, "X"), (2, "X"), (3, "y"), (None, None)], "doc_id long, text string")
+    rows = rows.selectExpr("*", *[f"'clash' AS {n}" for n in names])
+    left = exact.drop_exact_duplicates(rows)
+    assert left.columns == rows.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == [(2, "X"), (3, "y"), (None, None)]
+
+
 def test_no_shared_folder_is_an_error():
     class Context:
         master = "spark://host:7077"
