@@ -329,6 +329,47 @@ def test_op4_pieces_elsewhere(spark):
         assert found == set(range(4, 84))
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize(("words_", "pieces"), [(120, (36, 43)), (52, (36, 45)), (90, (44, 45))])
+def test_op4_excerpts_before_between_and_after(spark, words_, pieces, parts):
+    """Two texts that share a passage are found though many others, wherever they stand, have overlapping excerpts of it
+    that are too short to be passages."""
+    rng = np.random.default_rng(13)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    texts, pairs = [], []
+    for _ in range(20):
+        passage = draw(words_)
+        excerpts = []
+        for i in range(24):
+            n = int(rng.integers(*pieces))
+            a = round((words_ - n) * i / 23)
+            excerpts.append([*draw(25), *passage[a : a + n], *draw(25)])
+        rng.shuffle(excerpts := [" ".join(e) for e in excerpts])
+        x, y = (" ".join([*draw(30), *passage, *draw(30)]) for _ in range(2))
+        pairs.append((len(texts) + 8, len(texts) + 17))
+        texts += [*excerpts[:8], x, *excerpts[8:16], y, *excerpts[16:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts)
+    got = {(r["doc_id"], r["other_id"]): r for r in chaining.repeated_passages(df).collect()}
+    assert all(got[p]["n_words"] >= words_ and got[p[::-1]]["n_words"] >= words_ for p in pairs)
+    assert {d for d, _ in got} == {d for p in pairs for d in p}
+
+
+def test_op4_runs_of_any_passage():
+    """Of any stretch of ``least`` words one run is chosen, and the same one wherever the stretch stands."""
+    rng = np.random.default_rng(14)
+    text, word = np.repeat([0, 1, 2, 3], [300, 49, 50, 400]), rng.integers(0, 1 << 63, 799).astype(np.uint64)
+    word[500:560] = word[100:160]
+    at, gram = chaining.runs(text, word, 50)
+    size = int(chaining.RUN * 50)
+    for t in range(4):
+        (own,) = np.nonzero(text == t)
+        for a in own[: max(0, len(own) - 49)]:
+            assert ((at >= a) & (at + size <= a + 50)).any()
+    assert not (text[at] == 1).any() and (text[at] == text[at + size - 1]).all()
+    inside = [set(gram[(at >= a) & (at + size <= a + 60)].tolist()) for a in (100, 500)]
+    assert len(inside[0] & inside[1]) >= 2
+
+
 def test_op4_links_against_brute_force():
     """Few documents of a seed are all linked, many each with one that stays the same and with one that goes on alike."""
     rng = np.random.default_rng(12)
