@@ -7,14 +7,15 @@ names, YAML blocks, and comments, which end a value. Each becomes a name-literal
 
 Constants are propagated: a name stands for the literal that the nearest assignment before it gave it in the same block or one
 around it (by indentation), or else for one that an outermost assignment gives it later; ``b = a``, ``"${a}x"``, ``f"{a}"`` and
-chains of these are followed. A call has no literal of its own, but for one that only wraps a string and for the default of an
+chains of these are followed however long (but see ``EXPANSION``). A call has no literal of its own, but for one that only wraps a string and for the default of an
 environment lookup. Each literal is scored by how sensitive its target name is and by how random the literal looks. Pairs
 that score ``threshold`` or more add the spans ``pair`` (the value as written) and ``source`` (the literal that a propagated
 constant came from).
 
 Below the method lies a fixed base of three patterns (``assign``, ``access``, ``hex``) whose spans are always kept.
-Positions are code points, ends are exclusive. A text is passed over once however long its lines are. A null text counts as
-empty and has no spans; repeated rows are each scanned; an empty table gives an empty result; other columns are ignored.
+Positions are code points, ends are exclusive. A text is passed over once however long its lines are; names, values and
+elements may have any length (an indentation of over 200 counts as 200). A null text counts as empty and has no spans; a null
+``doc_id`` stays null; repeated rows are each scanned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,11 +42,11 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex")
 
 #: A name and what binds a value to it. No word is tried twice: a name starts where no name can go on.
-_BOUND = re.compile(r"""(?<![A-Za-z0-9_$.])([A-Za-z_$][A-Za-z0-9_$.-]*)(["'`]?\]?)[ \t]{0,40}(?::=|=>|(?<![=!<>+*/%&|^-])=(?![=>~])|:(?![:/=\\]))""")
-_ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]{0,80})(?:[ \t][^<>\n]{0,200})?>([^<>\n]{1,400})</\1>")
-_KEYED = re.compile(r"""(?:key|name)[ \t]*=[ \t]*"([^"\n]{1,80})"[ \t]+value[ \t]*=[ \t]*("[^"\n]{0,400}")""")
-_FLAG = re.compile(r"""(?<![\w-])--?([a-z][a-z0-9-]{2,40})[ \t]+("[^"\n]{1,400}"|'[^'\n]{1,400}'|[^\s"'-][^\s]{0,400})""")
-_USERINFO = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,80}:([^\s:/@]{1,200})@")
+_BOUND = re.compile(r"""(?<![A-Za-z0-9_$.])([A-Za-z_$][A-Za-z0-9_$.-]*)(["'`]?\]?)[ \t]*(?::=|=>|(?<![=!<>+*/%&|^-])=(?![=>~])|:(?![:/=\\]))""")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)(?:[ \t][^<>\n]*)?>([^<>\n]+)</\1>")
+_KEYED = re.compile(r"""(?:key|name)[ \t]*=[ \t]*"([^"\n]+)"[ \t]+value[ \t]*=[ \t]*("[^"\n]*")""")
+_FLAG = re.compile(r"""(?<![\w-])--?([a-z][a-z0-9-]{2,})[ \t]+("[^"\n]+"|'[^'\n]+'|[^\s"'-][^\s]*)""")
+_USERINFO = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]+:([^\s:/@]+)@")
 _STRING = re.compile(
     r"""[rRbBfFuU]{0,2}(?:\"""(?:[^"\\]|\\.|"(?!""))*\"""|'''(?:[^'\\]|\\.|'(?!''))*'''|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)""", re.DOTALL
 )
@@ -60,7 +61,11 @@ _WRAPPER = {"str", "bytes", "String", "string", "Secret", "SecretStr", "SecureSt
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _MENTION = re.compile(r"\$\{([A-Za-z_][\w.]*)\}|\$([A-Za-z_]\w*)|\{([A-Za-z_][\w.]*)\}|%\(([A-Za-z_]\w*)\)s")
 _SCHEME = re.compile(r"(?:Bearer|Basic|Token|Digest)[ \t]+", re.IGNORECASE)
-_LONGEST, _CHAIN = 4096, 8
+#: A bare word may hold names and values itself (a URL's query); see ``value_at``.
+TAIL = 4096
+#: References of a text are followed while what they expand to is no more than this many times the text (and ``ROOM``
+#: characters): constants that double each other would have no end.
+EXPANSION, ROOM = 16, 100_000
 
 #: How much each part of a name says that its value is secret.
 SENSITIVE = {
@@ -90,7 +95,7 @@ def name_score(name: str) -> float:
 def literal_score(literal: str) -> float:
     """0 to 1: length, entropy and mix of characters of a literal."""
     n = len(literal)
-    if n < 6 or n > _LONGEST or literal.lower() in PLACEHOLDERS or len(set(literal)) < 4 or _PLACEHOLDER.match(literal):
+    if n < 6 or literal.lower() in PLACEHOLDERS or len(set(literal)) < 4 or _PLACEHOLDER.match(literal):
         return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
     classes = sum(any(f(c) for c in literal) for f in (str.islower, str.isupper, str.isdigit)) + (not literal.isalnum())
@@ -103,8 +108,9 @@ def literal_score(literal: str) -> float:
 class Value:
     """What stands after a name: its span, and its terms: ``(literal, start, end)``, or ``(None, name, place)`` of a reference."""
 
-    def __init__(self, start: int, end: int, terms: list[tuple]):
-        self.start, self.end, self.terms = start, end, terms
+    def __init__(self, start: int, end: int, terms: list[tuple], bare: int = 0):
+        #: ``bare`` is where the bare word ends that the value is, or is a part of.
+        self.start, self.end, self.terms, self.bare = start, end, terms, bare
 
 
 def _unquoted(raw: str) -> str:
@@ -136,8 +142,9 @@ def _term(text: str, at: int) -> tuple[int, tuple] | None:
     return m.end(), (None, m[1], at)
 
 
-def value_at(text: str, at: int, limit: int | None = None) -> Value | None:
-    """Lexes the value at a place."""
+def value_at(text: str, at: int, within: int = 0, until: int = 0) -> Value | None:
+    """Lexes the value at a place. ``within``: the end of the bare word that the place is in, if it is in one; a value of
+    more than ``TAIL`` characters there ends before ``until``, the next name in it, or before an ``&``."""
     at = _BLANK.match(text, at).end()
     if block := _BLOCK.match(text, at):
         body = "".join(line.strip() for line in block[1].splitlines())
@@ -145,14 +152,23 @@ def value_at(text: str, at: int, limit: int | None = None) -> Value | None:
     if scheme := _SCHEME.match(text, at):
         at = scheme.end()
     first = _term(text, at)
-    bare = _BARE.match(text, at)
-    if first is None or (first[1][0] is None and bare and bare.end() > first[0]):
+    if at < within:
+        bare = within
+    else:
+        found = _BARE.match(text, at)
+        bare = found.end() if found else at
+    if first is None or (first[1][0] is None and bare > first[0]):
         # a bare word that is no name: numbers, paths, base64
-        if bare and not _CALL.match(text, bare.end()):
-            return Value(at, bare.end(), [(bare[0].rstrip(".,:"), at, bare.end())])
+        if bare > at and not _CALL.match(text, bare):
+            end = bare
+            if at < within and bare - at > TAIL:
+                end = min(bare, max(until, at))
+                mark = text.find("&", at, end)
+                end = mark if mark >= 0 else end
+            return Value(at, end, [(text[at:end].rstrip(".,:"), at, end)], bare)
         return None
     end, terms = first[0], [first[1]]
-    while end - at < _LONGEST:
+    while True:
         glue = _GLUE.match(text, end)
         more = _term(text, glue.end()) if glue.end() > end or text[end : end + 1] in "\"'" else None
         # words that only stand together are prose; strings are one literal
@@ -175,7 +191,8 @@ def assignments(text: str) -> list[Definition]:
     found: list[Definition] = []
     line_end, depth, commented = -1, 0, False
     open_: list[Definition] = []
-    for m in _BOUND.finditer(text):
+    bound, within = list(_BOUND.finditer(text)), 0
+    for m, then in zip(bound, [*(b.start() for b in bound), len(text)][1:], strict=True):
         if m.start() > line_end:
             line_start = text.rfind("\n", 0, m.start()) + 1
             line_end = text.find("\n", m.start())
@@ -185,8 +202,9 @@ def assignments(text: str) -> list[Definition]:
             commented = head.lstrip().startswith(("#", "//", "*", "--", ";"))
             while open_ and open_[-1].depth > depth:
                 open_.pop().closed = m.start()
-        value = value_at(text, m.end())
+        value = value_at(text, m.end(), within, then)
         if value is not None:
+            within = max(within, value.bare)
             found.append(Definition(m[1], value, m.start(), depth))
             if commented:  # what a comment assigns is no constant
                 found[-1].closed = m.start()
@@ -203,51 +221,79 @@ def assignments(text: str) -> list[Definition]:
 
 
 class Constants:
-    """Looks names up as a reader would: the nearest definition before, in a block that is still open; or an outermost one."""
+    """Looks names up as a reader would: the nearest definition before, in a block that is still open; or an outermost one.
 
-    def __init__(self, found: list[Definition]):
-        self.of: dict[str, list[Definition]] = {}
+    Definitions are kept by name and depth. Of one depth only the last before a place has to be asked: a line that closes it
+    has closed those before it too.
+    """
+
+    def __init__(self, found: list[Definition], size: int):
+        self.of: dict[str, dict[int, list[Definition]]] = {}
         for d in found:
-            self.of.setdefault(d.name, []).append(d)
+            if d.closed > d.place:
+                self.of.setdefault(d.name, {}).setdefault(d.depth, []).append(d)
+        self.solved: dict[int, tuple[str, list[tuple[int, int]]] | None] = {}
+        self.room = EXPANSION * size + ROOM
 
     def definition(self, name: str, place: int, depth: int) -> Definition | None:
-        every = self.of.get(name) or self.of.get(name.rsplit(".", 1)[-1], ())
-        i = bisect_left(every, place, key=lambda d: d.place)
-        for d in reversed(every[max(0, i - 64) : i]):
-            if d.closed > place and d.depth <= depth:
-                return d
-        return next((d for d in every[i : i + 64] if d.depth == 0 and d.closed > d.place and d.place > place), None)
-
-    def literal(self, d: Definition, steps: int = 0) -> tuple[str, list[tuple[int, int]]] | None:
-        """The literal that a definition's value stands for, and where its parts were written elsewhere."""
-        out, sources = [], []
+        levels = self.of.get(name) or self.of.get(name.rsplit(".", 1)[-1]) or {}
+        best = None
+        for level, every in levels.items():
+            i = bisect_left(every, place, key=lambda d: d.place) - 1
+            if level <= depth and i >= 0 and every[i].closed > place and (best is None or every[i].place > best.place):
+                best = every[i]
+        if best is None and 0 in levels:
+            i = bisect_right(levels[0], place, key=lambda d: d.place)
+            best = levels[0][i] if i < len(levels[0]) else None
+        return best
+
+    def _pieces(self, d: Definition) -> list[tuple[str, Definition | None]]:
+        """What a value is put together from: text, or a definition and the text that stands where it has no literal."""
+        out: list[tuple[str, Definition | None]] = []
         for term in d.value.terms:
             if term[0] is None:
-                inner = self._named(term[1], d, steps)
-                if inner is None:
-                    # a bare word that names nothing is a literal of configuration
-                    out.append(term[1])
-                else:
-                    out.append(inner[0])
-                    sources += inner[1]
+                # a bare word that names nothing is a literal of configuration
+                out.append((term[1], self._other(term[1], d)))
                 continue
             body, at = term[0], 0
             for m in _MENTION.finditer(body) if "$" in body or "{" in body or "%(" in body else ():
-                inner = self._named(m[1] or m[2] or m[3] or m[4], d, steps)
                 # what is not known is no part of the literal
-                out += [body[at : m.start()], inner[0] if inner else ""]
-                sources += inner[1] if inner else []
+                out += [(body[at : m.start()], None), ("", self._other(m[1] or m[2] or m[3] or m[4], d))]
                 at = m.end()
-            out.append(body[at:])
-        whole = "".join(out)
-        return (whole, sources) if len(whole) <= _LONGEST else None
-
-    def _named(self, name: str, d: Definition, steps: int) -> tuple[str, list[tuple[int, int]]] | None:
-        target = self.definition(name, d.place, d.depth) if steps < _CHAIN else None
-        if target is None or target is d:
-            return None
-        found = self.literal(target, steps + 1)
-        return found and (found[0], found[1] or [(target.value.start, target.value.end)])
+            out.append((body[at:], None))
+        return out
+
+    def _other(self, name: str, d: Definition) -> Definition | None:
+        target = self.definition(name, d.place, d.depth)
+        return None if target is d else target
+
+    def literal(self, d: Definition) -> tuple[str, list[tuple[int, int]]] | None:
+        """The literal that a definition's value stands for, and where its parts were written elsewhere; a definition that
+        leads back to one being solved is not known to it."""
+        pieces: dict[int, list[tuple[str, Definition | None]]] = {}
+        stack = [d]
+        while stack:
+            top = stack[-1]
+            if id(top) in self.solved:
+                stack.pop()
+            elif id(top) not in pieces:
+                pieces[id(top)] = self._pieces(top)
+                stack += [x for _, x in pieces[id(top)] if x is not None and id(x) not in self.solved and id(x) not in pieces]
+            else:
+                self.solved[id(stack.pop())] = self._joined(pieces.pop(id(top)))
+        return self.solved[id(d)]
+
+    def _joined(self, pieces: list[tuple[str, Definition | None]]) -> tuple[str, list[tuple[int, int]]] | None:
+        out: list[str] = []
+        sources: dict[tuple[int, int], None] = {}
+        for text, target in pieces:
+            inner = self.solved.get(id(target)) if target is not None else None
+            out.append(text if inner is None else inner[0])
+            if inner is not None:
+                sources.update(dict.fromkeys(inner[1] or [(target.value.start, target.value.end)]))
+        cost = (sum(map(len, out)) if len(out) > 1 else 0) + (len(sources) if len(sources) > 1 else 0)
+        self.room -= cost
+        return None if cost and self.room < 0 else ("".join(out), list(sources))
 
 
 def pairs(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int]]:
@@ -256,7 +302,7 @@ def pairs(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int]]
         return []
     found: set[tuple[str, int, int]] = set()
     every = assignments(text)
-    constants = Constants(every)
+    constants = Constants(every, len(text))
     for d in every:
         sensitive = name_score(d.name)
         # a lone reference that names nothing is code, unless it looks random

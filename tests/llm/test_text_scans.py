@@ -250,6 +250,32 @@ def test_op5_odd_rows(spark):
     assert decontaminate.leaks(empty(spark), bench).count() == 0 and decontaminate.leaks(odd(spark), bench.limit(0)).count() == 0
 
 
+def test_op8_has_no_caps():
+    """Constants behind many others of their name, long chains, long values, elements and flags."""
+    key = "q8Zt4LmX2vRb7NcY"
+    named = lambda text: [text[a:b] for k, a, b in secret_scan.pairs(text) if k == "pair"]
+    source = lambda text: [text[a:b] for k, a, b in secret_scan.pairs(text) if k == "source"]
+    inner = "".join(f"def f{i}():\n    v = 'plain words {i}'\n" for i in range(300))
+    assert source(f"v = '{key}'\n{inner}password = v\n") == [f"'{key}'"]
+    assert source(f"password = v\n{inner.replace('v =', 'w =')}v = '{key}'\n") == [f"'{key}'"]
+    chain = f"a0 = '{key}'\n" + "".join(f"a{i + 1} = a{i}\n" for i in range(3000)) + "password = a3000\n"
+    assert source(chain) == [f"'{key}'"] and named(chain) == ["a3000"]
+    long = (key * 700)[:10_000]
+    for text in (f"secret_key = '{long}'", f"<password>{long}</password>", f"run --password {long}", f'<add key="password" value="{long}"/>', f"ftp://me:{long}@host/", f"password{' ' * 90}= '{long}'"):
+        assert any(long in x for x in named(text)), text[:40]
+    parts = " + ".join(f"'{key}'" for _ in range(600))
+    assert named(f"api_secret = {parts}\n") == [parts]
+    query = f"url=https://host/?{'a=1&' * 5000}token={long}&b=2"
+    assert long in named(query)
+    # values within values take no time of their own
+    for part in ("password=a+", "a://b:", "secret=x/"):
+        secret_scan.pairs(part * 40_000)
+    # constants that double each other, and rings, end
+    bomb = f"b0 = '{key}'\n" + "".join(f'b{i + 1} = "${{b{i}}}${{b{i}}}"\n' for i in range(60)) + 'password = "${b60}"\n'
+    secret_scan.pairs(bomb)
+    assert secret_scan.pairs("password = one\none = two\ntwo = one\n") == []
+
+
 # --- op4
 
 
