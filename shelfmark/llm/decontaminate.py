@@ -6,7 +6,9 @@ hashes and marked, again and again, down to runs of ``seed`` words. The share of
 coverage, whatever the order of the passages; ``threshold`` or more is a leak.
 
 A benchmark of up to ``small`` seeds travels to the documents as a sorted array; a larger one is joined by shuffling
-the seeds of both sides, with the same result.
+the seeds of both sides, with the same result. There an item is indexed under its rarest seeds only: an item of ``p``
+places of seeds leaks with ``h`` of them in the document at least, so one of any ``p - h + 1`` is among those. Seeds that
+very many documents have fall out by this, or are spread over tasks by salts.
 
 Words are ASCII letters and digits and all that is not ASCII, after lower-casing A-Z. Items of fewer words than a seed
 leak where they stand as a whole. Null or empty texts and items leak nothing; a null ``doc_id`` or ``item_id`` is
@@ -20,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import words
-from shelfmark.llm.common import partitions, read, text_key, texts, tidy, without, written
+from shelfmark.llm.common import HOT_KEYS, HOT_ROWS, partitions, read, text_key, texts, tidy, without, written
 
 SEED, THRESHOLD, SMALL = 5, 0.5, 2_000_000
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -171,6 +173,39 @@ def _seeded(seed: int, sizes: list[int]):
     return run
 
 
+def _placed(seed: int, threshold: float):
+    """``number, gram, k, at, spare``: the seeds of each item by place, and how many of its places need no index.
+
+    A leak has ``c = ceil(threshold * words)`` words under tiles of ``k`` words or more. A tile of ``n`` words covers
+    ``n - k + 1`` places, at least ``n / k`` of them, so ``h = ceil(c / k)`` places have their seed in the document: all but
+    ``h - 1`` places are enough to meet it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, x in zip(batch.column("number").to_pylist(), batch.column("item").to_pylist(), strict=True):
+                word = words.hashed([x])[1]
+                if k := min(seed, len(word)):
+                    at, gram = words.rolling(np.zeros(len(word), np.int64), word, k)
+                    needed = 1 if k < seed else max(1, int(np.ceil(np.ceil(threshold * len(word) - 1e-9) / k)))
+                    of = [np.full(len(at), v, np.int64) for v in (number, k, needed - 1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (of[0], gram.view(np.int64), of[1], at.astype(np.int64), of[2])], names=["number", "gram", "k", "at", "spare"])
+
+    return run
+
+
+def _met(of_rows: DataFrame, index: DataFrame, salt_rows: int) -> DataFrame:
+    """Rows and items of one seed; the rows of a seed that more than ``salt_rows`` rows have are dealt into salts."""
+    index = index.withColumn("salts", F.ceil(F.col("n") / salt_rows))
+    hot = index.where("salts > 1").select("gram", "k", "salts").distinct()
+    if hot.isEmpty():
+        return of_rows.join(index, ["gram", "k"])
+    # hot seeds are few: each has over salt_rows rows; where they are many, the join shuffles
+    side = F.broadcast(hot) if hot.count() <= HOT_KEYS else hot
+    salted = of_rows.join(side, ["gram", "k"], "left").withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1)))).drop("salts")
+    return salted.join(index.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))), ["gram", "k", "salt"])
+
+
 def _tiled_pairs(seed: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +222,7 @@ def _tiled_pairs(seed: int, threshold: float):
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, seed: int = SEED, threshold: float = THRESHOLD, small: int = SMALL,
-    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", salt_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per leaked pair: ``doc_id, key`` (a hash of the text), ``item_id, covered_words, item_words, n_tiles, coverage``."""
     rows = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), F.col("text").cast("binary").alias("text"))
@@ -210,13 +245,17 @@ def leaks(
     # since ids may be null or repeated
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     tests = written(tests.withColumn("number", F.monotonically_increasing_id()), "items")
-    sizes = list(range(1, seed + 1))
-    schema = "doc_id long, gram long, k long"
-    of_tests = tests.select(F.col("number").alias("doc_id"), F.col("item").alias("text")).mapInArrow(tidy(_seeded(seed, sizes)), schema)
-    longest = of_tests.groupBy("doc_id").agg(F.max("k").alias("k"))
-    of_tests = of_tests.join(longest, ["doc_id", "k"]).select(F.col("doc_id").alias("number"), "gram", "k")
-    of_rows = rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(tidy(_seeded(seed, sizes)), schema).withColumnRenamed("doc_id", "row")
-    pairs = of_rows.join(of_tests, ["gram", "k"]).select("row", "number").distinct()
+    of_tests = written(tests.select("number", "item").mapInArrow(tidy(_placed(seed, threshold)), "number long, gram long, k long, at long, spare long"), "seeds")
+    # sizes of seeds: that of all but short items, and at most seed - 1 more
+    sizes = sorted(r["k"] for r in of_tests.select("k").distinct().collect())
+    of_rows = rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(tidy(_seeded(seed, sizes)), "doc_id long, gram long, k long").withColumnRenamed("doc_id", "row")
+    wanted = of_tests.select("gram", "k").distinct()
+    often = written(of_rows.groupBy("gram", "k").agg(F.count("*").alias("n")).join(wanted, ["gram", "k"]), "often")
+    # an item has as many rows here as places; places whose seed no document has would come first, and are left out
+    by_item = Window.partitionBy("number")
+    ranked = of_tests.join(often, ["gram", "k"]).withColumns({"rank": F.row_number().over(by_item.orderBy(F.col("n").asc(), "at")), "here": F.count("*").over(by_item)})
+    kept = ranked.where("rank <= here - spare").select("gram", "k", "number", "n").distinct()
+    pairs = _met(of_rows, written(kept, "index"), salt_rows).select("row", "number").distinct()
     full = pairs.join(tests, "number").join(rows, "row").repartition(partitions(docs.sparkSession))
     return full.select("doc_id", "key", "text", "item_id", "item").mapInArrow(tidy(_tiled_pairs(seed, threshold)), _LEAKS)
 
