@@ -91,17 +91,17 @@ def tidy(run):
 HOT_ROWS, HOT_KEYS = 50_000, 10_000
 
 
-def joined_hot(big: DataFrame, small: DataFrame, key: str | list[str]) -> DataFrame:
-    """Inner join with ``small``, unique by ``key``, whose ``n`` is the number of rows of ``big`` with the key.
+def joined_hot(big: DataFrame, small: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """Join (``inner`` or ``left``) with ``small``, unique by ``key``, whose ``n`` is the number of rows of ``big`` with the key.
 
     The keys of more than ``HOT_ROWS`` rows are few; they are broadcast, so that no task gets all rows of one.
     """
     hot = small.where(F.col("n") > HOT_ROWS)
     found = hot.limit(HOT_KEYS + 1).count()
     if not 0 < found <= HOT_KEYS:
-        return big.join(small, key)
+        return big.join(small, key, how)
     rest = small.where(F.col("n") <= HOT_ROWS)
-    return big.join(F.broadcast(hot), key).unionByName(big.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(rest, key))
+    return big.join(F.broadcast(hot), key).unionByName(big.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(rest, key, how))
 
 
 #: Ids up to which a list of documents to drop is broadcast (some 200 MB); beyond, the join shuffles.

@@ -89,11 +89,11 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFram
     rows = texts(docs, id_col, text_col).select("doc_id", text_key("text").alias("key"), F.col("text").cast("binary").alias("text"))
     best = winners(docs, id_col, text_col, salts)
     keys = rows.mapInArrow(tidy(_digests), _KEYS)
-    # texts of several rows are joined with their winners; of the others nothing has to be looked up
+    # only texts of several rows have to be looked up; the hot ones are broadcast, so that no task gets all rows of one
     several = written(best.where("group_size > 1").withColumn("n", F.col("group_size")), "winners")
-    found = joined_hot(keys, several, ["text_sha256", "text_xxh"]).drop("n")
-    alone = keys.join(several, ["text_sha256", "text_xxh"], "left_anti").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long")})
-    return found.unionByName(alone)
+    found = joined_hot(keys, several, ["text_sha256", "text_xxh"], "left").drop("n")
+    alone = F.col("group_size").isNull()
+    return found.withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))).withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long")))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
