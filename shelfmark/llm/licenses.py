@@ -3,8 +3,11 @@
 All rolling word 3-gram hashes of all texts are joined to the places of these 3-grams in the templates (a fixed list,
 so broadcast). A hit at word ``p`` of a document and word ``q`` of a template votes for the diagonal ``p - q``; votes are
 aggregated per document, template and diagonal, neighbouring diagonals (words put in or left out) are merged, and a
-merged span is verified: all words of each hit must equal the template's, and the hits must cover enough of the template.
-Templates are whole license texts where these are short, and the notices by which others are applied.
+merged span is verified: all words of each hit must equal the template's, and the hits must cover enough of the template
+(half, or three quarters of a whole license text).
+Templates are the whole texts of short licenses (MIT, ISC, zlib, BSD, BSL and the Unlicense, with their warranty clauses), the
+grants of these alone, and the notices by which others are applied.
+A text of BSD's three clauses has the label of its two as well.
 
 Fixed base phrases (``cc by``, ``general public license``, ``all rights reserved``) are located word by word besides.
 A null text counts as empty: no words, no labels, score 0. Rows, with repeated or null ids too, are labelled by their own
@@ -23,6 +26,9 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 K, SLACK, LEAST_SHARE, PHRASE_SCORE = 3, 2, 0.5, 0.5
+#: 3-grams beyond which a template is a whole license text, and the share of it that a span must cover: a warranty clause
+#: that several licenses have names none of them.
+WHOLE, WHOLE_SHARE = 90, 0.75
 
 # Wording of public licenses and their usual notices.
 TEMPLATES = [
@@ -31,13 +37,16 @@ TEMPLATES = [
     ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "any person obtaining a copy of this software and associated documentation files"),
     ("gpl-3", "this work is licensed under the gnu general public license version 3"),
     ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
     ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
     ("agpl-3", "under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("bsd-3", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
     ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
@@ -49,9 +58,13 @@ TEMPLATES = [
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
     ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4.0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being the original software 3 this notice may not be removed or altered from any source distribution"),
     ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following the copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included in all copies of the software in whole or in part and all derivative works of the software unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose title and non infringement in no event shall the copyright holders or anyone distributing the software be liable for any damages or other liability whether in contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software for more information please refer to http unlicense org"),
     ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
 ]
 
@@ -112,7 +125,7 @@ def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             (F.max("last") + (K - 1)).cast("long").alias("last_word"),
         )
         .withColumn("share", F.col("covered") / F.col("grams"))
-        .where(F.col("share") >= least_share)
+        .where(F.col("share") >= F.when(F.col("grams") > WHOLE, F.lit(max(least_share, WHOLE_SHARE))).otherwise(least_share))
         .select(*row, "label", "template", "first_word", "last_word", "share")
     )
 

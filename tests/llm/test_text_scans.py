@@ -178,6 +178,20 @@ def test_op10_diagonals(spark):
     assert (span["first_word"], span["last_word"]) == (2, 9)
 
 
+def test_op10_whole_texts(spark):
+    """Whole license texts are covered to their ends; a warranty clause alone, or that of another license, names none."""
+    whole = [(label, t) for label, t in licenses.TEMPLATES if len(t.split()) > 92]
+    assert {label for label, _ in whole} == {"mit", "isc", "zlib", "bsd", "bsd-3", "bsl-1.0", "unlicense"} and all(len(t.split()) <= 90 for label, t in licenses.TEMPLATES if (label, t) not in whole)
+    texts = [f"Copyright someone. {t.upper()} int main" for _, t in whole] + [t[t.index(" is provided ") :] for label, t in whole if label != "zlib"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.find_licenses(df).collect()}
+    for i, (label, _) in enumerate(whole):
+        assert got[i] == ("bsd,bsd-3" if label == "bsd-3" else label, 1.0)
+    assert all(got[i] == ("", 0.0) for i in range(len(whole), len(texts)))
+    spans = {(r["doc_id"], r["label"]): (r["first_word"], r["last_word"]) for r in licenses.license_spans(df).where("share = 1").orderBy("last_word").collect()}
+    assert all(spans[i, label] == (2, 1 + len(t.replace(".", " ").split())) for i, (label, t) in enumerate(whole))
+
+
 def test_op10_odd_rows(spark):
     assert licenses.find_licenses(odd(spark)).count() == len(ODD) and licenses.find_licenses(empty(spark)).count() == 0
 
