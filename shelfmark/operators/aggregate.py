@@ -8,20 +8,39 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions.override import Override, replaced
+from shelfmark.functions.scratch import staged
 from shelfmark.operators.rules import run_rules
-from shelfmark.operators.tables import write_table
+from shelfmark.operators.tables import check_schema_drift, replace_from_week, write_table
 from shelfmark.plans.specs import DerivedSpec, Feature, QualityError, Rule
 
 GRAINS = ("date", "fiscal_year_week", "fiscal_year_month", "fiscal_year_quarter", "fiscal_year")
 PER_BUCKET = 200
 
 
-def aggregate_features(df: DataFrame, group_cols: list[str], features: list[Feature], where: str | None = None) -> DataFrame:
-    """Features by group."""
+def aggregate_features(df: DataFrame, group_cols: list[str], features: list[Feature], where: str | None = None, override: Override | None = None) -> DataFrame:
+    """Features by group (E26). ``override`` replaces them by the user's own query over ``rows``, which gives the groups'
+    columns and the features' under their names."""
+    if override is not None:
+        return replaced(df.sparkSession, override, {"rows": df}, [*group_cols, *[f.name for f in features]])
     rows = df.where(F.expr(where)) if where else df
     return rows.groupBy(*group_cols).agg(*[F.expr(f.expr).alias(f.name) for f in features])
 
 
+def publish_features(features: DataFrame, table: str, week_col: str = "fiscal_year_week", historic: bool = False, from_week: int | None = None) -> DataFrame:
+    """Features as a table (E26): a historic run replaces it; another replaces the weeks from ``from_week`` on, or from the
+    first week that it brings. Columns that the table lacks are an error."""
+    spark = features.sparkSession
+    if historic or not spark.catalog.tableExists(table):
+        write_table(features, table, "TRUNCATE")
+        return spark.table(table)
+    old = spark.table(table)
+    check_schema_drift(features.columns, old.columns)
+    # staged: the new table is made of the old one, and a changed plan must not change what is judged
+    write_table(staged(replace_from_week(old, staged(features, "features"), week_col, from_week), "features"), table, "TRUNCATE")
+    return spark.table(table)
+
+
 def week_window(calendar: DataFrame, last_week: int | None, today: date) -> tuple[int | None, int | None]:
     """The weeks to aggregate: from the last stored one to the last one that is complete."""
     weeks = calendar.groupBy("fiscal_year_week").agg(F.max("date").alias("d")).where(F.col("d") < F.lit(today))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.joins import joined_null_safe
+from shelfmark.functions.override import Override, replaced
 from shelfmark.functions.scratch import staged
 
 #: Stores up to which their numbers are broadcast.
@@ -220,13 +221,19 @@ def finalise_lost_sales(df: DataFrame, qty: str = "qty", inv: str = "inventory")
 
 def impute_lost_sales(
     master: DataFrame, clusters: DataFrame, cutoffs: DataFrame, products: DataFrame, level: list[str], hierarchies: list[str], prices: dict[str, str], discounts: list[str],
-    qty: str = "qty", inv: str = "inventory",
+    qty: str = "qty", inv: str = "inventory", override: Override | None = None,
 ) -> DataFrame:
     """The whole step, E7 to E14: clusters, signals, quantities, first estimates, discounts, prices, lost sales.
 
+    ``override`` replaces all of it by the user's own query over ``master, clusters, cutoffs, products``; its result has the
+    columns of ``master`` and those that the step adds for the steps after it (imputed quantity and prices, lost sales).
+
     ``prices``: each price column and the product's formula for it. The estimates are staged once in the shared folder,
     since the discounts' means, the prices' segments and the rows themselves need them.
     """
+    if override is not None:
+        needed = [*master.columns, *[f"{c}_imputed" for c in (qty, *prices, *discounts)], "lost_sales"]
+        return replaced(master.sparkSession, override, {"master": master, "clusters": clusters, "cutoffs": cutoffs, "products": products}, needed)
     rows = first_estimates(attach_clusters(master, clusters, level), level, list(prices), discounts, qty, inv)
     rows = impute_quantity(rows, level, qty, inv, cutoffs)
     rows = staged(rows.drop(*[f"{c}_first_imputed" for c in (*prices, *discounts)]), "imputed")

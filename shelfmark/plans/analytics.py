@@ -238,6 +238,22 @@ def e14(spark, d):
     return rows.select(*_KEY4, "inventory", "lost_sales", "max_week_inventory", "price_imputed", F.round(F.col("discount_imputed") + 1e-9, 6).alias("discount_imputed"))
 
 
+_OWN_LOST_SALES = """SELECT m.*, if(m.inventory = 0, greatest(m.qty, e.mean_qty), m.qty) AS qty_imputed, if(m.inventory = 0, greatest(m.qty, e.mean_qty), m.qty) - m.qty AS lost_sales,
+  coalesce(m.price, e.top_price) AS price_imputed, coalesce(m.discount, 0.0) AS discount_imputed
+  FROM {master} m LEFT JOIN (SELECT channel, product_code, round(avg(qty) + 1e-7, 3) AS mean_qty, max(price) AS top_price FROM {master} GROUP BY 1, 2) e USING (channel, product_code)"""
+
+
+@query("e14_own_query", with_entities(["folded"], """SELECT channel, product_code, store_code, date, CASE WHEN inventory = 0 THEN greatest(qty, mean_qty) ELSE qty END AS qty_imputed,
+  CASE WHEN inventory = 0 THEN greatest(qty, mean_qty) ELSE qty END - qty AS lost_sales, coalesce(price, top_price) AS price_imputed
+  FROM folded LEFT JOIN (SELECT channel, product_code, round(avg(qty) + 1e-7, 3) AS mean_qty, max(price) AS top_price FROM folded GROUP BY 1, 2) USING (channel, product_code)"""))
+def e14o(spark, d):
+    rows = imputation.impute_lost_sales(
+        staged(views.folded(spark, d), "master"), views.store_clustering(spark, d), _cutoffs(spark), _fold_products(spark, d), ["channel"], ["product_code", "l0_name"], {"price": ""}, ["discount"],
+        override=_OWN_LOST_SALES,
+    )
+    return rows.select(*_KEY4, "qty_imputed", "lost_sales", "price_imputed")
+
+
 # --- splits
 
 _SPLIT = """base AS (SELECT m.product_code, m.store_code, channel, l0_name, l1_name, l2_name FROM product_store_mapping m JOIN store_master USING (store_code) JOIN product_master USING (product_code) WHERE is_active),
@@ -341,6 +357,14 @@ def e26(spark, d):
     )
 
 
+@query("e26_own_query", with_entities(_ENTITIES, f"""SELECT channel, fiscal_year_week, max(qty) AS qty, count(*) AS stores FROM ({_master_sql()}) GROUP BY 1, 2"""))
+def e26o(spark, d):
+    return aggregate.aggregate_features(
+        _master(spark, d), ["channel", "fiscal_year_week"], [Feature("qty", ""), Feature("stores", "")],
+        override="SELECT channel, fiscal_year_week, max(qty) AS qty, count(*) AS stores FROM {rows} GROUP BY channel, fiscal_year_week",
+    )
+
+
 @query("e26_week_window", with_entities(["calendar", "transaction_master"], """SELECT w.fiscal_year_week, count(*) AS n FROM transaction_master JOIN calendar w USING (date) WHERE w.fiscal_year_week >= 200010 AND w.fiscal_year_week <= (
   SELECT max(fiscal_year_week) FROM (SELECT fiscal_year_week, max(date) AS x FROM calendar GROUP BY 1) WHERE x < DATE '2000-08-10') GROUP BY 1"""))
 def e26w(spark, d):

@@ -194,6 +194,59 @@ def test_master(spark):
     assert {r["product_code"]: (r["qty"], r["inventory"]) for r in got.collect()} == {"a": (9.0, 9.0), "b": (0.0, 0.0), "c": (2.0, 2.0), "d": (0.0, 1.0)}
 
 
+def test_own_queries_replace_steps(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 3.0), (None, 2, None)], "g string, fiscal_year_week int, v double")
+    f = [Feature("total", "sum(v)")]
+    by = ["g", "fiscal_year_week"]
+    got = aggregate.aggregate_features(df, by, f, override="SELECT g, fiscal_year_week, 2 * sum(v) AS total FROM {rows} GROUP BY 1, 2")
+    assert sorted(map(repr, map(tuple, got.collect()))) == ["('a', 1, 4.0)", "('a', 2, 6.0)", "(None, 2, None)"]
+    assert rows(aggregate.aggregate_features(df.where("v > 2"), by, f, override=lambda rows: rows.withColumnRenamed("v", "total"))) == [("a", 2, 3.0)]
+    with pytest.raises(SchemaDrift, match="total"):
+        aggregate.aggregate_features(df, by, f, override="SELECT g, fiscal_year_week FROM {rows}")
+    m = spark.createDataFrame([("p", 1.0, 0.0)], "product_code string, qty double, inventory double")
+    own = "SELECT m.*, qty + size AS qty_imputed, size AS lost_sales FROM {master} m JOIN {products} USING (product_code)"
+    products = spark.createDataFrame([("p", 2.0)], "product_code string, size double")
+    args = (m, m, m, products, ["channel"], [], {}, [])
+    assert [(r["qty_imputed"], r["lost_sales"]) for r in imputation.impute_lost_sales(*args, override=own).collect()] == [(3.0, 2.0)]
+    with pytest.raises(SchemaDrift, match="lost_sales"):
+        imputation.impute_lost_sales(*args, override="SELECT *, 1 AS qty_imputed FROM {master}")
+
+
+def test_published_features(spark):
+    of = lambda *rows: spark.createDataFrame(list(rows), "fiscal_year_week int, total double")
+    spark.sql("DROP TABLE IF EXISTS weekly_features")
+    publish = aggregate.publish_features
+    assert rows(publish(of((1, 1.0), (2, 2.0), (3, 3.0)), "weekly_features")) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    # a periodic run replaces the weeks from its first one on, twice as once
+    for _ in range(2):
+        assert rows(publish(of((2, 5.0)), "weekly_features")) == [(1, 1.0), (2, 5.0)]
+    assert rows(publish(of(), "weekly_features")) == [(1, 1.0), (2, 5.0)]
+    assert rows(publish(of((3, 9.0)), "weekly_features", from_week=2)) == [(1, 1.0), (3, 9.0)]
+    with pytest.raises(SchemaDrift):
+        publish(of((4, 1.0)).withColumn("more", F.lit(1)), "weekly_features")
+    assert rows(publish(of((7, 7.0)), "weekly_features", historic=True)) == [(7, 7.0)]
+    spark.sql("DROP TABLE weekly_features")
+
+
+def test_parquet_with_old_times_and_fixed_decimals(spark, tmp_path):
+    """INT96 times and decimals of fixed length, as other writers make them."""
+    from decimal import Decimal
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    values = {"t": pa.array([datetime(2024, 1, 1, 12), None], pa.timestamp("us")), "d": pa.array([Decimal("12345678901234567890.12"), None], pa.decimal128(25, 2)), "s": pa.array(["x", None])}
+    pq.write_table(pa.table(values), tmp_path / "f.parquet", use_deprecated_int96_timestamps=True)
+    meta = pq.read_schema(tmp_path / "f.parquet"), pq.ParquetFile(tmp_path / "f.parquet").schema
+    assert "INT96" in str(meta[1]) or meta[1].column(0).physical_type == "INT96"
+    assert meta[1].column(1).physical_type == "FIXED_LEN_BYTE_ARRAY"
+    got = spark.read.parquet(str(tmp_path / "f.parquet"))
+    assert isinstance(got.schema["t"].dataType, T.TimestampType) and got.schema["d"].dataType == T.DecimalType(25, 2)
+    assert sorted(map(repr, (tuple(r) for r in got.select(F.date_format("t", "yyyy-MM-dd HH:mm").alias("t"), "d", "s").collect()))) == [
+        "('2024-01-01 12:00', Decimal('12345678901234567890.12'), 'x')", "(None, None, None)",
+    ]
+
+
 def test_fill_prices(spark):
     df = spark.createDataFrame([("p", "s", "c", date(2024, 1, d), v) for d, v in ((1, None), (2, 5.0), (3, None))] + [("q", "s", "c", date(2024, 1, 1), None)], "product_code string, store_code string, channel string, date date, price_imputed double")
     products = spark.createDataFrame([("p", None), ("q", 7.0)], "product_code string, list double")
