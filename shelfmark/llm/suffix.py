@@ -277,11 +277,11 @@ def _sorted(depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n = 0
+        n, enough = 0, _SORT
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
-            if n < _SORT:
+            if n < enough:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             name, salt = table.column("name").to_numpy(), table.column("salt").to_numpy()
@@ -291,6 +291,7 @@ def _sorted(depth: int):
                 yield from solve(*_unpacked(table.slice(0, cut)))
             held = table.slice(cut).combine_chunks().to_batches()
             n = len(table) - cut
+            enough = max(_SORT, 2 * n)  # what is held is put together a few times only, however large its group
         if n:
             yield from solve(*_unpacked(pa.Table.from_batches(held)))
 
@@ -346,7 +347,7 @@ def repeated_windows(docs: DataFrame, dealt: DataFrame, depth: int = DEPTH, hot:
         )
         .select("doc_id", "s.*")
         .where(F.length("context") == F.col("last") - F.col("first") + depth)
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")))
+        .withColumn("salt", F.pmod(F.xxhash64("doc_id", "place"), F.col("salts")))  # of one long text too
     )
     runs = (
         fetched.repartition(n, "name", "salt")

@@ -49,6 +49,18 @@ def test_op1_shared_passages(spark, hot):
     assert repeats(df, hot=hot) == without_repeats(rows)
 
 
+@pytest.mark.parametrize("hot, batch", [(4096, 1 << 17), (7, 1 << 17), (1 << 20, 50)])
+def test_op1_hot_name_inside_one_text(spark, monkeypatch, hot, batch):
+    """One line stands in a text many times, with other words around it and at times with the same ones; few others have it."""
+    rng = np.random.default_rng(4)
+    line = "0000 this line stands everywhere in one long text 0000"
+    around = [" ".join(rng.choice(["ab", "cde", "fg", "hijk"], 14)) for _ in range(40)]
+    rows = [(1, "".join(f"{around[rng.integers(40)]} {line} {around[rng.integers(40)]} {i}" for i in range(300))), (2, f"{around[0]} {line} {around[1]}"), (3, f"x{around[0]} {line} {around[1]}")]
+    monkeypatch.setattr(suffix, "_SORT", batch)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert repeats(df, hot=hot) == without_repeats(rows)
+
+
 def test_op1_odd_rows(spark):
     got = suffix.remove_repeats(odd(spark)).collect()
     assert len(got) == 16
