@@ -125,11 +125,26 @@ _PATH_DATES = ((r"\d{14}", "yyyyMMddHHmmss"), (r"\d{12}", "yyyyMMddHHmm"), (r"\d
 
 
 def path_timestamp(path: Column) -> Column:
-    """The load time in a path: the first form that is found and parses."""
-    tries = [F.try_to_timestamp(F.nullif(F.regexp_extract(path, rf"(?<!\d)({pattern})(?!\d)", 1), F.lit("")), F.lit(form)) for pattern, form in _PATH_DATES]
-    return F.coalesce(*tries)
+    """The load time in a path: the first form that is found and parses (A8). Digits that are no date hide none after them."""
 
+    def parsed(pattern: str, form: str) -> Column:
+        found = F.regexp_extract_all(path, F.lit(rf"(?<!\d)({pattern})(?!\d)"), F.lit(1))
+        times = F.transform(found, lambda x: F.try_to_timestamp(x, F.lit(form)))
+        return F.try_element_at(F.filter(times, lambda t: t.isNotNull()), F.lit(1))
 
-def with_audit_column(df: DataFrame, name: str, now: datetime | None = None, path: Column | None = None) -> DataFrame:
-    """``name``: the load time in each row's file path, or ``now``."""
-    return df.withColumn(name, F.coalesce(path_timestamp(path if path is not None else F.col("_metadata.file_path")), F.lit(now) if now else F.current_timestamp()))
+    return F.coalesce(*[parsed(*p) for p in _PATH_DATES])
+
+
+def below_root(path: Column, root: str) -> Column:
+    """A path from behind ``root``; NULL where ``root`` is no part of it."""
+    plain = re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", root).rstrip("/")
+    at = F.instr(path, plain)
+    return F.when(at > 0, F.substr(path, at + len(plain)))
+
+
+def with_audit_column(df: DataFrame, name: str, now: datetime | None = None, path: Column | None = None, root: str | None = None) -> DataFrame:
+    """``name``: the load time in each row's file path, or ``now`` (A8, A9). Below ``root`` it is looked for first, since the
+    folder of all loads may have digits of its own."""
+    path = path if path is not None else F.col("_metadata.file_path")
+    tries = [*([path_timestamp(below_root(path, root))] if root else []), path_timestamp(path)]
+    return df.withColumn(name, F.coalesce(*tries, F.lit(now) if now else F.current_timestamp()))

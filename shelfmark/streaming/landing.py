@@ -16,7 +16,7 @@ from shelfmark.sources.files import with_audit_column
 def stream_landing(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv", audit: str = "audit", options: dict | None = None) -> DataFrame:
     """New files below ``path``, each once, with the load time of their path."""
     reader = spark.readStream.schema(schema).format(fmt).options(**({"header": "true", "pathGlobFilter": "*"} | (options or {})))
-    return with_audit_column(reader.option("recursiveFileLookup", "true").load(path), audit)
+    return with_audit_column(reader.option("recursiveFileLookup", "true").load(path), audit, root=path)
 
 
 def stream_validate_merge(stream: DataFrame, spec: EntitySpec, target: str, checkpoint: str, log_path: str | None = None, compact_every: int = 16) -> StreamingQuery:
