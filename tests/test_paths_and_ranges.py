@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from shelfmark.sources import files
+from shelfmark.sources import databases, files
 from shelfmark.streaming import landing
 
 
@@ -24,3 +24,18 @@ def test_stream_below_a_dated_folder(spark, tmp_path):
         stream.writeStream.format("parquet").option("path", f"{out}{i}").option("checkpointLocation", str(tmp_path / f"check{i}")).trigger(availableNow=True).start().awaitTermination()
         got = sorted(r["audit"] for r in spark.read.parquet(f"{out}{i}").collect())
         assert got == [datetime(2024, 1, 5), datetime(2024, 1, 6)]
+
+
+def test_many_chunks(spark):
+    """More chunks than one aggregate has room for, of a skewed key with NULLs and repeated values."""
+    n = 12_000
+    key = F.when(F.col("id") % 50 != 0, F.when(F.col("id") < 300, 7).otherwise(F.col("id") * F.col("id"))).alias("k")
+    df = spark.range(n).select(key).repartition(5)
+    edges = databases.chunk_edges(df, "k", 10)
+    predicates, counts = databases.chunk_predicates(df, "k", 10), databases.range_counts(df, "k", edges)
+    assert predicates == databases.range_conditions("k", edges) and 1100 < len(predicates) <= 1200
+    got = {r["chunk"]: r["n"] for r in counts.collect()}
+    assert sum(got.values()) == n and max(x for c, x in got.items() if c) <= 10 and got[0] == 240 + 294
+    for c in (0, 1, 600, len(predicates) - 1):
+        assert df.where(predicates[c]).count() == got[c]
+    assert databases.chunk_predicates(df.limit(0), "k", 10) == ["1 = 1"] and databases.chunk_edges(df.where("k IS NULL"), "k", 10) == []
