@@ -1,6 +1,7 @@
 """Load times in paths whose folders have digits of their own."""
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -39,3 +40,14 @@ def test_many_chunks(spark):
     for c in (0, 1, 600, len(predicates) - 1):
         assert df.where(predicates[c]).count() == got[c]
     assert databases.chunk_predicates(df.limit(0), "k", 10) == ["1 = 1"] and databases.chunk_edges(df.where("k IS NULL"), "k", 10) == []
+
+
+def test_ranges_of_keys_beyond_longs(spark):
+    wide = F.col("id").cast("decimal(12,0)")
+    df = spark.range(1, 3001).select((wide * wide * wide * 10**12).cast("decimal(38,0)").alias("k"))
+    low, high = df.agg(F.min("k"), F.max("k")).first()
+    assert high > 1 << 63
+    predicates = databases.histogram_predicates(lambda cs: list(df.agg(*[F.count_if(F.expr(c)) for c in cs]).first()), "k", low, high, 7)
+    held = [df.where(p).count() for p in predicates]
+    assert sum(held) == 3000 and max(held) <= 2 * 3000 / 7 and 1 < len(predicates) <= 7
+    assert databases._literal(Decimal("1E+20"), "numeric") == "100000000000000000000"
