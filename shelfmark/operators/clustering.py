@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.functions.scratch import staged
 from shelfmark.plans.specs import Feature
 
 FEW = 11
@@ -88,11 +89,14 @@ def candidate_grid(vec: DataFrame, ks: list[int], algorithms: tuple[str, ...] =
     starts from the best k-means."""
     if unknown := set(algorithms) - {*ALGORITHMS, "mixture"}:
         raise ValueError(f"unknown algorithms {sorted(unknown)}")
-    vec = vec.persist()
+    # written once: fits, scores and the labelled rows themselves would each make the features again
+    vec = staged(vec, "features")
+    cached = vec.persist()
     try:
-        return {(a, k): _mixture(k, vec, seed, starts) if a == "mixture" else _best_model(a, k, vec, seed, starts).transform(vec) for a in algorithms for k in ks}
+        models = {(a, k): _mixture(k, cached, seed, starts) if a == "mixture" else _best_model(a, k, cached, seed, starts) for a in algorithms for k in ks}
+        return {c: m if c[0] == "mixture" else m.transform(vec) for c, m in models.items()}
     finally:
-        vec.unpersist()
+        cached.unpersist()
 
 
 def kmeans_grid(vec: DataFrame, ks: list[int], seed: int = 1) -> dict[int, DataFrame]:
@@ -183,7 +187,7 @@ def store_clusters(master: DataFrame, level: list[str], features: list[Feature],
 
     Levels are few (channels); up to 11 stores make one cluster. ``cluster_name`` is the level and the label.
     """
-    stores = master.groupBy(*level, "store_code").agg(*[F.expr(f.expr).alias(f.name) for f in features]).na.fill(0.0)
+    stores = staged(master.groupBy(*level, "store_code").agg(*[F.expr(f.expr).alias(f.name) for f in features]).na.fill(0.0), "store-features")
     names = [f.name for f in features]
     parts = []
     for r in stores.groupBy(*level).count().orderBy(*level).collect():
