@@ -1,8 +1,8 @@
 """Lexical retrieval packing: token sequences filled with documents that BM25 finds alike.
 
 Documents are encoded once and written; their lengths and document frequencies are counted over all of them on the way.
-They are dealt into shards by a weighted min-hash of their ids, in which rare ids weigh more (weights are fitted on a
-sample of at most ``SAMPLE`` documents; they only decide who is a neighbour of whom in a shard), so that texts with much
+They are dealt into shards by a weighted min-hash of their ids, in which rare ids weigh more (weights come from the
+frequencies over all documents), so that texts with much
 in common come together; each shard keeps a BM25 inverted index of its documents, ``block`` ids at a time. A seed
 document starts a window; the unused neighbours that the index returns for it, best first, fill the window; the one that
 is cut at its end seeds the next window. When no neighbour is left, the first unused document follows.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import tokens
 from shelfmark.llm.common import discard, partitions, read, texts, tidy, written
 
-END, WINDOW, BLOCK, SAMPLE = 2, 4096, 1 << 19, 4096
+END, WINDOW, BLOCK = 2, 4096, 1 << 19
 K1, B = 1.2, 0.75
 
 
@@ -40,39 +40,43 @@ def _distinct(ids: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     return key // size, key % size, times
 
 
-def _encoded(path: str, end: int, ranks: np.ndarray | None):
-    """``doc_id, ids, n, near, next`` (the two least ranks of a document's ids); a task's last row has how many of its
-    documents have each id."""
+def _encoded(path: str, end: int):
+    """``doc_id, ids, n``; a task's last row has how many of its documents have each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.Encoder(path, end)
         counts = np.zeros(encoder.size, np.int64)
         for batch in batches:
             for first, n, ids, ends in encoder.encode(batch.column("text")):
-                doc, id_, _ = _distinct(ids, ends, encoder.size)
-                counts += np.bincount(id_, minlength=encoder.size)
-                near = following = np.zeros(n, np.int64)
-                if ranks is not None:
-                    begin, rank = np.searchsorted(doc, np.arange(n)), ranks[id_]
-                    near = np.minimum.reduceat(rank, begin)
-                    following = np.minimum.reduceat(np.where(rank == near[doc], len(ranks), rank), begin)
+                counts += np.bincount(_distinct(ids, ends, encoder.size)[1], minlength=encoder.size)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, n), tokens.as_binary(ids, ends), pa.array(np.diff(ends, prepend=0)), pa.array(near), pa.array(following),
-                        pa.nulls(n, pa.binary()),
-                    ],
-                    names=_ENCODED_NAMES,
-                )
+                    [batch.column("doc_id").slice(first, n), tokens.as_binary(ids, ends), pa.array(np.diff(ends, prepend=0)), pa.nulls(n, pa.binary())], names=_ENCODED_NAMES
+                )
         one = pa.nulls(1, pa.int64())
-        yield pa.RecordBatch.from_arrays([one, pa.nulls(1, pa.binary()), one, one, one, pa.array([counts.tobytes()])], names=_ENCODED_NAMES)
+        yield pa.RecordBatch.from_arrays([one, pa.nulls(1, pa.binary()), one, pa.array([counts.tobytes()])], names=_ENCODED_NAMES)
 
     return run
 
 
-_ENCODED = "doc_id long, ids binary, n long, near long, next long, counts binary"
+_ENCODED = "doc_id long, ids binary, n long, counts binary"
 _ENCODED_NAMES = [x.split()[0] for x in _ENCODED.split(", ")]
 
 
+def _least_ranks(width: str, ranks: np.ndarray):
+    """``doc_id, ids, near, next``: the two least ranks of a document's ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near, following = [], []
+            for x in batch.column("ids"):
+                two = np.partition(np.append(np.unique(ranks[np.frombuffer(x.as_buffer(), width)]), len(ranks)), 1)
+                near.append(two[0])
+                following.append(two[1])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(near, pa.int64()), pa.array(following, pa.int64())], names=["doc_id", "ids", "near", "next"])
+
+    return run
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``id, df``: the sum of the tasks' counts that this task reads."""
     total = None
@@ -247,19 +251,16 @@ def pack(
     plain = tokens.Encoder(vocabulary, end, 1 << 10)
     width, size = plain.dtype.str, plain.size
     rows = texts(docs, id_col, text_col)
-    # at most SAMPLE documents, give or take, set the weights of the shards' keys
-    share = min(1.0, SAMPLE / max(1, rows.count()))
-    some = rows.sample(share, seed=5).coalesce(partitions(spark)).mapInArrow(tidy(_encoded(vocabulary, end, None)), _ENCODED)
-    some = written(some.select("doc_id", F.when(F.col("ids").isNotNull(), 1).alias("one"), "counts"), "sample")
-    ranks = id_ranks(_idf(_frequencies(some, size), some.agg(F.count("one")).first()[0]))
-    discard(some)
-    encoded = written(rows.mapInArrow(tidy(_encoded(vocabulary, end, ranks)), _ENCODED), "ids")
+    encoded = written(rows.mapInArrow(tidy(_encoded(vocabulary, end)), _ENCODED), "encoded")
     count, total = encoded.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
     idf, mean = _idf(_frequencies(encoded, size), count), total / count if count else 1.0
+    # written, since dealing into ranges reads it twice
+    keyed = encoded.where("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(tidy(_least_ranks(width, id_ranks(idf))), "doc_id long, ids binary, near long, next long")
+    keyed = written(keyed, "ids")
+    discard(encoded)
     order = ["near", "next", F.xxhash64("doc_id")]
     return (
-        encoded.where("ids IS NOT NULL")
-        .repartitionByRange(partitions(spark), *order)
+        keyed.repartitionByRange(partitions(spark), *order)
         .sortWithinPartitions(*order)
         .select("doc_id", "ids")
         .mapInArrow(tidy(_packed(idf, mean, width, window, block, keep_ids)), _PIECES)
