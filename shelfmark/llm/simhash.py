@@ -200,10 +200,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with all its columns; of each group of near copies the rows of the smallest id stay.
 
-    A filter takes five words and a Jaccard similarity of 0.8; fingerprints of such texts differ in some ten bits, which
-    segments cannot find by equality, so groups come from the exact join of ``near_copies``.
+    A filter takes five words and a Jaccard similarity of 0.8. Near fingerprints (of those shingles) come first, by ``links``,
+    and are verified. Texts of that similarity may differ in some ten bits, which segments cannot find by equality, so an
+    exact join of the sets (``near_copies``) finds what fingerprints miss.
     """
-    return drop_near_copies(docs, id_col, text_col, **options)
+    return drop_near_copies(docs, id_col, text_col, linked=links, **options)
 
 
 def op9_simhash_near_dedup(spark, sf_dir):
