@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from shelfmark.functions.joins import if_small
 from shelfmark.functions.scratch import scratch_path, staged
 from shelfmark.operators import aggregate, calendar, clustering, hierarchy, imputation, master, prep, splits
 from shelfmark.plans import views
@@ -124,8 +125,7 @@ _CUT_SQL = "cutoffs AS (SELECT * FROM (VALUES ('AFRICA', 0.2, 0.1), ('AMERICA',
 
 
 def _attached(spark, d):
-    # the master table is a stored one
-    return imputation.attach_clusters(staged(views.folded(spark, d), "master"), views.store_clustering(spark, d), ["channel"])
+    return imputation.attach_clusters(views.folded(spark, d), views.store_clustering(spark, d), ["channel"])
 
 
 def _signals(spark, d):
@@ -198,7 +198,7 @@ def _mean_sql(h: str, g: str, name: str) -> str:
   LEFT JOIN m_a USING (product_code, channel, date) LEFT JOIN m_b USING (product_code, channel, fiscal_year_week) LEFT JOIN m_c USING (l0_name, channel, date) LEFT JOIN m_d USING (l0_name, channel, fiscal_year_week)""",
   _QUANTITIES, _mean_sql("product_code", "date", "a"), _mean_sql("product_code", "fiscal_year_week", "b"), _mean_sql("l0_name", "date", "c"), _mean_sql("l0_name", "fiscal_year_week", "d")))
 def e12(spark, d):
-    rows = imputation.impute_discounts(staged(_quantities(spark, d), "quantities"), ["product_code", "l0_name"], ["channel"], ["discount"], "inventory")
+    rows = imputation.impute_discounts(_quantities(spark, d), ["product_code", "l0_name"], ["channel"], ["discount"], "inventory")
     return rows.select(*_KEY4, F.round(F.col("discount_imputed") + 1e-9, 6).alias("discount_imputed"))
 
 
@@ -214,7 +214,7 @@ _FILLED = _QUANTITIES + """, products AS (SELECT p_brand || '.' || p_type AS pro
 
 
 def _filled(spark, d):
-    return imputation.fill_prices(staged(_quantities(spark, d), "quantities"), _fold_products(spark, d), {"price": "if(size > 2, null, round(top, 2))"}, ["channel"])
+    return imputation.fill_prices(_quantities(spark, d), _fold_products(spark, d), {"price": "if(size > 2, null, round(top, 2))"}, ["channel"])
 
 
 @query("e13_prices", _with("SELECT channel, product_code, store_code, date, p2 AS price_imputed FROM filled", _FILLED))
@@ -232,7 +232,7 @@ _MEANS = [_mean_sql("product_code", "date", "a"), _mean_sql("product_code", "fis
     LEFT JOIN m_d ON f.l0_name = m_d.l0_name AND f.channel = m_d.channel AND f.fiscal_year_week = m_d.fiscal_year_week)""", _FILLED, *_MEANS))
 def e14(spark, d):
     rows = imputation.impute_lost_sales(
-        staged(views.folded(spark, d), "master"), views.store_clustering(spark, d), _cutoffs(spark), _fold_products(spark, d), ["channel"], ["product_code", "l0_name"],
+        views.folded(spark, d), views.store_clustering(spark, d), _cutoffs(spark), _fold_products(spark, d), ["channel"], ["product_code", "l0_name"],
         {"price": "if(size > 2, null, round(top, 2))"}, ["discount"],
     )
     return rows.select(*_KEY4, "inventory", "lost_sales", "max_week_inventory", "price_imputed", F.round(F.col("discount_imputed") + 1e-9, 6).alias("discount_imputed"))
@@ -280,7 +280,7 @@ def _base(spark, d):
     sold = splits.recent_sales(views.late(spark, d), views.store_master(spark, d))
     named = views.store_clustering(spark, d).select("store_code", "channel", "cluster_name")
     base = base.join(sold, ["product_code", "store_code"], "left").withColumn("sales_art_store", F.coalesce("sales_art", F.lit(0.0))).drop("sales_art")
-    return base.join(named, ["store_code", "channel"], "left")
+    return base.join(if_small(named), ["store_code", "channel"], "left")
 
 
 @query("e15_split_base", _split_sql("SELECT * FROM base"))

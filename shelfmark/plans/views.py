@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.joins import if_small
 from shelfmark.operators.calendar import fiscal_calendar
 
 FISCAL_START, CAL_START, CAL_END = date(2000, 2, 1), "1994-01-01", "2003-01-01"
@@ -93,7 +94,7 @@ def folded(spark: SparkSession, d: str) -> DataFrame:
         .withColumn("qty", F.when(inv == 1, 0.0).otherwise(F.col("qty")))
         .withColumn("price", F.when(day % 4 == 0, None).otherwise(F.col("price")))
         .withColumn("discount", F.when(day % 3 == 0, None).otherwise(F.col("discount")))
-        .join(store_master(spark, d).select("store_code", "channel"), "store_code")
+        .join(if_small(store_master(spark, d).select("store_code", "channel")), "store_code")
         .join(F.broadcast(calendar(spark, d).select("date", "fiscal_year_week")), "date")
     )
 

@@ -69,6 +69,22 @@ def test_signals_and_estimates_as_by_windows(spark):
     assert plain(alone) == plain(want.select(*keys, "e"))
 
 
+def test_estimates_exchange_rows_once(spark):
+    cutoffs = spark.createDataFrame([("x", 0.1, 0.1)], "channel string, active_stores_cutoff double, sell_through_cutoff double")
+    df = sales(spark, 200).withColumn("total_stores_cluster", F.lit(100))
+    got = imputation.impute_quantity(imputation.first_estimates(df, ["channel"], ["price"], []), ["channel"], "qty", "inventory", cutoffs)
+    assert got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+
+
+def test_discounts_of_missing_keys_and_upper_levels(spark):
+    """A product's mean first, then its level's; a row whose key is NULL has no mean at that level."""
+    rows = [("p", "g", 1, 4.0, 1.0), ("p", "g", 1, None, 1.0), ("q", "g", 1, None, 3.0), (None, "g", 1, None, 1.0), (None, None, 1, None, 1.0), ("r", "h", 2, None, 1.0)]
+    df = spark.createDataFrame([(p, g, "s", "c", date(2024, 1, d), 202401, v, i) for p, g, d, v, i in rows], "product_code string, l0_name string, store_code string, channel string, date date, fiscal_year_week int, discount_imputed double, inventory double")
+    got = imputation.impute_discounts(df, ["product_code", "l0_name"], ["channel"], ["discount"], "inventory")
+    assert plain(got.select("product_code", "l0_name", "discount_imputed")) == plain(spark.createDataFrame(
+        [("p", "g", 4.0), ("p", "g", 2.0), ("q", "g", 4 / 6), (None, "g", 4 / 6), (None, None, None), ("r", "h", None)], "a string, b string, c double"))
+
+
 def test_first_rows_of_a_hot_key(spark):
     rng = random.Random(1)
     rows = [(1 if rng.random() < 0.5 else rng.choice([2, 3, None, rng.randrange(50)]), rng.choice(["a", "b", None]), rng.randrange(3)) for _ in range(400)]
