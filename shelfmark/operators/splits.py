@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.joins import joined_null_safe
-from shelfmark.functions.scratch import scratch_path, staged
+from shelfmark.functions.joins import if_small, joined_null_safe
+from shelfmark.functions.scratch import staged
 from shelfmark.operators.calendar import week_rank
 from shelfmark.operators.hierarchy import levels_of, levels_up_to
 
@@ -20,15 +19,16 @@ def split_base(stores: DataFrame, products: DataFrame, mapping: DataFrame) -> Da
     """Active pairs of product and store, with the store's channel and the product's hierarchy."""
     levels = levels_of(products.columns)
     return (
-        mapping.where("is_active").select("product_code", "store_code").distinct()
-        .join(stores.select("store_code", "channel").distinct(), "store_code")
+        # dealt out by product, as the join with products and later that with sales need it
+        mapping.where("is_active").select("product_code", "store_code").repartition("product_code").distinct()
+        .join(if_small(stores.select("store_code", "channel").distinct()), "store_code")
         .join(products.select("product_code", *levels).distinct(), "product_code")
     )
 
 
 def last_sale(transactions: DataFrame, stores: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """One row: the last day, and with a calendar the last week, on which a known store sold something."""
-    sold = transactions.where("qty > 0").join(stores.select("store_code").distinct(), "store_code", "left_semi")
+    sold = transactions.where("qty > 0").join(if_small(stores.select("store_code").distinct()), "store_code", "left_semi")
     last = sold.agg(F.max("date").alias("__last"))
     if calendar is None:
         return last
@@ -55,87 +55,53 @@ def recent_inventory(inventory: DataFrame, transactions: DataFrame, stores: Data
     return rows.where(within).groupBy("product_code", "store_code").agg(F.max("oh").alias("oh"))
 
 
-def _with_totals(df: DataFrame, by: list[str], aggs: list[Column]) -> DataFrame:
-    """``df`` with aggregates of its groups, computed with partial aggregation and joined back: unlike a window, a group of
-    very many rows is no single task's (small tables of groups are broadcast by the planner). ``df`` should be staged."""
-    return joined_null_safe(df, df.groupBy(*by).agg(*aggs), by)
-
-
-def sales_lattice(base: DataFrame, levels: list[str]) -> DataFrame:
-    """The sums that all levels follow from, by one pass of grouping sets over ``base``: ``node``, keys, ``sales, rows, zeros``.
-
-    Node 1 is (channel, store, cluster, all levels): sales of shorter prefixes are sums over it. Node 0 is (channel, cluster,
-    all levels, product). A mean of the values other than 0 is ``sales / (rows - zeros)``. The table is staged by node.
-    """
-    keys = ["channel", "store_code", "cluster_name", *levels, "product_code"]
-    sets = [["channel", "store_code", "cluster_name", *levels], ["channel", "cluster_name", *levels, "product_code"]]
-    nodes = base.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys]).agg(
-        F.grouping("product_code").cast("int").alias("node"), F.sum("sales_art_store").alias("sales"), F.count("*").alias("rows"), F.count_if(F.col("sales_art_store") == 0).alias("zeros")
-    )
-    path = scratch_path(base.sparkSession, "lattice")
-    nodes.write.partitionBy("node").parquet(path)
-    return base.sparkSession.read.schema(nodes.schema).parquet(path)
+def _without_prefix_sales(df: DataFrame, levels: list[str]) -> DataFrame:
+    return df.drop(*[f"r_h{n}_store" for n in range(1, len(levels) + 1)])
 
 
-def _store_prefixes(lattice: DataFrame, levels: list[str]) -> DataFrame:
-    """One row per channel, store, cluster and whole prefix: ``rows``, and the store's sales of each of its prefixes.
+def prefix_sales(base: DataFrame, levels: list[str]) -> DataFrame:
+    """``r_h1_store`` ...: a store's sales of each hierarchy prefix.
 
-    All windows share one exchange by store and one sort, and a store has no more rows than there are prefixes.
+    Rows are exchanged by store and sorted once; a store has no more rows than there are products.
     """
-    out = lattice.where("node = 1").select("channel", "store_code", "cluster_name", *levels, "sales", "rows").repartition("channel", "store_code")
-    for n in range(len(levels), 0, -1):
-        out = out.withColumn(f"r_h{n}_store", F.sum("sales").over(Window.partitionBy("channel", "store_code", *levels[:n])))
-    return out.drop("sales")
+    out = _without_prefix_sales(base, levels).repartition("channel", "store_code").sortWithinPartitions("channel", "store_code", *levels)
+    for n in range(1, len(levels) + 1):
+        out = out.withColumn(f"r_h{n}_store", F.sum("sales_art_store").over(Window.partitionBy("channel", "store_code", *levels[:n])))
+    return out
 
 
-def _filled_prefixes(lattice: DataFrame, levels: list[str]) -> DataFrame:
-    """``_store_prefixes`` with the cluster's mean of the others where sales are 0; a store counts once for each product.
+def _filled_prefixes(rows: DataFrame, levels: list[str]) -> DataFrame:
+    """``rows`` of ``prefix_sales`` with the cluster's mean of the others where a prefix's sales are 0.
 
-    The means of all prefixes are one pass of grouping sets, and as small as the hierarchy.
+    The means are as many as clusters and prefixes together: sums by the whole prefix, of which those of shorter ones are sums.
     """
-    rows = staged(_store_prefixes(lattice, levels), "store-prefixes")
-    sets = [[F.col(c) for c in ["channel", "cluster_name", *levels[:n]]] for n in range(1, len(levels) + 1)]
-    sold = {n: F.col(f"r_h{n}_store") != 0 for n in range(1, len(levels) + 1)}
-    sums = [F.try_divide(F.sum(F.when(c, F.col(f"r_h{n}_store") * F.col("rows"))), F.sum(F.when(c, F.col("rows")))).alias(f"__mean{n}") for n, c in sold.items()]
-    depth = reduce(lambda a, b: a + b, [1 - F.grouping(c) for c in levels])
-    means = staged(rows.groupingSets(sets, *[F.col(c) for c in ["channel", "cluster_name", *levels]]).agg(depth.cast("int").alias("depth"), *sums), "prefix-means")
-    for n in range(1, len(levels) + 1):
+    numbers = range(1, len(levels) + 1)
+    sold = {n: F.when(F.col(f"r_h{n}_store") != 0, F.col(f"r_h{n}_store")) for n in numbers}
+    sums = [f(v).alias(f"__{p}{n}") for n, v in sold.items() for p, f in (("sum", F.sum), ("count", F.count))]
+    whole = staged(rows.groupBy("channel", "cluster_name", *levels).agg(*sums), "prefix-sums")
+    for n in numbers:
         by = ["channel", "cluster_name", *levels[:n]]
-        rows = joined_null_safe(rows, means.where(F.col("depth") == n).select(*by, f"__mean{n}"), by)
+        mean = whole.groupBy(*by).agg(F.try_divide(F.sum(f"__sum{n}"), F.sum(f"__count{n}")).alias(f"__mean{n}"))
+        rows = joined_null_safe(rows, if_small(mean), by)
         rows = rows.withColumn(f"r_h{n}_store", F.when(F.col(f"r_h{n}_store") == 0, F.col(f"__mean{n}")).otherwise(F.col(f"r_h{n}_store"))).drop(f"__mean{n}")
-    return rows.drop("rows")
-
-
-def _without_prefix_sales(df: DataFrame, levels: list[str]) -> DataFrame:
-    return df.drop(*[f"r_h{n}_store" for n in range(1, len(levels) + 1)])
-
-
-def prefix_sales(base: DataFrame, levels: list[str]) -> DataFrame:
-    """``r_h1_store`` ...: a store's sales of each hierarchy prefix.
-
-    ``base`` is staged, and all prefixes come from one lattice of it.
-    """
-    rows = staged(_without_prefix_sales(base, levels), "split-base")
-    return joined_null_safe(rows, _store_prefixes(sales_lattice(rows, levels), levels).drop("rows"), ["channel", "store_code", "cluster_name", *levels])
+    return rows
 
 
 def fill_zero_sales(base: DataFrame, levels: list[str]) -> DataFrame:
     """``r_h1_store`` ... and the product's sales, where 0 the cluster's mean of the others; then totals over a product's
     stores (E18, E19).
 
-    ``base`` (or what ``prefix_sales`` made of it) is staged, read once for the lattice and once to join what follows from
-    that; the filled rows are staged again, since the totals and the rows themselves need them.
+    ``base`` is exchanged by store for the sales of prefixes and staged, since means of all clusters are needed; it is exchanged
+    once more, by product, for the product's means and totals. A product has no more rows than there are stores.
     """
-    rows = staged(_without_prefix_sales(base, levels), "split-base")
-    lattice = sales_lattice(rows, levels)
-    products = lattice.where("node = 0").groupBy("channel", "cluster_name", *levels, "product_code")
-    mean = products.agg(F.try_divide(F.sum("sales"), F.sum(F.col("rows") - F.col("zeros"))).alias("__mean"))
-    out = joined_null_safe(rows, _filled_prefixes(lattice, levels), ["channel", "store_code", "cluster_name", *levels])
-    out = joined_null_safe(out, mean, ["channel", "cluster_name", *levels, "product_code"])
-    sales = F.col("sales_art_store")
-    out = staged(out.withColumn("sales_art_store", F.when(sales == 0, F.col("__mean")).otherwise(sales)).drop("__mean"), "split-filled")
-    totals = [F.sum(f"r_h{n}_store").alias(f"r_h{n}") for n in range(1, len(levels) + 1)]
-    return _with_totals(out, ["channel", "product_code"], [*totals, F.sum("sales_art_store").alias("sales_art")])
+    rows = _filled_prefixes(staged(prefix_sales(base, levels), "split-base"), levels)
+    of_cluster = ["channel", "product_code", *levels, "cluster_name"]
+    rows = rows.repartition("channel", "product_code").sortWithinPartitions(*of_cluster)
+    sales, product = F.col("sales_art_store"), Window.partitionBy("channel", "product_code")
+    mean = F.avg(F.when(sales != 0, sales)).over(Window.partitionBy(*of_cluster))
+    rows = rows.withColumn("__mean", mean).withColumn("sales_art_store", F.when(sales == 0, F.col("__mean")).otherwise(sales)).drop("__mean")
+    totals = {f"r_h{n}": F.sum(f"r_h{n}_store").over(product) for n in range(1, len(levels) + 1)}
+    return rows.withColumns(totals | {"sales_art": F.sum("sales_art_store").over(product)})
 
 
 def proportions(df: DataFrame, levels: list[str]) -> DataFrame:
@@ -153,8 +119,9 @@ def choose_level(df: DataFrame, levels: list[str], level: str) -> DataFrame:
     top = F.col("r_store_split_h1")
     if not candidates:
         return df.withColumn("overall_proportion", F.coalesce(top, F.lit(0.0)))
-    shares = [(F.count_if(F.coalesce(F.col(c), F.lit(0.0)) == 0) / F.count("*")).alias(f"__zero_{c}") for c in candidates]
-    out = _with_totals(df, [*group, "channel"], shares)
+    # the split needs a group's rows in one place too
+    by = Window.partitionBy(*group, "channel")
+    out = df.withColumns({f"__zero_{c}": F.count_if(F.coalesce(F.col(c), F.lit(0.0)) == 0).over(by) / F.count("*").over(by) for c in candidates})
     chosen = top
     for c in reversed(candidates):
         chosen = F.when(F.col(f"__zero_{c}") <= ZERO_SHARE, F.col(c)).otherwise(chosen)
@@ -167,7 +134,7 @@ def final_store_split(df: DataFrame, hierarchies: DataFrame, levels: list[str],
     by = Window.partitionBy(*group, "channel")
     sums = df.groupBy(*group, "store_code", "channel").agg(F.sum("overall_proportion").alias("contribution"))
     codes = hierarchies.where(F.col("level") == len(group)).select(*group, "hierarchy_code").distinct()
-    normal = sums.withColumn("n", F.try_divide("contribution", F.sum("contribution").over(by))).join(codes, group)
+    normal = sums.withColumn("n", F.try_divide("contribution", F.sum("contribution").over(by))).join(if_small(codes), group)
     total = F.sum("n").over(by)
     even = F.lit(1.0) / F.count("*").over(by)
     bad = total.isNull() | (F.abs(total - 1) > TOLERANCE)
@@ -184,7 +151,7 @@ def store_split(
         .join(recent_sales(transactions, stores), ["product_code", "store_code"], "left")
         .withColumn("sales_art_store", F.coalesce("sales_art", F.lit(0.0)))
         .drop("sales_art")
-        .join(clusters.select("store_code", "channel", "cluster_name").distinct(), ["store_code", "channel"], "left")
+        .join(if_small(clusters.select("store_code", "channel", "cluster_name").distinct()), ["store_code", "channel"], "left")
     )
     shares = proportions(fill_zero_sales(base, levels), levels)
     return final_store_split(choose_level(shares, levels, level), hierarchies, levels, level)

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scratch import scratch_path
-from shelfmark.operators import deltalog, imputation, rules, tables, validate
+from shelfmark.operators import deltalog, imputation, rules, splits, tables, validate
 from shelfmark.plans import analytics, loading
 from shelfmark.plans.specs import Rule
 from shelfmark.sources import databases
@@ -85,6 +85,19 @@ def test_discounts_of_missing_keys_and_upper_levels(spark):
         [("p", "g", 4.0), ("p", "g", 2.0), ("q", "g", 4 / 6), (None, "g", 4 / 6), (None, None, None), ("r", "h", None)], "a string, b string, c double"))
 
 
+def test_prefixes_exchange_rows_once(spark):
+    rows = [("c", "s1", "k", "a", "b", "p", 2.0), ("c", "s1", "k", "a", "d", "q", 0.0), ("c", "s2", "k", "a", "b", "p", 0.0), ("c", "s2", None, "a", "b", "q", 4.0), ("c", "s3", None, "a", "b", "p", 0.0)]
+    base = spark.createDataFrame(rows, "channel string, store_code string, cluster_name string, l0_name string, l1_name string, product_code string, sales_art_store double")
+    got = splits.prefix_sales(base, ["l0_name", "l1_name"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+    assert plain(got.select("store_code", "product_code", "r_h1_store", "r_h2_store")) == plain(spark.createDataFrame(
+        [("s1", "p", 2.0, 2.0), ("s1", "q", 2.0, 0.0), ("s2", "p", 4.0, 4.0), ("s2", "q", 4.0, 4.0), ("s3", "p", 0.0, 0.0)], "a string, b string, c double, d double"))
+    # a NULL cluster is one, and its mean fills its stores
+    filled = splits.fill_zero_sales(base, ["l0_name", "l1_name"]).where("store_code IN ('s2', 's3')")
+    assert plain(filled.select("store_code", "product_code", "sales_art_store", "r_h1_store", "r_h1", "sales_art")) == plain(spark.createDataFrame(
+        [("s2", "p", 2.0, 4.0, 10.0, 4.0), ("s2", "q", 4.0, 4.0, 6.0, 4.0), ("s3", "p", None, 4.0, 10.0, 4.0)], "a string, b string, c double, d double, e double, f double"))
+
+
 def test_first_rows_of_a_hot_key(spark):
     rng = random.Random(1)
     rows = [(1 if rng.random() < 0.5 else rng.choice([2, 3, None, rng.randrange(50)]), rng.choice(["a", "b", None]), rng.randrange(3)) for _ in range(400)]
