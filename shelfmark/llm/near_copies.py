@@ -41,6 +41,8 @@ from shelfmark.llm.graph import components
 SIZE, LEAST = 5, 0.8
 #: Documents sampled to find common shingles, and how many of these must have one.
 SAMPLE, COMMON = 10_000, 4
+#: Rows of a batch whose texts become Python objects at once.
+PIECE = 1000
 #: Bits of a sketch; times that nodes name another node before pairs are compared.
 BITS, ROUNDS = 1024, 3
 
@@ -58,6 +60,12 @@ def shingle_sets(texts_: list[bytes], size: int = SIZE) -> Iterator[np.ndarray]:
                 yield words.rolling(np.zeros(y - x, np.int64), word[x:y], y - x)[1] + np.uint64(y - x)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE):
+            yield batch.slice(start, PIECE)
+
+
 def _needed(least: float, total: int) -> int:
     """Members that two sets of ``total`` members together must share."""
     return int(np.ceil(least * total / (1 + least) - 1e-9))
@@ -65,7 +73,7 @@ def _needed(least: float, total: int) -> int:
 
 def _counted(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             grams = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch.column("text").to_pylist(), size)])
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], names=["gram"])
 
@@ -107,7 +115,7 @@ def _indexed(size: int, least: float, gram: np.ndarray, often: np.ndarray):
     """The set's digest, its size, fingerprint and sketch, and its prefix in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             digests, sizes, prints, sketches, keys = [], [], [], [], []
             for own in shingle_sets(batch.column("text").to_pylist(), size):
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))

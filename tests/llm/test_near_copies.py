@@ -78,3 +78,18 @@ def test_odd_rows(spark):
     left = near_copies.drop_near_copies(odd(spark))
     assert left.columns == odd(spark).columns and {1, 3, 4, 7, 13}.isdisjoint(r["doc_id"] for r in left.select("doc_id").collect())
     assert near_copies.near_copies(odd(spark)).count() == 16 and near_copies.near_copies(empty(spark)).count() == 0
+
+
+def test_a_batch_is_indexed_in_pieces():
+    """A worker holds the Python objects of few texts at a time, and what comes out is the same."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = 2500
+    texts = [f"one two three four five six {i % 7} {i}".encode() for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())] * 3 + [pa.array(texts, pa.binary())], names=["row", "doc_id", "key", "text"])
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    out = list(near_copies._indexed(5, 0.8, *none)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 1000
+    one_by_one = [b for i in range(n) for b in near_copies._indexed(5, 0.8, *none)(iter([batch.slice(i, 1)]))]
+    assert pa.Table.from_batches(out).to_pylist() == pa.Table.from_batches(one_by_one).to_pylist()
