@@ -10,7 +10,8 @@ often last; that only makes candidates fewer.
 1. Documents of equal sets are one node. Nodes are indexed under the shingles of their prefixes.
 2. SimHash fingerprints of the sets are linked where they differ in two bits or fewer (``linked``, operator 9's join), and
    under each shingle the nodes are compared with the least of them. Groups of many near copies are joined by this.
-3. Under each shingle a node names the most promising node of another component, ``ROUNDS`` times at most.
+3. While shingles have many open nodes (``MANY`` comparisons a node on average), each node names the most promising node of
+   another component under each shingle, ``ROUNDS`` times at most.
 4. What is not connected then is compared pair by pair under each shingle.
 
 Candidates whose sizes and places in the order allow ``least``, and whose sketches do, are verified on their whole sets. A
@@ -43,8 +44,8 @@ SIZE, LEAST = 5, 0.8
 SAMPLE, COMMON = 10_000, 4
 #: Rows of a batch whose texts become Python objects at once.
 PIECE = 1000
-#: Bits of a sketch; times that nodes name another node before pairs are compared.
-BITS, ROUNDS = 1024, 3
+#: Bits of a sketch; times that nodes name another node before pairs are compared; comparisons a node from which they do.
+BITS, ROUNDS, MANY = 1024, 3, 16
 
 
 def shingle_sets(texts_: list[bytes], size: int = SIZE) -> Iterator[np.ndarray]:
@@ -252,9 +253,11 @@ def near_copies(
 
     sketches = written(single.select("row", F.col("n").alias("size"), "bits", "fp"), "sketches")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def allowed(pairs: DataFrame) -> DataFrame:
         x, y = (sketches.select(F.col("row").alias(r), F.col("size").alias(n), F.col("bits").alias(bits)) for r, n, bits in (("a", "n", "x"), ("b", "m", "y")))
-        pairs = written(pairs.join(x, "a").join(y, "b").mapInArrow(tidy(_allowed(least)), "a long, b long"), "allowed")
+        return written(pairs.join(x, "a").join(y, "b").mapInArrow(tidy(_allowed(least)), "a long, b long"), "allowed")
+
+    def verified(pairs: DataFrame) -> DataFrame:
         # a row's text is found again by its id and its hash; rows that share both have one text
         wanted = indexed.select("row", F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
         wanted = written(wanted.join(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "row"), "wanted")
@@ -263,7 +266,7 @@ def near_copies(
         some = written(some, "texts")
         left, right = (some.select(F.col("row").alias(x), F.col("text").alias(side)) for x, side in (("a", "left"), ("b", "right")))
         found = written(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(tidy(_similar(size, least)), "a long, b long"), "edges")
-        for table in (pairs, wanted, some):
+        for table in (wanted, some):
             discard(table)
         return found
 
@@ -276,23 +279,39 @@ def near_copies(
         near = linked(prints.select("fp")).select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b")).join(ends[0], "fp_a").join(ends[1], "fp_b")
         first = first.unionByName(equal).unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     tried = written(first.distinct(), "stars")
-    edges = verified(tried)
-    found = components(edges)
+    found = components(verified(allowed(tried)))
 
-    def candidates(best: bool) -> DataFrame:
+    def labelled() -> DataFrame:
+        return shared.select("gram", "row", "n", "at").join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+
+    def opened() -> DataFrame:
         # shingles of three nodes and more, not all of one component
-        labelled = shared.select("gram", "row", "n", "at").join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-        open_ = labelled.groupBy("gram").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).where("m > 2 AND low <> high")
-        members = labelled.join(open_.select("gram"), "gram").join(sketches.select("row", "bits"), "row")
+        groups = labelled().groupBy("gram").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
+        return written(groups.where("m > 2 AND low <> high").select("gram", "m"), "open")
+
+    def candidates(open_: DataFrame, best: bool) -> DataFrame:
+        members = labelled().join(open_.select("gram"), "gram").join(sketches.select("row", "bits"), "row")
         members = members.groupBy("gram").agg(F.collect_list(F.struct("row", "n", "at", "component", "bits")).alias("members"))
         pairs = members.select("members").mapInArrow(tidy(_candidates(least, best)), "a long, b long").distinct()
         return written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
 
-    for best in [*[True] * ROUNDS, False]:
-        more = candidates(best)
+    best = True
+    for left in range(ROUNDS, -1, -1):
+        open_ = opened()
+        nodes_open, pairs_open = open_.agg(F.sum("m"), F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()
+        if not nodes_open:
+            break
+        best = best and left > 0 and pairs_open > MANY * nodes_open
+        more = candidates(open_, best)
+        if best and more.isEmpty():
+            best, more = False, candidates(open_, False)
+        discard(open_)
         if not more.isEmpty():
-            edges, tried = edges.unionByName(verified(more)), tried.unionByName(more)
-            found = components(edges)
+            # what is connected stays so; its stars stand for the edges
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verified(more)))
+            tried = tried.unionByName(more)
+        if not best:
+            break
     roots = nodes.join(found, "node", "left").select("digest", "least_id", F.coalesce("component", "node").alias("root"), "n")
     named = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = written(roots.join(named, "root").select("digest", "component_id", "n"), "classes")

@@ -93,8 +93,8 @@ def _frequencies(encoded: DataFrame, size: int) -> np.ndarray:
     """Documents that have each id; no more rows than the vocabulary has ids reach the driver."""
     df = np.zeros(size, np.int64)
     counted = encoded.where("counts IS NOT NULL").select("counts").mapInArrow(tidy(_summed), "id long, df long")
-    for r in counted.groupBy("id").agg(F.sum("df").alias("df")).collect():
-        df[r["id"]] = r["df"]
+    found = counted.groupBy("id").agg(F.sum("df").alias("df")).toArrow()
+    df[found["id"].to_numpy()] = found["df"].to_numpy()
     return df
 
 
@@ -248,11 +248,12 @@ def pack(
     without ``keep_ids``)."""
     spark = docs.sparkSession
     vocabulary = vocabulary or tokens.vocabulary(tokens.WORD_BPE)
-    plain = tokens.Encoder(vocabulary, end, 1 << 10)
-    width, size = plain.dtype.str, plain.size
     rows = texts(docs, id_col, text_col)
     encoded = written(rows.mapInArrow(tidy(_encoded(vocabulary, end)), _ENCODED), "encoded")
-    count, total = encoded.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # the tasks' counts tell the vocabulary's size, so that the driver need not load it
+    count, total, size = encoded.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(F.length("counts")), F.lit(0)) / 8).first()
+    size = int(size)
+    width = tokens.width_of(size)
     idf, mean = _idf(_frequencies(encoded, size), count), total / count if count else 1.0
     # written, since dealing into ranges reads it twice
     keyed = encoded.where("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(tidy(_least_ranks(width, id_ranks(idf))), "doc_id long, ids binary, near long, next long")

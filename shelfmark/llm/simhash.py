@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import joined_hot, partitions, read, texts, tidy, written
-from shelfmark.llm.graph import components
+from shelfmark.llm.graph import components, forest
 from shelfmark.llm.near_copies import drop_near_copies
 
 SHINGLE, SEED, BUCKET = 3, 42, 4096
@@ -100,27 +100,13 @@ def _keyed(fps: DataFrame) -> DataFrame:
     return fps.select("fp", variant).select(key.alias("key"), "fp")
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The least index connected with each of ``n`` indices by the pairs ``a, b``."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compares the fingerprints of each small bucket; what is linked comes out as edges of a spanning forest."""
 
     def edges(flat, left, right):
         if not left:
             return
-        label = _forest(np.concatenate(left), np.concatenate(right), len(flat))
+        label = forest(np.concatenate(left), np.concatenate(right), len(flat))
         moved = np.flatnonzero(label != np.arange(len(flat)))
         pairs = np.unique(np.stack([flat[moved], flat[label[moved]]]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)) for p in np.ascontiguousarray(pairs)], names=["a", "b"])

@@ -134,6 +134,11 @@ class _Table:
             keys, numbers, slot = keys[~placed], numbers[~placed], (slot[~placed] + 1) & self.mask
 
 
+def width_of(size: int) -> str:
+    """The type of ids below ``size``."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
 class Encoder:
     """``encode(texts)`` gives the ids of all texts in a row, and where each text's ids end; ``end`` follows each text."""
 
@@ -142,7 +147,7 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end, self.size = end, max(self.whole.get_vocab_size(), end + 1)
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.dtype = np.dtype(width_of(self.size))
         self.lower = self.whole.normalizer is not None
         self.cut = _cut_words if self.lower else _cut_bytes
         #: For words that are cut and lower-cased already.
