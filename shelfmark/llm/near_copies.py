@@ -40,8 +40,9 @@ from shelfmark.llm.common import SMALL_IDS, discard, joined_hot, text_key, texts
 from shelfmark.llm.graph import components
 
 SIZE, LEAST = 5, 0.8
-#: Documents sampled to find common shingles, and how many of these must have one.
-SAMPLE, COMMON = 10_000, 4
+#: Documents sampled to find common shingles (of more, the share of all), how many of these must have one, and shingles that
+#: are told apart as common (the most frequent; 16 bytes each in the driver and in tasks).
+SAMPLE, SHARE, COMMON, LISTED = 10_000, 0.2, 4, 1 << 20
 #: Rows of a batch whose texts become Python objects at once.
 PIECE = 1000
 #: Bits of a sketch; times that nodes name another node before pairs are compared; comparisons a node from which they do.
@@ -82,9 +83,24 @@ def _counted(size: int):
 
 
 def common_shingles(rows: DataFrame, size: int = SIZE, sample: int = SAMPLE, common: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that ``common`` or more sampled documents have, sorted, and how many have them."""
-    some = rows.select("text").sample(min(1.0, sample / max(1, rows.count())), seed=5)
-    found = some.mapInArrow(tidy(_counted(size)), "gram long").groupBy("gram").count().where(F.col("count") >= common).toArrow()
+    """The most frequent shingles (``LISTED`` at most) that ``common`` or more sampled documents have, sorted, and how many have them.
+
+    The sample grows with the documents: what is common among them must not become rare in it.
+    """
+    some = rows.select("text").sample(min(1.0, max(SHARE, sample / max(1, rows.count()))), seed=5)
+    often = written(some.mapInArrow(tidy(_counted(size)), "gram long").groupBy("gram").count().where(F.col("count") >= common), "common")
+    found = often
+    if often.count() > LISTED:
+        # a row for each count, which is at most the sample's
+        held, least = 0, None
+        for r in often.groupBy("count").agg(F.count("*").alias("grams")).orderBy(F.desc("count")).toLocalIterator():
+            held += r["grams"]
+            if held > LISTED:
+                break
+            least = r["count"]
+        found = often.where(F.lit(False) if least is None else F.col("count") >= least)
+    found = found.toArrow()
+    discard(often)
     gram, n = found["gram"].to_numpy().view(np.uint64), found["count"].to_numpy()
     order = np.argsort(gram)
     return gram[order], n[order]
