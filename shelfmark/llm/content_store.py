@@ -5,8 +5,8 @@ give equal chunks wherever they stand. A chunk is known by its SHA-256 and store
 ``doc_id``) that has it. The files of a store, in ascending ``doc_id`` order:
 
 ``documents``: one row per document: its place (``part``, ``start`` within the part), the Merkle root of its chunks, its
-recipe (the chunks' digests), and the bytes of those chunks of which it is the owner (others are null). ``shared`` tells
-which of its chunks other documents need too.
+recipe (the chunks' digests), and the bytes of those chunks of which it is the owner (others are null; ``missing`` has their
+places). ``shared`` tells which of its chunks other documents need too, ``uses`` how often the most used of these is.
 ``parts``: one row per part: the number of ids in it and the Merkle root of its documents' roots.
 
 Reading back resolves recipes, checks every chunk against its digest and every document and part against its Merkle
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import tokens
-from shelfmark.llm.common import discard, joined_hot, new_path, partitions, read, texts, tidy, written
+from shelfmark.llm.common import HOT_ROWS, discard, joined_hot, new_path, partitions, read, texts, tidy, written
 
 END, WINDOW, LEAST, MOST, MASK = 0, 16, 64, 8192, (1 << 9) - 1
 
@@ -76,11 +76,13 @@ def _gear(size: int) -> np.ndarray:
 
 def _hits(ids: np.ndarray, gear: np.ndarray) -> np.ndarray:
     """Places after which the rolling hash of the last ``WINDOW`` ids lets a stream be cut."""
-    values = gear[ids]
-    rolling = np.zeros(len(ids), np.uint64)
-    for j in range(min(WINDOW, len(ids))):
-        rolling[j:] += values[: len(ids) - j] << np.uint64(j)
-    return np.flatnonzero((rolling >> np.uint64(20)) & np.uint64(MASK) == 0) + 1
+    # the bits that are looked at do not depend on higher ones
+    rolling, n = gear.astype(np.uint32)[ids], 1
+    while n < WINDOW:  # a power of two: the hash of 2 n ids is that of the last n and that of the n before, shifted
+        before = rolling[:-n] << np.uint32(n)
+        rolling[n:] += before
+        n *= 2
+    return np.flatnonzero(rolling & np.uint32(MASK << 20) == 0) + 1
 
 
 def cut_points(n: int, hits: list[int]) -> list[int]:
@@ -133,7 +135,7 @@ def _encoded(path: str, end: int):
 
 _DOCUMENTS = (
     "doc_id long, row long, part int, start long, n_ids int, root binary, recipe array<binary>, sizes array<int>, "
-    "chunks array<binary>, shared array<boolean>, part_ids long, part_root binary"
+    "chunks array<binary>, shared array<boolean>, missing array<int>, uses long, part_ids long, part_root binary"
 )
 
 
@@ -146,13 +148,14 @@ def _laid_out(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, merkle = TaskContext.get().partitionId(), 0, Merkle()
         notes: dict[int, bool] = {}
-        noted, held = None, None
+        noted, uses, held = None, None, None
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in _SCHEMA}
             rows, recipes, ends = (batch.column(c).to_pylist() for c in ("row", "recipe", "ends"))
             for i, (doc_id, row, ids) in enumerate(zip(batch.column("doc_id").to_pylist(), rows, batch.column("ids"), strict=True)):
                 if not ids.is_valid:
                     noted, notes = row, dict(zip(batch.column("note")[i].as_py(), batch.column("owned")[i].as_py(), strict=True))
+                    uses = batch.column("uses")[i].as_py()
                     continue
                 own = notes if noted == row else {}
                 raw, bounds = ids.as_py(), [0, *ends[i]]
@@ -161,7 +164,7 @@ def _laid_out(size: int):
                 values = (
                     doc_id, row, part, start, bounds[-1], root, recipes[i], [b - a for a, b in zip(bounds, ends[i])],  # noqa: B905
                     [raw[a * size : b * size] if own.get(k, True) else None for k, (a, b) in enumerate(zip(bounds, ends[i]))],  # noqa: B905
-                    [own.get(k, False) for k in range(len(ends[i]))], None, None,
+                    [own.get(k, False) for k in range(len(ends[i]))], sorted(k for k, mine in own.items() if not mine) or None, uses if own else None, None, None,
                 )
                 for column, value in zip(out.values(), values, strict=True):
                     column.append(value)
@@ -181,7 +184,7 @@ _SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()), ("row", pa.int64()), ("part", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int32()), ("root", pa.binary()),
         ("recipe", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("chunks", pa.list_(pa.binary())), ("shared", pa.list_(pa.bool_())),
-        ("part_ids", pa.int64()), ("part_root", pa.binary()),
+        ("missing", pa.list_(pa.int32())), ("uses", pa.int64()), ("part_ids", pa.int64()), ("part_root", pa.binary()),
     ]
 )
 
@@ -204,12 +207,13 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end:
     # Only digests are shuffled to find the owners; and only chunks that occur again make notes for their documents.
     uses = encoded.select("doc_id", "row", F.posexplode("recipe").alias("i", "digest"))
     owners = written(uses.groupBy("digest").agg(F.min(F.struct("doc_id", "row", "i")).alias("owner"), F.count("*").alias("n")).where("n > 1"), "owners")
+    mine = (F.col("owner.row") == F.col("row")) & (F.col("owner.i") == F.col("i"))
     notes = (
         joined_hot(uses, owners, "digest")
         .groupBy("doc_id", "row")
-        .agg(F.collect_list("i").alias("note"), F.collect_list((F.col("owner.row") == F.col("row")) & (F.col("owner.i") == F.col("i"))).alias("owned"))
+        .agg(F.collect_list("i").alias("note"), F.collect_list(mine).alias("owned"), F.max(F.when(mine, F.col("n"))).alias("uses"))
     )
-    rows = encoded.select("doc_id", "row", "ids", "ends", "recipe", F.lit(None).cast("array<int>").alias("note"), F.lit(None).cast("array<boolean>").alias("owned"))
+    rows = encoded.select("doc_id", "row", "ids", "ends", "recipe", F.lit(None).cast("array<int>").alias("note"), F.lit(None).cast("array<boolean>").alias("owned"), F.lit(None).cast("long").alias("uses"))
     rows = rows.unionByName(notes, allowMissingColumns=True)
     (
         rows.repartitionByRange(partitions(spark), "doc_id", "row")
@@ -289,17 +293,20 @@ def read_store(spark: SparkSession, path: str, vocabulary: str | None = None, ke
     """``doc_id, start, n_tokens, ids_crc32, n_chunks, merkle_root, ids`` of each document, rebuilt and verified."""
     width = tokens.Encoder(vocabulary or tokens.vocabulary(tokens.BYTE_BPE), END, 1 << 10).dtype.str
     stored = spark.read.schema(_DOCUMENTS).parquet(f"{path}/documents").drop("part_ids", "part_root")
-    kept = stored.select(F.posexplode(F.arrays_zip("recipe", "chunks", "shared")).alias("i", "c")).where("c.shared AND c.chunks IS NOT NULL")
+    # who needs what is told without reading a chunk's bytes
+    needs = stored.where("missing IS NOT NULL").select("row", "recipe", F.explode("missing").alias("i"))
+    needs = needs.select("row", "i", F.get("recipe", "i").alias("digest"))
+    kept = stored.where("uses IS NOT NULL").select(F.explode(F.arrays_zip("recipe", "chunks", "shared")).alias("c")).where("c.shared AND c.chunks IS NOT NULL")
     kept = kept.select(F.col("c.recipe").alias("digest"), F.col("c.chunks").alias("chunk"))
-    open_ = F.exists("chunks", lambda c: c.isNull())
-    needs = stored.where(open_).select("row", F.posexplode(F.arrays_zip("recipe", "chunks")).alias("i", "c")).where("c.chunks IS NULL")
-    needs = needs.select("row", "i", F.col("c.recipe").alias("digest"))
-    # a document's own chunks are fetched by as many tasks as share them
-    wanted = needs.groupBy("digest").agg(F.count("*").alias("n"))
-    fetched = joined_hot(needs, kept.join(wanted, "digest"), "digest").groupBy("row").agg(F.collect_list(F.struct("i", "chunk")).alias("fetched"))
+    if (stored.agg(F.max("uses")).first()[0] or 0) > HOT_ROWS:
+        # a chunk of very many documents is fetched by as many tasks as share it
+        found = joined_hot(needs, kept.join(needs.groupBy("digest").agg(F.count("*").alias("n")), "digest"), "digest")
+    else:
+        found = needs.join(kept, "digest")
+    fetched = found.groupBy("row").agg(F.collect_list(F.struct("i", "chunk")).alias("fetched"))
     # whole documents need no shuffle
-    whole = stored.where(~open_).withColumn("fetched", F.lit(None).cast("array<struct<i:int,chunk:binary>>"))
-    mended = stored.where(open_).join(fetched, "row", "left").select(*whole.columns)
+    whole = stored.where("missing IS NULL").withColumn("fetched", F.lit(None).cast("array<struct<i:int,chunk:binary>>"))
+    mended = stored.where("missing IS NOT NULL").join(fetched, "row", "left").select(*whole.columns)
     rebuilt = whole.unionByName(mended).mapInArrow(
         tidy(_read_back(width, keep_ids)), "doc_id long, part int, start long, n_tokens long, ids_crc32 long, n_chunks long, merkle_root string, ids binary"
     )

@@ -65,6 +65,36 @@ def test_op6_chunks_once_and_corruption(spark):
         content_store.read_store(spark, bad).collect()
 
 
+@pytest.mark.parametrize("hot", [2, 50_000])
+def test_op6_missing_chunks_are_told_without_their_bytes(spark, monkeypatch, hot):
+    monkeypatch.setattr(content_store, "HOT_ROWS", hot)
+    monkeypatch.setattr("shelfmark.llm.common.HOT_ROWS", hot)
+    path = new_path(spark, "store")
+    text = " ".join(f"word{i % 977}" for i in range(6000))
+    docs = spark.createDataFrame([(i, text[i % 2 :]) for i in range(12)] + [(12, "alone")], "doc_id long, text string").repartition(3)
+    content_store.write_store(docs, path)
+    for r in spark.read.parquet(f"{path}/documents").collect():
+        assert (r["missing"] or []) == [i for i, c in enumerate(r["chunks"]) if c is None]
+        assert (r["uses"] is not None) == any(r["shared"]) and (r["uses"] or 12) >= 2
+    got = {r["doc_id"]: r["ids"] for r in content_store.read_store(spark, path).collect()}
+    assert len(got) == 13 and got[0] == got[10] and got[1] == got[11] != got[0]
+    plan = content_store.read_store(spark, path)._jdf.queryExecution().sparkPlan().toString()
+    scans = [x.split("[")[1].split("]")[0] for x in plan.split("\n") if "FileScan parquet [" in x]
+    assert any("missing#" in x and "chunks#" not in x for x in scans) and (hot == 2 or sum("chunks#" in x for x in scans) == 3)
+
+
+def test_op6_hits_are_those_of_the_whole_sum():
+    import numpy as np
+
+    gear, rng = content_store._gear(50_257), np.random.default_rng(2)
+    for n in (0, 1, 15, 16, 17, 40_000):
+        ids = rng.integers(0, 50_257, n).astype("<u2")
+        sums = np.zeros(n, np.uint64)
+        for j in range(min(content_store.WINDOW, n)):
+            sums[j:] += gear[ids][: n - j] << np.uint64(j)
+        assert content_store._hits(ids, gear).tolist() == (np.flatnonzero((sums >> np.uint64(20)) & np.uint64(content_store.MASK) == 0) + 1).tolist()
+
+
 def test_op6_odd_rows(spark):
     path = new_path(spark, "store")
     content_store.write_store(odd(spark), path)
