@@ -412,6 +412,76 @@ def test_op4_excerpts_before_between_and_after(spark, words_, pieces, parts):
     assert {d for d, _ in got} == {d for p in pairs for d in p}
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_op4_edited_passage_among_excerpts(spark, parts):
+    """Two texts with a passage of which every piece is in many others too, and no 45 words in a row are alike."""
+    rng = np.random.default_rng(15)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    texts, pairs = [], []
+    for _ in range(20):
+        passage = draw(90)
+        excerpts = [[*draw(25), *passage[a : a + 36], *draw(25)] for a in rng.permutation(np.linspace(0, 54, 24).astype(int))]
+        x = [*draw(30), *passage, *draw(30)]
+        y = [*draw(50), *(w for i, w in enumerate(passage) if i % 22 != 21), *draw(10)]
+        pairs.append((len(texts) + 8, len(texts) + 17))
+        texts += [*excerpts[:8], x, *excerpts[8:16], y, *excerpts[16:]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(parts)
+    got = {(r["doc_id"], r["other_id"]): r for r in chaining.repeated_passages(df).collect()}
+    assert set(got) == {p for x, y in pairs for p in ((x, y), (y, x))}
+    assert all(got[p]["equal_words"] >= 80 for p in pairs)
+
+
+def test_op4_all_links_are_told(spark):
+    """Each link of 50 words in both texts that an alignment of all pairs finds, however many documents share its seeds, has
+    its seeds told in both texts, in one class."""
+    rng = np.random.default_rng(16)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    chunks = [draw(int(n)) for n in rng.integers(12, 40, 14)]
+    texts = []
+    for _ in range(300):
+        text = draw(int(rng.integers(5, 20)))
+        for c in rng.choice(len(chunks), int(rng.integers(1, 6)), replace=False):
+            text += [*edited(rng, chunks[c], rng.choice([0, 0, 0.05, 0.1])), *draw(int(rng.choice([0, 0, 2, 12])))]
+        texts.append([*text, *draw(5)])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    told = [tuple(r)[:6] for r in chaining.repeated_passages(df).collect()]
+    # regions of each text, and their classes
+    regions, label = {}, {}
+    for d, first, n in sorted({(d, f, n) for d, _, f, n, _, _ in told}):
+        if d in regions and first < regions[d][-1][1]:
+            regions[d][-1][1] = max(regions[d][-1][1], first + n)
+        else:
+            regions.setdefault(d, []).append([first, first + n])
+    region = lambda d, low, high: next(((d, a) for a, b in regions.get(d, []) if a <= low and high <= b), None)
+
+    def root(x):
+        while label.setdefault(x, x) != x:
+            x = label[x]
+        return x
+
+    for d, o, f, n, g, m in told:
+        if (one := region(d, f, f + n)) and (two := region(o, g, g + m)):
+            label[root(one)] = root(two)
+    text, word = chaining.words.hashed([" ".join(t).encode() for t in texts], chaining.words.BLACK)
+    at, gram = chaining.seeds(text, word)
+    place = chaining.words.places(text)
+    members = chaining.Members(gram, text[at], place[at], np.zeros(len(at), np.int64))
+    assert (members.size > chaining.FEW).mean() > 0.3
+    links = np.stack(members.links(*members.pairs(len(texts))))
+    own = np.split(word, np.flatnonzero(np.diff(text)) + 1)
+    n_links = lost = 0
+    for a, b in {(int(a), int(b)) for a, b in links[:2].T}:
+        p, o = links[2:, (links[0] == a) & (links[1] == b)]
+        for chain in chaining.chains(p, o):
+            for x, y, u, v, _ in chaining.passages(own[a], own[b], chain, chaining.LEAST, chaining.IDENTITY):
+                for i, j in zip(p.tolist(), o.tolist(), strict=True) if min(y - x, v - u) >= chaining.LEAST else ():
+                    if x <= i and i + 4 <= y and u <= j and j + 4 <= v and any(s <= i < s + n and i - s == j - t for s, t, n in chain):
+                        n_links += 1
+                        one, two = region(a, i, i + 4), region(b, j, j + 4)
+                        lost += one is None or two is None or root(one) != root(two)
+    assert n_links > 1000 and lost == 0, (n_links, lost)
+
+
 def test_op4_runs_of_any_passage():
     """Of any stretch of ``least`` words one run is chosen, and the same one wherever the stretch stands."""
     rng = np.random.default_rng(14)
