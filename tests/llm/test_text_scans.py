@@ -431,6 +431,20 @@ def test_op4_edited_passage_among_excerpts(spark, parts):
     assert all(got[p]["equal_words"] >= 80 for p in pairs)
 
 
+def test_op4_second_passage_half_of_a_common_line(spark):
+    """A passage whose one half stands in many texts is found, though its texts have another passage in common."""
+    rng = np.random.default_rng(17)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    texts = []
+    for _ in range(20):
+        first, line, own = draw(60), draw(26), draw(24)
+        whole = lambda: [*draw(10), *first, *draw(80), *line, *draw(1), *own, *draw(10)]  # noqa: B023, E731
+        texts += [whole() if i in (3, 7) else [*draw(20), *line, *draw(20)] for i in range(10)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["other_id"], r["first_word"] > 100) for r in chaining.repeated_passages(df).collect()}
+    assert got == {(10 * i + a, 10 * i + 10 - a, later) for i in range(20) for a in (3, 7) for later in (False, True)}
+
+
 def test_op4_all_links_are_told(spark):
     """Each link of 50 words in both texts that an alignment of all pairs finds, however many documents share its seeds, has
     its seeds told in both texts, in one class."""
